@@ -224,6 +224,8 @@ from (select *, row_number() over (
             count_as("runs", "run_id", "run_events"),
         ]
     ),
+    "prepared_cells": with_(*PREPARED)
+    + f"select code, product_name, categories, {rounded(FEATURE_SLOTS)} from prepared",
     "snapshot_refresh": with_(RAW, clean(False))
     + " union all ".join(
         f"select '{version}' as version, cast(count(*) as bigint) as count, "

@@ -50,11 +50,11 @@ from larder.operators.segment import (
 )
 from larder.operators.text import word_count
 from larder.plans.mart import ProductMart
+from larder.plans.tables import RUN_CELLS, prepared_cells, prepared_from_cells
 from larder.plans.train import CLUSTERS, MAX_ITERATIONS, SEED, train_prepared, train_products
 from larder.schema import (
     FEATURE_SLOTS,
     IDENTITY_COLUMNS,
-    RUN_FIELDS,
     TABLE_LAYOUT,
     ProductLayout,
     strings,
@@ -217,20 +217,6 @@ def seed_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return products_to_cells(seed_products(raw.withColumn("put_seq", order), LAYOUT), LAYOUT)
 
 
-def prepared_cells(frame: DataFrame, version: str) -> DataFrame:
-    """Prepared products as cells keyed ``version:code``."""
-    mapping = {name: ("feature", name) for name in FEATURE_SLOTS} | {
-        "version": ("meta", "version"),
-        "code": ("meta", "code"),
-        "product_name": ("info", "product_name"),
-        "categories": ("info", "categories"),
-    }
-    keyed_rows = frame.withColumns(
-        {"version": F.lit(version), "storage_key": F.concat(F.lit(f"{version}:"), F.col("code"))}
-    )
-    return to_cells(keyed_rows, "storage_key", mapping)
-
-
 def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run audit puts in ``event_id`` order: every user is a run."""
     kind = F.col("event_type")
@@ -256,9 +242,7 @@ def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def table_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     products = prepared(spark, sf_dir)
-    runs = to_cells(
-        run_events(spark, sf_dir), "run_id", {name: ("run", name) for name in RUN_FIELDS}
-    )
+    runs = to_cells(run_events(spark, sf_dir), "run_id", RUN_CELLS)
     return row_counts(
         {
             "raw": to_cells(keyed(spark, sf_dir), "code", product_cells(LAYOUT)),
@@ -269,6 +253,14 @@ def table_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def prepared_cell_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prepared products through a stored table of text cells and back."""
+    cells = CellTable(spark, scratch_path(spark, "cells"))
+    stored = prepared_cells(prepared(spark, sf_dir), "v1")
+    cells.put(stored.withColumn("put_seq", F.lit(0)))
+    return rounded_slots(prepared_from_cells(cells.log(), "v1"), *IDENTITY_COLUMNS)
+
+
 # Snapshots and results
 
 
@@ -441,6 +433,7 @@ QUERIES: dict[str, Query] = {
     "cell_merge_latest": cell_merge_latest,
     "seed_raw": seed_raw,
     "table_row_counts": table_row_counts,
+    "prepared_cells": prepared_cell_round_trip,
     "snapshot_refresh": snapshot_refresh,
     "snapshot_write_read": snapshot_write_read,
     "current_snapshot": current_snapshot,
