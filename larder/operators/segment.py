@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from larder.functions.columns import quoted, squared_distance
 
 ROWS_PER_PARTITION = 1_000_000
-MIN_PARTITIONS = 4
+MIN_PARTITIONS = 8
 UNROLLED_TERMS = 512
 
 

@@ -35,6 +35,19 @@ RAW_PRODUCT_COLUMNS = {
 }
 
 
+RAW_PRODUCT_SOURCES = (
+    "l_orderkey",
+    "l_partkey",
+    "l_suppkey",
+    "l_linenumber",
+    "l_quantity",
+    "l_discount",
+    "l_tax",
+    "l_returnflag",
+    "l_linestatus",
+)
+
+
 def raw_product_select(text: str) -> str:
     return ", ".join(
         f"{expression.format(text=text)} as {name}"
@@ -46,10 +59,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_small(frame: DataFrame) -> DataFrame:
+    """Put an input of fewer partitions than cores onto all cores.
+
+    The smaller tables are one Parquet row group, which one task has to read
+    and would then also have to process. Larger inputs stay as they are.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    if frame.rdd.getNumPartitions() >= cores:
+        return frame
+    return frame.repartition(cores, *frame.columns)
+
+
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dirty all-text products, one per ``lineitem`` row, in table spelling."""
     columns = [
         f"{expression.format(text='string')} as {name}"
         for name, expression in RAW_PRODUCT_COLUMNS.items()
     ]
-    return table(spark, sf_dir, "lineitem").selectExpr(*columns)
+    lineitem = table(spark, sf_dir, "lineitem").select(*RAW_PRODUCT_SOURCES)
+    return spread_small(lineitem).selectExpr(*columns)
+
+
+def document_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread_small(table(spark, sf_dir, "documents").select("text"))

@@ -69,7 +69,7 @@ from larder.sources.outputs import (
     write_predictions,
 )
 from larder.sources.scratch import materialize, scratch_path
-from workload.inputs import raw_products, table
+from workload.inputs import document_texts, raw_products, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -407,13 +407,13 @@ def segment_prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def count_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return word_count(table(spark, sf_dir, "documents"), "text")
+    return word_count(document_texts(spark, sf_dir), "text")
 
 
 def count_words_of_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same through text files, read line by line."""
     path = scratch_path(spark, "lines")
-    table(spark, sf_dir, "documents").select("text").write.text(path)
+    document_texts(spark, sf_dir).write.text(path)
     return word_count(read_lines(spark, path))
 
 
