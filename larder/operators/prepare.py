@@ -31,14 +31,12 @@ class FeatureProfile:
 def fit_profile(clean: DataFrame, features: Sequence[str]) -> FeatureProfile:
     """Medians, and mean and sample deviation after filling with them.
 
-    One summary pass plus the median passes. ``clean`` is read several times,
-    so it should be a stored table.
+    ``clean`` is read several times, so it should be a stored table.
     """
-    summaries = summarise(clean, features)
-    medians = lower_medians(clean, features, summaries)
-    filled = {name: summaries[name].filled_with(medians[name]) for name in features}
+    summaries = summarise(clean, features, medians=True)
+    filled = {name: at.filled_with(at.median) for name, at in summaries.items()}
     return FeatureProfile(
-        medians,
+        {name: at.median for name, at in summaries.items()},
         {name: mean for name, (mean, _) in filled.items()},
         {name: deviation for name, (_, deviation) in filled.items()},
     )
@@ -104,9 +102,9 @@ def apply_profile(
 
 def prepare_products(raw: DataFrame, layout: ProductLayout = TABLE_LAYOUT) -> DataFrame:
     """Raw text products to standardised products, one row per key (L1)."""
-    if raw.isEmpty():
-        raise ValueError("raw table contains no products")
     clean = materialize(clean_products(raw, layout), "clean")
+    if clean.isEmpty():
+        raise ValueError("raw table contains no products with a key and a measurement")
     return apply_profile(clean, fit_profile(clean, layout.features), layout.features)
 
 

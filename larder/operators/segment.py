@@ -121,24 +121,30 @@ def silhouette_scores(assigned: DataFrame, columns: Sequence[str]) -> DataFrame:
     if len(totals) < 2:
         raise ValueError("silhouette needs at least two clusters")
 
-    own, others = [], []
+    # The mean squared distance to a cluster is the one to its mean plus its spread.
+    distances, corrections = [], []
     for row in totals:
-        inner = reduce(
-            lambda a, b: a + b, [x * F.lit(row[f"mean{i}"]) for i, x in enumerate(point)]
-        )
-        mean_distance = norm + F.lit(row["norm"]) - F.lit(2.0) * inner
-        member = F.col("cluster") == F.lit(row["cluster"])
+        mean = [row[f"mean{i}"] for i in range(len(columns))]
+        spread = row["norm"] - sum(x * x for x in mean)
+        distances.append(squared_distance(point, mean) + F.lit(spread))
         # A row is at distance 0 from itself, hence rows / (rows - 1); a
         # singleton has no other member and scores 0.
-        inside = mean_distance * F.lit(row["rows"] / max(row["rows"] - 1, 1))
-        own.append(F.when(member, inside if row["rows"] > 1 else F.lit(None).cast("double")))
-        others.append(F.when(~member, mean_distance))
-    compared = assigned.select(
-        "*", F.coalesce(*own).alias("_own"), F.array_min(F.array(*others)).alias("_other")
+        alone = row["rows"] == 1
+        corrections.append(F.lit(None if alone else row["rows"] / (row["rows"] - 1)).cast("double"))
+    ids = F.array(*[F.lit(row["cluster"]) for row in totals])
+    measured = assigned.select(
+        "*", F.array(*distances).alias("_distances"), F.array_position(ids, F.col("cluster")).alias("_own")
+    )
+    own = F.col("_own").cast("int")
+    to = [F.col("_distances").getItem(i) for i in range(len(totals))]
+    compared = measured.select(
+        "*",
+        (F.element_at("_distances", own) * F.element_at(F.array(*corrections), own)).alias("_in"),
+        F.least(*[F.when(own != i + 1, distance) for i, distance in enumerate(to)]).alias("_out"),
     )
-    a, b = F.col("_own"), F.col("_other")
+    a, b = F.col("_in"), F.col("_out")
     score = F.when(a < b, 1 - a / b).when(a > b, b / a - 1).otherwise(0.0)
-    return compared.select("*", score.alias("silhouette")).drop("_own", "_other")
+    return compared.select("*", score.alias("silhouette")).drop("_distances", "_own", "_in", "_out")
 
 
 def mean_silhouette(assigned: DataFrame, columns: Sequence[str]) -> DataFrame:

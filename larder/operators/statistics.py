@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,14 +16,13 @@ HISTOGRAM_BUCKETS = 1024
 
 @dataclass(frozen=True)
 class ColumnSummary:
-    """Moments and range of the usable (non-null, non-NaN) values of a column."""
+    """Moments of the usable (non-null, non-NaN) values of a column, and their lower median."""
 
     rows: int
     present: int
-    low: float
-    high: float
     mean: float
     variance: float
+    median: float | None = None
 
     def filled_with(self, value: float) -> tuple[float, float]:
         """Mean and sample deviation once every missing row holds ``value``.
@@ -38,79 +37,86 @@ class ColumnSummary:
         return mean, math.sqrt(spread / (self.rows - 1)) if self.rows > 1 else 0.0
 
 
+@dataclass(frozen=True)
+class _Interval:
+    """Where a column's median is: in [low, high], as the rank-th value of those."""
+
+    low: float
+    high: float
+    rank: int
+
+
 def _usable(name: str) -> Column:
     return F.nanvl(quoted(name).cast("double"), F.lit(None).cast("double"))
 
 
-def summarise(frame: DataFrame, columns: Sequence[str]) -> dict[str, ColumnSummary]:
-    """Row counts, range, mean and variance of every column, in one pass."""
+def _summary_aggregates(columns: Sequence[str]) -> list[Column]:
     aggregates = [F.count(F.lit(1)).alias("rows")]
     for i, name in enumerate(columns):
         value = _usable(name)
         aggregates += [
             F.count(value).alias(f"present{i}"),
-            F.min(value).alias(f"low{i}"),
-            F.max(value).alias(f"high{i}"),
             F.avg(value).alias(f"mean{i}"),
             F.var_samp(value).alias(f"variance{i}"),
+            F.min(value).alias(f"low{i}"),
+            F.max(value).alias(f"high{i}"),
         ]
-    row = frame.agg(*aggregates).first()
-    return {
-        name: ColumnSummary(
-            row["rows"], row[f"present{i}"], row[f"low{i}"], row[f"high{i}"], row[f"mean{i}"],
-            row[f"variance{i}"] or 0.0,
-        )
-        for i, name in enumerate(columns)
-    }
+    return aggregates
 
 
-def lower_medians(
-    frame: DataFrame,
-    columns: Sequence[str],
-    summaries: dict[str, ColumnSummary] | None = None,
-) -> dict[str, float]:
-    """Exact lower median of every column, nulls and NaN left out.
+def summarise(
+    frame: DataFrame, columns: Sequence[str], medians: bool = False
+) -> dict[str, ColumnSummary]:
+    """Row counts, mean and variance of every column, in one pass; with medians in a few.
 
-    Each pass counts the values of the column's current interval in equal-width
-    buckets and narrows the interval to the bucket that holds the middle rank,
-    until one distinct value is left. Tasks and driver only ever hold
-    ``HISTOGRAM_BUCKETS`` counters per column, however many distinct values
-    there are, and a hot value is one counter. Measurements with few decimals
-    need two passes; every pass cuts the interval by the bucket count.
+    Medians are exact. After the first pass each further one counts the values
+    of every column's interval in equal-width buckets and narrows the interval
+    to the bucket that holds the middle rank, until one distinct value is left.
+    Tasks and driver hold at most ``HISTOGRAM_BUCKETS`` counters per column,
+    however many distinct values there are, and a hot value is one counter.
+    Measurements with few decimals need two such passes.
     """
-    summaries = summaries or summarise(frame, columns)
-    empty = [name for name in columns if summaries[name].present == 0]
+    row = frame.agg(*_summary_aggregates(columns)).first()
+    found = {
+        name: ColumnSummary(
+            row["rows"], row[f"present{i}"], row[f"mean{i}"], row[f"variance{i}"] or 0.0
+        )
+        for i, name in enumerate(columns)
+    }
+    if not medians:
+        return found
+    empty = [name for name in columns if found[name].present == 0]
     if empty:
         raise ValueError(f"no values to take a median of in: {', '.join(empty)}")
-    endless = [n for n in columns if not math.isfinite(summaries[n].high - summaries[n].low)]
+    intervals = {
+        name: _Interval(row[f"low{i}"], row[f"high{i}"], (found[name].present + 1) // 2)
+        for i, name in enumerate(columns)
+    }
+    endless = [n for n, at in intervals.items() if not math.isfinite(at.high - at.low)]
     if endless:
         raise ValueError(f"median needs a finite value range in: {', '.join(endless)}")
-
-    medians: dict[str, float] = {}
-    # column -> (low, high, rank of the median among the values in [low, high])
-    open_intervals = {
-        name: (summaries[name].low, summaries[name].high, (summaries[name].present + 1) // 2)
-        for name in columns
+    while wide := {name: at for name, at in intervals.items() if at.low < at.high}:
+        intervals |= _narrow(frame, wide)
+    return {
+        name: replace(summary, median=intervals[name].low + 0.0)
+        for name, summary in found.items()
     }
-    while True:
-        for name, (low, high, _) in list(open_intervals.items()):
-            if low == high:
-                medians[name] = low + 0.0
-                del open_intervals[name]
-        if not open_intervals:
-            return medians
-        open_intervals = _narrow(frame, open_intervals)
-
-
-def _narrow(
-    frame: DataFrame, intervals: dict[str, tuple[float, float, int]]
-) -> dict[str, tuple[float, float, int]]:
+
+
+def lower_medians(frame: DataFrame, columns: Sequence[str]) -> dict[str, float]:
+    """Exact lower median of every column, nulls and NaN left out."""
+    return {name: at.median for name, at in summarise(frame, columns, medians=True).items()}
+
+
+def _narrow(frame: DataFrame, intervals: dict[str, _Interval]) -> dict[str, _Interval]:
     entries = []
-    for i, (name, (low, high, _)) in enumerate(intervals.items()):
+    for i, (name, at) in enumerate(intervals.items()):
         value = _usable(name)
-        place = F.floor((value - F.lit(low)) / F.lit(high - low) * F.lit(float(HISTOGRAM_BUCKETS)))
-        bucket = F.least(place, F.lit(HISTOGRAM_BUCKETS - 1)).cast("int")
-        slot = F.when(value.between(low, high), bucket + F.lit(i * HISTOGRAM_BUCKETS))
+        share = (value - F.lit(at.low)) / F.lit(at.high - at.low)
+        bucket = F.least(
+            F.floor(share * F.lit(float(HISTOGRAM_BUCKETS))), F.lit(HISTOGRAM_BUCKETS - 1)
+        ).cast("int")
+        slot = F.when(value.between(at.low, at.high), bucket + F.lit(i * HISTOGRAM_BUCKETS))
         entries.append(F.struct(slot.alias("slot"), value.alias("value")))
     counted = (
         frame.select(F.inline(F.array(*entries)))
@@ -123,14 +129,15 @@ def _narrow(
         )
     )
     # At most HISTOGRAM_BUCKETS rows per column reach the driver.
-    slots = sorted(counted.collect(), key=lambda row: row["slot"])
+    buckets = sorted(counted.collect(), key=lambda row: row["slot"])
     narrowed = {}
-    for i, (name, (_, _, rank)) in enumerate(intervals.items()):
-        for row in slots:
+    for i, (name, at) in enumerate(intervals.items()):
+        rank = at.rank
+        for row in buckets:
             if row["slot"] // HISTOGRAM_BUCKETS != i:
                 continue
             if rank <= row["rows"]:
-                narrowed[name] = (row["low"], row["high"], rank)
+                narrowed[name] = _Interval(row["low"], row["high"], rank)
                 break
             rank -= row["rows"]
     return narrowed

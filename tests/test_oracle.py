@@ -19,6 +19,9 @@ def test_query_equals_sql(spark, sf_dir, connection, name):
     sql = contract.oracle_sql()[name]
     names = [column[0] for column in connection.execute(sql).description]
     assert sorted(frame.columns) == sorted(names)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    for avoided in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas"):
+        assert avoided not in plan
     found, expected = spark_bag(frame), duck_bag(connection, sql)
     assert expected.total() > 0
     assert found == expected

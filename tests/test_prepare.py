@@ -54,8 +54,11 @@ def test_nothing_to_prepare_is_an_error(spark):
     with pytest.raises(ValueError, match="contains no products"):
         prepare_products(spark.createDataFrame([], TABLE_LAYOUT.raw_schema))
     unusable = spark.createDataFrame([("1", *["x"] * 10)], TABLE_LAYOUT.raw_schema)
-    with pytest.raises(ValueError, match="no values"):
+    with pytest.raises(ValueError, match="contains no products"):
         prepare_products(unusable)
+    partial = spark.createDataFrame([("1", "", "", "5", *["x"] * 7)], TABLE_LAYOUT.raw_schema)
+    with pytest.raises(ValueError, match="no values to take a median of in: fat_100g"):
+        prepare_products(partial)
 
 
 def test_vectors_round_trip_and_refuse_nulls(spark):
