@@ -37,7 +37,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
         # Published against the version trained on, whatever is current by now.
         published = mart.publish(
             run_id,
-            run.predictions.select("code", "cluster"),
+            run.assigned.select("code", "cluster"),
             run.silhouette,
             version=refreshed.version,
         )

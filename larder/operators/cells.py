@@ -35,9 +35,11 @@ def product_cells(layout: ProductLayout = FILE_LAYOUT) -> dict[str, Cell]:
     return texts | {name: ("nutrition", qualifier(name)) for name in layout.features}
 
 
-def _last(value: Column, put_seq: Column, present: Column) -> Column:
-    # max_by leaves out rows whose ordering is null, so absent cells never win.
-    return F.max_by(value, F.when(present, put_seq))
+def _last(value: Column, put_seq: Column, present: Column | None = None) -> Column:
+    """The value put last; of equal puts the greatest value, so that a retry agrees."""
+    put = F.struct(put_seq.alias("put_seq"), value.alias("value"))
+    # max passes over nulls, so absent cells never win.
+    return F.max(put if present is None else F.when(present, put)).getField("value")
 
 
 def latest_cells(cells: DataFrame) -> DataFrame:
@@ -46,7 +48,7 @@ def latest_cells(cells: DataFrame) -> DataFrame:
     An aggregate, so a hot row key or cell is reduced before the shuffle.
     """
     return cells.groupBy("row_key", "family", "qualifier").agg(
-        F.max_by("value", "put_seq").alias("value")
+        _last(F.col("value"), F.col("put_seq")).alias("value")
     )
 
 

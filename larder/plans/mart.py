@@ -11,6 +11,7 @@ Folders under the root:
 
 from __future__ import annotations
 
+import math
 import re
 import time
 from collections.abc import Iterator
@@ -38,6 +39,8 @@ from larder.schema import (
 )
 
 PAGE_CAP = 1000
+ROWS_PER_FILE = 1_000_000
+ROWS_PER_SMALL_FILE = 10_000
 PUBLISH_SOURCE = "data-mart"
 
 RANGE_SCHEMA = T.StructType(
@@ -113,10 +116,9 @@ class ProductMart:
             raise ValueError(f"version may hold letters, digits, '.', '_' and '-': {version!r}")
         if not self.pointers().filter(F.col("version") == version).isEmpty():
             raise ValueError(f"version exists: {version}")
-        columns = [F.col(field.name) for field in PREPARED_SCHEMA]
+        prepared = prepared.select(*PREPARED_SCHEMA.names)
         (
-            prepared.select(*columns)
-            .repartitionByRange(KEY)
+            prepared.repartitionByRange(self._file_count(prepared.count()), KEY)
             .sortWithinPartitions(KEY)
             .write.mode("overwrite")
             .parquet(self._version_path(version))
@@ -291,6 +293,12 @@ class ProductMart:
 
     # Storage
 
+    def _file_count(self, rows: int) -> int:
+        """Files for so many rows: of bounded size, and enough of them to use all cores."""
+        cores = self.spark.sparkContext.defaultParallelism
+        spread = min(cores, math.ceil(rows / ROWS_PER_SMALL_FILE))
+        return max(1, spread, math.ceil(rows / ROWS_PER_FILE))
+
     def _version_path(self, version: str) -> str:
         return f"{self.root}/prepared/version={version}"
 

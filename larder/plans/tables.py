@@ -173,7 +173,7 @@ def train_from_table(
         run = train_products(products, clusters, seed, max_iterations, output_dir, layout)
         completed_at = utc_now()
         tables.results.put(
-            result_cells(run.predictions, run_id, completed_at).withColumn(
+            result_cells(run.assigned, run_id, completed_at).withColumn(
                 "put_seq", F.lit(time.time_ns())
             )
         )

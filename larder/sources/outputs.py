@@ -29,12 +29,17 @@ METRICS_SCHEMA = T.StructType(
 )
 
 
-def prediction_records(predictions: DataFrame, features: Sequence[str] = ()) -> DataFrame:
-    """Key, texts, requested features and cluster, ordered by key."""
+def assignments(predictions: DataFrame, features: Sequence[str] = ()) -> DataFrame:
+    """Key, texts, requested features and cluster, in no order: a projection."""
     names = [*IDENTITY_COLUMNS, *features]
     return predictions.select(
         *[quoted(name) for name in names], F.col("cluster").cast("int").alias("cluster")
-    ).orderBy(KEY)
+    )
+
+
+def prediction_records(predictions: DataFrame, features: Sequence[str] = ()) -> DataFrame:
+    """The same ordered by key."""
+    return assignments(predictions, features).orderBy(KEY)
 
 
 def record_schema(features: Sequence[str] = ()) -> T.StructType:

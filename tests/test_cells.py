@@ -62,6 +62,12 @@ def test_a_later_put_changes_only_the_cells_it_carries(spark):
     assert tuple(from_cells(cells, "k", {"x": ("a", "x"), "z": ("a", "z")}).first()) == ("r", "new", None)
 
 
+def test_puts_of_one_moment_resolve_the_same_way_in_any_order(spark):
+    rows = [("r", "a", "x", value, 1) for value in ("one", "two", "three")]
+    for puts in (rows, rows[::-1]):
+        assert [r["value"] for r in latest_cells(as_cells(spark, *puts)).collect()] == ["two"]
+
+
 def test_last_field_wins_per_key(spark):
     events = spark.createDataFrame(
         [("r", "running", "t0", 1), ("r", None, None, 3), ("r", "complete", None, 2), ("q", None, None, 1)],

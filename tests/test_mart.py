@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+import larder.plans.mart
 from larder.plans.mart import NoSnapshot, ProductMart, VersionMismatch, utc_now
 from larder.schema import PREDICTION_SCHEMA, PREPARED_SCHEMA, TABLE_LAYOUT
 
@@ -25,11 +26,12 @@ def mart(spark, tmp_path):
 @pytest.fixture(scope="module")
 def filled(spark, tmp_path_factory):
     """1200 products as the current version v2, after a version v1 of 900."""
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    monkeypatch = pytest.MonkeyPatch()
+    monkeypatch.setattr(larder.plans.mart, "ROWS_PER_SMALL_FILE", 100)
     mart = ProductMart(spark, str(tmp_path_factory.mktemp("mart")))
     mart.publish_snapshot(prepared(spark, 900, "a"), "v1", "2024-01-01T00:00:00.000000Z")
     mart.publish_snapshot(prepared(spark, 1200, "b"), "v2", "2024-01-02T00:00:00.000000Z")
-    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    monkeypatch.undo()
     return mart
 
 
@@ -163,5 +165,9 @@ def test_run_lifecycle(mart, spark):
     assert runs["bad"]["published_rows"] is None
 
 
+def test_file_count_follows_the_rows(mart):
+    assert [mart._file_count(rows) for rows in (0, 40, 25_000, 10**6, 10**8 + 1)] == [1, 1, 3, 8, 101]
+
+
 def test_times_have_one_width():
     assert len({len(utc_now()) for _ in range(50)}) == 1
