@@ -8,6 +8,8 @@ reading resolves every ``(row_key, family, qualifier)`` to its last put.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -127,13 +129,11 @@ def seed_products(
     return merged.filter(F.coalesce(*[quoted(name) for name in mapping]).isNotNull())
 
 
-def rejected_rows(raw: DataFrame, layout: ProductLayout = FILE_LAYOUT) -> DataFrame:
-    """Keyed rows without any cell: a put of nothing is not allowed, so loading drops them."""
-    filled = [not_blank(quoted(name)) for name in product_cells(layout)]
-    anything = filled[0]
-    for present in filled[1:]:
-        anything = anything | present
-    return raw.filter(not_blank(quoted(KEY)) & ~anything)
+def seed_counts(raw: DataFrame, layout: ProductLayout = FILE_LAYOUT) -> DataFrame:
+    """One row: rows a load puts, and keyed rows it rejects for having no cell to put."""
+    keyed = raw.filter(not_blank(quoted(KEY)))
+    filled = reduce(or_, [not_blank(quoted(name)) for name in product_cells(layout)])
+    return keyed.agg(F.count_if(filled).alias("seeded"), F.count_if(~filled).alias("rejected"))
 
 
 def first_rows(cells: DataFrame, limit: int) -> DataFrame:
@@ -154,10 +154,7 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
         )
         for name, cells in tables.items()
     ]
-    merged = counts[0]
-    for other in counts[1:]:
-        merged = merged.unionByName(other)
-    return merged
+    return reduce(DataFrame.unionByName, counts)
 
 
 def run_statuses(run_cells: DataFrame) -> DataFrame:

@@ -13,7 +13,6 @@ from larder.operators.cells import (
     from_cells,
     product_cells,
     products_to_cells,
-    rejected_rows,
     result_cells,
     row_counts,
     run_statuses,
@@ -107,14 +106,14 @@ class CellTables:
             cells = self.raw.scan(scan_limit).withColumn("put_seq", F.lit(0).cast("bigint"))
         return from_cells(cells, "code", product_cells(layout))
 
-    def seed(self, raw: DataFrame, layout: ProductLayout = FILE_LAYOUT) -> int:
-        """Load a file scan into the raw table; returns the number of rejected rows.
+    def seed(self, raw: DataFrame, layout: ProductLayout = FILE_LAYOUT) -> None:
+        """Load a file scan into the raw table.
 
-        Rows of one key are merged in file order before the put.
+        Rows of one key are merged in file order before the put. ``seed_counts``
+        tells how many rows that is, at the price of another pass.
         """
         merged = seed_products(with_file_order(raw), layout)
         self.raw.put(products_to_cells(merged, layout, F.lit(time.time_ns())))
-        return rejected_rows(raw, layout).count()
 
     def publish_prepared(
         self, prepared: DataFrame, version: str, count: int, created_at: str

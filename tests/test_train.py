@@ -95,6 +95,8 @@ def test_file_scan_reads_text_and_nulls(spark, tmp_path):
 def test_jobs_end_to_end(spark, export_path, tmp_path, capsys):
     tables, mart = str(tmp_path / "tables"), str(tmp_path / "mart")
     seed.main(["--input", export_path, "--tables", tables])
+    assert "Seeded 41 source rows" in capsys.readouterr().out
+    seed.main(["--input", export_path, "--tables", tables, "--no-count"])
     train_table.main(["--tables", tables, "--max-iterations", "5"])
     train_mart.main(["--tables", tables, "--mart", mart, "--max-iterations", "5"])
     train_file.main(["--input", export_path, "--max-iterations", "5", "--output", str(tmp_path / "o")])
@@ -121,7 +123,7 @@ def test_snapshot_cells_and_pointer(spark, tmp_path, export_path):
     tables = CellTables(spark, str(tmp_path / "tables"))
     with pytest.raises(RuntimeError, match="not been refreshed"):
         tables.current_version()
-    assert tables.seed(read_products_tsv(spark, export_path)) == 0
+    tables.seed(read_products_tsv(spark, export_path))
     prepared = prepare_products(tables.raw_products())
     for version in ("v1", "v2"):
         tables.publish_prepared(prepared, version, 40, f"2024-{version}")
