@@ -117,8 +117,9 @@ class ProductMart:
         if not self.pointers().filter(F.col("version") == version).isEmpty():
             raise ValueError(f"version exists: {version}")
         prepared = prepared.select(*PREPARED_SCHEMA.names)
+        rows = prepared.count()
         (
-            prepared.repartitionByRange(self._file_count(prepared.count()), KEY)
+            prepared.repartitionByRange(self._file_count(rows), KEY)
             .sortWithinPartitions(KEY)
             .write.mode("overwrite")
             .parquet(self._version_path(version))
@@ -134,8 +135,7 @@ class ProductMart:
             .write.mode("overwrite")
             .parquet(f"{self.root}/ranges/version={version}")
         )
-        count = self._ranges(version).agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
-        snapshot = Snapshot(version, count, created_at or utc_now())
+        snapshot = Snapshot(version, rows, created_at or utc_now())
         row = [(snapshot.version, snapshot.count, snapshot.created_at)]
         self.spark.createDataFrame(row, POINTER_SCHEMA).write.mode("append").parquet(
             f"{self.root}/pointer"
@@ -263,6 +263,8 @@ class ProductMart:
         unknown = sorted(set(fields) - set(RUN_FIELDS))
         if unknown:
             raise ValueError(f"no such run fields: {', '.join(unknown)}")
+        if not fields:
+            raise ValueError("a put must carry at least one field")
         sequence = time.time_ns() if put_seq is None else put_seq
         row = (run_id, *[fields.get(name) for name in RUN_FIELDS], sequence)
         self.put_run_events(self.spark.createDataFrame([row], RUN_EVENT_SCHEMA))

@@ -137,6 +137,8 @@ class CellTables:
 
     def put_run(self, run_id: str, **fields: str) -> None:
         """Put run cells; fields left out keep their value."""
+        if not fields:
+            raise ValueError("a put must carry at least one cell")
         row = [(run_id, *[fields.get(name) for name in RUN_FIELDS])]
         frame = self.spark.createDataFrame(row, strings("run_id", *RUN_FIELDS))
         self.runs.put_rows(frame, "run_id", RUN_CELLS, F.lit(time.time_ns()))

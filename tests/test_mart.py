@@ -148,6 +148,8 @@ def test_a_run_needs_an_id_and_known_fields(filled, spark):
         filled.publish("", predict(spark, "c00001"), 0.5)
     with pytest.raises(ValueError, match="no such run fields: state"):
         filled.put_run("r", state="x")
+    with pytest.raises(ValueError, match="at least one field"):
+        filled.put_run("r")
 
 
 def test_run_lifecycle(mart, spark):
