@@ -61,22 +61,21 @@ def test_blank_and_key_expressions(spark):
 
 
 def test_cleaning_casts_filters_and_keeps_one_row_per_key(file_products):
+    other = ["6"] * 8
     rows = file_products(
-        (" 1 ", " Valid ", "Food", "100", "4,5", "1", "12", "3", "2", "5", "0.2"),
-        ("2", "Partial", None, "1200", "-1", None, None, None, None, "8", None),
-        ("", "No key", "Food", "10", "1", "1", "1", "1", "1", "1", "1"),
-        ("   ", "Blank key", "Food", "10", "1", "1", "1", "1", "1", "1", "1"),
-        (None, "Null key", "Food", "10", "1", "1", "1", "1", "1", "1", "1"),
-        ("3", "Nothing valid", "Food", "-1", "x", "", None, "NaN", "101", "-5", "inf"),
+        ("  a7 ", " Rye bread  ", "Breads", "231", "1,9", "0,3", "46", "4,1", "6", "7,5", "1.15"),
+        ("b8", "Half known", None, "1000.5", "-0,1", None, "", "?", None, "12", None),
+        ("", "Empty key", "Breads", *other),
+        ("   ", "Blank key", "Breads", *other),
+        (None, "Null key", "Breads", *other),
+        ("c9", "Nothing valid", "Breads", "-1", "x", "", None, "NaN", "101", "-5", "inf"),
     )
     found = {row["code"]: row for row in clean_products(rows).collect()}
-    assert set(found) == {"1", "2"}
-    assert found["1"]["product_name"] == "Valid"
-    assert found["1"]["fat_100g"] == 4.5
-    assert found["2"]["energy-kcal_100g"] is None
-    assert found["2"]["fat_100g"] is None
-    assert found["2"]["proteins_100g"] == 8.0
-    assert found["2"]["categories"] is None
+    assert set(found) == {"a7", "b8"}
+    assert found["a7"]["product_name"] == "Rye bread"
+    assert (found["a7"]["fat_100g"], found["a7"]["salt_100g"]) == (1.9, 1.15)
+    assert [found["b8"][name] for name in FILE_LAYOUT.features] == [None] * 6 + [12.0, None]
+    assert found["b8"]["categories"] is None
 
 
 def test_an_unmeasured_row_does_not_hide_a_measured_one(file_products):

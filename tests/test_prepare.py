@@ -32,22 +32,27 @@ def test_standard_scores_use_the_sample_deviation(spark):
 
 def test_preparation_fills_scales_and_keeps_one_row_per_key(spark):
     rows = [
-        ("1", "One", "Test", "100", "10", "2", "20", "5", "3", "7", "0,5"),
-        ("2", None, "Test", "200", "20", "4", "40", "10", "6", "14", "1.0"),
-        ("3", " Three", None, "300", "30", "6", "60", "15", "9", "21", None),
-        ("3", "Three", "Test", "999", "99", "9", "90", "90", "9", "9", "9"),
+        ("k1", "One", "Soup", "55", "8", "1", "30", "2", "0,5", "4", "0,3"),
+        ("k2", None, "Soup", "410", "61", "9,5", "12", "3", "7", "18", "2"),
+        ("k3", " Three", None, "128", "17", "3", "77", "41", "2", "9", None),
+        ("k3", "Three", "Soup", "700", "70", "7", "7", "7", "7", "7", "7"),
     ]
     raw = spark.createDataFrame(rows, TABLE_LAYOUT.raw_schema)
     prepared = prepare_products(raw)
     assert prepared.schema.names == PREPARED_SCHEMA.names
     found = {row["code"]: row for row in prepared.collect()}
-    assert set(found) == {"1", "2", "3"}
-    assert found["2"]["product_name"] == ""
-    assert found["3"]["product_name"] == " Three"
-    assert found["3"]["categories"] == ""
+    assert set(found) == {"k1", "k2", "k3"}
+    assert found["k2"]["product_name"] == ""
+    # The survivor of k3 is the smaller text, which starts with a blank.
+    assert found["k3"]["product_name"] == " Three"
+    assert found["k3"]["categories"] == ""
     assert all(math.isfinite(row[name]) for row in found.values() for name in FEATURE_SLOTS)
-    assert found["3"]["f7"] == found["1"]["f7"]
-    assert sum(row["f0"] for row in found.values()) == pytest.approx(0.0)
+    # Its missing salt is filled with the lower median of 0.3 and 2.
+    assert found["k3"]["f7"] == found["k1"]["f7"]
+    for name in FEATURE_SLOTS:
+        values = [row[name] for row in found.values()]
+        assert sum(values) == pytest.approx(0.0)
+        assert sum(x * x for x in values) == pytest.approx(len(values) - 1)
 
 
 def test_nothing_to_prepare_is_an_error(spark):

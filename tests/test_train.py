@@ -61,7 +61,7 @@ def test_too_few_rows(spark, export_path):
 
 
 def test_training_from_ready_vectors(spark, tmp_path):
-    rows = [(str(i), f"Product {i}", "Food", [float(i), float(i % 3)]) for i in range(12)]
+    rows = [(f"v{i:02d}", "", "", [10.0 * (i % 3) + i / 50, i / 20, 1.0]) for i in range(12)]
     schema = "code string, product_name string, categories string, vector array<double>"
     frame = vectors_from_arrays(spark.createDataFrame(rows, schema), "vector")
     run = train_prepared(frame, 3, 42, 10)
