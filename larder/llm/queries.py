@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import bpe, exact, langid, minhash, mixing, token_files
+from larder.llm import bpe, exact, htmltext, langid, lattice, minhash, mixing, token_files
 from larder.llm.tables import crc_remainder, read, share_code
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -32,11 +32,21 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decided.withColumn("text_sha256", F.lower(F.hex("digest"))).drop("digest")
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    share_code(spark)
+    return lattice.near_embeddings(read(spark, sf_dir, "embeddings"))
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(read(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    share_code(spark)
+    return htmltext.extract_text(read(spark, sf_dir, "pages"), htmltext.train_extractor())
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     share_code(spark)
     manifest = token_files.write_token_files(read(spark, sf_dir, "documents"), WORD_BPE)
@@ -52,7 +62,9 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op4_bpe": op4_bpe,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_mix_sources": op7_mix_sources,
+    "op8_html_text": op8_html_text,
     "op9_token_files": op9_token_files,
     "op10_near_dedup": op10_near_dedup,
 }
