@@ -251,11 +251,12 @@ def labelled_pages(count: int = 500, seed: int = 5) -> list[str]:
     Text of either kind has any length, so that the elements around a block decide unless they say nothing.
     """
     rng = np.random.default_rng(seed)
+    letters = list("abdehilnorstu")
+    vocabulary = ["".join(rng.choice(letters, size)) for size in rng.integers(2, 9, 400)]
 
     def words(low: int, high: int) -> str:
         n = int(np.exp(rng.uniform(math.log(low), math.log(high))))
-        said = ["".join(rng.choice(list("abdehilnorstu"), rng.integers(2, 9))) for _ in range(n)]
-        return (" ".join(said)).capitalize() + rng.choice([".", ".", ".", "", "!", "?"])
+        return " ".join(rng.choice(vocabulary, n)).capitalize() + rng.choice([".", ".", ".", "", "!", "?"])
 
     def attributes(names: list[str], chance: float) -> str:
         if rng.random() > chance:

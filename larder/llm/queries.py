@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import bpe, exact, htmltext, langid, lattice, minhash, mixing, token_files
+from larder.llm import bpe, exact, htmltext, langid, lattice, minhash, mixing, repeats, token_files
 from larder.llm.tables import crc_remainder, read, share_code
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -22,6 +22,12 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_languages(held_out, model, extra=("held_out",))
 
 
+def op2_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    share_code(spark)
+    cut = repeats.without_repeats(read(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     share_code(spark)
     return bpe.round_trip(read(spark, sf_dir, "documents"), BYTE_BPE)
@@ -60,6 +66,7 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_repeated_bytes": op2_repeated_bytes,
     "op4_bpe": op4_bpe,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
