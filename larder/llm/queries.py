@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import bpe, exact, htmltext, langid, lattice, minhash, mixing, repeats, token_files
+from larder.llm import bpe, exact, htmltext, langid, lattice, lm, minhash, mixing, repeats, token_files
 from larder.llm.tables import crc_remainder, read, share_code
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -28,6 +28,14 @@ def op2_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    share_code(spark)
+    remainder = crc_remainder("doc_id", 7)
+    scored = lm.score_documents(read(spark, sf_dir, "documents"), remainder != 2, BYTE_BPE)
+    held_out = F.coalesce(crc_remainder("doc_id", 7) == 2, F.lit(False)).alias("held_out")
+    return scored.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     share_code(spark)
     return bpe.round_trip(read(spark, sf_dir, "documents"), BYTE_BPE)
@@ -67,6 +75,7 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_repeated_bytes": op2_repeated_bytes,
+    "op3_lm_score": op3_lm_score,
     "op4_bpe": op4_bpe,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
