@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -186,29 +187,57 @@ def _first_of(groups: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return np.repeat(np.minimum.reduceat(ids, first), np.diff(np.append(first, len(groups))))
 
 
-def _spans(ids: np.ndarray, ties: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
-    """Spans merged per document, packed: one row (id, tie, spans) each."""
-    order = np.lexsort((start, ties, ids))
-    ids, ties, start, end = ids[order], ties[order], start[order], end[order]
-    out_id, out_tie, out = [], [], []
-    if len(ids):
-        cuts = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (ties[1:] != ties[:-1])))
-        for low, high in zip(cuts, np.append(cuts[1:], len(ids)), strict=True):
-            out_id.append(ids[low])
-            out_tie.append(ties[low])
-            out.append(_merged(start[low:high], end[low:high]).tobytes())
-    columns = [pa.array(np.array(out_id, np.int64)), pa.array(np.array(out_tie, np.int64)), pa.array(out, pa.binary())]
-    return pa.RecordBatch.from_arrays(columns, ["id", "tie", "spans"])
-
-
 def _merged(start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Maximal spans (rows of start and end) of spans in order of their start."""
     reach = np.maximum.accumulate(end)
     fresh = np.append(True, start[1:] > reach[:-1])
-    return np.stack([start[fresh], reach[np.append(np.flatnonzero(fresh)[1:] - 1, len(reach) - 1)]], axis=1).astype("<i8")
+    return np.stack([start[fresh], reach[np.append(np.flatnonzero(fresh)[1:] - 1, len(reach) - 1)]], axis=1)
+
+
+def _merged_by_document(ids: np.ndarray, ties: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The same for the spans of many documents: ids, ties, starts, ends, in order of documents and starts."""
+    if not len(ids):
+        return ids, ties, start, end
+    order = np.lexsort((start, ties, ids))
+    ids, ties, start, end = (x[order] for x in (ids, ties, start, end))
+    new = np.append(True, (ids[1:] != ids[:-1]) | (ties[1:] != ties[:-1]))
+    base = (np.cumsum(new) - 1) << 40
+    merged = _merged(start + base, end + base)
+    document = merged[:, 0] >> 40
+    first = np.flatnonzero(new)[document]
+    return ids[first], ties[first], merged[:, 0] - (document << 40), merged[:, 1] - (document << 40)
+
+
+#: Rows of all exchanges: packed (rank, position) pairs for a bucket of ranks, or for a bucket of documents
+#: spans to remove or runs to open, each as columns id, tie, first position and end or number.
+PACKED = "kind int, bucket int, blob binary"
+_SPANS, _OPEN, _RANKS = 0, 1, 2
+
+
+def _rows(kind: int, found: dict[int, bytes]) -> pa.RecordBatch:
+    arrays = [
+        pa.array([kind] * len(found), pa.int32()),
+        pa.array(list(found.keys()), pa.int32()),
+        pa.array(list(found.values()), pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(arrays, ["kind", "bucket", "blob"])
+
+
+def _addressed(kind: int, columns: tuple[np.ndarray, ...], buckets: int) -> pa.RecordBatch:
+    """Columns (id, tie, ...) packed for the buckets of their documents."""
+    bucket = (_pair(columns[0].astype(np.int64).view(_U), columns[1].astype(np.int64).view(_U)) % _U(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    compress = zstandard.ZstdCompressor(level=1).compress
+    found = {}
+    for b in np.flatnonzero(np.diff(cuts)).tolist():
+        part = order[cuts[b] : cuts[b + 1]]
+        found[b] = compress(b"".join(c[part].astype("<i8").tobytes() for c in columns))
+    return _rows(kind, found)
 
 
-PACKED = "bucket int, blob binary, id long, tie long, spans binary"
+def _late_spans(ids: np.ndarray, ties: np.ndarray, at: np.ndarray, n: np.ndarray, buckets: int) -> pa.RecordBatch:
+    return _addressed(_SPANS, _merged_by_document(ids, ties, at, at + n + SPAN - 1), buckets)
 
 
 def _send(row: np.ndarray, doc, at, n, group: np.ndarray, ids, ties, buckets: int) -> Iterator[pa.RecordBatch]:
@@ -220,22 +249,37 @@ def _send(row: np.ndarray, doc, at, n, group: np.ndarray, ids, ties, buckets: in
         return
     order = np.argsort(group, kind="stable")
     row, doc, at, n, group = row[order], doc[order], at[order], n[order], group[order]
-    least = _first_of(group, ids[doc])
-    late = ids[doc] > least
-    if late.any():
-        known = _spans(ids[doc[late]], ties[doc[late]], at[late], at[late] + n[late] + SPAN - 1)
-        empty = pa.nulls(len(known), pa.int32()), pa.nulls(len(known), pa.binary())
-        yield pa.RecordBatch.from_arrays([*empty, *known.columns], ["bucket", "blob", "id", "tie", "spans"])
+    late = ids[doc] > _first_of(group, ids[doc])
+    yield _late_spans(ids[doc[late]], ties[doc[late]], at[late], n[late], buckets)
     row, doc, at, n = (x[~late] for x in (row, doc, at, n))
     bucket = (row[row.dtype.names[0]] % _U(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-    for b in range(buckets):
+    found = {}
+    for b in np.flatnonzero(np.diff(cuts)).tolist():
         part = order[cuts[b] : cuts[b + 1]]
-        if len(part):
-            blob = _pack(row[part], doc[part], at[part], n[part], ids, ties)
-            arrays = [pa.array([b], pa.int32()), pa.array([blob], pa.binary()), *[pa.nulls(1, t) for t in (pa.int64(), pa.int64(), pa.binary())]]
-            yield pa.RecordBatch.from_arrays(arrays, ["bucket", "blob", "id", "tie", "spans"])
+        found[b] = _pack(row[part], doc[part], at[part], n[part], ids, ties)
+    yield _rows(_RANKS, found)
+
+
+def _gathered(packed: DataFrame, buckets: int, merge: bool) -> DataFrame:
+    """One row per document of packed columns: id, tie, pairs (packed); spans are merged."""
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in _by_bucket(batches, None):
+            ids, ties, a, b = (held[k] for k in ("id", "tie", "at", "n"))
+            if merge:
+                ids, ties, a, b = _merged_by_document(ids, ties, a, b)
+            else:
+                order = np.lexsort((a, ties, ids))
+                ids, ties, a, b = (x[order] for x in (ids, ties, a, b))
+            first = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (ties[1:] != ties[:-1])))
+            pairs = np.stack([a, b], axis=1)
+            packs = [part.tobytes() for part in np.split(pairs, first[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array(ids[first]), pa.array(ties[first]), pa.array(packs, pa.binary())], ["id", "tie", "pairs"])
+
+    dealt = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    return dealt.select("bucket", "blob").mapInArrow(gather, "id long, tie long, pairs binary")
 
 
 def _documents(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
@@ -253,8 +297,13 @@ def _equal_rows(row: np.ndarray, names: list[str]) -> np.ndarray:
     return group
 
 
-def _by_bucket(batches: Iterator[pa.RecordBatch], kind: np.dtype) -> Iterator[dict[str, np.ndarray]]:
-    """All rows of one bucket at a time; the batches are in order of their bucket."""
+def _columns(blob: bytes) -> dict[str, np.ndarray]:
+    columns = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), "<i8").reshape(4, -1)
+    return dict(zip(("id", "tie", "at", "n"), columns, strict=True))
+
+
+def _by_bucket(batches: Iterator[pa.RecordBatch], kind: np.dtype | None) -> Iterator[dict[str, np.ndarray]]:
+    """All rows of one bucket at a time: packed pairs of ``kind``, or columns. The batches are in order of bucket."""
     held, current = [], None
     for batch in batches:
         for bucket, blob in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -262,13 +311,35 @@ def _by_bucket(batches: Iterator[pa.RecordBatch], kind: np.dtype) -> Iterator[di
                 yield {k: np.concatenate([h[k] for h in held]) for k in held[0]}
                 held = []
             current = bucket
-            held.append(_unpack(blob.as_py(), kind))
+            held.append(_unpack(blob.as_py(), kind) if kind else _columns(blob.as_py()))
     if held:
         yield {k: np.concatenate([h[k] for h in held]) for k in held[0]}
 
 
+def _round(sent: DataFrame, kind: np.dtype, buckets: int, settle) -> DataFrame:
+    """Bring equal ranks together and settle each bucket; what has been found already passes through."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+
+        def ranked() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                ranks = pa.compute.equal(batch.column(0), _RANKS)
+                waiting.append(batch.filter(pa.compute.invert(ranks)))
+                yield batch.filter(ranks).select([1, 2])
+
+        for held in _by_bucket(ranked(), kind):
+            yield from settle(held)
+            while waiting:
+                yield waiting.pop()
+        yield from waiting
+
+    dealt = sent.repartition(buckets, "bucket").sortWithinPartitions("kind", "bucket")
+    return dealt.mapInArrow(run, PACKED)
+
+
 def removable_spans(rows: DataFrame, buckets: int) -> DataFrame:
-    """Spans of ``rows`` (id, tie, text) that repeat an earlier document: id, tie, spans (packed), several rows each."""
+    """Spans of ``rows`` (id, tie, text) that repeat an earlier document: id, tie, pairs (packed), one row each."""
 
     def send_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -277,72 +348,40 @@ def removable_spans(rows: DataFrame, buckets: int) -> DataFrame:
             group = _equal_rows(runs["row"], ["rank", "whole"])
             yield from _send(runs["row"], runs["doc"], runs["at"], runs["n"], group, ids, ties, buckets)
 
-    def settle_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for held in _by_bucket(batches, _ROW):
-            order = np.lexsort((held["id"], held["row"]["whole"], held["row"]["rank"]))
-            row, ids, ties, at, n = (held[k][order] for k in ("row", "id", "tie", "at", "n"))
-            rank, whole = row["rank"], row["whole"]
-            new = np.append(True, rank[1:] != rank[:-1])
-            differs = new | np.append(True, whole[1:] != whole[:-1])
-            least = _first_of(np.cumsum(differs), ids)
-            late = ids > least
-            yield _tagged(_spans(ids[late], ties[late], at[late], at[late] + n[late] + SPAN - 1))
-            # Runs of a rank that several documents have, and that agree with another beside the common part.
-            first = np.flatnonzero(new)
-            of_row = np.cumsum(new) - 1
-            shared = (np.maximum.reduceat(ids, first) != np.minimum.reduceat(ids, first))[of_row]
-            variant = np.cumsum(differs)
-            agrees = np.zeros(len(row), bool)
-            for side in ("left", "right"):
-                value = row[side]
-                by = np.lexsort((variant, value, rank))
-                fresh = np.append(True, (rank[by][1:] != rank[by][:-1]) | (value[by][1:] != value[by][:-1]))
-                low, high = np.flatnonzero(fresh), np.cumsum(fresh) - 1
-                several = np.maximum.reduceat(variant[by], low) != np.minimum.reduceat(variant[by], low)
-                agrees[by] |= several[high] & (value[by] != 0)
-            opened = shared & agrees & ~late
-            columns = [pa.array(x[opened]) for x in (ids, ties, at, n)]
-            yield pa.RecordBatch.from_arrays(
-                [*columns[:2], pa.nulls(int(opened.sum()), pa.binary()), *columns[2:]], ["id", "tie", "spans", "at", "n"]
-            )
-
-    sent = rows.mapInArrow(send_runs, PACKED)
-    # Spans found within a batch have no bucket; they are dealt by document and pass through.
-    dealt = sent.withColumn("to", F.coalesce("bucket", F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int")))
-    dealt = dealt.repartition(buckets, "to").sortWithinPartitions("bucket")
-
-    def round_of_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def ranked() -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                passed = batch.filter(batch.column(0).is_null())
-                if len(passed):
-                    waiting.append(pa.RecordBatch.from_arrays(passed.columns[2:5], ["id", "tie", "spans"]))
-                yield batch.filter(batch.column(0).is_valid())
-
-        waiting: list[pa.RecordBatch] = []
-        for found in settle_runs(ranked()):
-            while waiting:
-                yield _tagged(waiting.pop())
-            yield found
-        while waiting:
-            yield _tagged(waiting.pop())
-
-    settled = materialize(
-        dealt.select("bucket", "blob", "id", "tie", "spans").mapInArrow(round_of_runs, "id long, tie long, spans binary, at long, n long"),
-        "settled-runs",
-    )
-
-    opened = settled.filter("spans is null").groupBy("id", "tie").agg(F.collect_list(F.struct("at", "n")).alias("runs"))
-    kind = np.dtype([("rank", "<u8"), ("pair", "<u4")])
+    def settle_runs(held: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        order = np.lexsort((held["id"], held["row"]["whole"], held["row"]["rank"]))
+        row, ids, ties, at, n = (held[k][order] for k in ("row", "id", "tie", "at", "n"))
+        rank, whole = row["rank"], row["whole"]
+        new = np.append(True, rank[1:] != rank[:-1])
+        differs = new | np.append(True, whole[1:] != whole[:-1])
+        variant = np.cumsum(differs)
+        late = ids > _first_of(variant, ids)
+        yield _late_spans(ids[late], ties[late], at[late], n[late], buckets)
+        # Runs of a rank that several documents have, and that agree with another beside the common part.
+        first = np.flatnonzero(new)
+        shared = (np.maximum.reduceat(ids, first) != np.minimum.reduceat(ids, first))[np.cumsum(new) - 1]
+        agrees = np.zeros(len(row), bool)
+        for side in ("left", "right"):
+            value = row[side]
+            by = np.lexsort((variant, value, rank))
+            fresh = np.append(True, (rank[by][1:] != rank[by][:-1]) | (value[by][1:] != value[by][:-1]))
+            low, high = np.flatnonzero(fresh), np.cumsum(fresh) - 1
+            several = np.maximum.reduceat(variant[by], low) != np.minimum.reduceat(variant[by], low)
+            agrees[by] |= several[high] & (value[by] != 0)
+        opened = shared & agrees & ~late
+        yield _addressed(_OPEN, tuple(x[opened] for x in (ids, ties, at, n)), buckets)
+
+    settled = materialize(_round(rows.mapInArrow(send_runs, PACKED), _ROW, buckets, settle_runs), "settled-runs")
+    opened = _gathered(settled.filter(F.col("kind") == _OPEN), buckets, merge=False)
+    pair = np.dtype([("rank", "<u8"), ("pair", "<u4")])
 
     def send_positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, ties, texts = _documents(batch)
-            row, doc, at = [], [], []
+            row, doc, at = [np.empty(0, pair)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
             for i, (text, runs) in enumerate(zip(texts, batch.column(3), strict=True)):
-                starts = runs.values.field("at").to_numpy()
-                counts = runs.values.field("n").to_numpy()
-                place = np.repeat(starts, counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+                starts, counts = np.frombuffer(runs.as_buffer(), "<i8").reshape(-1, 2).T
+                place = np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
                 place = np.unique(place)
                 data = np.frombuffer(text, np.uint8)
                 for low in range(0, len(data), CHUNK):
@@ -350,45 +389,25 @@ def removable_spans(rows: DataFrame, buckets: int) -> DataFrame:
                     if len(some):
                         _, half = _ranks(data[low : low + CHUNK + SPAN])
                         a, b = half[some - low], half[some - low + HALF]
-                        found = np.empty(len(some), kind)
+                        found = np.empty(len(some), pair)
                         found["rank"], found["pair"] = _pair(a, b), _pair(b, a) >> _U(32)
                         row.append(found)
                         doc.append(np.full(len(some), i))
                         at.append(some)
-            if row:
-                rows_, docs_, places = np.concatenate(row), np.concatenate(doc), np.concatenate(at)
-                group = _equal_rows(rows_, ["rank", "pair"])
-                yield from _send(rows_, docs_, places, np.ones(len(rows_), np.int64), group, ids, ties, buckets)
-
-    def settle_positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: list[pa.RecordBatch] = []
-
-        def ranked() -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                passed = batch.filter(batch.column(0).is_null())
-                if len(passed):
-                    waiting.append(pa.RecordBatch.from_arrays(passed.columns[2:5], ["id", "tie", "spans"]))
-                yield batch.filter(batch.column(0).is_valid())
-
-        for held in _by_bucket(ranked(), kind):
-            order = np.lexsort((held["id"], held["row"]["pair"], held["row"]["rank"]))
-            row, ids, ties, at = (held[k][order] for k in ("row", "id", "tie", "at"))
-            differs = np.append(True, (row["rank"][1:] != row["rank"][:-1]) | (row["pair"][1:] != row["pair"][:-1]))
-            late = ids > _first_of(np.cumsum(differs), ids)
-            yield _spans(ids[late], ties[late], at[late], at[late] + SPAN)
-        yield from waiting
-
-    candidates = rows.join(opened, ["id", "tie"]).select("id", "tie", "text", "runs")
-    positions = candidates.mapInArrow(send_positions, PACKED)
-    positions = positions.withColumn("to", F.coalesce("bucket", F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int")))
-    positions = positions.repartition(buckets, "to").sortWithinPartitions("bucket")
-    more = positions.select("bucket", "blob", "id", "tie", "spans").mapInArrow(settle_positions, "id long, tie long, spans binary")
-    return settled.filter("spans is not null").select("id", "tie", "spans").unionByName(materialize(more, "settled-positions"))
+            row, doc, at = np.concatenate(row), np.concatenate(doc), np.concatenate(at)
+            group = _equal_rows(row, ["rank", "pair"])
+            yield from _send(row, doc, at, np.ones(len(row), np.int64), group, ids, ties, buckets)
 
+    def settle_positions(held: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        order = np.lexsort((held["id"], held["row"]["pair"], held["row"]["rank"]))
+        row, ids, ties, at, n = (held[k][order] for k in ("row", "id", "tie", "at", "n"))
+        differs = np.append(True, (row["rank"][1:] != row["rank"][:-1]) | (row["pair"][1:] != row["pair"][:-1]))
+        late = ids > _first_of(np.cumsum(differs), ids)
+        yield _late_spans(ids[late], ties[late], at[late], n[late], buckets)
 
-def _tagged(spans: pa.RecordBatch) -> pa.RecordBatch:
-    count = len(spans)
-    return pa.RecordBatch.from_arrays([*spans.columns, pa.nulls(count, pa.int64()), pa.nulls(count, pa.int64())], ["id", "tie", "spans", "at", "n"])
+    candidates = rows.join(opened, ["id", "tie"]).select("id", "tie", "text", "pairs")
+    more = _round(candidates.mapInArrow(send_positions, PACKED), pair, buckets, settle_positions)
+    return _gathered(settled.filter(F.col("kind") == _SPANS).unionByName(more), buckets, merge=True)
 
 
 def without_repeats(
@@ -410,7 +429,7 @@ def without_repeats(
         F.xxhash64(F.coalesce(F.col(text_column), F.lit(""))).alias("tie"),
         F.coalesce(F.col(text_column), F.lit("")).alias("text"),
     )
-    spans = removable_spans(rows, buckets).groupBy("id", "tie").agg(F.collect_list("spans").alias("spans"))
+    spans = removable_spans(rows, buckets)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -420,9 +439,7 @@ def without_repeats(
                 if not packed:
                     out.append((len(text), 0, 0, text))
                     continue
-                found = np.concatenate([np.frombuffer(p, "<i8").reshape(-1, 2) for p in packed])
-                found = found[np.argsort(found[:, 0], kind="stable")]
-                gone = _merged(found[:, 0], found[:, 1]).tolist()
+                gone = np.frombuffer(packed, "<i8").reshape(-1, 2).tolist()
                 ends = [0, *[end for _, end in gone]]
                 starts = [*[start for start, _ in gone], len(text)]
                 kept = b"".join(text[a:b] for a, b in zip(ends, starts, strict=True))
@@ -431,7 +448,7 @@ def without_repeats(
             kept = pa.array([row[3] for row in out], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), *sizes, kept], ["id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    joined = rows.join(spans, ["id", "tie"], "left").select("id", "text", "spans")
+    joined = rows.join(spans, ["id", "tie"], "left").select("id", "text", "pairs")
     done = joined.mapInArrow(cut, "id long, n_bytes long, n_removed long, n_spans long, kept binary")
     own = F.when(F.col("id") != _NO_ID, F.col("id")).alias(id_column)
     return done.select(own, "n_bytes", "n_removed", "n_spans", "kept")
