@@ -20,9 +20,10 @@ HEADS = 2048
 WIDTH = 16
 STRIDE = 16
 WINDOW = 2 * STRIDE
-BATCH = 1024
+BATCH = 512
 
-_CAUSAL = np.where(np.arange(WINDOW)[None, :] <= STRIDE + np.arange(STRIDE)[:, None], 0.0, -1e9).astype(np.float32)
+_CAUSAL = (np.arange(WINDOW)[None, :] <= STRIDE + np.arange(STRIDE)[:, None]).astype(np.float32)
+_MOST, _LEAST = np.float32(40), np.float32(1e-30)
 _SHAPES = {
     "embed": (HEADS, WIDTH),
     "place": (WINDOW, WIDTH),
@@ -76,19 +77,28 @@ def windows(ids: list[np.ndarray], start: int) -> tuple[np.ndarray, np.ndarray,
     return np.concatenate([inputs[rows], inputs[rows + 1]], axis=1), targets, np.repeat(np.arange(len(ids)), blocks)
 
 
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """One product for the whole batch; numpy would make one per window."""
+    return (a.reshape(-1, a.shape[-1]) @ b).reshape(*a.shape[:-1], b.shape[-1])
+
+
 def _forward(p: Parameters, before: np.ndarray, seen: np.ndarray) -> dict[str, np.ndarray]:
     """Masked attention of a batch of windows of heads."""
     real = seen >= 0
     x = p["embed"][np.where(real, seen, 0)] + p["place"]
     asking = x[:, STRIDE:]
-    query, key, value = asking @ p["query"], x @ p["key"], x @ p["value"]
-    scores = query @ key.transpose(0, 2, 1) * np.float32(WIDTH**-0.5) + _CAUSAL
-    scores += np.where(real, np.float32(0), np.float32(-1e9))[:, None, :]
-    scores -= scores.max(axis=2, keepdims=True)
+    query, key, value = _times(asking, p["query"]), _times(x, p["key"]), _times(x, p["value"])
+    query *= np.float32(WIDTH**-0.5)
+    scores = query @ key.transpose(0, 2, 1)
+    np.minimum(scores, _MOST, out=scores)  # scores stay far below; this replaces a shift by the maximum
     np.exp(scores, out=scores)
-    scores /= scores.sum(axis=2, keepdims=True)
+    scores *= _CAUSAL
+    padded = np.flatnonzero(~real[:, 0])
+    scores[padded] *= real[padded][:, None, :]
+    scores /= np.maximum(scores.sum(axis=2, keepdims=True), _LEAST)
     context = scores @ value
-    logits = context @ p["out"] + before[np.maximum(seen[:, STRIDE:], 0)]
+    logits = _times(context, p["out"])
+    logits += before[np.maximum(seen[:, STRIDE:], 0)]
     return {"x": x, "asking": asking, "query": query, "key": key, "value": value, "weights": scores, "context": context, "logits": logits}
 
 
@@ -98,7 +108,7 @@ def class_log_probabilities(p: Parameters, before: np.ndarray, seen: np.ndarray,
     for start in range(0, len(seen), BATCH):
         part = slice(start, start + BATCH)
         logits = _forward(p, before, seen[part])["logits"]
-        logits -= logits.max(axis=2, keepdims=True)
+        np.minimum(logits, _MOST, out=logits)
         chosen = np.take_along_axis(logits, np.maximum(wanted[part], 0)[..., None], axis=2)[..., 0]
         np.exp(logits, out=logits)
         out[part] = np.where(wanted[part] >= 0, chosen - np.log(logits.sum(axis=2)), 0)
@@ -112,13 +122,14 @@ def _gradients(p: Parameters, before: np.ndarray, seen: np.ndarray, wanted: np.n
     slope /= slope.sum(axis=2, keepdims=True)
     np.put_along_axis(slope, np.maximum(wanted, 0)[..., None], np.take_along_axis(slope, np.maximum(wanted, 0)[..., None], 2) - 1, 2)
     slope *= real[..., None] / np.float32(max(1, real.sum()))
-    to_context = slope @ p["out"].T
+    to_context = _times(slope, p["out"].T)
     to_weights = to_context @ f["value"].transpose(0, 2, 1)
-    to_scores = f["weights"] * (to_weights - (to_weights * f["weights"]).sum(axis=2, keepdims=True)) * np.float32(WIDTH**-0.5)
-    to_query, to_key = to_scores @ f["key"], to_scores.transpose(0, 2, 1) @ f["query"]
+    to_scores = f["weights"] * (to_weights - (to_weights * f["weights"]).sum(axis=2, keepdims=True))
+    to_query = to_scores @ f["key"] * np.float32(WIDTH**-0.5)
+    to_key = to_scores.transpose(0, 2, 1) @ f["query"]  # the query is scaled already
     to_value = f["weights"].transpose(0, 2, 1) @ to_context
-    to_x = to_key @ p["key"].T + to_value @ p["value"].T
-    to_x[:, STRIDE:] += to_query @ p["query"].T
+    to_x = _times(to_key, p["key"].T) + _times(to_value, p["value"].T)
+    to_x[:, STRIDE:] += _times(to_query, p["query"].T)
     to_x *= (seen >= 0)[..., None]
     to_embed = np.zeros_like(p["embed"])
     np.add.at(to_embed, np.maximum(seen, 0).ravel(), to_x.reshape(-1, WIDTH))
