@@ -36,6 +36,22 @@ def not_blank(text: Column) -> Column:
     return F.coalesce(F.length(F.trim(text)) > 0, F.lit(False))
 
 
+# The white space of Unicode, and the four separators of ASCII.
+WHITE_SPACE = "".join(
+    map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
+)
+
+
+def stripped(text: Column) -> Column:
+    """Text without white space of any kind at its ends."""
+    return F.btrim(text, F.lit(WHITE_SPACE))
+
+
+def has_content(text: Column) -> Column:
+    """True for text that has more than white space in it; false for null. Cells go by this."""
+    return F.coalesce(F.length(stripped(text)) > 0, F.lit(False))
+
+
 def any_present(columns: Iterable[Column]) -> Column:
     return F.coalesce(*columns).isNotNull()
 

@@ -1,4 +1,4 @@
-"""Count the words of text files, most frequent first."""
+"""Store how often each word occurs in text files, most frequent first."""
 
 from __future__ import annotations
 
@@ -12,15 +12,11 @@ from larder.sources.files import read_lines
 
 def main(arguments: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("--input", required=True)
-    parser.add_argument("--output", help="folder for the tab-separated counts; default: print")
+    parser.add_argument("--input", required=True, help="text files, one line per row")
+    parser.add_argument("--output", required=True, help="folder for the tab-separated counts")
     options = parser.parse_args(arguments)
-    counts = word_count(read_lines(session("count-words"), options.input))
-    if options.output:
-        counts.write.mode("overwrite").option("sep", "\t").csv(options.output)
-    else:
-        for row in counts.toLocalIterator():
-            print(f"{row['word']}\t{row['count']}")
+    lines = read_lines(session("count-words"), options.input)
+    word_count(lines).write.mode("overwrite").csv(options.output, sep="\t")
 
 
 if __name__ == "__main__":

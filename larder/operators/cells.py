@@ -14,13 +14,11 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.functions.columns import composite_key, not_blank, quoted
+from larder.functions.columns import composite_key, has_content, quoted, stripped
 from larder.schema import FILE_LAYOUT, KEY, TEXT_COLUMNS, ProductLayout, qualifier
 
 Cell = tuple[str, str]  # family, qualifier
 
-BROADCAST_KEYS = 100_000
-
 # Cells of a published prediction, by result column.
 RESULT_CELLS: dict[str, Cell] = {
     "run_id": ("model", "run_id"),
@@ -65,7 +63,7 @@ def latest_fields(rows: DataFrame, key: str, fields: Sequence[str], put_seq: str
 def to_cells(
     rows: DataFrame, key: str, mapping: Mapping[str, Cell], put_seq: Column | None = None
 ) -> DataFrame:
-    """One cell per mapped column that is neither null nor blank.
+    """One cell per mapped column that is neither null nor white space.
 
     Values keep their blanks. A projection: no shuffle.
     """
@@ -80,7 +78,7 @@ def to_cells(
     sequence = [] if put_seq is None else [put_seq.alias("put_seq")]
     return rows.select(
         quoted(key).alias("row_key"), F.inline(F.array(*entries)), *sequence
-    ).filter(not_blank(F.col("value")))
+    ).filter(has_content(F.col("value")))
 
 
 def from_cells(cells: DataFrame, key: str, mapping: Mapping[str, Cell]) -> DataFrame:
@@ -122,28 +120,31 @@ def seed_products(
     """
     mapping = product_cells(layout)
     seq = quoted(put_seq)
-    keyed = raw.filter(not_blank(quoted(KEY))).withColumn(KEY, F.trim(quoted(KEY)))
+    keyed = raw.filter(has_content(quoted(KEY))).withColumn(KEY, stripped(quoted(KEY)))
     merged = keyed.groupBy(KEY).agg(
-        *[_last(quoted(name), seq, not_blank(quoted(name))).alias(name) for name in mapping]
+        *[_last(quoted(name), seq, has_content(quoted(name))).alias(name) for name in mapping]
     )
     return merged.filter(F.coalesce(*[quoted(name) for name in mapping]).isNotNull())
 
 
 def seed_counts(raw: DataFrame, layout: ProductLayout = FILE_LAYOUT) -> DataFrame:
     """One row: rows a load puts, and keyed rows it rejects for having no cell to put."""
-    keyed = raw.filter(not_blank(quoted(KEY)))
-    filled = reduce(or_, [not_blank(quoted(name)) for name in product_cells(layout)])
+    keyed = raw.filter(has_content(quoted(KEY)))
+    filled = reduce(or_, [has_content(quoted(name)) for name in product_cells(layout)])
     return keyed.agg(F.count_if(filled).alias("seeded"), F.count_if(~filled).alias("rejected"))
 
 
 def first_rows(cells: DataFrame, limit: int) -> DataFrame:
-    """All cells, as last put, of the ``limit`` smallest row keys."""
+    """All cells, as last put, of the ``limit`` smallest row keys.
+
+    A first pass over the keys alone finds the last key wanted. The second one
+    pushes it into the scan, so a table stored in key order is read up to there.
+    """
     if limit <= 0:
         raise ValueError("scan limit must be positive")
-    keys = cells.select("row_key").distinct().orderBy("row_key").limit(limit)
-    if limit <= BROADCAST_KEYS:
-        keys = F.broadcast(keys)
-    return latest_cells(cells.join(keys, "row_key", "left_semi"))
+    keys = cells.select("row_key").filter(F.col("row_key").isNotNull()).distinct()
+    last = keys.orderBy("row_key").limit(limit).agg(F.max("row_key").alias("last")).first()["last"]
+    return latest_cells(cells.filter(F.col("row_key") <= F.lit(last)))
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -28,15 +28,25 @@ class FeatureProfile:
     deviations: dict[str, float]
 
 
-def fit_profile(clean: DataFrame, features: Sequence[str]) -> FeatureProfile:
+def _imputer(features: Sequence[str]) -> Imputer:
+    outputs = [name + IMPUTED for name in features]
+    return Imputer(strategy="median", inputCols=list(features), outputCols=outputs)
+
+
+def fit_profile(clean: DataFrame, features: Sequence[str], exact: bool = True) -> FeatureProfile:
     """Medians, and mean and sample deviation after filling with them.
 
-    ``clean`` is read several times, so it should be a stored table.
+    ``clean`` is read several times, so it should be a stored table. Without
+    ``exact`` the medians are those of Spark's ``Imputer``.
     """
-    summaries = summarise(clean, features, medians=True)
-    filled = {name: at.filled_with(at.median) for name, at in summaries.items()}
+    summaries = summarise(clean, features, medians=exact)
+    if exact:
+        medians = {name: at.median for name, at in summaries.items()}
+    else:
+        medians = _imputer(features).fit(clean).surrogateDF.first().asDict()
+    filled = {name: at.filled_with(medians[name]) for name, at in summaries.items()}
     return FeatureProfile(
-        {name: at.median for name, at in summaries.items()},
+        {name: medians[name] for name in summaries},
         {name: mean for name, (mean, _) in filled.items()},
         {name: deviation for name, (_, deviation) in filled.items()},
     )
@@ -62,9 +72,7 @@ def impute_median(frame: DataFrame, features: Sequence[str], exact: bool = True)
     """
     if exact:
         return impute(frame, lower_medians(frame, features))
-    outputs = [name + IMPUTED for name in features]
-    imputer = Imputer(strategy="median", inputCols=list(features), outputCols=outputs)
-    return imputer.fit(frame).transform(frame)
+    return _imputer(features).fit(frame).transform(frame)
 
 
 def scaled(value, mean: float, deviation: float):

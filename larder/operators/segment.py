@@ -2,31 +2,30 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions.columns import quoted, squared_distance
 
-ROWS_PER_PARTITION = 1_000_000
-MIN_PARTITIONS = 8
+#: Default number of partitions to fit on. It decides the seeding, so it is a parameter and part of the metrics.
+LAYOUT_PARTITIONS = 8
 UNROLLED_TERMS = 512
 
 
-def canonical_layout(frame: DataFrame, rows: int, key: str = "code") -> DataFrame:
+def canonical_layout(frame: DataFrame, partitions: int = LAYOUT_PARTITIONS, key: str = "code") -> DataFrame:
     """Rows placed by their unique key alone, in key order within a partition.
 
     KMeans seeds its centres by partition and position, so a different input
-    layout gives different clusters. The partition count follows the row count,
-    never the cluster's core count.
+    layout gives different clusters. The partition count is the caller's, never
+    derived from the data or the cluster. Large inputs want more: about one
+    per core or million rows.
     """
-    partitions = max(MIN_PARTITIONS, math.ceil(rows / ROWS_PER_PARTITION))
     return frame.repartition(partitions, quoted(key)).sortWithinPartitions(quoted(key))
 
 
@@ -61,6 +60,19 @@ def centre_rows(model: KMeansModel) -> list[tuple[int, list[float]]]:
     return [(i, [float(x) for x in centre]) for i, centre in enumerate(model.clusterCenters())]
 
 
+def _listed_distances(point: Sequence[Column], centres: Sequence[Sequence[float]]) -> Column:
+    """Array of squared distances to centres that stay one literal."""
+    listed = F.lit([[float(x) for x in centre] for centre in centres])
+    return F.transform(
+        listed,
+        lambda centre: F.aggregate(
+            F.zip_with(F.array(*point), centre, lambda x, at: (x - at) * (x - at)),
+            F.lit(0.0),
+            lambda total, square: total + square,
+        ),
+    )
+
+
 def assign_to_centres(
     frame: DataFrame, columns: Sequence[str], centres: Sequence[Sequence[float]]
 ) -> DataFrame:
@@ -74,15 +86,7 @@ def assign_to_centres(
     if len(centres) * len(columns) <= UNROLLED_TERMS:
         distances = F.array(*[squared_distance(point, centre) for centre in centres])
     else:
-        listed = F.lit([[float(x) for x in centre] for centre in centres])
-        distances = F.transform(
-            listed,
-            lambda centre: F.aggregate(
-                F.zip_with(F.array(*point), centre, lambda x, at: (x - at) * (x - at)),
-                F.lit(0.0),
-                lambda total, square: total + square,
-            ),
-        )
+        distances = _listed_distances(point, centres)
     measured = frame.select("*", distances.alias("_distances"))
     nearest = measured.select("*", F.array_min("_distances").alias("distance"))
     return nearest.select(
@@ -105,10 +109,9 @@ def silhouette_scores(assigned: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     Mean distances to a whole cluster follow from its row count, coordinate sums
     and sum of squared norms, so no pair of rows is formed. These k sums come to
-    the driver; the scoring itself is a projection. It is for few clusters of
-    few columns; ``evaluate_silhouette`` takes any number of either.
+    the driver; the scoring itself is a projection, as plain arithmetic for few
+    clusters and over one literal of the sums for many.
     """
-    most = UNROLLED_TERMS // len(columns)
     point = [quoted(name) for name in columns]
     norm = reduce(lambda a, b: a + b, [x * x for x in point])
     totals = (
@@ -119,34 +122,38 @@ def silhouette_scores(assigned: DataFrame, columns: Sequence[str]) -> DataFrame:
             *[F.avg(x).alias(f"mean{i}") for i, x in enumerate(point)],
         )
         .orderBy("cluster")
-        .limit(most + 1)
         .collect()
     )
-    if len(totals) > most:
-        raise ValueError(f"more than {most} clusters; use evaluate_silhouette")
     if len(totals) < 2:
         raise ValueError("silhouette needs at least two clusters")
 
     # The mean squared distance to a cluster is the one to its mean plus its spread.
-    distances, corrections = [], []
-    for row in totals:
-        mean = [row[f"mean{i}"] for i in range(len(columns))]
-        spread = row["norm"] - sum(x * x for x in mean)
-        distances.append(squared_distance(point, mean) + F.lit(spread))
-        # A row is at distance 0 from itself, hence rows / (rows - 1); a
-        # singleton has no other member and scores 0.
-        alone = row["rows"] == 1
-        corrections.append(F.lit(None if alone else row["rows"] / (row["rows"] - 1)).cast("double"))
+    means = [[row[f"mean{i}"] for i in range(len(columns))] for row in totals]
+    spreads = [row["norm"] - sum(x * x for x in mean) for row, mean in zip(totals, means, strict=True)]
+    # A row is at distance 0 from itself, hence rows / (rows - 1); a singleton
+    # has no other member and scores 0.
+    corrections = F.array(
+        *[F.lit(None if row["rows"] == 1 else row["rows"] / (row["rows"] - 1)).cast("double") for row in totals]
+    )
     ids = F.array(*[F.lit(row["cluster"]) for row in totals])
+    few = len(totals) * len(columns) <= UNROLLED_TERMS
+    if few:
+        distances = F.array(
+            *[squared_distance(point, mean) + F.lit(spread) for mean, spread in zip(means, spreads, strict=True)]
+        )
+    else:
+        distances = F.zip_with(_listed_distances(point, means), F.lit(spreads), lambda distance, spread: distance + spread)
     measured = assigned.select(
-        "*", F.array(*distances).alias("_distances"), F.array_position(ids, F.col("cluster")).alias("_own")
+        "*", distances.alias("_distances"), F.array_position(ids, F.col("cluster")).alias("_own")
     )
     own = F.col("_own").cast("int")
-    to = [F.col("_distances").getItem(i) for i in range(len(totals))]
+    if few:
+        to = [F.col("_distances").getItem(i) for i in range(len(totals))]
+        others = F.least(*[F.when(own != i + 1, distance) for i, distance in enumerate(to)])
+    else:
+        others = F.array_min(F.transform("_distances", lambda distance, i: F.when(i + 1 != own, distance)))
     compared = measured.select(
-        "*",
-        (F.element_at("_distances", own) * F.element_at(F.array(*corrections), own)).alias("_in"),
-        F.least(*[F.when(own != i + 1, distance) for i, distance in enumerate(to)]).alias("_out"),
+        "*", (F.element_at("_distances", own) * F.element_at(corrections, own)).alias("_in"), others.alias("_out")
     )
     a, b = F.col("_in"), F.col("_out")
     score = F.when(a < b, 1 - a / b).when(a > b, b / a - 1).otherwise(0.0)

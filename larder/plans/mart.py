@@ -3,9 +3,9 @@
 Folders under the root:
 
 ``prepared/version=<v>``  one snapshot, in files of disjoint, ascending key ranges
-``ranges/version=<v>``    one row per snapshot file: its keys and row count
+``ranges/version=<v>``    one row per snapshot file: its keys, row count and first row number
 ``pointer``               appended rows (version, count, created_at); the newest is current
-``results/run_id=<r>``    published predictions of one run
+``results/run_id=<r>/attempt=<a>``  published predictions of one attempt; the run row names the one that counts
 ``runs``                  appended run events; the last non-null value of a field counts
 """
 
@@ -14,6 +14,7 @@ from __future__ import annotations
 import math
 import re
 import time
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -26,7 +27,7 @@ from pyspark.sql import types as T
 
 from larder.operators.cells import latest_fields
 from larder.operators.prepare import prepare_products
-from larder.operators.publish import check_predictions, result_rows
+from larder.operators.publish import check_joined, joined_predictions, result_rows
 from larder.schema import (
     KEY,
     POINTER_SCHEMA,
@@ -37,6 +38,9 @@ from larder.schema import (
     ProductLayout,
     strings,
 )
+from larder.sources.scratch import materialize
+
+ATTEMPT_EVENT_SCHEMA = T.StructType([*RUN_EVENT_SCHEMA.fields, T.StructField("attempt", T.StringType())])
 
 PAGE_CAP = 1000
 ROWS_PER_FILE = 1_000_000
@@ -49,10 +53,11 @@ RANGE_SCHEMA = T.StructType(
         T.StructField("first_code", T.StringType()),
         T.StructField("last_code", T.StringType()),
         T.StructField("rows", T.LongType()),
+        T.StructField("start", T.LongType()),
     ]
 )
 RESULT_SCHEMA = strings(
-    "result_key", "cluster", "created_at", "product_name", "categories", "run_id"
+    "result_key", "cluster", "created_at", "product_name", "categories", "run_id", "attempt"
 )
 
 
@@ -76,12 +81,21 @@ class VersionMismatch(RuntimeError):
     """The current version is not the expected one."""
 
 
+def checked_time(text: str | None) -> str:
+    """The text if it is a time with a zone, now if there is none; times of any width may be mixed."""
+    if text is None:
+        return utc_now()
+    if datetime.fromisoformat(text).tzinfo is None:
+        raise ValueError(f"time without a zone: {text}")
+    return text
+
+
 def check_page(offset: int, limit: int, cap: int) -> int:
     """The effective page size, or an error for an impossible page."""
     if offset < 0:
-        raise ValueError("offset must not be negative")
+        raise ValueError(f"offset must not be negative, got {offset}")
     if limit <= 0:
-        raise ValueError("limit must be positive")
+        raise ValueError(f"limit must be positive, got {limit}")
     return min(limit, cap)
 
 
@@ -116,6 +130,7 @@ class ProductMart:
             raise ValueError(f"version may hold letters, digits, '.', '_' and '-': {version!r}")
         if not self.pointers().filter(F.col("version") == version).isEmpty():
             raise ValueError(f"version exists: {version}")
+        created_at = checked_time(created_at)
         prepared = prepared.select(*PREPARED_SCHEMA.names)
         rows = prepared.count()
         (
@@ -124,6 +139,7 @@ class ProductMart:
             .write.mode("overwrite")
             .parquet(self._version_path(version))
         )
+        before = Window.orderBy("first_code").rowsBetween(Window.unboundedPreceding, -1)
         (
             self.snapshot(version)
             .groupBy(F.col("_metadata.file_name").alias("file"))
@@ -132,10 +148,12 @@ class ProductMart:
                 F.max(KEY).alias("last_code"),
                 F.count(F.lit(1)).alias("rows"),
             )
+            # One row per file, once per version, so that no page has to sum them.
+            .withColumn("start", F.coalesce(F.sum("rows").over(before), F.lit(0)))
             .write.mode("overwrite")
             .parquet(f"{self.root}/ranges/version={version}")
         )
-        snapshot = Snapshot(version, rows, created_at or utc_now())
+        snapshot = Snapshot(version, rows, created_at)
         row = [(snapshot.version, snapshot.count, snapshot.created_at)]
         self.spark.createDataFrame(row, POINTER_SCHEMA).write.mode("append").parquet(
             f"{self.root}/pointer"
@@ -147,8 +165,9 @@ class ProductMart:
         return self._read_or_empty("pointer", POINTER_SCHEMA)
 
     def current_pointer(self) -> DataFrame:
-        """The newest pointer row, or no row."""
-        return self.pointers().orderBy(F.desc("created_at"), F.desc("version")).limit(1)
+        """The newest pointer row by time, whatever the width of its text, or no row."""
+        at = F.to_timestamp("created_at")
+        return self.pointers().orderBy(at.desc(), F.desc("version")).limit(1)
 
     def current(self) -> Snapshot:
         row = self.current_pointer().first()
@@ -160,9 +179,7 @@ class ProductMart:
         """Error if another version has become current since."""
         current = self.current()
         if current.version != snapshot.version:
-            raise VersionMismatch(
-                f"current version is {current.version}, not {snapshot.version}"
-            )
+            raise VersionMismatch(f"{snapshot.version} is no longer current, {current.version} is")
 
     def snapshot(self, version: str) -> DataFrame:
         """All rows of one version (S13); only its own files are listed and read."""
@@ -173,19 +190,21 @@ class ProductMart:
         pinned = self.current()
         return pinned, self.snapshot(pinned.version)
 
-    def page(self, offset: int, limit: int) -> DataFrame:
+    def page(self, offset: int, limit: int, version: str | None = None) -> DataFrame:
         """Rows ``offset`` to ``offset + limit`` by key of the current version (L3).
 
-        The ranges tell which files hold the page, so a page reads these
-        files, at most one per row, at any depth. ``total`` is the pointer's count.
+        Who reads several pages names the version of the first; once another
+        version is current, that is an error instead of a mixture (L4). The
+        ranges tell which files hold the page, so a page reads these files, at
+        most one per row, at any depth. ``total`` is the pointer's count.
         """
         size = check_page(offset, limit, self.page_cap)
         pinned = self.current()
-        before = Window.orderBy("first_code").rowsBetween(Window.unboundedPreceding, -1)
-        # The window runs over one row per snapshot file, not over products.
+        if version not in (None, pinned.version):
+            raise VersionMismatch(f"pages of {version} were asked for, but {pinned.version} is current")
         files = (
             self._ranges(pinned.version)
-            .select("file", "rows", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
+            .select("file", "rows", "start")
             .filter((F.col("start") < offset + size) & (F.col("start") + F.col("rows") > offset))
             .collect()
         )
@@ -219,26 +238,25 @@ class ProductMart:
         version: str | None = None,
         put_seq: int | None = None,
     ) -> int:
-        """Check, join, store the results, then the run row; returns the number published.
+        """Join, check, store the results, then the run row; returns the number published.
 
-        The run row comes last and commits: ``results`` shows complete runs only.
+        Predictions are joined once. Each attempt writes a folder of its own, and
+        the run row, which comes last, names it: ``results`` shows the named
+        attempt of complete runs, so a retry that fails midway changes nothing.
         ``version`` should be the one trained on; by default the current one.
         """
         if not run_id:
             raise ValueError("run_id must not be empty")
-        created_at = created_at or utc_now()
+        created_at = checked_time(created_at)
         products = self.snapshot(version or self.current().version)
-        published = check_predictions(predictions, products)
-        (
-            result_rows(predictions, products, run_id, created_at)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("run_id")
-            .parquet(f"{self.root}/results")
-        )
+        joined = materialize(joined_predictions(predictions, products), "joined-predictions")
+        published = check_joined(joined)
+        attempt = uuid.uuid4().hex
+        self._store_results(result_rows(joined, run_id, created_at), attempt)
         self.put_run(
             run_id,
             put_seq,
+            attempt,
             status="complete",
             completed_at=created_at,
             published_rows=str(published),
@@ -247,18 +265,22 @@ class ProductMart:
         )
         return published
 
+    def _store_results(self, rows: DataFrame, attempt: str) -> None:
+        stored = rows.withColumn("attempt", F.lit(attempt))
+        stored.write.mode("append").partitionBy("run_id", "attempt").parquet(f"{self.root}/results")
+
     def results(self, run_id: str | None = None) -> DataFrame:
         """Published predictions of complete runs."""
         rows = self._read_or_empty("results", RESULT_SCHEMA)
-        complete = self.runs().filter(F.col("status") == "complete").select("run_id")
+        complete = self._last_events().filter(F.col("status") == "complete").select("run_id", "attempt")
         if run_id is not None:
             rows = rows.filter(F.col("run_id") == run_id)
             complete = complete.filter(F.col("run_id") == run_id)
-        return rows.join(complete, "run_id", "left_semi")
+        return rows.join(complete, ["run_id", "attempt"], "left_semi").drop("attempt")
 
     # Runs
 
-    def put_run(self, run_id: str, put_seq: int | None = None, **fields: str) -> None:
+    def put_run(self, run_id: str, put_seq: int | None = None, attempt: str | None = None, **fields: str) -> None:
         """Append one run event; fields it leaves out keep their value."""
         unknown = sorted(set(fields) - set(RUN_FIELDS))
         if unknown:
@@ -266,18 +288,22 @@ class ProductMart:
         if not fields:
             raise ValueError("a put must carry at least one field")
         sequence = time.time_ns() if put_seq is None else put_seq
-        row = (run_id, *[fields.get(name) for name in RUN_FIELDS], sequence)
-        self.put_run_events(self.spark.createDataFrame([row], RUN_EVENT_SCHEMA))
+        row = (run_id, *[fields.get(name) for name in RUN_FIELDS], sequence, attempt)
+        self.put_run_events(self.spark.createDataFrame([row], ATTEMPT_EVENT_SCHEMA))
 
     def put_run_events(self, events: DataFrame) -> None:
         """Append run events in bulk."""
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in RUN_EVENT_SCHEMA]
-        events.select(*columns).write.mode("append").parquet(f"{self.root}/runs")
+        attempt = F.col("attempt") if "attempt" in events.columns else F.lit(None).cast("string")
+        events.select(*columns, attempt.alias("attempt")).write.mode("append").parquet(f"{self.root}/runs")
 
     def runs(self) -> DataFrame:
         """One row per run with the last value of every field."""
-        events = self._read_or_empty("runs", RUN_EVENT_SCHEMA)
-        return latest_fields(events, "run_id", RUN_FIELDS, "put_seq")
+        return self._last_events().drop("attempt")
+
+    def _last_events(self) -> DataFrame:
+        events = self._read_or_empty("runs", ATTEMPT_EVENT_SCHEMA)
+        return latest_fields(events, "run_id", (*RUN_FIELDS, "attempt"), "put_seq")
 
     @contextmanager
     def tracked_run(self, run_id: str) -> Iterator[None]:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.operators.cells import (
+    RESULT_CELLS,
     Cell,
     from_cells,
     product_cells,
@@ -19,6 +20,7 @@ from larder.operators.cells import (
     seed_products,
     to_cells,
 )
+from larder.operators.segment import LAYOUT_PARTITIONS
 from larder.plans.mart import utc_now
 from larder.plans.train import CLUSTERS, MAX_ITERATIONS, SEED, TrainingRun, train_products
 from larder.schema import (
@@ -32,6 +34,7 @@ from larder.schema import (
 )
 from larder.sources.celltable import CellTable
 from larder.sources.files import with_file_order
+from larder.sources.scratch import materialize
 
 RUN_CELLS: dict[str, Cell] = {name: ("run", name) for name in RUN_FIELDS}
 POINTER_CELLS: dict[str, Cell] = {
@@ -113,7 +116,7 @@ class CellTables:
         tells how many rows that is, at the price of another pass.
         """
         merged = seed_products(with_file_order(raw), layout)
-        self.raw.put(products_to_cells(merged, layout, F.lit(time.time_ns())))
+        self.raw.put(products_to_cells(merged, layout, F.lit(time.time_ns())), ordered=True)
 
     def publish_prepared(
         self, prepared: DataFrame, version: str, count: int, created_at: str
@@ -146,6 +149,15 @@ class CellTables:
     def run_rows(self) -> DataFrame:
         return self.runs.rows("run_id", RUN_CELLS)
 
+    def result_rows(self, run_id: str | None = None) -> DataFrame:
+        """Published predictions of complete runs only."""
+        complete = self.run_rows().filter(F.col("status") == "complete").select("run_id")
+        rows = self.results.log()
+        if run_id is not None:
+            complete = complete.filter(F.col("run_id") == run_id)
+            rows = rows.filter(F.col("row_key").startswith(f"{run_id}:"))
+        return from_cells(rows, "result_key", RESULT_CELLS).join(complete, "run_id", "left_semi")
+
     def row_counts(self) -> DataFrame:
         names = ("raw", "prepared", "pointer", "results", "runs")
         return row_counts({name: self.table(name).log() for name in names})
@@ -162,16 +174,20 @@ def train_from_table(
     max_iterations: int = MAX_ITERATIONS,
     output_dir: str | None = None,
     scan_limit: int | None = None,
+    partitions: int = LAYOUT_PARTITIONS,
 ) -> TrainingRun:
     """Train on the raw table and put the results back, under an audited run."""
     started_at = utc_now()
     try:
-        products = tables.raw_products(TABLE_LAYOUT, scan_limit)
+        # The merge of the log runs once, into a stored table.
+        products = materialize(tables.raw_products(TABLE_LAYOUT, scan_limit), "raw-products")
         if products.isEmpty():
             raise RuntimeError("raw table contains no products")
         tables.put_run(run_id, status="running", started_at=started_at)
         layout = ProductLayout(TABLE_LAYOUT.bounds, trim_text=True)
-        run = train_products(products, clusters, seed, max_iterations, output_dir, layout)
+        run = train_products(
+            products, clusters, seed, max_iterations, output_dir, layout, partitions=partitions
+        )
         completed_at = utc_now()
         tables.results.put(
             result_cells(run.assigned, run_id, completed_at).withColumn(

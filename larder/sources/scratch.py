@@ -11,7 +11,7 @@ _local_folders: dict[str, str] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session.
+    """``spark.checkpoint.dir`` of the session, or the folder given to ``setCheckpointDir``.
 
     A local session without the setting gets a temporary folder; on a cluster
     such a folder would be private to one machine, so there it is an error.
@@ -20,6 +20,8 @@ def scratch_root(spark: SparkSession) -> str:
     if shared:
         return shared.rstrip("/")
     context = spark.sparkContext
+    if given := context.getCheckpointDir():
+        return given.rstrip("/")
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     if context.applicationId not in _local_folders:

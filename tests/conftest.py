@@ -36,9 +36,12 @@ def export_lines() -> list[str]:
         kind = i % 4
         values = [50 + 200 * kind + i, 10 * kind, 2 * kind, 5 + 15 * kind, i % 7, kind, 3 + i % 5, "0,1"]
         lines.append("\t".join(map(str, [f"1{i:03d}", f"Item {i}", f"Kind {kind}", *values])))
-    lines.append("\t".join(map(str, ["1040", "Too rich", "Kind x", 1200, 20, 5, 40, 10, 3, 10, 1.0])))
-    lines.append("\t".join(map(str, ["1040", "Corrected", "", 400, 20, 5, 40, 10, 3, 10, 1.0])))
-    lines.append("\t".join(map(str, ["", "No key", "Kind x", 100, 1, 1, 10, 5, 1, 2, 0.1])))
+    for code, name, kind, *values in (
+        ("1040", "Over the bound", "Kind 9", 1733, 31, 9, 55, 21, 6, 17, "0,7"),
+        ("1040", "Within it", "", 286, 13, 8, 27, 4, 2, 12, "0,4"),
+        ("", "Nameless key", "Kind 9", 73, 6, 2, 19, 8, 4, 5, "0,2"),
+    ):
+        lines.append("\t".join(map(str, (code, name, kind, *values))))
     return lines
 
 

@@ -17,7 +17,8 @@ from larder.operators.cells import (
     seed_products,
     to_cells,
 )
-from larder.schema import CELL_SCHEMA, FILE_LAYOUT
+from larder.plans.tables import CellTables
+from larder.schema import CELL_SCHEMA, FILE_LAYOUT, ProductLayout
 from larder.sources.celltable import CellTable
 from larder.sources.files import read_products_tsv, with_file_order
 
@@ -150,3 +151,31 @@ def test_row_counts_and_run_statuses(spark):
 def test_cells_without_put_order_come_from_any_mapping(spark):
     rows = spark.createDataFrame([("k", 1.5)], "key string, x double")
     assert [tuple(r) for r in to_cells(rows, "key", {"x": ("f", "x")}).collect()] == [("k", "f", "x", "1.5")]
+
+
+def test_white_space_of_any_kind_is_no_cell_and_no_part_of_a_key(spark):
+    raw = spark.createDataFrame([("k\u00a0", "\t"), ("\u2003k", "name"), ("\x1c", "lost")], "code string, product_name string")
+    layout = ProductLayout({}, trim_text=False)
+    rows = raw.withColumn("categories", F.lit(None).cast("string")).withColumn("put_seq", F.monotonically_increasing_id())
+    assert [(r["code"], r["product_name"]) for r in seed_products(rows, layout).collect()] == [("k", "name")]
+    cells = to_cells(raw, "code", {"product_name": ("info", "product_name")})
+    assert sorted(r["value"] for r in cells.collect()) == ["lost", "name"]
+
+
+def test_a_limited_scan_pushes_its_last_key(spark, tmp_path):
+    table = CellTable(spark, str(tmp_path / "cells"))
+    rows = spark.range(1000).select(F.format_string("%05d", "id").alias("row_key"), F.lit("f").alias("family"), F.lit("q").alias("qualifier"), F.lit("v").alias("value"), F.lit(0).alias("put_seq"))
+    table.put(rows, ordered=True)
+    found = table.scan(3)
+    assert "LessThanOrEqual(row_key,00002)" in found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == 3
+
+
+def test_results_of_failed_table_runs_stay_hidden(spark, tmp_path):
+    tables = CellTables(spark, str(tmp_path / "tables"))
+    predictions = spark.createDataFrame([("7", "a", "b", 1)], "code string, product_name string, categories string, cluster int")
+    for run_id, status in (("good", "complete"), ("bad", "failed")):
+        tables.results.put(result_cells(predictions, run_id, "t").withColumn("put_seq", F.lit(1)))
+        tables.put_run(run_id, status=status)
+    assert [row["run_id"] for row in tables.result_rows().collect()] == ["good"]
+    assert tables.result_rows("bad").isEmpty()

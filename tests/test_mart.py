@@ -143,6 +143,43 @@ def test_faulty_predictions_publish_nothing(filled, spark, codes, message):
     assert filled.runs().filter("run_id = 'bad'").isEmpty()
 
 
+def test_null_and_textual_clusters_are_refused(filled, spark):
+    for cluster in (None, "x"):
+        rows = spark.createDataFrame([("c00001", cluster)], "code string, cluster string")
+        with pytest.raises(ValueError, match="1 rows without a product code or with a cluster"):
+            filled.publish("bad", rows, 0.5)
+    assert filled.runs().filter("run_id = 'bad'").isEmpty()
+
+
+def test_a_retry_that_fails_midway_changes_nothing(filled, spark, monkeypatch):
+    filled.publish("r1", predict(spark, "c00001"), 0.25)
+
+    def broken(*_, **__):
+        raise RuntimeError("boom")
+
+    monkeypatch.setattr(ProductMart, "put_run", broken)
+    with pytest.raises(RuntimeError, match="boom"):
+        filled.publish("r1", predict(spark, "c00002"), 0.5)
+    assert [row["result_key"] for row in filled.results("r1").collect()] == ["r1:c00001"]
+    assert filled.runs().filter("run_id = 'r1'").first()["silhouette"] == "0.25"
+
+
+def test_times_of_mixed_width_are_ordered_as_times(mart, spark):
+    mart.publish_snapshot(prepared(spark, 3), "early", "2030-01-01T00:00:00Z")
+    mart.publish_snapshot(prepared(spark, 3), "late", "2030-01-01T00:00:00.500Z")
+    assert mart.current().version == "late"
+    with pytest.raises(ValueError):
+        mart.publish_snapshot(prepared(spark, 3), "odd", "yesterday")
+
+
+def test_pages_of_a_version_end_with_it(mart, spark):
+    mart.publish_snapshot(prepared(spark, 4), "v1")
+    assert mart.page(0, 2, "v1").count() == 2
+    mart.publish_snapshot(prepared(spark, 4), "newer")
+    with pytest.raises(VersionMismatch, match="newer is current"):
+        mart.page(2, 2, "v1")
+
+
 def test_a_run_needs_an_id_and_known_fields(filled, spark):
     with pytest.raises(ValueError, match="run_id must not be empty"):
         filled.publish("", predict(spark, "c00001"), 0.5)

@@ -171,9 +171,10 @@ def test_a_hot_duplicate_is_found_without_collecting_it(spark):
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("code"),
         F.lit(1).alias("cluster"),
     )
-    products = predictions.select("code").distinct()
+    texts = [F.lit("").alias(name) for name in ("product_name", "categories")]
+    products = predictions.select("code").distinct().select("code", *texts)
     assert tuple(prediction_counts(predictions, products).first()) == (9_000, 6_001, 0)
-    with pytest.raises(ValueError, match="duplicate product codes: hot"):
+    with pytest.raises(ValueError, match="1 duplicate product codes: hot"):
         check_predictions(predictions, products)
 
 
@@ -194,8 +195,15 @@ def test_scratch_tables_go_to_the_shared_folder(spark, tmp_path, monkeypatch):
         class sparkContext:
             master = "spark://host:7077"
             applicationId = "app"
+            given = None
+
+            @classmethod
+            def getCheckpointDir(cls):
+                return cls.given
 
     assert scratch_root(Cluster) == "hdfs://shared/checkpoints"
     Cluster.conf = Conf(None)
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_root(Cluster)
+    Cluster.sparkContext.given = "hdfs://set/later"
+    assert scratch_root(Cluster) == "hdfs://set/later"

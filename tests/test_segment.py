@@ -48,7 +48,7 @@ def test_many_centres_give_the_same_assignment(points, monkeypatch):
 def test_fit_puts_every_row_at_its_nearest_centre_and_is_repeatable(points):
     def fit(frame):
         vectors = assemble(frame, ["f0", "f1"])
-        placed = canonical_layout(vectors, 400).select("code", "f0", "f1", "features")
+        placed = canonical_layout(vectors).select("code", "f0", "f1", "features")
         return kmeans(4, 42, 30).fit(placed)
 
     model = fit(points)
@@ -94,10 +94,21 @@ def test_silhouette_needs_two_clusters_and_few_enough(spark, points, monkeypatch
     one = points.withColumn("cluster", F.lit(0))
     with pytest.raises(ValueError, match="at least two clusters"):
         mean_silhouette(one, ["f0", "f1"])
-    monkeypatch.setattr(segment, "UNROLLED_TERMS", 4)
     many = points.withColumn("cluster", F.col("code").cast("int") % 3)
-    with pytest.raises(ValueError, match="more than 2 clusters"):
-        silhouette_scores(many, ["f0", "f1"])
+    def scores():
+        return {row["code"]: row["silhouette"] for row in silhouette_scores(many, ["f0", "f1"]).collect()}
+
+    unrolled = scores()
+    monkeypatch.setattr(segment, "UNROLLED_TERMS", 4)
+    assert scores() == pytest.approx(unrolled)
+
+
+def test_many_clusters_of_many_columns_agree_with_the_evaluator(points):
+    names = [f"x{i}" for i in range(8)]
+    wide = points.select("*", *[(F.col("f0") * (i + 1) + F.col("f1") * (i % 3)).alias(n) for i, n in enumerate(names)])
+    many = wide.withColumn("cluster", (F.col("code").cast("int") % 100).cast("int"))
+    expected = segment.evaluate_silhouette(assemble(many, names))
+    assert mean_silhouette(many, names).first()["silhouette"] == pytest.approx(expected, abs=1e-9)
 
 
 def test_separated_groups_score_near_one(points):
@@ -110,6 +121,6 @@ def test_vectors_from_float_arrays(spark):
     assert vectors_from_arrays(frame, "v").first()["features"].toArray().tolist() == [1.0, 2.0]
 
 
-def test_layout_grows_with_rows(points):
-    assert canonical_layout(points, 400).rdd.getNumPartitions() == segment.MIN_PARTITIONS
-    assert canonical_layout(points, 20_000_001).rdd.getNumPartitions() == 21
+def test_layout_has_the_partitions_asked_for(points):
+    assert canonical_layout(points).rdd.getNumPartitions() == segment.LAYOUT_PARTITIONS
+    assert canonical_layout(points, 21).rdd.getNumPartitions() == 21

@@ -55,20 +55,21 @@ def raw_product_select(text: str) -> str:
     )
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
+def separated_points(text: str) -> list[str]:
+    """Eight-dimensional points in four far groups, one point per ``lineitem`` row, as expressions."""
+    group = "l_linenumber % 4"
+    slots = [
+        f"((({group}) * 7 + {i * 3}) % 5) * 20.0 + ((l_partkey * {i + 3} + l_suppkey) % 101 - 50) / 100.0"
+        for i in range(8)
+    ]
+    return [
+        f"cast(l_orderkey * 10 + l_linenumber as {text}) as code",
+        *[f"cast({slot} as double) as f{i}" for i, slot in enumerate(slots)],
+    ]
 
-def spread_small(frame: DataFrame) -> DataFrame:
-    """Put an input of fewer partitions than cores onto all cores.
 
-    The smaller tables are one Parquet row group, which one task has to read
-    and would then also have to process. Larger inputs stay as they are.
-    """
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    if frame.rdd.getNumPartitions() >= cores:
-        return frame
-    return frame.repartition(cores, *frame.columns)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,8 +79,8 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
         for name, expression in RAW_PRODUCT_COLUMNS.items()
     ]
     lineitem = table(spark, sf_dir, "lineitem").select(*RAW_PRODUCT_SOURCES)
-    return spread_small(lineitem).selectExpr(*columns)
+    return lineitem.selectExpr(*columns)
 
 
 def document_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread_small(table(spark, sf_dir, "documents").select("text"))
+    return table(spark, sf_dir, "documents").select("text")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from larder.plans.train import CLUSTERS, MAX_ITERATIONS, SEED
 from larder.schema import FEATURE_SLOTS, IDENTITY_COLUMNS, RUN_FIELDS, TABLE_LAYOUT
 from larder.sources.outputs import ALGORITHM
-from workload.inputs import raw_product_select
+from workload.inputs import raw_product_select, separated_points
 from workload.queries import (
     CENTRES,
     PAGE_LIMIT,
@@ -288,6 +288,18 @@ from clean""",
   {MAX_ITERATIONS} as max_iterations, cast({SEED} as bigint) as seed,
   cast(sum(n) as bigint) as usable_rows
 from sizes""",
+    "kmeans_fit": with_(f"points as (select l_linenumber % 4 as g, {csv(separated_points('varchar'))} from lineitem)")
+    + f"""select cast(row_number() over (order by {csv(FEATURE_SLOTS)}) - 1 as int) as cluster, *
+from (select {csv(f"round(avg({n}), 6) + 0.0 as {n}" for n in FEATURE_SLOTS)} from points group by g)""",
+    "segment_products": with_(*CLEAN_TRIMMED)
+    + "select code, product_name, categories, true as nearest from clean",
+    "segment_prepared": "select cast(vec_id as varchar) as code, '' as product_name, "
+    "cast(label as varchar) as categories, true as nearest from embeddings",
+    "saved_model": "select cast(vec_id as varchar) as code, true as same from embeddings",
+    "tracked_runs": with_(RAW, clean(False))
+    + """select 'good' as run_id, 'complete' as status, cast(count(*) as varchar) as published_rows,
+  '0.5' as silhouette, 'data-mart' as source from clean
+union all select 'bad', 'failed', null, null, null""",
     "predictions_sink": with_(*CLEAN_TRIMMED)
     + f"select *, cast(length(code) % {CLUSTERS} as int) as cluster from clean",
     "word_count": WORD_COUNT,

@@ -7,7 +7,9 @@ the session's scratch folder.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
 
+from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +22,6 @@ from larder.operators.cells import (
     products_to_cells,
     result_cells,
     row_counts,
-    seed_products,
     to_cells,
 )
 from larder.operators.clean import (
@@ -50,7 +51,7 @@ from larder.operators.segment import (
 )
 from larder.operators.text import word_count
 from larder.plans.mart import ProductMart
-from larder.plans.tables import RUN_CELLS, prepared_cells, prepared_from_cells
+from larder.plans.tables import RUN_CELLS, CellTables, prepared_cells, prepared_from_cells
 from larder.plans.train import CLUSTERS, MAX_ITERATIONS, SEED, train_prepared, train_products
 from larder.schema import (
     FEATURE_SLOTS,
@@ -69,7 +70,7 @@ from larder.sources.outputs import (
     write_predictions,
 )
 from larder.sources.scratch import materialize, scratch_path
-from workload.inputs import document_texts, raw_products, table
+from workload.inputs import document_texts, raw_products, separated_points, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -192,7 +193,7 @@ def from_product_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scan_first_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = CellTable(spark, scratch_path(spark, "cells"))
-    cells.put(products_to_cells(keyed(spark, sf_dir), LAYOUT, F.lit(0)))
+    cells.put(products_to_cells(keyed(spark, sf_dir), LAYOUT, F.lit(0)), ordered=True)
     return first_rows(cells.log(), SCAN_LIMIT)
 
 
@@ -212,9 +213,13 @@ def cell_merge_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def seed_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = raw_products(spark, sf_dir)
-    order = F.struct(*[quoted(name) for name in LAYOUT.columns if name != "code"])
-    return products_to_cells(seed_products(raw.withColumn("put_seq", order), LAYOUT), LAYOUT)
+    """Through files: stored in the order of all fields but the key, loaded in file order."""
+    path = scratch_path(spark, "tsv")
+    order = [quoted(name) for name in LAYOUT.columns if name != "code"]
+    write_products_tsv(raw_products(spark, sf_dir).orderBy(*order), path)
+    tables = CellTables(spark, scratch_path(spark, "tables"))
+    tables.seed(read_products_tsv(spark, path, strings(*LAYOUT.columns)), LAYOUT)
+    return tables.raw.cells()
 
 
 def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -324,6 +329,19 @@ def run_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.runs()
 
 
+def tracked_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One run that publishes and one that fails, under their audit."""
+    store = mart(spark, "mart")
+    pinned = store.publish_snapshot(prepared(spark, sf_dir), "v1", VERSIONS["v1"])
+    products = store.snapshot(pinned.version)
+    with store.tracked_run("good"):
+        store.publish("good", by_code_length(products), 0.5, version=pinned.version)
+    unknown = by_code_length(products.withColumn("code", F.concat(F.lit("?"), "code")))
+    with suppress(ValueError), store.tracked_run("bad"):
+        store.publish("bad", unknown, 0.5, version=pinned.version)
+    return store.runs().select("run_id", "status", "published_rows", "silhouette", "source")
+
+
 def prediction_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result_cells(by_code_length(clean(spark, sf_dir)), RUN_ID, PUBLISHED_AT)
 
@@ -374,33 +392,62 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def predictions_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "predictions")
-    write_predictions(by_code_length(clean(spark, sf_dir)), path, LAYOUT.features)
+    write_predictions(by_code_length(clean(spark, sf_dir)), path, LAYOUT.features, single_file=True)
     return read_predictions(spark, path, LAYOUT.features)
 
 
 def kmeans_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Centres of a fit on the prepared products."""
-    vectors = assemble(prepared(spark, sf_dir)).select("code", "features")
-    model = kmeans(CLUSTERS, SEED, MAX_ITERATIONS).fit(
-        canonical_layout(vectors, vectors.count()).select("features")
-    )
-    rows = [(cluster, *centre) for cluster, centre in centre_rows(model)]
+    """Centres of a fit on separated groups, numbered in their order."""
+    points = table(spark, sf_dir, "lineitem").selectExpr(*separated_points("string"))
+    vectors = assemble(points).select("code", "features")
+    model = kmeans(CLUSTERS, SEED, MAX_ITERATIONS).fit(canonical_layout(vectors).select("features"))
+    centres = sorted([round(x, 6) + 0.0 for x in centre] for _, centre in centre_rows(model))
     schema = ", ".join(["cluster int", *[f"{name} double" for name in FEATURE_SLOTS]])
-    return spark.createDataFrame(rows, schema)
+    return spark.createDataFrame([(i, *centre) for i, centre in enumerate(centres)], schema)
 
 
-def segment_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+def segment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of a training on the raw products."""
     return train_products(raw_products(spark, sf_dir), layout=TRIMMED).predictions
 
 
-def segment_prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
+def at_nearest_centre(scored: DataFrame, model: KMeansModel) -> DataFrame:
+    """Records with a flag: the row's cluster is that of the nearest fitted centre."""
+    centres = [centre for _, centre in centre_rows(model)]
+    names = [f"x{i}" for i in range(len(centres[0]))]
+    fitted = scored.select(*IDENTITY_COLUMNS, F.col("cluster").alias("fitted"), "features")
+    nearest = assign_to_centres(spread(fitted, names=names), names, centres)
+    return nearest.select(*IDENTITY_COLUMNS, (F.col("cluster") == F.col("fitted")).alias("nearest"))
+
+
+def segment_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    run = train_products(raw_products(spark, sf_dir), layout=TRIMMED)
+    return at_nearest_centre(run.model.transform(clean(spark, sf_dir)), run.model.stages[-1])
+
+
+def embedded(spark: SparkSession, sf_dir: str) -> DataFrame:
     embeddings = table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").cast("string").alias("code"),
         F.lit("").alias("product_name"),
         F.col("label").cast("string").alias("categories"),
         "embedding",
     )
-    return train_prepared(vectors_from_arrays(embeddings, "embedding")).predictions
+    return vectors_from_arrays(embeddings, "embedding")
+
+
+def segment_prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = embedded(spark, sf_dir)
+    model = train_prepared(vectors).model
+    return at_nearest_centre(model.transform(vectors), model)
+
+
+def saved_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model read back from its folder assigns every row as the stored one did."""
+    vectors, folder = embedded(spark, sf_dir), scratch_path(spark, "run")
+    run = train_prepared(vectors, output_dir=folder)
+    again = KMeansModel.load(run.model_path).transform(vectors).select("code", F.col("cluster").alias("again"))
+    stored = read_predictions(spark, run.predictions_path)
+    return stored.join(again, "code").select("code", (F.col("cluster") == F.col("again")).alias("same"))
 
 
 # Text
@@ -442,6 +489,7 @@ QUERIES: dict[str, Query] = {
     "unknown_codes": unknown_prediction_codes,
     "duplicate_codes": duplicate_prediction_codes,
     "run_lifecycle": run_lifecycle,
+    "tracked_runs": tracked_runs,
     "result_cells": prediction_cells,
     "kmeans_assign": kmeans_assign,
     "lloyd_step": one_lloyd_step,
@@ -451,6 +499,7 @@ QUERIES: dict[str, Query] = {
     "kmeans_fit": kmeans_fit,
     "segment_products": segment_products,
     "segment_prepared": segment_prepared,
+    "saved_model": saved_model,
     "predictions_sink": predictions_sink,
     "word_count": count_words,
     "word_count_lines": count_words_of_lines,
