@@ -37,8 +37,8 @@ def export_lines() -> list[str]:
         values = [50 + 200 * kind + i, 10 * kind, 2 * kind, 5 + 15 * kind, i % 7, kind, 3 + i % 5, "0,1"]
         lines.append("\t".join(map(str, [f"1{i:03d}", f"Item {i}", f"Kind {kind}", *values])))
     for code, name, kind, *values in (
-        ("1040", "Over the bound", "Kind 9", 1733, 31, 9, 55, 21, 6, 17, "0,7"),
-        ("1040", "Within it", "", 286, 13, 8, 27, 4, 2, 12, "0,4"),
+        ("1040", "Wrong by far", "Kind 9", 1733, 31, 9, 55, 21, 6, 17, "0,7"),
+        ("1040", "Right on the scale", "", 286, 13, 8, 27, 4, 2, 12, "0,4"),
         ("", "Nameless key", "Kind 9", 73, 6, 2, 19, 8, 4, 5, "0,2"),
     ):
         lines.append("\t".join(map(str, (code, name, kind, *values))))
