@@ -19,9 +19,7 @@ def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Operator 1: documents without a determined language, or with a score below one half, go."""
     share_code(spark)
     model = langid.train_languages(docs, crc_remainder("doc_id", 5) != 0)
-    found = langid.identify_languages(docs, model, extra=tuple(docs.columns))
-    clear = (F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= 0.5)
-    return found.filter(clear).select(*docs.columns)
+    return langid.keep_identified(docs, model)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

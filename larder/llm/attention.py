@@ -258,7 +258,7 @@ class Tables:
         # What follows the head of all others goes by the overall classes.
         after = np.where((of_head >= 0)[:, None], follows[np.maximum(of_head, 0)], overall)
         odds = to_class + ends[:, None] * after + 5 * overall
-        before = np.log(odds / odds.sum(axis=1, keepdims=True)).astype(np.float32)
+        before = np.log(np.maximum(odds / odds.sum(axis=1, keepdims=True), 1e-30)).astype(np.float32)
         kinds = (inside > 0).astype(float) @ member + 1
         own = np.ones(HEADS)
         own[heads[heads < HEADS - 1]] = alone[heads < HEADS - 1]

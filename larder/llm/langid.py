@@ -194,3 +194,16 @@ def identify_languages(
     kept = rows.schema.fields[:-1]
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in kept], "lang_pred string", "score double"])
     return rows.mapInArrow(predict, schema)
+
+
+def keep_identified(documents: DataFrame, model: LanguageModel, least: float = 0.5, text_column: str = "text") -> DataFrame:
+    """The rows of ``documents`` with a determined language and a score of ``least`` or more, with all their columns."""
+    place = documents.columns.index(text_column)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, scores = model.predict(batch.column(place).to_pylist())
+            clear = [name != UNDETERMINED and score >= least for name, score in zip(names, scores, strict=True)]
+            yield batch.filter(pa.array(clear, pa.bool_()))
+
+    return documents.mapInArrow(keep, documents.schema)
