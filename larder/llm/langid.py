@@ -64,18 +64,19 @@ def features(text: str) -> np.ndarray:
 
 def train_svm(x: np.ndarray, y: np.ndarray, cost: float = 4.0, passes: int = 12) -> np.ndarray:
     """Weights (last: bias) of a linear SVM with squared hinge loss, by dual coordinate descent."""
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)]).astype(np.float64)
-    weights, alpha = np.zeros(x.shape[1]), np.zeros(len(x))
-    diagonal = np.einsum("ij,ij->i", x, x) + 0.5 / cost
+    weights, bias, alpha = np.zeros(x.shape[1], np.float32), 0.0, np.zeros(len(x))
+    diagonal = np.einsum("ij,ij->i", x, x) + 1.0 + 0.5 / cost
     order = np.random.default_rng(7)
     for _ in range(passes):
         for i in order.permutation(len(x)):
-            gradient = y[i] * (weights @ x[i]) - 1 + alpha[i] * 0.5 / cost
+            gradient = y[i] * (float(weights @ x[i]) + bias) - 1 + alpha[i] * 0.5 / cost
             new = max(alpha[i] - gradient / diagonal[i], 0.0)
             if new != alpha[i]:
-                weights += (new - alpha[i]) * y[i] * x[i]
+                step = (new - alpha[i]) * y[i]
+                weights += np.float32(step) * x[i]
+                bias += step
                 alpha[i] = new
-    return weights
+    return np.append(weights, np.float32(bias))
 
 
 @dataclass
@@ -139,7 +140,7 @@ class LanguageModel:
 def train_languages(
     documents: DataFrame,
     trainable: Column,
-    rows_per_language: int = 1000,
+    rows_per_language: int = 500,
     id_column: str = "doc_id",
     text_column: str = "text",
     lang_column: str = "lang",
@@ -167,9 +168,10 @@ def train_languages(
             )
 
     sample = rows.select("lang", "text").mapInArrow(vectors, "lang string, vector binary")
-    found = sample.orderBy("lang", "vector").collect()  # at most rows_per_language of each language
-    x = np.stack([np.frombuffer(row["vector"], np.float32) for row in found]) if found else np.empty((0, BUCKETS))
-    return LanguageModel.trained(x, np.array([row["lang"] for row in found], dtype=object))
+    found = sample.orderBy("lang", "vector").toArrow()  # at most rows_per_language of each language
+    vectors = [np.frombuffer(value.as_buffer(), np.float32) for value in found.column("vector")]
+    x = np.stack(vectors) if vectors else np.empty((0, BUCKETS), np.float32)
+    return LanguageModel.trained(x, np.array(found.column("lang").to_pylist(), dtype=object))
 
 
 def identify_languages(

@@ -9,7 +9,7 @@ each keeps its earliest dart. Two documents agree in a coordinate with the proba
 Jaccard similarity.
 
 Coordinates in bands of ``rows`` give candidate buckets. Documents with equal weighted sets are one class
-from the start. In every bucket each class is compared with the leader first; then, over the components
+from the start. In every bucket each class is compared with its leader first, the one that meets most others; then, over the components
 found so far, all pairs of a bucket that are still in different components. All candidates are decided by
 their exact weighted similarity, so nothing is lost inside a bucket and no group emits all its pairs.
 """
@@ -191,10 +191,14 @@ def near_duplicates(
 
     one_each = signed.join(sets.withColumnRenamed("rep", "id"), [*same, "id"], "left_semi").dropDuplicates([*same, "id"])
     placed = one_each.select("id", "weight", F.explode("bands").alias("key"))
-    buckets = placed.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("id").alias("order"), "id", "weight")).alias("leader")
-    )
-    crowded = materialize(placed.join(buckets.filter("n > 1").select("key", "leader"), "key"), "buckets")
+    counts = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    shared = materialize(placed.join(counts, "key"), "shared-buckets")
+    # The class that meets most others leads: copies of one original differ from each other more than from it.
+    met = shared.groupBy("id").agg(F.sum("n").alias("met"))
+    ranked = shared.join(met, "id").withColumn("rank", F.struct(-F.col("met"), F.xxhash64("id"), "id", "weight"))
+    leaders = ranked.groupBy("key").agg(F.min("rank").alias("first"))
+    leaders = leaders.select("key", F.struct("first.id", "first.weight").alias("leader"))
+    crowded = materialize(shared.select("key", "id", "weight").join(leaders, "key"), "buckets")
 
     comparable = F.lit(100) * F.least("w_a", "w_b") >= F.lit(percent) * F.greatest("w_a", "w_b")
     starred = crowded.filter(F.col("id") != F.col("leader.id")).select(
