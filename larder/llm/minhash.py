@@ -10,8 +10,8 @@ Jaccard similarity.
 
 Coordinates in bands of ``rows`` give candidate buckets. Documents with equal weighted sets are one class
 from the start. In every bucket each class is compared with its leader first, the one that meets most others; then, over the components
-found so far, all pairs of a bucket that are still in different components. All candidates are decided by
-their exact weighted similarity, so nothing is lost inside a bucket and no group emits all its pairs.
+found so far, all pairs of a bucket that are still in different components, inside a task, by a byte of each
+coordinate. What agrees enough is decided by its exact weighted similarity, so no group emits all its pairs.
 """
 
 from __future__ import annotations
@@ -112,12 +112,12 @@ def signature(units: np.ndarray, k: int) -> np.ndarray:
 
 
 def _signed(rows: DataFrame, shingle: int, bands: int, band_rows: int) -> DataFrame:
-    """id, weight, set_a, set_b (a digest of the weighted set), bands."""
+    """id, weight, set_a, set_b (a digest of the weighted set), bands, marks (a byte of each coordinate)."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lanes = mix(np.arange(bands * band_rows, dtype=_U) + _STEP)
         for batch in batches:
-            ids, weights, first, second, keys = [], [], [], [], []
+            ids, weights, first, second, keys, marks = [], [], [], [], [], []
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 units = strips(text.as_py(), shingle)
                 if not len(units):
@@ -126,17 +126,19 @@ def _signed(rows: DataFrame, shingle: int, bands: int, band_rows: int) -> DataFr
                 weights.append(len(units))
                 first.append(np.bitwise_xor.reduce(mix(units + _STEP)))
                 second.append(np.add.reduce(mix(units ^ _U(0x5851F42D4C957F2D))))
-                folded = np.add.reduce(mix(signature(units, bands * band_rows) ^ lanes).reshape(bands, band_rows), axis=1)
+                darts = mix(signature(units, bands * band_rows) ^ lanes)
+                marks.append((darts >> _U(56)).astype(np.uint8).tobytes())
+                folded = np.add.reduce(darts.reshape(bands, band_rows), axis=1)
                 keys.append(mix(folded + np.arange(bands, dtype=_U)))
             flat = np.concatenate(keys).view(np.int64) if keys else np.empty(0, np.int64)
             listed = pa.ListArray.from_arrays(np.arange(len(ids) + 1, dtype=np.int32) * bands, pa.array(flat))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, batch.schema.field(0).type), pa.array(weights, pa.int64()), *[pa.array(np.array(c, _U).view(np.int64)) for c in (first, second)], listed],
-                ["id", "weight", "set_a", "set_b", "bands"],
+                [pa.array(ids, batch.schema.field(0).type), pa.array(weights, pa.int64()), *[pa.array(np.array(c, _U).view(np.int64)) for c in (first, second)], listed, pa.array(marks, pa.binary())],
+                ["id", "weight", "set_a", "set_b", "bands", "marks"],
             )
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(sign, f"id {kind}, weight long, set_a long, set_b long, bands array<long>")
+    return rows.mapInArrow(sign, f"id {kind}, weight long, set_a long, set_b long, bands array<long>, marks binary")
 
 
 def _similar(pairs: DataFrame, rows: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -163,6 +165,69 @@ def _similar(pairs: DataFrame, rows: DataFrame, shingle: int, percent: int) -> D
     return joined.select("a", "b", "units_a", "units_b").mapInArrow(decide, f"a {kind}, b {kind}")
 
 
+BLOCK = 1024
+
+
+def _unlinked_pairs(rows: DataFrame, percent: int, coordinates: int) -> DataFrame:
+    """Pairs (a, b) of a bucket in different components that agree in enough coordinates to be similar.
+
+    ``rows``: key, id, weight, comp, marks. Buckets are compared inside tasks, large ones block by block.
+    The threshold is four standard deviations below what a pair at ``percent`` agrees in.
+    """
+    share = percent / 100
+    least = int(coordinates * share - 4 * (coordinates * share * (1 - share)) ** 0.5)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket in _buckets(batches):
+            ids, blocks, weights, comps = (bucket.column(i).to_numpy() for i in (3, 4, 5, 6))
+            marks = np.frombuffer(b"".join(bucket.column(7).to_pylist()), np.uint8).reshape(len(ids), -1)
+            across = bucket.column(1)[0].as_py() != bucket.column(2)[0].as_py()
+            left, right = [], []
+            for i in range(len(ids) - 1):
+                other = np.flatnonzero(
+                    (comps[i + 1 :] != comps[i])
+                    & (100 * np.minimum(weights[i + 1 :], weights[i]) >= percent * np.maximum(weights[i + 1 :], weights[i]))
+                    & (not across or blocks[i + 1 :] != blocks[i])
+                )
+                near = other[(marks[i + 1 + other] == marks[i]).sum(axis=1) >= least] + i + 1
+                left.append(np.minimum(ids[near], ids[i]))
+                right.append(np.maximum(ids[near], ids[i]))
+            flat = [np.concatenate(side) if side else ids[:0] for side in (left, right)]
+            yield pa.RecordBatch.from_arrays([pa.array(side, pa.int64()) for side in flat], ["a", "b"])
+
+    sizes = rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    dealt = rows.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    group = ["key", "block_a", "block_b"]
+    dealt = dealt.select(
+        "key", F.least("block", "other").alias("block_a"), F.greatest("block", "other").alias("block_b"),
+        F.col("id").cast("long").alias("id"), "block", "weight", F.col("comp").cast("long").alias("comp"), "marks",
+    )
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.repartition(partitions, *group).sortWithinPartitions(*group).mapInArrow(compare, "a long, b long")
+
+
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows with equal first three columns, of batches in order of these."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        keys = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(3)], axis=1)
+        if held and len(keys):
+            last = held[-1].slice(len(held[-1]) - 1, 1)
+            if any(last.column(i)[0].as_py() != keys[0, i] for i in range(3)):
+                yield pa.Table.from_batches(held).combine_chunks()
+                held = []
+        cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+        for low, high in zip([0, *cuts], [*cuts, len(keys)], strict=True):
+            if low and held:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held = []
+            if high > low:
+                held.append(batch.slice(low, high - low))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
 def near_duplicates(
     documents: DataFrame,
     shingle: int = 5,
@@ -175,7 +240,7 @@ def near_duplicates(
     """Per id: id column, ``class_id`` (smallest id of the group), ``kept`` (it is that id).
 
     A group is connected by pairs with a weighted Jaccard similarity of ``percent`` or more. With the
-    defaults a pair at exactly 0.8 shares a bucket with probability 0.9999. Defined results: rows that repeat
+    defaults a pair at exactly 0.8 shares a bucket with probability 0.9999. Ids are whole numbers. Defined results: rows that repeat
     an id are one document, linked by any of its texts; a null id is compared with nothing and kept, with a
     null class; a text without words (null, empty, blank) is a class of its own; an empty table gives no rows.
     """
@@ -217,10 +282,8 @@ def near_duplicates(
         "bucket-components",
     )
     mixed = grouped.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low != high")
-    open_rows = grouped.join(mixed.select("key"), "key", "left_semi")
-    left = open_rows.toDF("key", "a", "w_a", "c_a")
-    right = open_rows.toDF("key", "b", "w_b", "c_b")
-    rest = left.join(right, "key").filter((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & comparable)
+    open_rows = grouped.join(mixed.select("key"), "key", "left_semi").join(one_each.select("id", "marks"), "id")
+    rest = _unlinked_pairs(open_rows, percent, bands * band_rows)
     rest = materialize(rest.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti"), "open-pairs")
     if not rest.isEmpty():
         more = materialize(_similar(rest, known, shingle, percent), "open-links")
