@@ -10,8 +10,9 @@ Jaccard similarity.
 
 Coordinates in bands of ``rows`` give candidate buckets. Documents with equal weighted sets are one class
 from the start. In every bucket each class is compared with its leader first, the one that meets most others; then, over the components
-found so far, all pairs of a bucket that are still in different components, inside a task, by a byte of each
-coordinate. What agrees enough is decided by its exact weighted similarity, so no group emits all its pairs.
+found so far, all pairs of a bucket that are still in different components, inside a task: by a byte of each
+coordinate, then by a bound on their common weight from counts of their units in bins. A pair leaves the task of
+the first bucket it shares only, and only if the bound allows the similarity; its exact weighted similarity decides.
 """
 
 from __future__ import annotations
@@ -84,6 +85,24 @@ def strips(text: str, shingle: int) -> np.ndarray:
     return hashed
 
 
+BINS, FULL = 1024, 255
+
+
+def unit_bins(units: np.ndarray) -> np.ndarray:
+    """How many units fall into each of ``BINS`` bins, ``FULL`` standing for that many or more."""
+    return np.minimum(np.bincount((mix(units) >> _U(54)).astype(np.int64), minlength=BINS), FULL).astype(np.uint8)
+
+
+def may_be_similar(bins: np.ndarray, weights: np.ndarray, own: np.ndarray, weight: int, percent: int) -> np.ndarray:
+    """Which rows can be similar to ``own``: the lesser counts of the bins sum to no less than the common weight.
+
+    Never false for a similar pair; a bin that is full on both sides bounds nothing.
+    """
+    least = np.minimum(bins, own)
+    enough = (100 + percent) * least.sum(axis=1, dtype=np.int64) >= percent * (weights + weight)
+    return enough | (least == FULL).any(axis=1)
+
+
 def signature(units: np.ndarray, k: int) -> np.ndarray:
     """The earliest dart of each of ``k`` coordinates, as the darts' hashes."""
     bound = k * (np.log(k) + 3) / len(units)
@@ -112,12 +131,12 @@ def signature(units: np.ndarray, k: int) -> np.ndarray:
 
 
 def _signed(rows: DataFrame, shingle: int, bands: int, band_rows: int) -> DataFrame:
-    """id, weight, set_a, set_b (a digest of the weighted set), bands, marks (a byte of each coordinate)."""
+    """id, weight, set_a, set_b (a digest of the weighted set), bands, marks (a byte of each coordinate), bins."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lanes = mix(np.arange(bands * band_rows, dtype=_U) + _STEP)
         for batch in batches:
-            ids, weights, first, second, keys, marks = [], [], [], [], [], []
+            ids, weights, first, second, keys, marks, bins = [], [], [], [], [], [], []
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 units = strips(text.as_py(), shingle)
                 if not len(units):
@@ -128,17 +147,18 @@ def _signed(rows: DataFrame, shingle: int, bands: int, band_rows: int) -> DataFr
                 second.append(np.add.reduce(mix(units ^ _U(0x5851F42D4C957F2D))))
                 darts = mix(signature(units, bands * band_rows) ^ lanes)
                 marks.append((darts >> _U(56)).astype(np.uint8).tobytes())
+                bins.append(unit_bins(units).tobytes())
                 folded = np.add.reduce(darts.reshape(bands, band_rows), axis=1)
                 keys.append(mix(folded + np.arange(bands, dtype=_U)))
             flat = np.concatenate(keys).view(np.int64) if keys else np.empty(0, np.int64)
             listed = pa.ListArray.from_arrays(np.arange(len(ids) + 1, dtype=np.int32) * bands, pa.array(flat))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, batch.schema.field(0).type), pa.array(weights, pa.int64()), *[pa.array(np.array(c, _U).view(np.int64)) for c in (first, second)], listed, pa.array(marks, pa.binary())],
-                ["id", "weight", "set_a", "set_b", "bands", "marks"],
+                [pa.array(ids, batch.schema.field(0).type), pa.array(weights, pa.int64()), *[pa.array(np.array(c, _U).view(np.int64)) for c in (first, second)], listed, pa.array(marks, pa.binary()), pa.array(bins, pa.binary())],
+                ["id", "weight", "set_a", "set_b", "bands", "marks", "bins"],
             )
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(sign, f"id {kind}, weight long, set_a long, set_b long, bands array<long>, marks binary")
+    return rows.mapInArrow(sign, f"id {kind}, weight long, set_a long, set_b long, bands array<long>, marks binary, bins binary")
 
 
 def _similar(pairs: DataFrame, rows: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -171,8 +191,9 @@ BLOCK = 1024
 def _unlinked_pairs(rows: DataFrame, percent: int, coordinates: int) -> DataFrame:
     """Pairs (a, b) of a bucket in different components that agree in enough coordinates to be similar.
 
-    ``rows``: key, id, weight, comp, marks. Buckets are compared inside tasks, large ones block by block.
-    The threshold is four standard deviations below what a pair at ``percent`` agrees in.
+    ``rows``: key, id, weight, comp, marks, bins, bands. Buckets are compared inside tasks, large ones block by
+    block. The threshold is four standard deviations below what a pair at ``percent`` agrees in; of what
+    passes, the bins leave only pairs that can be similar. A pair that shares an earlier band is left to that.
     """
     share = percent / 100
     least = int(coordinates * share - 4 * (coordinates * share * (1 - share)) ** 0.5)
@@ -181,6 +202,9 @@ def _unlinked_pairs(rows: DataFrame, percent: int, coordinates: int) -> DataFram
         for bucket in _buckets(batches):
             ids, blocks, weights, comps = (bucket.column(i).to_numpy() for i in (3, 4, 5, 6))
             marks = np.frombuffer(b"".join(bucket.column(7).to_pylist()), np.uint8).reshape(len(ids), -1)
+            bins = np.frombuffer(b"".join(bucket.column(8).to_pylist()), np.uint8).reshape(len(ids), -1)
+            keys = bucket.column(9).combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
+            earlier = keys[:, : int(np.argmax(keys[0] == bucket.column(0)[0].as_py()))]
             across = bucket.column(1)[0].as_py() != bucket.column(2)[0].as_py()
             left, right = [], []
             for i in range(len(ids) - 1):
@@ -190,6 +214,8 @@ def _unlinked_pairs(rows: DataFrame, percent: int, coordinates: int) -> DataFram
                     & (not across or blocks[i + 1 :] != blocks[i])
                 )
                 near = other[(marks[i + 1 + other] == marks[i]).sum(axis=1) >= least] + i + 1
+                near = near[may_be_similar(bins[near], weights[near], bins[i], weights[i], percent)]
+                near = near[~(earlier[near] == earlier[i]).any(axis=1)]
                 left.append(np.minimum(ids[near], ids[i]))
                 right.append(np.maximum(ids[near], ids[i]))
             flat = [np.concatenate(side) if side else ids[:0] for side in (left, right)]
@@ -201,7 +227,7 @@ def _unlinked_pairs(rows: DataFrame, percent: int, coordinates: int) -> DataFram
     group = ["key", "block_a", "block_b"]
     dealt = dealt.select(
         "key", F.least("block", "other").alias("block_a"), F.greatest("block", "other").alias("block_b"),
-        F.col("id").cast("long").alias("id"), "block", "weight", F.col("comp").cast("long").alias("comp"), "marks",
+        F.col("id").cast("long").alias("id"), "block", "weight", F.col("comp").cast("long").alias("comp"), "marks", "bins", "bands",
     )
     partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return dealt.repartition(partitions, *group).sortWithinPartitions(*group).mapInArrow(compare, "a long, b long")
@@ -282,7 +308,8 @@ def near_duplicates(
         "bucket-components",
     )
     mixed = grouped.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low != high")
-    open_rows = grouped.join(mixed.select("key"), "key", "left_semi").join(one_each.select("id", "marks"), "id")
+    open_rows = grouped.join(mixed.select("key"), "key", "left_semi").join(one_each.select("id", "marks", "bins", "bands"), "id")
+    open_rows = open_rows.filter(F.array_contains("bands", F.col("key")))
     rest = _unlinked_pairs(open_rows, percent, bands * band_rows)
     rest = materialize(rest.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti"), "open-pairs")
     if not rest.isEmpty():

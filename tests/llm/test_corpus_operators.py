@@ -152,6 +152,37 @@ def test_dart_signatures_estimate_weighted_similarity():
     assert abs(agree - truth) < 0.04
 
 
+def test_bins_never_exclude_a_similar_pair():
+    rng = np.random.default_rng(8)
+    for n in (1, 30, 5000, 400_000):
+        base = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        for share in (0.02, 0.1, 0.12, 0.3):
+            other = base.copy()
+            other[: int(share * n)] = rng.integers(0, 1 << 63, int(share * n), dtype=np.uint64)
+            common = len(np.intersect1d(base, other))
+            similar = 100 * common >= 80 * (2 * n - common)
+            found = minhash.may_be_similar(minhash.unit_bins(other)[None], np.array([n]), minhash.unit_bins(base), n, 80)
+            assert found[0] or not similar
+            if n in (30, 5000) and share == 0.3:
+                assert not found[0] or n > minhash.BINS
+
+
+def test_copies_that_miss_their_leader_meet_in_a_bucket(spark):
+    """Chains of edits: the ends of a chain are not similar, so links between other members must be found."""
+    rng = random.Random(12)
+    texts = []
+    for _ in range(6):
+        words = sentence(rng, 150).split()
+        for step in range(25):
+            words[(step * 11) % 150] = f"edit{step}"
+            texts.append(" ".join(words))
+    rng.shuffle(texts)
+    sets = [Counter(tuple(t.split()[i : i + 5]) for i in range(146)) for t in texts]
+    links = [(i, j) for i in range(len(texts)) for j in range(i) if 10 * (sets[i] & sets[j]).total() >= 8 * (sets[i] | sets[j]).total()]
+    found = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(corpus(spark, texts)).collect()}
+    assert found == components_of(range(len(texts)), links)
+
+
 def test_null_ids_are_near_to_nothing(spark):
     rows = spark.createDataFrame([(None, "a b c d e f"), (1, "a b c d e f"), (2, "a b c d e f")], "doc_id long, text string")
     found = sorted((str(r["doc_id"]), str(r["class_id"]), r["kept"]) for r in minhash.near_duplicates(rows).collect())
