@@ -21,6 +21,7 @@ from larder.sources.scratch import materialize
 
 BUCKETS = 4096
 SLICE = 1 << 20
+SALTS = 16
 UNDETERMINED = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -151,11 +152,12 @@ def train_languages(
     """
     labelled = documents.filter(trainable & F.col(lang_column).isNotNull() & F.col(text_column).isNotNull())
     narrow = labelled.select(F.col(id_column).alias("id"), F.col(lang_column).alias("lang"))
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = materialize(
-        narrow.withColumn("place", F.row_number().over(by_hash)).filter(F.col("place") <= rows_per_language).select("id").distinct(),
-        "language-sample",
-    )
+    # A language may hold most rows, so its first rows are chosen within salts before they meet in one task.
+    first, salted = narrow.withColumn("salt", F.pmod(F.xxhash64("id", F.lit("salt")), F.lit(SALTS))), ["lang", "salt"]
+    for keys in (salted, salted[:1]):
+        by_hash = Window.partitionBy(*keys).orderBy(F.xxhash64("id"), "id")
+        first = first.withColumn("place", F.row_number().over(by_hash)).filter(F.col("place") <= rows_per_language)
+    chosen = materialize(first.select("id").distinct(), "language-sample")
     rows = labelled.select(
         F.col(id_column).alias("id"), F.col(lang_column).alias("lang"), F.col(text_column).alias("text")
     ).join(chosen, "id", "left_semi")
