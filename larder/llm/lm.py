@@ -43,6 +43,12 @@ def subwords(tree: TreeEncoder, word: bytes) -> bytes:
     return tree.pieces[word.decode()]
 
 
+def mixed_log10(shares: np.ndarray, spelled: np.ndarray) -> np.ndarray:
+    """log10 of words' probabilities from their shares of the training words and the natural logs of their spellings."""
+    with np.errstate(divide="ignore"):  # a share of 0 adds nothing
+        return np.logaddexp(np.log(MIXED * shares), np.log(1 - MIXED) + spelled) / np.log(10)
+
+
 def _sequence(tree: TreeEncoder, words: list[bytes], end: bool) -> np.ndarray:
     ids = np.frombuffer(b"".join(subwords(tree, w) for w in words), "<u4").astype(np.int64)
     return np.append(ids, len(tree.token_bytes) - 1) if end else ids
@@ -257,8 +263,7 @@ def score_documents(
             logs = scorer.log_probabilities([chunk.subwords(index[:-1], end) for index in held])
             index = np.concatenate(held)
             begins = np.cumsum(lengths[index]) - lengths[index]
-            spelled = np.exp(np.add.reduceat(logs, begins))
-            mixed = np.log10(np.maximum(MIXED * shares[index] + (1 - MIXED) * spelled, 1e-300))
+            mixed = mixed_log10(shares[index], np.add.reduceat(logs, begins))
             return np.add.reduceat(mixed, np.cumsum([0, *map(len, held[:-1])]))
 
         held: list[np.ndarray] = []

@@ -291,6 +291,19 @@ def test_scores_of_the_base_and_a_proper_model(spark):
     assert lm.score_documents(frame.limit(0), learned, BYTE_BPE, chunks=2, sample=5, rounds=1).isEmpty()
 
 
+def test_long_unsplit_words_are_scored_by_their_length(spark):
+    rng = random.Random(9)
+    drawn = "".join(rng.choice("漢字仮名交文日本語東京大学中") for _ in range(5000))
+    texts = [sentence(rng, 60) for _ in range(30)] + [drawn, drawn[:2500], drawn[:1250]]
+    frame = corpus(spark, texts)
+    rows = lm.score_documents(frame, F.col("doc_id") < 30, BYTE_BPE, chunks=2, sample=10, rounds=1).collect()
+    whole, half, quarter = (next(r["score"] for r in rows if r["doc_id"] == i) for i in (30, 31, 32))
+    assert whole < -5000 and whole / half == pytest.approx(2, rel=0.1) and half / quarter == pytest.approx(2, rel=0.1)
+    shares, spelled = np.array([0.0, 0.25, 0.0, 0.5]), np.array([-40_000.0, -40_000.0, -2.0, -1.0])
+    expected = [(-40_000 + np.log(0.5)) / np.log(10), np.log10(0.125), np.log10(0.5 * np.exp(-2)), np.log10(0.25 + 0.5 * np.exp(-1))]
+    assert lm.mixed_log10(shares, spelled) == pytest.approx(expected)
+
+
 @pytest.fixture
 def small_model():
     rng = np.random.default_rng(0)
