@@ -167,35 +167,41 @@ def train(
     return p
 
 
-def subword_classes(sequences: list[np.ndarray], size: int, spaced: np.ndarray, least: int = 5) -> np.ndarray:
-    """A class for each subword id, by clustering the company that the ids of a sample keep.
+def common_subwords(counts: np.ndarray) -> np.ndarray:
+    """The ids whose company tells classes apart: the most frequent without the end, the last id."""
+    return np.argsort(-counts[:-1], kind="stable")[:200]
 
-    The last id (end of text) is class 0; ids rarer than ``least`` in the sample take class 1 or 2 by whether
-    they begin a word (``spaced``).
+
+def subword_classes(counts: np.ndarray, left: np.ndarray, right: np.ndarray, n: np.ndarray, spaced: np.ndarray, least: int = 5) -> np.ndarray:
+    """A class for each subword id, by clustering the company that the ids keep.
+
+    ``counts`` per id; ``n`` says how often ``right`` follows ``left``, for the pairs with a common subword. The
+    last id (end of text) is class 0; ids rarer than ``least`` take class 1 or 2 by whether they begin a word
+    (``spaced``).
     """
+    size = len(counts)
     classes = np.where(spaced, 1, 2)
     classes[size - 1] = 0
-    flat = np.concatenate([np.append(s, size - 1) for s in sequences]) if sequences else np.empty(0, np.int64)
-    counts = np.bincount(flat, minlength=size)
+    counts = counts.copy()
     counts[size - 1] = 0
     known = np.flatnonzero(counts >= least)
     wanted = min(CLASSES - 3, len(known))
     if not wanted:
         return classes
     common = np.full(size, -1)
-    top = np.argsort(-counts, kind="stable")[:200]
+    top = common_subwords(counts)
     common[top] = np.arange(len(top))
     row = np.full(size, -1)
     row[known] = np.arange(len(known))
     company = np.zeros((len(known), 2 * len(top)), np.float32)
-    for here, there, shift in ((flat[1:], flat[:-1], 0), (flat[:-1], flat[1:], len(top))):
+    for here, there, shift in ((right, left, 0), (left, right, len(top))):
         use = (row[here] >= 0) & (common[there] >= 0)
-        np.add.at(company, (row[here[use]], common[there[use]] + shift), 1)
+        np.add.at(company, (row[here[use]], common[there[use]] + shift), n[use])
     company = np.sqrt(company)
     company /= np.maximum(np.linalg.norm(company, axis=1, keepdims=True), 1e-9)
     by_count = np.argsort(-counts[known], kind="stable")
     centres = company[by_count[:wanted]].copy()
-    weight = np.sqrt(counts[known])[:, None]
+    weight = np.sqrt(counts[known]).astype(np.float32)[:, None]
     for _ in range(12):
         group = np.argmax(company @ centres.T, axis=1)
         sums = np.zeros_like(centres)
@@ -207,27 +213,16 @@ def subword_classes(sequences: list[np.ndarray], size: int, spaced: np.ndarray,
     return classes
 
 
-def head_subwords(sequences: list[np.ndarray], size: int) -> np.ndarray:
-    """The head of each subword id: the most frequent ids of a sample, the end, and one for all others."""
-    counts = np.bincount(np.concatenate(sequences) if sequences else np.empty(0, np.int64), minlength=size)
-    counts[size - 1] = counts.max(initial=0) + 1
+def head_subwords(counts: np.ndarray) -> np.ndarray:
+    """The head of each subword id: the most frequent ids by ``counts``, the end, and one for all others."""
+    counts = counts.copy()
+    counts[-1] = counts.max(initial=0) + 1
     top = np.argsort(-counts, kind="stable")[: HEADS - 1]
-    heads = np.full(size, HEADS - 1)
+    heads = np.full(len(counts), HEADS - 1)
     heads[top[counts[top] > 0]] = np.arange((counts[top] > 0).sum())
     return heads
 
 
-def class_pairs(sequences: list[np.ndarray], classes: np.ndarray, spaced: np.ndarray) -> np.ndarray:
-    """Counts (class, class) in a sample of what follows the end of a word: a word's start or the end of the text."""
-    end = len(classes) - 1
-    pairs = np.zeros((CLASSES, CLASSES))
-    for ids in sequences:
-        ids = np.concatenate([[end], ids])
-        opens = spaced[ids[1:]] | (ids[1:] == end)
-        np.add.at(pairs, (classes[ids[:-1][opens]], classes[ids[1:][opens]]), 1)
-    return pairs
-
-
 @dataclass
 class Tables:
     """What counts say: log odds of classes after each head, shares of ids in their class, alone and by head before."""

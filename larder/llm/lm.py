@@ -1,12 +1,11 @@
 """Operator 3: language-model scoring with a causal self-attention model on subword ids.
 
-1. A bounded sample of training documents gives the classes of subwords and which of them get embeddings.
-2. Documents are dealt into chunks. Each sends its distinct words with their training counts once; a
+1. Documents are dealt into chunks. Each sends its distinct words with their training counts once; a
    window over equal words sums the counts, and the sums go back to the chunks with the words' subword ids.
-   Counts of subwords and of their pairs within words are summed over the same rows.
-3. With these tables the attention is trained on the sample. Then every training document contributes
-   windows at a fixed rate; each task goes on training with its own, and the tasks' parameters are averaged,
-   weighted by their windows.
+2. Neighbouring subwords of all training documents are counted, within words over these rows and across
+   words over the texts. They give the classes of subwords, which of them get embeddings, and the tables.
+3. One task trains the attention on a few training documents, as a start. Each task then goes on training
+   with all windows of its training documents, and the tasks' parameters are averaged, weighted by windows.
 4. A chunk's documents meet the counts of its words. That gives the base score, and the subword ids that
    the model scores in overlapping windows. A word's probability is that of its subwords, mixed half and half
    with its share of the training words, which knows whole words that subwords have to spell.
@@ -14,7 +13,6 @@
 
 from __future__ import annotations
 
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -29,6 +27,8 @@ from larder.sources.scratch import materialize
 
 LEAF = 256
 GROUP_WORDS = 1 << 15
+GROUP_SUBWORDS = 1 << 20
+HELD_WORDS = 1 << 18
 #: Weight of a word's share of the training words beside its spelling by subwords.
 MIXED = 0.5
 
@@ -54,50 +54,43 @@ def _sequence(tree: TreeEncoder, words: list[bytes], end: bool) -> np.ndarray:
     return np.append(ids, len(tree.token_bytes) - 1) if end else ids
 
 
-def sampled_sequences(training: DataFrame, tokenizer: str, sample: int) -> list[np.ndarray]:
-    """Subword ids of at most ``sample`` training ids, chosen by a hash (repeated rows: twice as many rows)."""
-    chosen = materialize(training.select("id").orderBy(F.xxhash64("id"), "id").limit(sample).distinct(), "lm-sample-ids")
-    texts = training.join(chosen, "id", "left_semi").orderBy("id", "text").limit(2 * sample).collect()
-    tree = encoder(tokenizer, LEAF)
-    return [_sequence(tree, words_of(row["text"]), True) for row in texts]
-
-
-def trained_on(sequences: list[np.ndarray], tables: attention.Tables, rounds: int) -> attention.Parameters:
-    seen, wanted, _ = attention.windows(sequences, len(tables.classes) - 1)
-    parameters = attention.start_parameters()
-    if not len(seen):
-        return parameters
-    seen, wanted = np.append(tables.heads, -1)[seen], np.append(tables.classes, -1)[wanted]
-    return attention.train(parameters, tables.before, seen, wanted, rounds, 0.01)
-
-
-def averaged_parameters(
-    training: DataFrame, tokenizer: str, tables: attention.Tables, start: attention.Parameters, every: int
+def _encoded(tree: TreeEncoder, texts: Iterator[str], most: int) -> Iterator[list[np.ndarray]]:
+    """Subword ids of whole texts, in groups of about ``most`` ids."""
+    held: list[np.ndarray] = []
+    size = 0
+    for text in texts:
+        held.append(_sequence(tree, words_of(text), True))
+        size += len(held[-1])
+        if size >= most:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def _windows(sequences: list[np.ndarray], end: int, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All windows of the sequences, a long one's in parts of ``most`` ids (a multiple of the stride)."""
+    stride = attention.STRIDE
+    yield attention.windows([ids[:most] for ids in sequences], end)[:2]
+    for ids in sequences:
+        for low in range(most, len(ids), most):
+            # Two blocks ahead are seen, not learned from again.
+            seen, wanted, _ = attention.windows([ids[low - 2 * stride : low + most]], end)
+            yield seen[2:], wanted[2:]
+
+
+def attention_parameters(
+    training: DataFrame, tokenizer: str, tables: attention.Tables, start: attention.Parameters, rounds: int, rate: float
 ) -> attention.Parameters:
-    """One round of training in all tasks over windows of all training documents, averaged.
-
-    A document gives one stretch of words per ``every`` stretches it has, at places a hash of its text chooses.
-    """
-    stretch = 24
+    """Each task trains from ``start`` with every window of its texts; the mean of the tasks, weighted by their windows."""
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree, mine, weight = encoder(tokenizer, LEAF), start, 0
         to_head, to_class = np.append(tables.heads, -1), np.append(tables.classes, -1)
-        end = len(tables.classes) - 1
-        for batch in batches:
-            parts = []
-            for text in batch.column(0):
-                data = text.as_py().encode().lower()
-                length = stretch * 6
-                count = -(-len(data) // (length * every))
-                random = np.random.default_rng(zlib.crc32(data))
-                for low in sorted(random.integers(0, max(1, len(data) - length), count).tolist()):
-                    parts.append(_sequence(tree, data[low : low + length].decode("utf-8", "ignore").encode().split()[1:], False))
-            seen, wanted, _ = attention.windows([p for p in parts if len(p)], end)
-            if len(seen):
-                seen = np.where(seen == end, -1, seen)  # a stretch does not begin a text
-                wanted = np.where(seen[:, attention.STRIDE :] < 0, -1, wanted)
-                mine = attention.train(mine, tables.before, to_head[seen], to_class[wanted], 1, 0.001)
+        texts = (text.as_py() for batch in batches for text in batch.column(0))
+        for sequences in _encoded(tree, texts, GROUP_SUBWORDS):
+            for seen, wanted in _windows(sequences, len(tables.classes) - 1, GROUP_SUBWORDS):
+                mine = attention.train(mine, tables.before, to_head[seen], to_class[wanted], rounds, rate)
                 weight += len(seen)
         if weight:
             arrays = [pa.array([weight], pa.int64()), pa.array([attention.flatten(mine).tolist()], pa.list_(pa.float64()))]
@@ -110,6 +103,106 @@ def averaged_parameters(
     return attention.unflatten(np.array([mean for _, mean in found])) if found else start
 
 
+def started_parameters(training: DataFrame, tokenizer: str, tables: attention.Tables, sample: int, rounds: int) -> attention.Parameters:
+    """Where all tasks start: one task's training with at most ``sample`` ids (repeated rows: twice as many rows)."""
+    chosen = materialize(training.select("id").orderBy(F.xxhash64("id"), "id").limit(sample).distinct(), "lm-sample-ids")
+    texts = training.join(chosen, "id", "left_semi").orderBy("id", "text").limit(2 * sample)
+    return attention_parameters(texts, tokenizer, tables, attention.start_parameters(), rounds, 0.01)
+
+
+class _Ends(dict):
+    """First and last subword id of words, as one number; emptied when full."""
+
+    def __init__(self, tree: TreeEncoder):
+        super().__init__()
+        self.tree = tree
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= HELD_WORDS:
+            self.clear()
+        ids = subwords(self.tree, word)
+        found = self[word] = int.from_bytes(ids[:4], "little") << 32 | int.from_bytes(ids[-4:], "little")
+        return found
+
+
+def neighbours(training: DataFrame, words: DataFrame, tokenizer: str) -> DataFrame:
+    """How often a subword follows another in all training documents: left, right, crosses (words), n.
+
+    A text follows the end id, and the end id follows it.
+    """
+
+    def summed(keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        found, place = np.unique(keys, return_inverse=True)
+        arrays = [pa.array((found >> 32).astype(np.int32)), pa.array((found & 0xFFFFFFFF).astype(np.int32))]
+        return pa.RecordBatch.from_arrays([*arrays, pa.array(np.bincount(place, n, len(found)).astype(np.int64))], ["left", "right", "n"])
+
+    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree = encoder(tokenizer, LEAF)
+        ends, end, held, size = _Ends(tree), len(tree.token_bytes) - 1, [], 0
+        for batch in batches:
+            for text in batch.column(0):
+                words = words_of(text.as_py())
+                both = np.fromiter(map(ends.__getitem__, words), np.int64, len(words))
+                held.append(np.append(end, both & 0xFFFFFFFF) << 32 | np.append(both >> 32, end))
+                size += len(held[-1])
+                if size >= GROUP_SUBWORDS:
+                    yield summed(np.concatenate(held), np.ones(size))
+                    held, size = [], 0
+        if held:
+            yield summed(np.concatenate(held), np.ones(size))
+
+    def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(1).to_pylist()
+            lengths = np.array([len(i) // 4 for i in ids], np.int64)
+            flat = np.frombuffer(b"".join(ids), "<u4").astype(np.int64)
+            last = np.zeros(len(flat), bool)
+            last[np.cumsum(lengths) - 1] = True
+            inner = np.flatnonzero(~last)
+            yield summed(flat[inner] << 32 | flat[inner + 1], np.repeat(batch.column(0).to_numpy(), lengths)[inner])
+
+    schema = "left int, right int, n long"
+    crossing = training.select("text").mapInArrow(across, schema).withColumn("crosses", F.lit(True))
+    inside = words.filter("lead and n > 0").select("n", "ids").mapInArrow(within, schema).withColumn("crosses", F.lit(False))
+    pairs = crossing.unionByName(inside).groupBy("left", "right", "crosses").agg(F.sum("n").alias("n"))
+    return materialize(pairs, "lm-neighbours")
+
+
+def subword_counts(pairs: DataFrame, size: int) -> np.ndarray:
+    """How often each of ``size`` ids occurs: it always follows another."""
+    found = pairs.groupBy("right").agg(F.sum("n").alias("n")).toArrow()  # bounded: the vocabulary
+    counts = np.zeros(size, np.int64)
+    counts[found.column("right").to_numpy()] = found.column("n").to_numpy()
+    return counts
+
+
+def subword_company(pairs: DataFrame, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Left, right and number of the pairs with a common subword."""
+    common = attention.common_subwords(counts).tolist()
+    with_common = pairs.filter(F.col("left").isin(common) | F.col("right").isin(common))
+    found = with_common.groupBy("left", "right").agg(F.sum("n").alias("n")).toArrow()  # bounded: the vocabulary times common ids
+    return tuple(found.column(name).to_numpy() for name in ("left", "right", "n"))
+
+
+def class_pairs(pairs: DataFrame, classes: np.ndarray) -> np.ndarray:
+    """Counts (class, class) of what follows the end of a word: a word's start or the end of the text."""
+    wide = attention.CLASSES
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(wide * wide)
+        for batch in batches:
+            left, right, n = (column.to_numpy() for column in batch.columns)
+            total += np.bincount(classes[left] * wide + classes[right], n, wide * wide)
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen].astype(np.int64))], ["key", "n"])
+
+    parts = pairs.filter("crosses").select("left", "right", "n").mapInArrow(count, "key long, n long")
+    found = parts.groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+    total = np.zeros(wide * wide)
+    total[found.column("key").to_numpy()] = found.column("n").to_numpy()
+    return total.reshape(wide, wide)
+
+
 def counted_words(rows: DataFrame, tokenizer: str, chunks: int) -> DataFrame:
     """Per chunk and distinct word: chunk, word, n (count over all training documents), lead (once per word), ids."""
 
@@ -213,14 +306,14 @@ def score_documents(
     chunks: int | None = None,
     sample: int = 600,
     rounds: int = 4,
-    every: int = 16,
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
     """Per row: id, ``train`` (it was learned from), ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``.
 
     ``training`` says which rows are learned from. ``chunks`` is the number of tasks that documents are dealt to
-    (by default the number of shuffle partitions); a task holds the text of its chunk and its distinct words.
+    (by default the number of shuffle partitions); a task holds the text of its chunk and its distinct words. All
+    training rows are counted and trained on; ``sample`` and ``rounds`` are for the start of the attention only.
     Defined results: a null or empty text is the end token alone; a null id is not learned from unless
     ``training`` says so, and scored like others; repeated rows count as often as they occur; without training
     rows all counts are 0 and the model is its random start; an empty table gives no rows. Further columns are not read.
@@ -232,19 +325,19 @@ def score_documents(
         F.coalesce(training, F.lit(False)).alias("train"),
     )
     learned = rows.filter("train").select("id", "text")
-    sequences = sampled_sequences(learned, tokenizer, sample)
-    spaced = np.array([token.startswith(b" ") for token in encoder(tokenizer, LEAF).token_bytes])
-    classes = attention.subword_classes(sequences, len(spaced), spaced)
-    heads = attention.head_subwords(sequences, len(spaced))
-
     dealt = rows.withColumn("chunk", F.pmod(F.hash("id"), F.lit(chunks)).cast("int"))
     words = counted_words(dealt, tokenizer, chunks)
+    pairs = neighbours(learned, words, tokenizer)
+    spaced = np.array([token.startswith(b" ") for token in encoder(tokenizer, LEAF).token_bytes])
+    counts = subword_counts(pairs, len(spaced))
+    classes = attention.subword_classes(counts, *subword_company(pairs, counts), spaced)
+    heads = attention.head_subwords(counts)
     totals = words.filter("lead and n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     ends = documents.filter(training).count()
     n_train, distinct = totals["n"] + ends, totals["v"] + (ends > 0)
-    tables = subword_tables(words, classes, heads, attention.class_pairs(sequences, classes, spaced), ends)
-    parameters = trained_on(sequences, tables, rounds)
-    model = attention.LanguageModel(averaged_parameters(learned, tokenizer, tables, parameters, every), tables)
+    tables = subword_tables(words, classes, heads, class_pairs(pairs, classes), ends)
+    start = started_parameters(learned, tokenizer, tables, sample, rounds)
+    model = attention.LanguageModel(attention_parameters(learned, tokenizer, tables, start, 1, 0.001), tables)
     shared = documents.sparkSession.sparkContext.broadcast(model)  # bounded by the vocabulary and pairs of heads
 
     def base(n: np.ndarray) -> np.ndarray:

@@ -304,6 +304,46 @@ def test_long_unsplit_words_are_scored_by_their_length(spark):
     assert lm.mixed_log10(shares, spelled) == pytest.approx(expected)
 
 
+def test_all_training_documents_are_counted_and_learned_from(spark):
+    rng = random.Random(10)
+    texts = [sentence(rng, rng.randint(0, 40)) for _ in range(40)] + ["漢字" * 300, ""]
+    frame = corpus(spark, texts).select(F.col("doc_id").alias("id"), "text").repartition(3)
+    tree = lm.encoder(BYTE_BPE, lm.LEAF)
+    end = len(tree.token_bytes) - 1
+    ids = [lm._sequence(tree, lm.words_of(text), True) for text in texts]
+    follow = Counter(pair for own in ids for pair in zip([end, *own[:-1].tolist()], own.tolist(), strict=True))
+    words = lm.counted_words(frame.withColumn("train", F.lit(True)).withColumn("chunk", F.lit(0)), BYTE_BPE, 2)
+    pairs = lm.neighbours(frame, words, BYTE_BPE)
+    found = Counter()
+    for row in pairs.collect():
+        found[row["left"], row["right"]] += row["n"]
+    assert found == follow
+    counts = lm.subword_counts(pairs, end + 1)
+    assert counts.tolist() == np.bincount(np.concatenate(ids), minlength=end + 1).tolist()
+    classes = np.random.default_rng(1).integers(0, attention.CLASSES, end + 1)
+    expected = np.zeros((attention.CLASSES, attention.CLASSES))
+    for text in texts:
+        before = end
+        for word in [*lm.words_of(text), None]:
+            own = [end] if word is None else np.frombuffer(lm.subwords(tree, word), "<u4")
+            expected[classes[before], classes[own[0]]] += 1
+            before = own[-1]
+    assert (lm.class_pairs(pairs, classes) == expected).all()
+    # Every subword is a target once, whatever the size of the parts, and sees the same before it.
+    for most in (32, 64):
+        parts = list(lm._windows(ids, end, most))
+        assert sorted(t for _, w in parts for t in w[w >= 0].tolist()) == sorted(np.concatenate(ids).tolist())
+    long = ids[40]
+    seen, wanted, _ = attention.windows([long], end)
+    parts = list(lm._windows([long], end, 32))
+    assert (np.concatenate([s for s, _ in parts]) == seen).all() and (np.concatenate([w for _, w in parts]) == wanted).all()
+    # A text without white space alone changes the parameters.
+    tables = attention.Tables.counted(np.where(np.arange(end + 1) < end, 1, 0), attention.head_subwords(counts), counts, np.zeros((attention.HEADS, attention.HEADS)), np.ones(attention.HEADS), expected)
+    start = attention.start_parameters()
+    unspaced = lm.attention_parameters(frame.filter("id = 40"), BYTE_BPE, tables, start, 1, 0.001)
+    assert not np.array_equal(attention.flatten(unspaced), attention.flatten(start))
+
+
 @pytest.fixture
 def small_model():
     rng = np.random.default_rng(0)
