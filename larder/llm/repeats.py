@@ -14,7 +14,8 @@ equal ranks together, tasks sort the (rank, position) pairs, and what is unique
 * Round 50. Runs of one rank that differ as a whole, but agree with another in the 13 bytes left or right
   of the common 25 (two strings of 50 bytes cannot agree otherwise), are opened: the pairs of
   ranks at p and p + 25 of their positions are sorted, and a position whose pair occurs in an
-  earlier document starts a repeated string.
+  earlier document starts a repeated string. Where the least rank recurs inside 50 bytes (periodic text),
+  documents can differ in which occurrence is the common one, so such runs of a shared rank are all opened.
 
 Pairs travel packed, one row per batch of documents and bucket of ranks, and only the smallest document of a
 batch sends a string that several have; the others of the batch know already that they are not first. So
@@ -42,7 +43,7 @@ CHUNK = 128 * 1024
 
 _U = np.uint64
 _BYTES = np.random.default_rng(3).integers(0, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
-_ROW = np.dtype([("rank", "<u8"), ("whole", "<u4"), ("left", "<u2"), ("right", "<u2")])
+_ROW = np.dtype([("rank", "<u8"), ("whole", "<u4"), ("left", "<u2"), ("right", "<u2"), ("again", "u1")])
 _NO_ID = -(1 << 63)
 
 
@@ -136,6 +137,11 @@ def _runs(texts: list[bytes]) -> dict[str, np.ndarray]:
         thirteen = lambda p: _pair(eight[p], eight[p + SIDE - 8]) >> _U(48) | _U(1)
         row = np.empty(len(first), _ROW)
         row["rank"], row["whole"] = least[first], whole >> _U(32)
+        occurs = np.zeros(len(first), np.uint8)
+        for k in range(2 * WINDOW - 1):
+            place = np.minimum(first + k, last + WINDOW - 1)
+            occurs += (half[place] == row["rank"]) & (first + k <= last + WINDOW - 1)
+        row["again"] = occurs > 1
         for name, side, fits in (
             ("left", anchor - SIDE, anchor - SIDE >= start[first]),
             ("right", anchor + HALF, anchor + HALF + SIDE <= end[first]),
@@ -368,7 +374,9 @@ def removable_spans(rows: DataFrame, buckets: int) -> DataFrame:
             low, high = np.flatnonzero(fresh), np.cumsum(fresh) - 1
             several = np.maximum.reduceat(variant[by], low) != np.minimum.reduceat(variant[by], low)
             agrees[by] |= several[high] & (value[by] != 0)
-        opened = shared & agrees & ~late
+        # The common part can be another occurrence of the least rank in each document: sides say nothing then.
+        again = np.maximum.reduceat(row["again"], first)[np.cumsum(new) - 1] > 0
+        opened = shared & (agrees | again) & ~late
         yield _addressed(_OPEN, tuple(x[opened] for x in (ids, ties, at, n)), buckets)
 
     settled = materialize(_round(rows.mapInArrow(send_runs, PACKED), _ROW, buckets, settle_runs), "settled-runs")

@@ -253,6 +253,23 @@ def test_repeated_strings_equal_brute_force(spark):
     assert repeats.without_repeats(corpus(spark, ["x"]).limit(0)).isEmpty()
 
 
+def test_short_periodic_repeats_equal_brute_force(spark):
+    rng = random.Random(14)
+    texts = []
+    for period in range(1, 26):
+        for length in (50, 51, 56, 62, 75):
+            unit = "".join(chr(rng.randrange(0x21, 0x7F)) for _ in range(period))
+            start = rng.randrange(period)
+            common = (unit * 80)[start : start + length]
+            # One goes on with the period on its right, the other on its left.
+            texts.append(sentence(rng, 20) + "|" + common + (unit * 80)[start + length :][: rng.randint(0, 30)] + sentence(rng, 20))
+            ahead = (unit * 40 + unit[:start])[-rng.randint(1, 30) :]
+            texts.append(sentence(rng, 20) + ahead + common + "~" + sentence(rng, 20))
+    expected = removed_by_force(list(enumerate(texts)))
+    found = repeats.without_repeats(corpus(spark, texts), buckets=3).collect()
+    assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in found} == expected
+
+
 def test_runs_of_a_cut_text_cover_the_same_positions(monkeypatch):
     rng = random.Random(8)
     text = sentence(rng, 2000).encode()
