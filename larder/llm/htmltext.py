@@ -25,7 +25,13 @@ INLINE = frozenset(
     "ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = frozenset("script style noscript template svg math iframe object head title audio video canvas".split())
+MATH = frozenset(
+    "math annotation annotation-xml maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts "
+    "mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics".split()
+)
+UNSEEN = frozenset("script style noscript template svg iframe object head title audio video canvas".split())
+EMBEDDED = frozenset("svg object audio video canvas".split())
+IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 RAW = frozenset("script style title textarea noscript iframe template".split())
 _CLOSES = {  # an open element on the left ends where one on the right begins
     "p": frozenset(
@@ -42,6 +48,7 @@ _CLOSES = {  # an open element on the left ends where one on the right begins
 }
 _MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.DOTALL)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.IGNORECASE)
+_EMBEDDED = re.compile(r"<(?:" + "|".join(sorted(EMBEDDED)) + r")\b", re.IGNORECASE)
 _LABEL = re.compile(r"data-gold=\"([01])\"")
 _HIDDEN = re.compile(r"\bhidden\b|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.IGNORECASE)
 _WORD = re.compile(r"[a-z]+")
@@ -87,8 +94,38 @@ def _text_features(text: str, linked: int, tag: str) -> set[str]:
     }
 
 
+def _raw_end(page: str, tag: str, position: int) -> int:
+    end = re.compile(f"</{tag}(?=[\\s/>])[^>]*>?", re.IGNORECASE).search(page, position)
+    return end.end() if end else len(page)
+
+
+def _unclosed(page: str) -> set[int]:
+    """Where embedded elements begin that no end tag of their own closes; what follows them is not inside."""
+    found: set[int] = set()
+    if not _EMBEDDED.search(page):
+        return found
+    stack: list[tuple[str, int]] = []
+    position = 0
+    while match := _MARKUP.search(page, position):
+        position = match.end()
+        tag = (match[2] or "").lower()
+        if not tag or tag in INLINE or tag in MATH or tag in VOID:
+            continue
+        if match[1]:
+            if any(name == tag for name, _ in stack):
+                while (top := stack.pop())[0] != tag:
+                    if top[0] in EMBEDDED:
+                        found.add(top[1])
+        elif tag in RAW:
+            position = _raw_end(page, tag, position)
+        elif not match[3].rstrip().endswith("/") or tag not in UNSEEN:
+            stack.append((tag, match.start()))
+    return found | {start for name, start in stack if name in EMBEDDED}
+
+
 def leaf_blocks(page: str) -> list[Block]:
     """The leaf blocks of a page in order, their text decoded and with single spaces."""
+    unclosed = _unclosed(page)
     blocks: list[Block] = []
     stack: list[_Element] = []
     inline: list[str] = []
@@ -108,6 +145,8 @@ def leaf_blocks(page: str) -> list[Block]:
 
     def add(piece: str) -> None:
         nonlocal linked
+        if stack and stack[-1].tag == "head" and piece.strip():
+            stack.pop()
         if piece and not (stack and stack[-1].unseen) and not any(tag in UNSEEN for tag in inline):
             text.append(piece)
             if links:
@@ -121,7 +160,7 @@ def leaf_blocks(page: str) -> list[Block]:
             continue
         tag = name.lower()
         if match[1]:
-            if tag in INLINE:
+            if tag in INLINE or tag in MATH:
                 links = max(0, links - (tag == "a"))
             elif any(element.tag == tag for element in stack):
                 end_block()
@@ -130,6 +169,11 @@ def leaf_blocks(page: str) -> list[Block]:
             elif tag in ("p", "br"):
                 end_block()
             continue
+        if stack and stack[-1].tag == "head" and tag not in IN_HEAD:
+            stack.pop()  # its end tag may be left out
+        if tag in MATH:
+            add(" ")
+            continue
         if tag in INLINE:
             if tag == "a":
                 links = 1
@@ -141,10 +185,11 @@ def leaf_blocks(page: str) -> list[Block]:
                 add(" ")
             continue
         if tag in RAW:
-            end = re.compile(f"</{tag}(?=[\\s/>])[^>]*>?", re.IGNORECASE).search(page, position)
-            position = end.end() if end else len(page)
+            position = _raw_end(page, tag, position)
             continue
         end_block()
+        if match.start() in unclosed:
+            continue
         links = 0
         while stack and tag in _CLOSES.get(stack[-1].tag, ()):
             stack.pop()

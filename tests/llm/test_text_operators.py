@@ -153,5 +153,20 @@ def test_broken_and_empty_pages(spark, extractor):
     assert [b.text for b in htmltext.leaf_blocks(rows[2][1])] == ["unclosed bold & deep", "next"]
 
 
+def test_pages_without_end_tags_keep_their_text(extractor):
+    body = "<article><h1>Some title</h1><p>The first sentence of the text.</p><p>And the second one of it.</p></article>"
+    kept = ["Some title", "The first sentence of the text.", "And the second one of it."]
+    head = "<!doctype html><html><head><meta charset=utf-8><title>t</title><link rel=x href=y><script>var a;</script>"
+    assert htmltext.main_text(f"{head}</head><body>{body}", extractor) == " ".join(kept)
+    for opened in ("<body>", "", "</head>", "<main>"):
+        assert htmltext.main_text(f"{head}{opened}{body}", extractor) == " ".join(kept)
+    assert [b.text for b in htmltext.leaf_blocks(head + "bare text <p>next")] == ["bare text", "next"]
+    for tag in ("audio", "video", "object", "svg", "canvas"):
+        page = f"<div><p>one</p><{tag} src=x><p>two</p></div><div><{tag}>fallback</{tag}><p>three</p></div><{tag} data=y><p>four"
+        assert [b.text for b in htmltext.leaf_blocks(page)] == ["one", "two", "three", "four"]
+    formula = "<p>We know <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></math> holds.</p><p>after"
+    assert [b.text for b in htmltext.leaf_blocks(formula)] == ["We know x = 1 2 holds.", "after"]
+
+
 def test_public_files_are_where_the_queries_look():
     assert public_tokenizers.path("byte_bpe_50k.json") == BYTE_BPE
