@@ -90,7 +90,7 @@ def _text_features(text: str, linked: int, tag: str) -> set[str]:
         f"words {min(6, int(math.log2(words)))}",
         "links most" if share > 0.6 else "links some" if share > 0.15 else "links few",
         "sentence" if text[-1] in ".!?:;\"'”»" else "no sentence",
-        "copyright" if "©" in text or "(c)" in text.lower()[:200] else "no copyright",
+        "copyright" if "©" in text or "(c)" in text.lower() else "no copyright",
     }
 
 

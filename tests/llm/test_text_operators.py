@@ -168,5 +168,11 @@ def test_pages_without_end_tags_keep_their_text(extractor):
     assert [b.text for b in htmltext.leaf_blocks(formula)] == ["We know x = 1 2 holds.", "after"]
 
 
+def test_a_late_copyright_sign_counts():
+    for sign in ("(c)", "(C)", "&copy;"):
+        block = htmltext.leaf_blocks(f"<p>{'word ' * 100}{sign} 2020")[0]
+        assert "copyright" in block.features and "no copyright" not in block.features
+
+
 def test_public_files_are_where_the_queries_look():
     assert public_tokenizers.path("byte_bpe_50k.json") == BYTE_BPE
