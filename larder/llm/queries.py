@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import bpe, exact, htmltext, langid, lattice, lm, minhash, mixing, repeats, token_files
-from larder.llm.tables import crc_remainder, read, share_code
+from larder.llm import bpe, exact, htmltext, langid, lattice, lm, minhash, mixing, periods, repeats, token_files
+from larder.llm.tables import WORD, crc_remainder, read, share_code
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -72,6 +72,46 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def with_planted_periods(documents: DataFrame) -> DataFrame:
+    """doc_id and text; a tenth of the documents, by a hash of their id, repeats a stretch of its words to the end."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
+    seeds = documents.select("doc_id", "text", words.alias("words"), F.floor(h / 10).alias("g"))
+    n, g = F.size("words"), F.col("g")
+    starts = seeds.select("*", F.when(n > 0, g % n).cast("int").alias("a"))
+    after = n - F.col("a")
+    placed = starts.select("*", (F.floor(after / (g % 8 + 3)) + 1).cast("int").alias("p"))
+    head = F.slice("words", F.lit(1), F.col("a"))
+    cycle = F.slice("words", F.col("a") + 1, F.col("p"))
+    tail = F.slice(F.flatten(F.array_repeat(cycle, F.ceil(after / F.col("p")).cast("int"))), F.lit(1), after)
+    planted = F.when(F.col("a").isNotNull(), F.array_join(F.concat(head, tail), " ")).otherwise(F.col("text"))
+    return placed.select("doc_id", planted.alias("text"))
+
+
+def _greatest_exponent(best: Column, run: Column) -> Column:
+    """Of two runs the one with the greater length / period, compared in whole numbers; runs come in order."""
+    greater = run["length"] * best["period"] > best["length"] * run["period"]
+    return F.when(best.isNull() | greater, run).otherwise(best)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    share_code(spark)
+    found = periods.periodic_runs(with_planted_periods(read(spark, sf_dir, "documents")))
+    nothing = F.lit(None).cast(periods.RUNS.elementType)
+    best = F.aggregate("runs", nothing, _greatest_exponent)
+    line = F.transform("runs", lambda run: F.concat(F.concat_ws(",", run["start"], run["length"], run["period"]), F.lit("\n")))
+    return found.select("*", best.alias("best")).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_repeated_bytes": op2_repeated_bytes,
@@ -83,6 +123,7 @@ QUERIES = {
     "op8_html_text": op8_html_text,
     "op9_token_files": op9_token_files,
     "op10_near_dedup": op10_near_dedup,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 EXACT_SQL = """
