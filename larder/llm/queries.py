@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import bpe, exact, htmltext, langid, lattice, lm, minhash, mixing, periods, repeats, token_files
+from larder.llm import bpe, exact, htmltext, langid, lattice, lm, minhash, mixing, negatives, periods, repeats, token_files
 from larder.llm.tables import WORD, crc_remainder, read, share_code
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -72,6 +72,13 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    share_code(spark)
+    embeddings = read(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine_hard_negatives(embeddings.withColumn("label", moved), F.col("id") % 100 == 0)
+
+
 def with_planted_periods(documents: DataFrame) -> DataFrame:
     """doc_id and text; a tenth of the documents, by a hash of their id, repeats a stretch of its words to the end."""
     h = F.crc32(F.col("doc_id").cast("string"))
@@ -123,6 +130,7 @@ QUERIES = {
     "op8_html_text": op8_html_text,
     "op9_token_files": op9_token_files,
     "op10_near_dedup": op10_near_dedup,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_periodic_runs": op12_periodic_runs,
 }
 
@@ -180,7 +188,32 @@ mixed as (
     from ranked left join cuts on ranked.source is not distinct from cuts.source)
 """
 
+NEGATIVES_SQL = """
+with moved as (
+    select vec_id, embedding, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label from embeddings),
+usable as (
+    select vec_id, label, list_transform(embedding, lambda x: floor(x::double * 256.0)::bigint) as v
+    from moved
+    where vec_id is not null and label is not null and embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+    select a.vec_id as anchor_id, r.vec_id as other_id, a.label = r.label as same,
+           list_sum(list_transform(list_zip(a.v, r.v), lambda x: x[1] * x[2]))::bigint as score
+    from usable a join usable r on a.vec_id % 100 = 0 and a.vec_id <> r.vec_id),
+positives as (
+    select anchor_id, other_id as positive_id, score as positive_score,
+           row_number() over (partition by anchor_id order by score desc, other_id)::int as positive_rank
+    from scored where same
+    qualify positive_rank <= 5)
+select anchor_id, positive_id, other_id as negative_id, positive_score, score as negative_score, positive_rank,
+       row_number() over (partition by anchor_id, positive_rank order by score desc, other_id)::int as rank
+from positives join scored using (anchor_id)
+where not same and 80 * positive_score <= 100 * score and score <= positive_score
+qualify rank <= 5
+"""
+
 ORACLE = {
+    "op11_hard_negatives": NEGATIVES_SQL,
     "op5_exact_dedup": EXACT_SQL,
     "op7_mix_sources": "with "
     + MIX_CTES.replace("{documents}", "documents")
