@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import bpe, exact, htmltext, langid, lattice, lm, minhash, mixing, negatives, periods, repeats, token_files
+from larder.llm import bpe, exact, htmltext, langid, lattice, lm, minhash, mixing, negatives, periods, repeats, subtrees, token_files
 from larder.llm.tables import WORD, crc_remainder, read, share_code
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -119,6 +119,12 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    share_code(spark)
+    cut = subtrees.without_repeated_windows(read(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_repeated_bytes": op2_repeated_bytes,
@@ -132,6 +138,7 @@ QUERIES = {
     "op10_near_dedup": op10_near_dedup,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_repeated_windows": op13_repeated_windows,
 }
 
 EXACT_SQL = """
@@ -212,7 +219,24 @@ where not same and 80 * positive_score <= 100 * score and score <= positive_scor
 qualify rank <= 5
 """
 
+WINDOWS_SQL = r"""
+with texts as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents),
+starts as (select doc_id, unnest(range(len(words) - 19)) as place, words from texts where len(words) >= 20),
+windows as (
+    select doc_id, place, row_number() over (partition by list_slice(words, place + 1, place + 20) order by doc_id, place) as occurrence
+    from starts),
+gone as (select distinct doc_id, unnest(range(place, place + 20)) as place from windows where occurrence > 1),
+listed as (select doc_id, unnest(words) as word, unnest(range(len(words))) as place from texts),
+kept as (
+    select doc_id, string_agg(word, ' ' order by place) as kept
+    from listed anti join gone using (doc_id, place) group by doc_id),
+counts as (select doc_id, count(*) as n_removed from gone group by doc_id)
+select doc_id, len(words) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from texts left join kept using (doc_id) left join counts using (doc_id)
+"""
+
 ORACLE = {
+    "op13_repeated_windows": WINDOWS_SQL,
     "op11_hard_negatives": NEGATIVES_SQL,
     "op5_exact_dedup": EXACT_SQL,
     "op7_mix_sources": "with "
