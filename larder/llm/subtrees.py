@@ -8,8 +8,10 @@ window; all but the first are repeats, and neighbouring ones add up to the maxim
   Not every 10-gram has to be counted: each window is represented by the least (by hash) of its eleven, which equal
   windows choose alike. One row for about six windows travels, packed by hash; runs of windows whose representative
   occurs once end here.
-* Partition. The suffixes left are dealt by their first two words. A group that turns out too large for a task is dealt
-  again by its first 4, then 8, 16 and 20 words; so prefixes are only as long as memory asks.
+* Partition. Neighbouring suffixes with one representative travel as a piece, which has their words once. Pieces
+  are dealt by the first two words of the suffix that starts at the representative; equal suffixes share all ten. A
+  group that turns out too large for a task is dealt again by 4, then 8 and 10 words, so prefixes are only as
+  long as memory asks.
 * Subtree. A group's suffixes are sorted by their words; neighbours' common prefixes are the depths of the internal
   nodes. Groups come in chunks, and what is known to repeat leaves before the next chunk is added. So a passage
   in a third of all documents takes the room of one occurrence; a task holds distinct suffixes only.
@@ -37,8 +39,10 @@ from larder.sources.scratch import materialize
 
 SPAN = 20
 GRAM = 10
-PREFIXES = (2, 4, 8, 16, SPAN)
+PREFIXES = (2, 4, 8, GRAM)
 BUCKET_BYTES = 16 << 20
+#: Bytes of a 10-gram's hash that travel, besides its bucket; a collision only opens a run in vain.
+NAME = 6
 #: Distinct suffixes that one subtree may hold, and how many more are added at a time.
 GROUP = 1 << 19
 CHUNK = 1 << 17
@@ -148,73 +152,128 @@ def _numbered(*keys: np.ndarray) -> np.ndarray:
     return number
 
 
-class Suffixes:
-    """Suffixes of ``SPAN`` words as rows of codes into a dictionary of word hashes, with row and place of each."""
+def _ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers from every start on, ``length`` of them, one stretch after another."""
+    return np.repeat(starts - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
 
-    def __init__(self, dictionary: np.ndarray, codes: np.ndarray, ids: np.ndarray, ties: np.ndarray, at: np.ndarray):
-        self.dictionary, self.codes, self.ids, self.ties, self.at = dictionary, codes, ids, ties, at
+
+class Pieces:
+    """Stretches of neighbouring suffixes that share their representative, each with its words once.
+
+    A piece of n suffixes has n + ``SPAN`` - 1 words: ``codes`` into a dictionary of word hashes, one piece after
+    another. ``anchor`` is the place of the representative in the piece, ``ids``, ``ties`` and ``at`` are the
+    document and the place of the first word there.
+    """
+
+    def __init__(self, dictionary, codes, counts, anchor, ids, ties, at):
+        self.dictionary, self.codes, self.counts, self.anchor = dictionary, codes, counts, anchor
+        self.ids, self.ties, self.at = ids, ties, at
+        self.lengths = counts + SPAN - 1
+        self.firsts = np.cumsum(self.lengths) - self.lengths
 
     @classmethod
-    def joined(cls, parts: list[Suffixes]) -> Suffixes:
-        """All suffixes over one sorted dictionary."""
+    def joined(cls, parts: list[Pieces]) -> Pieces:
+        """All pieces over one sorted dictionary."""
         dictionary, number = np.unique(np.concatenate([p.dictionary for p in parts]), return_inverse=True)
         cuts = np.cumsum([0, *[len(p.dictionary) for p in parts]])
-        codes = [number[low:high].astype("<u4")[p.codes] for p, low, high in zip(parts, cuts[:-1], cuts[1:], strict=True)]
-        places = [np.concatenate([getattr(p, name) for p in parts]) for name in ("ids", "ties", "at")]
-        return cls(dictionary, np.concatenate(codes), *places)
+        codes = [number[low:high][p.codes] for p, low, high in zip(parts, cuts[:-1], cuts[1:], strict=True)]
+        names = ("counts", "anchor", "ids", "ties", "at")
+        return cls(dictionary, np.concatenate(codes), *[np.concatenate([getattr(p, name) for p in parts]) for name in names])
 
     @classmethod
-    def unpacked(cls, blob: bytes) -> Suffixes:
-        size = int(np.frombuffer(blob, "<u4", 1)[0])
-        return cls(*_unpacked(blob[4 : 4 + size]), *_unpacked(blob[4 + size :]))
+    def unpacked(cls, blob: bytes) -> Pieces:
+        parts, at = [], 0
+        for _ in range(3):
+            size = int(np.frombuffer(blob, "<u4", 1, at)[0])
+            parts.append(_unpacked(blob[at + 4 : at + 4 + size]))
+            at += 4 + size
+        counts, anchor, doc, place = (x.astype(np.int64) for x in _unpacked(blob[at:]))
+        return cls(parts[0][0], parts[1][0], counts, anchor, parts[2][0][doc], parts[2][1][doc], place)
 
     def packed(self) -> bytes:
         used = np.zeros(len(self.dictionary), bool)
         used[self.codes] = True
         small = "<u2" if np.count_nonzero(used) <= 1 << 16 else "<u4"
         codes = (np.cumsum(used) - 1).astype(small)[self.codes]
-        dictionary = _packed(self.dictionary[used])
-        return np.array([len(dictionary)], "<u4").tobytes() + dictionary + _packed(codes, self.ids, self.ties, self.at)
-
-    def __len__(self) -> int:
-        return len(self.at)
-
-    def taken(self, places: np.ndarray) -> Suffixes:
-        return Suffixes(self.dictionary, self.codes[places], self.ids[places], self.ties[places], self.at[places])
-
-    def dealt(self, prefix: int, buckets: int) -> Iterator[tuple[int, Suffixes]]:
-        """Groups of suffixes by their first ``prefix`` words."""
-        name = np.zeros(len(self), _U)
+        number = _numbered(self.ties, self.ids)
+        _, first, doc = np.unique(number, return_index=True, return_inverse=True)
+        heads = _packed(self.dictionary[used]), _packed(codes), _packed(self.ids[first], self.ties[first])
+        places = _packed(self.counts.astype("<u4"), self.anchor.astype("u1"), doc.astype("<u4"), self.at.astype("<i8"))
+        return b"".join(np.array([len(x)], "<u4").tobytes() + x for x in heads) + places
+
+    def windows(self) -> tuple[np.ndarray, np.ndarray]:
+        """Piece of every suffix, and its place in the piece."""
+        piece = np.repeat(np.arange(len(self.counts)), self.counts)
+        return piece, _ragged(np.zeros(len(self.counts), np.int64), self.counts)
+
+    def kept(self, stay: np.ndarray) -> Pieces:
+        """The pieces of the suffixes that stay; a gap ends a piece."""
+        piece, offset = self.windows()
+        begins = stay.copy()
+        begins[1:] &= ~stay[:-1] | (piece[1:] != piece[:-1])
+        first = np.flatnonzero(begins)
+        stops = np.flatnonzero(np.append(begins | ~stay, True))
+        counts = stops[np.searchsorted(stops, first, side="right")] - first
+        own, offset = piece[first], offset[first]
+        codes = self.codes[_ragged(self.firsts[own] + offset, counts + SPAN - 1)]
+        return Pieces(self.dictionary, codes, counts, self.anchor[own] - offset, self.ids[own], self.ties[own], self.at[own] + offset)
+
+    def taken(self, places: np.ndarray) -> Pieces:
+        codes = self.codes[_ragged(self.firsts[places], self.lengths[places])]
+        columns = (getattr(self, name)[places] for name in ("counts", "anchor", "ids", "ties", "at"))
+        return Pieces(self.dictionary, codes, *columns)
+
+    def dealt(self, prefix: int, buckets: int) -> Iterator[tuple[int, Pieces]]:
+        """Groups by the first ``prefix`` words of the suffix at the representative, which equal suffixes share."""
+        name = np.zeros(len(self.counts), _U)
         for i in range(prefix):
-            name = _pair(name, self.dictionary[self.codes[:, i]])
+            name = _pair(name, self.dictionary[self.codes[self.firsts + self.anchor + i]])
         for bucket, places in _dealt(((name >> _U(20)) % _U(buckets)).astype(np.int64)):
             yield bucket, self.taken(places)
 
     def subtree(self) -> tuple[np.ndarray, np.ndarray]:
-        """The suffix tree of the group: order of the leaves, and depth in words of the node between neighbours."""
-        text = np.ascontiguousarray((self.codes + 1).astype(">u4")).view(f"S{4 * SPAN}").ravel()
-        order = np.argsort(text, kind="stable")
-        codes = self.codes[order]
+        """The suffix tree of the group: order of its leaves, and depth in words of the node between neighbours."""
+        piece, offset = self.windows()
+        codes = self.codes[(self.firsts[piece] + offset)[:, None] + np.arange(SPAN)].astype(">u4")
+        order = np.argsort((codes + np.array(1, ">u4")).astype(">u4").view(f"S{4 * SPAN}").ravel(), kind="stable")
+        codes = codes[order]
         differs = codes[1:] != codes[:-1]
         depth = np.where(differs.any(axis=1), differs.argmax(axis=1), SPAN)
         return order, depth
 
     def repeated(self) -> np.ndarray:
-        """Leaves under a node of full depth that are not its first occurrence."""
+        """Leaves below a node of full depth that are not its first occurrence."""
         order, depth = self.subtree()
-        node = np.empty(len(self), np.int64)
-        node[order] = np.cumsum(np.append(0, depth < SPAN))[: len(self)]
-        return _late(node, self.ids, self.ties, self.at)
+        node = np.empty(len(order), np.int64)
+        node[order] = np.cumsum(np.append(0, depth < SPAN))[: len(order)]
+        piece, offset = self.windows()
+        return _late(node, self.ids[piece], self.ties[piece], self.at[piece] + offset)
 
+    def spans(self, some: np.ndarray, buckets: int) -> pa.RecordBatch:
+        """The words of some suffixes as spans, addressed to their documents."""
+        piece, offset = (x[some] for x in self.windows())
+        start = self.at[piece] + offset
+        return _addressed(_SPANS, _merged_by_document(self.ids[piece], self.ties[piece], start, start + SPAN), buckets)
 
-def _span_rows(found: Suffixes, buckets: int) -> pa.RecordBatch:
-    return _addressed(_SPANS, _merged_by_document(found.ids, found.ties, found.at, found.at + SPAN), buckets)
 
-
-def _suffix_rows(found: Suffixes, prefix: int, buckets: int) -> pa.RecordBatch:
+def _suffix_rows(found: Pieces, prefix: int, buckets: int) -> pa.RecordBatch:
     return _rows(_SUFFIXES, {bucket: group.packed() for bucket, group in found.dealt(prefix, buckets)})
 
 
+def _met(sent: DataFrame, buckets: int) -> DataFrame:
+    """Packed rows of a bucket next to each other in one task, after those that only pass through."""
+    return sent.repartition(buckets, "bucket").sortWithinPartitions("kind", "bucket")
+
+
+def _split(batches: Iterator[pa.RecordBatch], kind: int, passed: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bucket and blob of the rows of one kind; the others are put aside."""
+    for batch in batches:
+        own = pa.compute.equal(batch.column(0), kind)
+        rest = batch.filter(pa.compute.invert(own))
+        passed.append(pa.RecordBatch.from_arrays(rest.columns, ["kind", "bucket", "blob"]))
+        yield batch.filter(own).select([1, 2])
+
+
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bytes]]:
     for batch in batches:
         for bucket, blob in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -232,39 +291,48 @@ def shared_runs(rows: DataFrame, buckets: int) -> DataFrame:
             known = times[number] > 1
             yield _addressed(_RUNS, (ids[doc[known]], ties[doc[known]], at[known], count[known]), buckets)
             # One entry per 10-gram; one that this batch has twice asks for no answer.
-            several = times[number[first]] > 1
-            kept = np.where(several, 0, count[first])
+            kept = np.where(times > 1, 0, count[first])
             order = np.lexsort((at[first], doc[first]))
             first, kept = first[order], kept[order]
             found = {}
             for bucket, places in _dealt((gram[first] % _U(buckets)).astype(np.int64)):
                 own = first[places]
-                columns = gram[own], kept[places].astype("<u1"), ids[doc[own]], ties[doc[own]], at[own]
-                found[bucket] = _packed(*columns)
+                used, number = np.unique(doc[own], return_inverse=True)
+                name = (gram[own] // _U(buckets)).astype("<u8").view("u1").reshape(-1, 8)[:, :NAME]
+                entries = _packed(name, kept[places].astype("<u1"), number.astype("<u4"), np.diff(at[own], prepend=0))
+                head = _packed(ids[used], ties[used])
+                found[bucket] = np.array([len(head)], "<u4").tobytes() + head + entries
             yield _rows(_GRAMS, found)
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        passed: list[pa.RecordBatch] = []
         held, current = [], None
 
         def answers() -> pa.RecordBatch:
-            gram, count, ids, ties, at = (np.concatenate(c) for c in zip(*held, strict=True))
-            _, number, times = np.unique(gram, return_inverse=True, return_counts=True)
+            name, count, ids, ties, at = (np.concatenate(c) for c in zip(*held, strict=True))
+            whole = np.zeros((len(name), 8), np.uint8)
+            whole[:, :NAME] = name
+            _, number, times = np.unique(whole.view("<u8").ravel(), return_inverse=True, return_counts=True)
             asked = (count > 0) & (times[number] > 1)
-            return _addressed(_RUNS, (ids[asked], ties[asked], at[asked], count[asked]), buckets)
+            return _addressed(_RUNS, (ids[asked], ties[asked], at[asked], count[asked].astype(np.int64)), buckets)
 
-        for bucket, blob in _groups(batches):
+        for bucket, blob in _groups(_split(batches, _GRAMS, passed)):
+            while passed:
+                yield passed.pop()
             if bucket != current and held:
                 yield answers()
                 held = []
             current = bucket
-            held.append(_unpacked(blob))
+            size = int(np.frombuffer(blob, "<u4", 1)[0])
+            ids, ties = _unpacked(blob[4 : 4 + size])
+            name, count, doc, steps = _unpacked(blob[4 + size :])
+            held.append((name, count, ids[doc], ties[doc], np.cumsum(steps)))
         if held:
             yield answers()
+        yield from passed
 
-    sent = materialize(rows.mapInArrow(send, PACKED), "grams")
-    asked = sent.filter(F.col("kind") == _GRAMS).select("bucket", "blob")
-    met = asked.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(settle, PACKED)
-    return _gathered(sent.filter(F.col("kind") == _RUNS).unionByName(met), buckets, merge=False)
+    met = _met(rows.mapInArrow(send, PACKED), buckets).mapInArrow(settle, PACKED)
+    return _gathered(met, buckets, merge=False)
 
 
 def repeated_spans(candidates: DataFrame, buckets: int) -> list[DataFrame]:
@@ -274,64 +342,54 @@ def repeated_spans(candidates: DataFrame, buckets: int) -> list[DataFrame]:
         for batch in batches:
             ids, ties, texts = _documents(batch)
             words = Words(texts)
-            place, doc = [], []
-            for i, runs in enumerate(batch.column(3)):
-                starts, counts = np.frombuffer(runs.as_buffer(), "<i8").reshape(-1, 2).T
-                place.append(np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(counts.sum()))
-                doc.append(np.full(len(place[-1]), i))
-            if not place:
+            lists = [np.frombuffer(runs.as_buffer(), "<i8").reshape(-1, 2) for runs in batch.column(3)]
+            if not lists:
                 continue
-            place, doc = np.concatenate(place), np.concatenate(doc)
-            at = place + words.starts[doc]
-            name = words.names(SPAN)[at]
-            check = _pair(words.names(SPAN - 1)[at], words.dictionary[words.codes[at + SPAN - 1]])
-            late = _late(_numbered(name, check), ids[doc], ties[doc], place)
-            spans = _merged_by_document(ids[doc[late]], ties[doc[late]], place[late], place[late] + SPAN)
-            yield _addressed(_SPANS, spans, buckets)
-            first = np.flatnonzero(~late)
-            for low in range(0, len(first), CHUNK):
-                some = first[low : low + CHUNK]
-                codes = words.codes[at[some][:, None] + np.arange(SPAN)].astype("<u4")
-                suffixes = Suffixes(words.dictionary, codes, ids[doc[some]], ties[doc[some]], place[some])
-                yield _suffix_rows(suffixes, PREFIXES[0], buckets)
+            doc = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+            at, counts = np.concatenate(lists).T
+            start = words.starts[doc] + at
+            grams = words.names(GRAM)[start[:, None] + np.arange(SPAN - GRAM + 1)]
+            codes = words.codes[_ragged(start, counts + SPAN - 1)]
+            pieces = Pieces(words.dictionary, codes, counts, grams.argmin(axis=1), ids[doc], ties[doc], at)
+            piece, offset = pieces.windows()
+            place = start[piece] + offset
+            check = _pair(words.names(SPAN - 1)[place], words.dictionary[words.codes[place + SPAN - 1]])
+            equal = _numbered(words.names(SPAN)[place], check)
+            late = _late(equal, pieces.ids[piece], pieces.ties[piece], at[piece] + offset)
+            yield pieces.spans(late, buckets)
+            yield _suffix_rows(pieces.kept(~late), PREFIXES[0], buckets)
 
     def grown(longer: int | None):
         """Builds the subtree of every group; one that holds too much goes on, dealt by a longer prefix."""
 
-        def split(batches: Iterator[pa.RecordBatch], passed: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                suffixes = pa.compute.equal(batch.column(0), _SUFFIXES)
-                rest = batch.filter(pa.compute.invert(suffixes))
-                passed.append(pa.RecordBatch.from_arrays(rest.columns, ["kind", "bucket", "blob"]))
-                yield batch.filter(suffixes).select([1, 2])
-
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             passed: list[pa.RecordBatch] = []
-            current, held, pending, over = None, [], 0, False
+            current, held, pending, size, over = None, [], 0, 0, False
 
             def settle() -> Iterator[pa.RecordBatch]:
-                nonlocal held, pending
-                group = Suffixes.joined(held)
+                nonlocal held, pending, size
+                group = Pieces.joined(held)
                 late = group.repeated()
-                yield _span_rows(group.taken(late), buckets)
-                held, pending = [group.taken(~late)], 0
+                yield group.spans(late, buckets)
+                held, pending = [group.kept(~late)], 0
+                size = int(held[0].counts.sum())
 
-            for bucket, blob in _groups(split(batches, passed)):
+            for bucket, blob in _groups(_split(batches, _SUFFIXES, passed)):
                 while passed:
                     yield passed.pop()
                 if bucket != current:
                     if pending:
                         yield from settle()
-                    current, held, pending, over = bucket, [], 0, False
-                part = Suffixes.unpacked(blob)
+                    current, held, pending, size, over = bucket, [], 0, 0, False
+                part = Pieces.unpacked(blob)
                 if over:
                     yield _suffix_rows(part, longer, buckets)
                     continue
                 held.append(part)
-                pending += len(part)
-                if pending >= max(CHUNK, len(held[0])):
+                pending += int(part.counts.sum())
+                if pending >= max(CHUNK, size):
                     yield from settle()
-                    if longer and len(held[0]) > GROUP:
+                    if longer and size > GROUP:
                         yield _suffix_rows(held[0], longer, buckets)
                         held, over = [], True
             if pending:
@@ -342,8 +400,7 @@ def repeated_spans(candidates: DataFrame, buckets: int) -> list[DataFrame]:
 
     sent, found = candidates.mapInArrow(send, PACKED), []
     for longer in [*PREFIXES[1:], None]:
-        dealt = sent.repartition(buckets, "bucket").sortWithinPartitions("kind", "bucket")
-        done = materialize(dealt.mapInArrow(grown(longer), PACKED), "subtrees")
+        done = materialize(_met(sent, buckets).mapInArrow(grown(longer), PACKED), "subtrees")
         found.append(done.filter(F.col("kind") == _SPANS))
         sent = done.filter(F.col("kind") == _SUFFIXES)
         if sent.isEmpty():

@@ -93,15 +93,21 @@ def test_a_long_text_and_a_hot_passage(spark):
 
 def test_subtree_depths_are_common_prefixes():
     rng = np.random.default_rng(4)
-    codes = rng.integers(0, 2, (300, subtrees.SPAN)).astype("<u4")
-    codes[::7, :15] = codes[0, :15]
-    codes[::11] = codes[11]
-    zero = np.zeros(300, np.int64)
-    group = subtrees.Suffixes(np.arange(2, dtype=np.uint64), codes, np.arange(300), zero, zero)
+    counts = rng.integers(1, 9, 60)
+    codes = rng.integers(0, 2, (counts + subtrees.SPAN - 1).sum())
+    codes[300:330] = codes[100:130]
+    zero = np.zeros(60, np.int64)
+    group = subtrees.Pieces(np.arange(2, dtype=np.uint64), codes, counts, zero, np.arange(60), zero, zero)
+    piece, offset = group.windows()
+    suffixes = [codes[i : i + subtrees.SPAN].tolist() for i in group.firsts[piece] + offset]
     order, depth = group.subtree()
-    listed = codes[order].tolist()
-    assert listed == sorted(listed)
+    listed = [suffixes[i] for i in order]
+    assert listed == sorted(suffixes)
     for a, b, d in zip(listed, listed[1:], depth.tolist(), strict=False):
         assert a[:d] == b[:d] and (d == subtrees.SPAN or a[d] != b[d])
-    again = subtrees.Suffixes.unpacked(group.packed())
-    assert (again.dictionary[again.codes] == group.dictionary[codes]).all()
+    again = subtrees.Pieces.unpacked(group.packed())
+    assert (again.dictionary[again.codes] == group.dictionary[codes]).all() and (again.counts == counts).all()
+    stay = rng.random(len(piece)) < 0.7
+    left = group.kept(stay)
+    piece, offset = left.windows()
+    assert [left.codes[i : i + subtrees.SPAN].tolist() for i in left.firsts[piece] + offset] == [x for x, s in zip(suffixes, stay, strict=True) if s]
