@@ -6,7 +6,6 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from larder.operators.segment import LAYOUT_PARTITIONS
 from larder.plans.train import CLUSTERS, MAX_ITERATIONS, SEED
 
 
@@ -21,9 +20,6 @@ def add_model_options(parser: argparse.ArgumentParser) -> None:
     parser.add_argument("--clusters", type=positive_int, default=CLUSTERS)
     parser.add_argument("--seed", type=int, default=SEED)
     parser.add_argument("--max-iterations", type=positive_int, default=MAX_ITERATIONS)
-    parser.add_argument(
-        "--partitions", type=positive_int, default=LAYOUT_PARTITIONS, help="partitions to fit on; decides the seeding"
-    )
     parser.add_argument("--output", help="folder for model, predictions and metrics")
 
 

@@ -21,7 +21,6 @@ def main(arguments: Sequence[str] | None = None) -> None:
         options.seed,
         options.max_iterations,
         options.output,
-        partitions=options.partitions,
     )
     print(
         f"Training completed: input_rows={run.input_rows}, usable_rows={run.usable_rows}, "

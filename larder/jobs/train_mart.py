@@ -33,7 +33,6 @@ def main(arguments: Sequence[str] | None = None) -> None:
             options.seed,
             options.max_iterations,
             options.output,
-            partitions=options.partitions,
         )
         # Published against the version trained on, whatever is current by now.
         published = mart.publish(

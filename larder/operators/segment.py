@@ -5,49 +5,26 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions.columns import quoted, squared_distance
+from larder.operators.kmeans import KeyedKMeans
 
-#: Default number of partitions to fit on. It decides the seeding, so it is a parameter and part of the metrics.
-LAYOUT_PARTITIONS = 8
 UNROLLED_TERMS = 512
 
 
-def canonical_layout(frame: DataFrame, partitions: int = LAYOUT_PARTITIONS, key: str = "code") -> DataFrame:
-    """Rows placed by their unique key alone, in key order within a partition.
-
-    KMeans seeds its centres by partition and position, so a different input
-    layout gives different clusters. The partition count is the caller's, never
-    derived from the data or the cluster. Large inputs want more: about one
-    per core or million rows.
-    """
-    return frame.repartition(partitions, quoted(key)).sortWithinPartitions(quoted(key))
-
-
 def require_rows(rows: int, clusters: int, kind: str = "usable") -> None:
     if rows < clusters:
         raise ValueError(f"KMeans needs at least {clusters} {kind} rows, got {rows}")
 
 
-def kmeans(clusters: int, seed: int, max_iterations: int) -> KMeans:
-    """Spark's KMeans with its defaults, over blocks of rows.
-
-    The vectors here are dense, for which matrix products over blocks beat the
-    row-wise solver that the automatic choice falls back to for few features.
-    """
-    return KMeans(
-        k=clusters,
-        seed=seed,
-        maxIter=max_iterations,
-        featuresCol="features",
-        predictionCol="cluster",
-        solver="block",
-    )
+def kmeans(clusters: int, seed: int, max_iterations: int, key: str = "code") -> KeyedKMeans:
+    """KMeans with Spark's defaults otherwise; rows are told apart by their key."""
+    return KeyedKMeans(k=clusters, seed=seed, maxIter=max_iterations, keyCol=key, predictionCol="cluster")
 
 
 def vectors_from_arrays(frame: DataFrame, arrays: str, output: str = "features") -> DataFrame:

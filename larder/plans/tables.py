@@ -20,7 +20,6 @@ from larder.operators.cells import (
     seed_products,
     to_cells,
 )
-from larder.operators.segment import LAYOUT_PARTITIONS
 from larder.plans.mart import utc_now
 from larder.plans.train import CLUSTERS, MAX_ITERATIONS, SEED, TrainingRun, train_products
 from larder.schema import (
@@ -174,7 +173,6 @@ def train_from_table(
     max_iterations: int = MAX_ITERATIONS,
     output_dir: str | None = None,
     scan_limit: int | None = None,
-    partitions: int = LAYOUT_PARTITIONS,
 ) -> TrainingRun:
     """Train on the raw table and put the results back, under an audited run."""
     started_at = utc_now()
@@ -186,7 +184,7 @@ def train_from_table(
         tables.put_run(run_id, status="running", started_at=started_at)
         layout = ProductLayout(TABLE_LAYOUT.bounds, trim_text=True)
         run = train_products(
-            products, clusters, seed, max_iterations, output_dir, layout, partitions=partitions
+            products, clusters, seed, max_iterations, output_dir, layout
         )
         completed_at = utc_now()
         tables.results.put(

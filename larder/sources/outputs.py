@@ -20,7 +20,6 @@ METRICS_SCHEMA = T.StructType(
         T.StructField("cluster_count", T.IntegerType()),
         T.StructField("cluster_sizes", T.MapType(T.IntegerType(), T.LongType())),
         T.StructField("input_rows", T.LongType()),
-        T.StructField("layout_partitions", T.IntegerType()),
         T.StructField("max_iterations", T.IntegerType()),
         T.StructField("preprocessing_owner", T.StringType()),
         T.StructField("seed", T.LongType()),

@@ -107,9 +107,9 @@ def test_seeding_keeps_the_last_value_of_each_field_in_file_order(spark, export_
     raw = read_products_tsv(spark, export_path)
     merged = {row["code"]: row for row in seed_products(with_file_order(raw)).collect()}
     assert len(merged) == 40
-    assert merged["1040"]["product_name"] == "Corrected"
-    assert merged["1040"]["energy-kcal_100g"] == "400"
-    assert merged["1040"]["categories"] == "Kind x"
+    assert merged["1040"]["product_name"] == "Right on the scale"
+    assert merged["1040"]["energy-kcal_100g"] == "286"
+    assert merged["1040"]["categories"] == "Kind 9"
 
 
 def test_rows_without_any_cell_are_rejected(file_products):

@@ -9,7 +9,6 @@ import larder.operators.segment as segment
 from larder.operators.prepare import assemble
 from larder.operators.segment import (
     assign_to_centres,
-    canonical_layout,
     centre_rows,
     cluster_sizes,
     evaluate_silhouette,
@@ -47,13 +46,13 @@ def test_many_centres_give_the_same_assignment(points, monkeypatch):
 
 def test_fit_puts_every_row_at_its_nearest_centre_and_is_repeatable(points):
     def fit(frame):
-        vectors = assemble(frame, ["f0", "f1"])
-        placed = canonical_layout(vectors).select("code", "f0", "f1", "features")
-        return kmeans(4, 42, 30).fit(placed)
+        return kmeans(4, 42, 30).fit(assemble(frame, ["f0", "f1"]))
 
     model = fit(points)
-    again = fit(points.repartition(3, "f1"))
-    assert centre_rows(model) == centre_rows(again)
+    for partitions in (1, 8, 64):
+        again = fit(points.repartition(partitions, "f1"))
+        for (_, here), (_, there) in zip(centre_rows(model), centre_rows(again), strict=True):
+            assert here == pytest.approx(there, rel=1e-12)
     assigned = model.transform(assemble(points, ["f0", "f1"]))
     centres = [centre for _, centre in centre_rows(model)]
     nearest = assign_to_centres(points, ["f0", "f1"], centres).select("code", F.col("cluster").alias("near"))
@@ -121,6 +120,34 @@ def test_vectors_from_float_arrays(spark):
     assert vectors_from_arrays(frame, "v").first()["features"].toArray().tolist() == [1.0, 2.0]
 
 
-def test_layout_has_the_partitions_asked_for(points):
-    assert canonical_layout(points).rdd.getNumPartitions() == segment.LAYOUT_PARTITIONS
-    assert canonical_layout(points, 21).rdd.getNumPartitions() == 21
+def test_seeds_are_the_same_rows_in_any_layout(points):
+    vectors = assemble(points, ["f0", "f1"])
+    estimator = kmeans(4, 7, 30)
+    drawn = estimator.candidates(vectors)
+    rows = {(r["f0"], r["f1"]) for r in points.collect()}
+    assert 4 <= len(drawn) <= 60 and {tuple(x) for x in drawn.tolist()} <= rows
+    for partitions in (1, 8, 64):
+        again = vectors.repartition(partitions, "f1")
+        assert (estimator.candidates(again) == drawn).all() and (estimator.seeds(again) == estimator.seeds(vectors)).all()
+    other = kmeans(4, 8, 30).candidates(vectors)
+    assert other.shape != drawn.shape or (other != drawn).any()
+
+
+def test_fit_on_few_different_rows(spark):
+    frame = spark.createDataFrame([(str(i), float(i % 2)) for i in range(9)], "code string, x double")
+    vectors = assemble(frame, ["x"])
+    assert sorted(c for _, (c,) in centre_rows(kmeans(4, 1, 5).fit(vectors))) == [0.0, 1.0]
+    with pytest.raises(ValueError, match="2 different rows"):
+        kmeans(3, 1, 5).fit(vectors.filter("x = 1"))
+
+
+def test_fit_is_as_good_as_the_library_one(points):
+    from pyspark.ml.clustering import KMeans
+
+    vectors = assemble(points, ["f0", "f1"])
+
+    def cost(model):
+        centres = [centre for _, centre in centre_rows(model)]
+        return assign_to_centres(points, ["f0", "f1"], centres).agg(F.sum("distance")).first()[0]
+
+    assert cost(kmeans(4, 42, 30).fit(vectors)) <= 1.01 * cost(KMeans(k=4, seed=42, maxIter=30).fit(vectors))

@@ -41,7 +41,6 @@ from larder.operators.prepare import (
 from larder.operators.publish import duplicate_codes, unknown_codes
 from larder.operators.segment import (
     assign_to_centres,
-    canonical_layout,
     centre_rows,
     cluster_sizes,
     kmeans,
@@ -399,8 +398,8 @@ def predictions_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 def kmeans_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Centres of a fit on separated groups, numbered in their order."""
     points = table(spark, sf_dir, "lineitem").selectExpr(*separated_points("string"))
-    vectors = assemble(points).select("code", "features")
-    model = kmeans(CLUSTERS, SEED, MAX_ITERATIONS).fit(canonical_layout(vectors).select("features"))
+    vectors = materialize(assemble(points).select("code", "features"), "vectors")
+    model = kmeans(CLUSTERS, SEED, MAX_ITERATIONS).fit(vectors)
     centres = sorted([round(x, 6) + 0.0 for x in centre] for _, centre in centre_rows(model))
     schema = ", ".join(["cluster int", *[f"{name} double" for name in FEATURE_SLOTS]])
     return spark.createDataFrame([(i, *centre) for i, centre in enumerate(centres)], schema)
