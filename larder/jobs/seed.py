@@ -6,7 +6,6 @@ import argparse
 from collections.abc import Sequence
 
 from larder.jobs.options import session
-from larder.operators.cells import seed_counts
 from larder.plans.tables import CellTables
 from larder.sources.files import read_products_tsv
 
@@ -15,15 +14,10 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--input", required=True)
     parser.add_argument("--tables", required=True, help="folder of the cell tables")
-    parser.add_argument("--no-count", action="store_true", help="save the counting pass")
     options = parser.parse_args(arguments)
     spark = session("seed")
     products = read_products_tsv(spark, options.input)
-    CellTables(spark, options.tables).seed(products)
-    if options.no_count:
-        print(f"Seeded {options.input} into the raw table")
-        return
-    counts = seed_counts(products).first()
+    counts = CellTables(spark, options.tables).seed(products)
     print(f"Seeded {counts['seeded']} source rows into the raw table, {counts['rejected']} rejected")
 
 

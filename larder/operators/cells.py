@@ -127,24 +127,27 @@ def seed_products(
     return merged.filter(F.coalesce(*[quoted(name) for name in mapping]).isNotNull())
 
 
-def seed_counts(raw: DataFrame, layout: ProductLayout = FILE_LAYOUT) -> DataFrame:
-    """One row: rows a load puts, and keyed rows it rejects for having no cell to put."""
-    keyed = raw.filter(has_content(quoted(KEY)))
+def seed_counts(layout: ProductLayout = FILE_LAYOUT) -> dict[str, Column]:
+    """Aggregates over raw rows: those a load puts, and keyed rows it rejects for having no cell to put."""
+    keyed = has_content(quoted(KEY))
     filled = reduce(or_, [has_content(quoted(name)) for name in product_cells(layout)])
-    return keyed.agg(F.count_if(filled).alias("seeded"), F.count_if(~filled).alias("rejected"))
+    return {"seeded": F.count_if(keyed & filled), "rejected": F.count_if(keyed & ~filled)}
+
+
+def last_of_first_keys(cells: DataFrame, limit: int) -> str | None:
+    """The greatest of the ``limit`` smallest row keys, or none without cells; reads the keys alone."""
+    keys = cells.select("row_key").filter(F.col("row_key").isNotNull()).distinct()
+    return keys.orderBy("row_key").limit(limit).agg(F.max("row_key")).first()[0]
 
 
 def first_rows(cells: DataFrame, limit: int) -> DataFrame:
-    """All cells, as last put, of the ``limit`` smallest row keys.
+    """All cells, as last put, of the ``limit`` smallest row keys (S4), of cells in no order.
 
-    A first pass over the keys alone finds the last key wanted. The second one
-    pushes it into the scan, so a table stored in key order is read up to there.
+    A stored table finds the last key from notes on its files: ``CellTable.scan``.
     """
     if limit <= 0:
-        raise ValueError("scan limit must be positive")
-    keys = cells.select("row_key").filter(F.col("row_key").isNotNull()).distinct()
-    last = keys.orderBy("row_key").limit(limit).agg(F.max("row_key").alias("last")).first()["last"]
-    return latest_cells(cells.filter(F.col("row_key") <= F.lit(last)))
+        raise ValueError(f"a scan wants a positive limit, got {limit}")
+    return latest_cells(cells.filter(F.col("row_key") <= F.lit(last_of_first_keys(cells, limit))))
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

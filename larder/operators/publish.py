@@ -66,7 +66,7 @@ def check_joined(joined: DataFrame) -> int:
         *[F.count_if(fault).alias(kind) for kind, fault in faults.items()],
     ).first()
     if found["total"] == 0:
-        raise ValueError("predictions must not be empty")
+        raise ValueError("nothing to publish: no predictions")
     for kind, fault in faults.items():
         if found[kind]:
             some = per_code.filter(fault).select(KEY).orderBy(KEY).limit(SHOWN_OFFENDERS).collect()

@@ -6,7 +6,7 @@ Folders under the root:
 ``ranges/version=<v>``    one row per snapshot file: its keys, row count and first row number
 ``pointer``               appended rows (version, count, created_at); the newest is current
 ``results/run_id=<r>/attempt=<a>``  published predictions of one attempt; the run row names the one that counts
-``runs``                  appended run events; the last non-null value of a field counts
+``runs/bucket=<b>``       appended run events, by a hash of the run id; the last non-null value of a field counts
 """
 
 from __future__ import annotations
@@ -19,9 +19,12 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import reduce
+from operator import or_
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,13 +41,15 @@ from larder.schema import (
     ProductLayout,
     strings,
 )
-from larder.sources.scratch import materialize
+from larder.sources.folders import remove, subfolders
+from larder.sources.scratch import stored
 
 ATTEMPT_EVENT_SCHEMA = T.StructType([*RUN_EVENT_SCHEMA.fields, T.StructField("attempt", T.StringType())])
 
 PAGE_CAP = 1000
 ROWS_PER_FILE = 1_000_000
 ROWS_PER_SMALL_FILE = 10_000
+RUN_BUCKETS = 64
 PUBLISH_SOURCE = "data-mart"
 
 RANGE_SCHEMA = T.StructType(
@@ -66,6 +71,11 @@ def utc_now() -> str:
     return datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%fZ")
 
 
+def run_bucket(run_id: Column) -> Column:
+    """The folder of a run's events."""
+    return F.pmod(F.xxhash64(run_id), F.lit(RUN_BUCKETS)).cast("int")
+
+
 @dataclass(frozen=True)
 class Snapshot:
     version: str
@@ -172,7 +182,7 @@ class ProductMart:
     def current(self) -> Snapshot:
         row = self.current_pointer().first()
         if row is None:
-            raise NoSnapshot("dataset has not been refreshed yet")
+            raise NoSnapshot("no snapshot has been published")
         return Snapshot(row["version"], row["count"], row["created_at"])
 
     def require_current(self, snapshot: Snapshot) -> None:
@@ -246,13 +256,13 @@ class ProductMart:
         ``version`` should be the one trained on; by default the current one.
         """
         if not run_id:
-            raise ValueError("run_id must not be empty")
+            raise ValueError("a publication wants a run id")
         created_at = checked_time(created_at)
         products = self.snapshot(version or self.current().version)
-        joined = materialize(joined_predictions(predictions, products), "joined-predictions")
-        published = check_joined(joined)
         attempt = uuid.uuid4().hex
-        self._store_results(result_rows(joined, run_id, created_at), attempt)
+        with stored(joined_predictions(predictions, products), "joined-predictions") as joined:
+            published = check_joined(joined)
+            self._store_results(result_rows(joined, run_id, created_at), attempt)
         self.put_run(
             run_id,
             put_seq,
@@ -272,12 +282,31 @@ class ProductMart:
     def results(self, run_id: str | None = None) -> DataFrame:
         """Published predictions of complete runs."""
         rows = self._read_or_empty("results", RESULT_SCHEMA)
-        complete = self._last_events().filter(F.col("status") == "complete").select("run_id", "attempt")
         if run_id is not None:
             rows = rows.filter(F.col("run_id") == run_id)
-            complete = complete.filter(F.col("run_id") == run_id)
+        complete = self._last_events(run_id).filter(F.col("status") == "complete").select("run_id", "attempt")
         return rows.join(complete, ["run_id", "attempt"], "left_semi").drop("attempt")
 
+    def remove_attempts(self, run_id: str) -> int:
+        """Delete result folders of a run that its run row doesn't name; returns how many.
+
+        Call it when no publication of the run is under way: one that has stored its rows and not yet put its run row
+        looks like a failed one.
+        """
+        named = {row["attempt"] for row in self._last_events(run_id).select("attempt").collect()}
+        # Partition values are escaped in folder names.
+        own = [name for name in subfolders(self.spark, f"{self.root}/results") if unquote(name) == f"run_id={run_id}"]
+        folders = [f"{self.root}/results/{name}" for name in own]
+        stray = [
+            f"{folder}/{name}"
+            for folder in folders
+            for name in subfolders(self.spark, folder)
+            if name.removeprefix("attempt=") not in named
+        ]
+        for path in stray:
+            remove(self.spark, path)
+        return len(stray)
+
     # Runs
 
     def put_run(self, run_id: str, put_seq: int | None = None, attempt: str | None = None, **fields: str) -> None:
@@ -295,16 +324,51 @@ class ProductMart:
         """Append run events in bulk."""
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in RUN_EVENT_SCHEMA]
         attempt = F.col("attempt") if "attempt" in events.columns else F.lit(None).cast("string")
-        events.select(*columns, attempt.alias("attempt")).write.mode("append").parquet(f"{self.root}/runs")
+        # Rows of a bucket come together, so a bulk put adds a file per bucket, not one per task and bucket.
+        dealt = events.select(*columns, attempt.alias("attempt"), run_bucket(F.col("run_id")).alias("bucket"))
+        dealt.repartition("bucket").write.mode("append").partitionBy("bucket").parquet(f"{self.root}/runs")
 
-    def runs(self) -> DataFrame:
-        """One row per run with the last value of every field."""
-        return self._last_events().drop("attempt")
+    def runs(self, run_id: str | None = None) -> DataFrame:
+        """One row per run, or of one run, with the last value of every field.
 
-    def _last_events(self) -> DataFrame:
-        events = self._read_or_empty("runs", ATTEMPT_EVENT_SCHEMA)
+        Asking for one run opens one folder of events.
+        """
+        return self._last_events(run_id).drop("attempt")
+
+    def _last_events(self, run_id: str | None = None) -> DataFrame:
+        if run_id is None:
+            events = self._read_or_empty("runs", ATTEMPT_EVENT_SCHEMA)
+        else:
+            events = self._read_or_empty(f"runs/bucket={self._bucket_of(run_id)}", ATTEMPT_EVENT_SCHEMA)
+            events = events.filter(F.col("run_id") == run_id)
         return latest_fields(events, "run_id", (*RUN_FIELDS, "attempt"), "put_seq")
 
+    def _bucket_of(self, run_id: str) -> int:
+        return self.spark.range(1).select(run_bucket(F.lit(run_id))).first()[0]
+
+    def fold_runs(self) -> int:
+        """Replace the events of every bucket by those that still decide a field; returns how many events went.
+
+        The folded events are written first and the files they replace removed after: who reads in between
+        sees events twice, which changes nothing, and a fold that fails midway can be repeated. One fold at a time,
+        and none beside puts that carry an older ``put_seq``.
+        """
+        events = self._read_or_empty("runs", ATTEMPT_EVENT_SCHEMA)
+        files = events.inputFiles()
+        fields = [*RUN_FIELDS, "attempt"]
+        last = events.groupBy("run_id").agg(
+            *[F.max(F.when(F.col(name).isNotNull(), F.col("put_seq"))).alias(f"__{name}") for name in fields]
+        )
+        decides = reduce(or_, [F.col("put_seq").eqNullSafe(F.col(f"__{name}")) for name in fields])
+        kept = events.join(last, "run_id").filter(decides).select(*ATTEMPT_EVENT_SCHEMA.names).distinct()
+        before = events.count()
+        with stored(kept, "folded-runs") as folded:
+            after = folded.count()
+            self.put_run_events(folded)
+        for path in files:
+            remove(self.spark, path)
+        return before - after
+
     @contextmanager
     def tracked_run(self, run_id: str) -> Iterator[None]:
         """Mark the run running, and failed if the block raises.

@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from larder.operators.cells import (
@@ -13,10 +13,10 @@ from larder.operators.cells import (
     Cell,
     from_cells,
     product_cells,
-    products_to_cells,
     result_cells,
     row_counts,
     run_statuses,
+    seed_counts,
     seed_products,
     to_cells,
 )
@@ -26,6 +26,7 @@ from larder.schema import (
     FEATURE_SLOTS,
     FILE_LAYOUT,
     IDENTITY_COLUMNS,
+    KEY,
     RUN_FIELDS,
     TABLE_LAYOUT,
     ProductLayout,
@@ -33,7 +34,7 @@ from larder.schema import (
 )
 from larder.sources.celltable import CellTable
 from larder.sources.files import with_file_order
-from larder.sources.scratch import materialize
+from larder.sources.scratch import materialize, stored
 
 RUN_CELLS: dict[str, Cell] = {name: ("run", name) for name in RUN_FIELDS}
 POINTER_CELLS: dict[str, Cell] = {
@@ -87,6 +88,13 @@ class CellTables:
     def prepared(self) -> CellTable:
         return self.table("prepared")
 
+    def prepared_version(self, version: str) -> CellTable:
+        """The cells of one version, in a folder of their own: who reads it lists no other version's files."""
+        return self.table(f"prepared/version={version}")
+
+    def prepared_products(self, version: str) -> DataFrame:
+        return prepared_from_cells(self.prepared_version(version).log(), version)
+
     @property
     def pointer(self) -> CellTable:
         return self.table("pointer")
@@ -108,21 +116,25 @@ class CellTables:
             cells = self.raw.scan(scan_limit).withColumn("put_seq", F.lit(0).cast("bigint"))
         return from_cells(cells, "code", product_cells(layout))
 
-    def seed(self, raw: DataFrame, layout: ProductLayout = FILE_LAYOUT) -> None:
-        """Load a file scan into the raw table.
+    def seed(self, raw: DataFrame, layout: ProductLayout = FILE_LAYOUT) -> dict[str, int]:
+        """Load a file scan into the raw table; returns how many rows it put and rejected.
 
-        Rows of one key are merged in file order before the put. ``seed_counts``
-        tells how many rows that is, at the price of another pass.
+        The file is read once: rows are counted on the way and merged by key in file order into a stored
+        table. The key ranges of the put come from that.
         """
-        merged = seed_products(with_file_order(raw), layout)
-        self.raw.put(products_to_cells(merged, layout, F.lit(time.time_ns())), ordered=True)
+        seen = Observation("seed")
+        counts = [column.alias(name) for name, column in seed_counts(layout).items()]
+        merged = seed_products(with_file_order(raw).observe(seen, *counts), layout)
+        with stored(merged, "seeded") as products:
+            self.raw.put_ordered(products, KEY, product_cells(layout), F.lit(time.time_ns()))
+        return dict(seen.get)
 
     def publish_prepared(
         self, prepared: DataFrame, version: str, count: int, created_at: str
     ) -> None:
         """A prepared snapshot and then the pointer to it, as cells."""
         sequence = F.lit(time.time_ns()).alias("put_seq")
-        self.prepared.put(prepared_cells(prepared, version).withColumn("put_seq", sequence))
+        self.prepared_version(version).put(prepared_cells(prepared, version).withColumn("put_seq", sequence))
         row = [(POINTER_KEY, version, str(count), created_at)]
         schema = strings("metadata_key", *POINTER_CELLS)
         self.pointer.put_rows(
@@ -134,7 +146,7 @@ class CellTables:
             F.col("metadata_key") == POINTER_KEY
         ).first()
         if row is None:
-            raise RuntimeError("dataset has not been refreshed yet")
+            raise RuntimeError("no prepared version has been published")
         return row["version"], int(row["count"]), row["created_at"]
 
     def put_run(self, run_id: str, **fields: str) -> None:

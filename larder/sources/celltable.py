@@ -1,15 +1,37 @@
-"""A cell table stored as an append-only Parquet log of puts."""
+"""A cell table stored as an append-only Parquet log of puts, a folder for each."""
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from larder.operators.cells import first_rows, from_cells, latest_cells, to_cells
+from larder.functions.columns import quoted
+from larder.operators.cells import from_cells, last_of_first_keys, latest_cells, to_cells
 from larder.schema import CELL_SCHEMA
+from larder.sources.folders import subfolders
+
+ORDERED, UNORDERED = "ordered-", "plain-"
+#: Added to a table's path: where the key ranges of its files are noted.
+RANGES = ".ranges"
+FILE_RANGE_SCHEMA = T.StructType(
+    [T.StructField(name, T.StringType()) for name in ("put", "file", "first_key", "last_key")]
+    + [T.StructField("keys", T.LongType())]
+)
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The Parquet table below a path; without rows if there is none yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 @dataclass(frozen=True)
@@ -19,24 +41,47 @@ class CellTable:
 
     def log(self) -> DataFrame:
         """Every put; empty if the table was never written."""
-        try:
-            return self.spark.read.schema(CELL_SCHEMA).parquet(self.path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], CELL_SCHEMA)
+        return read_or_empty(self.spark, self.path, CELL_SCHEMA).select(*CELL_SCHEMA.names)
+
+    def _ranges(self) -> DataFrame:
+        return read_or_empty(self.spark, f"{self.path}{RANGES}", FILE_RANGE_SCHEMA)
 
     def put(self, cells: DataFrame, ordered: bool = False) -> None:
         """Append cells; ``put_seq`` decides between puts of one cell.
 
-        ``ordered`` stores them in ranges of their row key, which spares key-limited
-        scans most of the file; meant for bulk loads.
+        ``ordered`` says that the rows come in ascending, disjoint ranges of their row key, partition by partition. The
+        range of every file is then noted beside the table, which spares key-limited scans most files; files
+        without a note are read, so an attempt that fails in between costs no row.
         """
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in CELL_SCHEMA]
-        stored = cells.select(*columns)
+        name = f"{ORDERED if ordered else UNORDERED}{uuid.uuid4().hex}"
+        folder = f"{self.path}/put={name}"
+        cells.select(*columns).write.parquet(folder)
         if ordered:
-            stored = stored.repartitionByRange("row_key").sortWithinPartitions("row_key")
-        stored.write.mode("append").parquet(self.path)
+            (
+                self.spark.read.schema(CELL_SCHEMA)
+                .parquet(folder)
+                .groupBy(F.col("_metadata.file_name").alias("file"))
+                .agg(
+                    F.min("row_key").alias("first_key"),
+                    F.max("row_key").alias("last_key"),
+                    F.countDistinct("row_key").alias("keys"),
+                )
+                .select(F.lit(name).alias("put"), "file", "first_key", "last_key", "keys")
+                .write.mode("append")
+                .parquet(f"{self.path}{RANGES}")
+            )
+
+    def put_ordered(
+        self, rows: DataFrame, key: str, mapping: dict, put_seq: Column, files: int | None = None
+    ) -> None:
+        """Put rows in ranges of their key, by default as many as their size asks for; meant for bulk loads.
+
+        ``rows`` should be a stored table: finding the ranges reads it once more.
+        """
+        dealt = rows.repartitionByRange(quoted(key)) if files is None else rows.repartitionByRange(files, quoted(key))
+        placed = dealt.sortWithinPartitions(quoted(key))
+        self.put(to_cells(placed, key, mapping, put_seq), ordered=True)
 
     def put_rows(self, rows: DataFrame, key: str, mapping: dict, put_seq: Column) -> None:
         self.put(to_cells(rows, key, mapping, put_seq))
@@ -47,5 +92,37 @@ class CellTable:
     def rows(self, key: str, mapping: dict) -> DataFrame:
         return from_cells(self.log(), key, mapping)
 
+    def below(self, key: str) -> DataFrame:
+        """The log up to a row key, from the files that can hold such keys."""
+        noted = self._ranges()
+        paths = [f"put={row['put']}/{row['file']}" for row in noted.filter(F.col("first_key") <= key).select("put", "file").collect()]
+        # Plain puts, and an ordered one that lacks its notes, are read whole.
+        known = {row["put"] for row in noted.select("put").distinct().collect()}
+        paths += [name for name in subfolders(self.spark, self.path) if name.removeprefix("put=") not in known]
+        if not paths:
+            return self.spark.createDataFrame([], CELL_SCHEMA)
+        rows = self.spark.read.schema(CELL_SCHEMA).parquet(*[f"{self.path}/{path}" for path in paths])
+        return rows.filter(F.col("row_key") <= key)
+
+    def _key_bound(self, limit: int) -> str | None:
+        """A key that has ``limit`` keys up to it at least, by the notes alone; none if they don't tell.
+
+        Of a put only files count that begin where the ones before end, or later; a key may span two of them.
+        """
+        files = Window.partitionBy("put").orderBy("last_key", "first_key", "file")
+        before = F.max("last_key").over(files.rowsBetween(Window.unboundedPreceding, -1))
+        own = F.when(before.isNull() | (F.col("first_key") >= before), F.col("keys") - 1).otherwise(0)
+        reached = self._ranges().withColumn("own", own).withColumn("so_far", F.sum("own").over(files) + 1)
+        return reached.filter(F.col("so_far") >= limit).agg(F.min("last_key")).first()[0]
+
     def scan(self, limit: int) -> DataFrame:
-        return first_rows(self.log(), limit)
+        """All cells, as last put, of the ``limit`` smallest row keys.
+
+        The notes of ordered puts bound the last key wanted, a pass over the keys of the files up to that bound
+        finds it, and only files that begin at or below it are read.
+        """
+        if limit <= 0:
+            raise ValueError(f"a scan wants a positive limit, got {limit}")
+        bound = self._key_bound(limit)
+        last = last_of_first_keys(self.log() if bound is None else self.below(bound), limit)
+        return latest_cells(self.log().limit(0) if last is None else self.below(last))

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from larder.sources.folders import remove
+
 _local_folders: dict[str, str] = {}
 
 
@@ -43,3 +47,15 @@ def materialize(frame: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+@contextmanager
+def stored(frame: DataFrame, label: str) -> Iterator[DataFrame]:
+    """The frame from a scratch table that is gone after the block; nothing lazy may outlive it."""
+    spark = frame.sparkSession
+    path = scratch_path(spark, label)
+    try:
+        frame.write.parquet(path)
+        yield spark.read.schema(frame.schema).parquet(path)
+    finally:
+        remove(spark, path)

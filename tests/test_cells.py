@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from larder.operators.cells import (
@@ -18,9 +21,10 @@ from larder.operators.cells import (
     to_cells,
 )
 from larder.plans.tables import CellTables
-from larder.schema import CELL_SCHEMA, FILE_LAYOUT, ProductLayout
+from larder.schema import CELL_SCHEMA, FILE_LAYOUT, PREPARED_SCHEMA, ProductLayout
 from larder.sources.celltable import CellTable
 from larder.sources.files import read_products_tsv, with_file_order
+from larder.sources.scratch import scratch_root
 
 
 def as_cells(spark, *rows):
@@ -87,7 +91,7 @@ def test_scan_takes_the_smallest_keys_with_all_their_cells(spark):
     assert found == [
         ("k1", "f", "x", "z"), ("k1", "f", "y", "y1"), ("k10", "f", "x", "x10"), ("k10", "f", "y", "y10")
     ]
-    with pytest.raises(ValueError, match="scan limit must be positive"):
+    with pytest.raises(ValueError, match="positive limit"):
         first_rows(cells, 0)
 
 
@@ -114,7 +118,8 @@ def test_seeding_keeps_the_last_value_of_each_field_in_file_order(spark, export_
 
 def test_rows_without_any_cell_are_rejected(file_products):
     rows = file_products(("1", *[None] * 10), (" 2 ", "x", *[""] * 9), ("", "y", *[None] * 9))
-    assert tuple(seed_counts(rows).first()) == (1, 1)
+    counts = [column.alias(name) for name, column in seed_counts().items()]
+    assert rows.agg(*counts).first().asDict() == {"seeded": 1, "rejected": 1}
     ordered = rows.withColumn("put_seq", F.lit(0))
     assert [row["code"] for row in seed_products(ordered, FILE_LAYOUT).collect()] == ["2"]
 
@@ -162,13 +167,70 @@ def test_white_space_of_any_kind_is_no_cell_and_no_part_of_a_key(spark):
     assert sorted(r["value"] for r in cells.collect()) == ["lost", "name"]
 
 
-def test_a_limited_scan_pushes_its_last_key(spark, tmp_path):
-    table = CellTable(spark, str(tmp_path / "cells"))
-    rows = spark.range(1000).select(F.format_string("%05d", "id").alias("row_key"), F.lit("f").alias("family"), F.lit("q").alias("qualifier"), F.lit("v").alias("value"), F.lit(0).alias("put_seq"))
-    table.put(rows, ordered=True)
+def numbered_rows(spark, low, high, partitions=8, value="v"):
+    return spark.range(low, high, 1, partitions).select(F.format_string("%05d", "id").alias("k"), F.lit(value).alias("name"))
+
+
+def test_a_limited_scan_reads_the_files_of_its_keys_alone(spark, tmp_path):
+    table, mapping = CellTable(spark, str(tmp_path / "cells")), {"name": ("f", "q")}
+    table.put_ordered(numbered_rows(spark, 0, 8000), "k", mapping, F.lit(0), files=8)
+    files = table.log().inputFiles()
+    assert len(files) >= 8
     found = table.scan(3)
     assert "LessThanOrEqual(row_key,00002)" in found._jdf.queryExecution().executedPlan().toString()
-    assert found.count() == 3
+    assert len(found.inputFiles()) == 1 and found.count() == 3
+    assert len(table.scan(7990).inputFiles()) == len(files) and table.scan(9000).count() == 8000
+
+
+def test_a_limited_scan_over_several_puts(spark, tmp_path):
+    """Ordered puts that overlap, a plain one in between, and one whose ranges were never noted."""
+    table, mapping = CellTable(spark, str(tmp_path / "cells")), {"name": ("f", "q")}
+    table.put_ordered(numbered_rows(spark, 100, 4000), "k", mapping, F.lit(0), files=6)
+    table.put_ordered(numbered_rows(spark, 90, 300, value="w"), "k", mapping, F.lit(1), files=3)
+    table.put_rows(numbered_rows(spark, 95, 97, value="z"), "k", mapping, F.lit(2))
+    unnoted = to_cells(numbered_rows(spark, 0, 5, value="u"), "k", mapping, F.lit(3)).withColumn("put_seq", F.lit(3))
+    unnoted.withColumn("put_seq", F.col("put_seq").cast("long")).write.parquet(f"{table.path}/put=ordered-lost")
+    expected = {**{f"{i:05d}": "v" for i in range(100, 4000)}, **{f"{i:05d}": "w" for i in range(90, 300)}}
+    expected |= {"00095": "z", "00096": "z", **{f"{i:05d}": "u" for i in range(5)}}
+    for limit in (1, 5, 8, 40, 250, 3000, 10_000):
+        found = {r["row_key"]: r["value"] for r in table.scan(limit).collect()}
+        assert found == {key: expected[key] for key in sorted(expected)[:limit]}
+    assert len(table.scan(40).inputFiles()) < len(table.log().inputFiles())
+
+
+def test_unordered_rows_put_as_ordered_stay_right(spark, tmp_path):
+    table = CellTable(spark, str(tmp_path / "cells"))
+    rows = to_cells(numbered_rows(spark, 0, 900).repartition(4), "k", {"name": ("f", "q")}, F.lit(1))
+    for _ in range(2):
+        table.put(rows, ordered=True)
+    for limit in (1, 10, 300, 899, 900, 901):
+        assert sorted(r["row_key"] for r in table.scan(limit).collect()) == [f"{i:05d}" for i in range(min(limit, 900))]
+
+
+def test_seeding_reads_the_file_once_and_counts_on_the_way(spark, export_path, tmp_path):
+    tables = CellTables(spark, str(tmp_path / "tables"))
+    raw = read_products_tsv(spark, export_path, FILE_LAYOUT.raw_schema)
+    seen = Observation("rows read")
+    watched = raw.observe(seen, F.count(F.lit(1)).alias("rows"))
+    assert tables.seed(watched) == {"seeded": 41, "rejected": 0} and seen.get["rows"] == 42
+    assert {r["row_key"] for r in tables.raw.cells().collect()} >= {"1000", "1040"}
+    assert scratch_tables(spark, "seeded") == []
+
+
+def scratch_tables(spark, label):
+    folder = Path(scratch_root(spark).removeprefix("file:")) / spark.sparkContext.applicationId
+    return sorted(path.name for path in folder.glob(f"{label}-*"))
+
+
+def test_versions_of_prepared_cells_are_listed_apart(spark, tmp_path):
+    tables = CellTables(spark, str(tmp_path / "tables"))
+    rows = spark.createDataFrame([(f"c{i}", "n", "", *[float(i)] * 8) for i in range(9)], PREPARED_SCHEMA).coalesce(1)
+    listed = []
+    for i in range(10):
+        tables.publish_prepared(rows, f"v{i}", 9, "2024-01-01T00:00:00.000000Z")
+        listed.append(len(tables.prepared_products("v0").inputFiles()))
+    assert len(set(listed)) == 1 and tables.prepared_products("v7").count() == 9
+    assert {r["table_name"]: r["rows"] for r in tables.row_counts().collect()}["prepared"] == 90
 
 
 def test_results_of_failed_table_runs_stay_hidden(spark, tmp_path):

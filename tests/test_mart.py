@@ -1,12 +1,15 @@
 from __future__ import annotations
 
 import re
+from pathlib import Path
 
 import pytest
 
 import larder.plans.mart
 from larder.plans.mart import NoSnapshot, ProductMart, VersionMismatch, utc_now
-from larder.schema import PREDICTION_SCHEMA, PREPARED_SCHEMA, TABLE_LAYOUT
+from larder.schema import PREDICTION_SCHEMA, PREPARED_SCHEMA, RUN_EVENT_SCHEMA, TABLE_LAYOUT
+from larder.sources.folders import subfolders
+from larder.sources.scratch import scratch_root
 
 
 def prepared(spark, count, mark=""):
@@ -36,7 +39,7 @@ def filled(spark, tmp_path_factory):
 
 
 def test_nothing_published_yet(mart):
-    with pytest.raises(NoSnapshot, match="not been refreshed"):
+    with pytest.raises(NoSnapshot, match="no snapshot"):
         mart.current()
     with pytest.raises(NoSnapshot):
         mart.page(0, 10)
@@ -131,7 +134,7 @@ def test_publishing_against_the_trained_version(filled, spark):
 @pytest.mark.parametrize(
     "codes,message",
     [
-        ([], "must not be empty"),
+        ([], "nothing to publish"),
         (["c00001", "c00001"], "duplicate product codes: c00001"),
         (["c00001", "x"], "1 unknown product codes: x"),
     ],
@@ -181,7 +184,7 @@ def test_pages_of_a_version_end_with_it(mart, spark):
 
 
 def test_a_run_needs_an_id_and_known_fields(filled, spark):
-    with pytest.raises(ValueError, match="run_id must not be empty"):
+    with pytest.raises(ValueError, match="wants a run id"):
         filled.publish("", predict(spark, "c00001"), 0.5)
     with pytest.raises(ValueError, match="no such run fields: state"):
         filled.put_run("r", state="x")
@@ -210,3 +213,53 @@ def test_file_count_follows_the_rows(mart):
 
 def test_times_have_one_width():
     assert len({len(utc_now()) for _ in range(50)}) == 1
+
+
+def test_a_lookup_of_one_run_opens_one_folder(spark, tmp_path):
+    mart = ProductMart(spark, str(tmp_path / "mart"))
+    names = [f"run-{i}" for i in range(200)]
+    events = [(name, "running", *[None] * 6, i) for i, name in enumerate(names)]
+    mart.put_run_events(spark.createDataFrame(events, RUN_EVENT_SCHEMA))
+    mart.put_run("run-7", 1000, status="complete", silhouette="0.5")
+    found = mart.runs("run-7")
+    assert (found.first()["status"], found.count()) == ("complete", 1)
+    assert {Path(path).parent.name for path in found.inputFiles()} == {f"bucket={mart._bucket_of('run-7')}"}
+    assert len({Path(path).parent.name for path in mart.runs().inputFiles()}) > 40
+    assert mart.runs("nobody").isEmpty()
+
+
+def test_folded_runs_say_the_same(spark, tmp_path):
+    mart = ProductMart(spark, str(tmp_path / "mart"))
+    assert mart.fold_runs() == 0
+    for i in range(6):
+        mart.put_run("a", i, status=f"s{i}")
+    mart.put_run("a", 2, silhouette="0.1")
+    mart.put_run("b", 1, status="running", started_at="t")
+    before = sorted(map(tuple, mart.runs().collect()))
+    assert mart.fold_runs() == 4
+    assert sorted(map(tuple, mart.runs().collect())) == before
+    assert mart.fold_runs() == 0 and sorted(map(tuple, mart.runs().collect())) == before
+    mart.put_run("a", 9, status="complete")
+    assert mart.runs("a").first()["status"] == "complete" and mart.runs("a").first()["silhouette"] == "0.1"
+
+
+def test_a_retry_leaves_no_folders_behind(filled, spark, monkeypatch):
+    """Attempts that stored rows and then failed are removed, the one that counts stays; scratch tables go."""
+    run_id, put = "retried: by hand", ProductMart.put_run
+
+    def fails(*args, **fields):
+        raise OSError("no run row")
+
+    for _ in range(2):
+        monkeypatch.setattr(ProductMart, "put_run", fails)
+        with pytest.raises(OSError):
+            filled.publish(run_id, predict(spark, "c00003"), 0.5)
+    monkeypatch.setattr(ProductMart, "put_run", put)
+    assert filled.results(run_id).isEmpty()
+    assert filled.publish(run_id, predict(spark, "c00003", "c00004"), 0.5) == 2
+    (folder,) = [f"{filled.root}/results/{name}" for name in subfolders(spark, f"{filled.root}/results") if "retried" in name]
+    assert len(subfolders(spark, folder)) == 3
+    assert filled.remove_attempts(run_id) == 2 and len(subfolders(spark, folder)) == 1
+    assert filled.results(run_id).count() == 2 and filled.remove_attempts(run_id) == 0
+    scratch = subfolders(spark, f"{scratch_root(spark)}/{spark.sparkContext.applicationId}")
+    assert not [name for name in scratch if name.startswith("joined-predictions")]

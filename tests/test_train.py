@@ -98,7 +98,7 @@ def test_jobs_end_to_end(spark, export_path, tmp_path, capsys):
     tables, mart = str(tmp_path / "tables"), str(tmp_path / "mart")
     seed.main(["--input", export_path, "--tables", tables])
     assert "Seeded 41 source rows" in capsys.readouterr().out
-    seed.main(["--input", export_path, "--tables", tables, "--no-count"])
+    seed.main(["--input", export_path, "--tables", tables])
     train_table.main(["--tables", tables, "--max-iterations", "5"])
     train_mart.main(["--tables", tables, "--mart", mart, "--max-iterations", "5"])
     train_file.main(["--input", export_path, "--max-iterations", "5", "--output", str(tmp_path / "o")])
@@ -125,14 +125,15 @@ def test_snapshot_cells_and_pointer(spark, tmp_path, export_path):
     from larder.plans.tables import prepared_from_cells
 
     tables = CellTables(spark, str(tmp_path / "tables"))
-    with pytest.raises(RuntimeError, match="not been refreshed"):
+    with pytest.raises(RuntimeError, match="no prepared version"):
         tables.current_version()
     tables.seed(read_products_tsv(spark, export_path))
     prepared = prepare_products(tables.raw_products())
     for version in ("v1", "v2"):
         tables.publish_prepared(prepared, version, 40, f"2024-{version}")
     assert tables.current_version() == ("v2", 40, "2024-v2")
-    read = prepared_from_cells(tables.prepared.log(), "v1")
+    read = tables.prepared_products("v1")
+    assert read.exceptAll(prepared_from_cells(tables.prepared.log(), "v1")).isEmpty()
     assert read.exceptAll(prepared).isEmpty() and prepared.exceptAll(read).isEmpty()
     counts = {row["table_name"]: row["rows"] for row in tables.row_counts().collect()}
     assert counts == {"raw": 40, "prepared": 80, "pointer": 1, "results": 0, "runs": 0}

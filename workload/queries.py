@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from larder.functions.columns import not_blank, quoted
 from larder.operators.cells import (
     cells_to_products,
-    first_rows,
     latest_cells,
     product_cells,
     products_to_cells,
@@ -192,8 +191,9 @@ def from_product_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scan_first_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = CellTable(spark, scratch_path(spark, "cells"))
-    cells.put(products_to_cells(keyed(spark, sf_dir), LAYOUT, F.lit(0)), ordered=True)
-    return first_rows(cells.log(), SCAN_LIMIT)
+    products = materialize(keyed(spark, sf_dir), "keyed")
+    cells.put_ordered(products, "code", product_cells(LAYOUT), F.lit(0))
+    return cells.scan(SCAN_LIMIT)
 
 
 def cell_merge_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
