@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.clustering import KMeansModel
+from pyspark.ml.common import _py2java
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import DenseMatrix, DenseVector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -81,13 +85,29 @@ def cluster_sizes(assigned: DataFrame) -> DataFrame:
     return assigned.groupBy("cluster").agg(F.count(F.lit(1)).alias("count"))
 
 
+def with_linear_scores(
+    frame: DataFrame, point: Sequence[Column], weights: Sequence[Sequence[float]], offsets: Sequence[float], name: str
+) -> DataFrame:
+    """Add an array with ``weights`` x point + ``offsets``, by the matrix product of Spark's linear classifier."""
+    context = frame.sparkSession.sparkContext
+    rows, columns = len(weights), len(weights[0])
+    matrix = DenseMatrix(rows, columns, [x for row in weights for x in row], isTransposed=True)
+    java = context._jvm.org.apache.spark.ml.classification.LogisticRegressionModel(
+        f"scores_{uuid.uuid4().hex[:12]}", _py2java(context, matrix), _py2java(context, DenseVector(offsets)), rows, True
+    )
+    model = LogisticRegressionModel(java).setFeaturesCol("_point").setRawPredictionCol("_raw")
+    model = model.setProbabilityCol("").setPredictionCol("")
+    scored = model.transform(frame.withColumn("_point", array_to_vector(F.array(*point))))
+    return scored.withColumn(name, vector_to_array("_raw")).drop("_point", "_raw")
+
+
 def silhouette_scores(assigned: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Add ``silhouette`` of every row, squared Euclidean.
 
     Mean distances to a whole cluster follow from its row count, coordinate sums
     and sum of squared norms, so no pair of rows is formed. These k sums come to
     the driver; the scoring itself is a projection, as plain arithmetic for few
-    clusters and over one literal of the sums for many.
+    clusters and as a matrix product for many.
     """
     point = [quoted(name) for name in columns]
     norm = reduce(lambda a, b: a + b, [x * x for x in point])
@@ -113,25 +133,24 @@ def silhouette_scores(assigned: DataFrame, columns: Sequence[str]) -> DataFrame:
         *[F.lit(None if row["rows"] == 1 else row["rows"] / (row["rows"] - 1)).cast("double") for row in totals]
     )
     ids = F.array(*[F.lit(row["cluster"]) for row in totals])
-    few = len(totals) * len(columns) <= UNROLLED_TERMS
-    if few:
+    own = F.col("_own").cast("int")
+    placed = assigned.select("*", F.array_position(ids, F.col("cluster")).alias("_own"))
+    if len(totals) * len(columns) <= UNROLLED_TERMS:
         distances = F.array(
             *[squared_distance(point, mean) + F.lit(spread) for mean, spread in zip(means, spreads, strict=True)]
         )
-    else:
-        distances = F.zip_with(_listed_distances(point, means), F.lit(spreads), lambda distance, spread: distance + spread)
-    measured = assigned.select(
-        "*", distances.alias("_distances"), F.array_position(ids, F.col("cluster")).alias("_own")
-    )
-    own = F.col("_own").cast("int")
-    if few:
+        measured = placed.select("*", distances.alias("_distances"))
         to = [F.col("_distances").getItem(i) for i in range(len(totals))]
+        within = F.element_at("_distances", own)
         others = F.least(*[F.when(own != i + 1, distance) for i, distance in enumerate(to)])
     else:
-        others = F.array_min(F.transform("_distances", lambda distance, i: F.when(i + 1 != own, distance)))
-    compared = measured.select(
-        "*", (F.element_at("_distances", own) * F.element_at(corrections, own)).alias("_in"), others.alias("_out")
-    )
+        # The distance is the row's squared norm less a linear function of the row: one matrix product for all clusters.
+        offsets = [-(sum(x * x for x in mean) + spread) for mean, spread in zip(means, spreads, strict=True)]
+        doubled = [[2 * x for x in mean] for mean in means]
+        measured = with_linear_scores(placed, point, doubled, offsets, "_distances")
+        rest = F.concat(F.slice("_distances", F.lit(1), own - 1), F.slice("_distances", own + 1, F.lit(len(totals))))
+        within, others = norm - F.element_at("_distances", own), norm - F.array_max(rest)
+    compared = measured.select("*", (within * F.element_at(corrections, own)).alias("_in"), others.alias("_out"))
     a, b = F.col("_in"), F.col("_out")
     score = F.when(a < b, 1 - a / b).when(a > b, b / a - 1).otherwise(0.0)
     return compared.select("*", score.alias("silhouette")).drop("_distances", "_own", "_in", "_out")

@@ -103,11 +103,13 @@ def test_silhouette_needs_two_clusters_and_few_enough(spark, points, monkeypatch
 
 
 def test_many_clusters_of_many_columns_agree_with_the_evaluator(points):
-    names = [f"x{i}" for i in range(8)]
+    names = [f"x{i}" for i in range(64)]
     wide = points.select("*", *[(F.col("f0") * (i + 1) + F.col("f1") * (i % 3)).alias(n) for i, n in enumerate(names)])
     many = wide.withColumn("cluster", (F.col("code").cast("int") % 100).cast("int"))
     expected = segment.evaluate_silhouette(assemble(many, names))
     assert mean_silhouette(many, names).first()["silhouette"] == pytest.approx(expected, abs=1e-9)
+    plan = silhouette_scores(many, names)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan
 
 
 def test_separated_groups_score_near_one(points):

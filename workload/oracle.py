@@ -292,9 +292,9 @@ from sizes""",
     + f"""select cast(row_number() over (order by {csv(FEATURE_SLOTS)}) - 1 as int) as cluster, *
 from (select {csv(f"round(avg({n}), 6) + 0.0 as {n}" for n in FEATURE_SLOTS)} from points group by g)""",
     "segment_products": with_(*CLEAN_TRIMMED)
-    + "select code, product_name, categories, true as nearest from clean",
+    + "select code, product_name, categories, true as nearest, true as centred from clean",
     "segment_prepared": "select cast(vec_id as varchar) as code, '' as product_name, "
-    "cast(label as varchar) as categories, true as nearest from embeddings",
+    "cast(label as varchar) as categories, true as nearest, true as centred from embeddings",
     "saved_model": "select cast(vec_id as varchar) as code, true as same from embeddings",
     "tracked_runs": with_(RAW, clean(False))
     + """select 'good' as run_id, 'complete' as status, cast(count(*) as varchar) as published_rows,

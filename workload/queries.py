@@ -79,6 +79,8 @@ CENTRES = [
     [(((k * 7 + i * 3) % 5) - 2) / 2 for i in range(len(FEATURE_SLOTS))] for k in range(CLUSTERS)
 ]
 SCAN_LIMIT = 100
+#: How far a fitted centre may be from the mean of its members; a fit may end with an iteration to go.
+CENTRE_TOLERANCE = 0.02
 PAGE_OFFSET = PAGE_LIMIT = 500
 RUN_ID = "run-1"
 VERSIONS = {"v1": "2024-01-01T00:00:00.000000Z", "v2": "2024-01-02T00:00:00.000000Z"}
@@ -411,12 +413,15 @@ def segment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def at_nearest_centre(scored: DataFrame, model: KMeansModel) -> DataFrame:
-    """Records with a flag: the row's cluster is that of the nearest fitted centre."""
+    """Records with flags: the row's cluster is that of the nearest fitted centre, and this is the mean of its members."""
     centres = [centre for _, centre in centre_rows(model)]
     names = [f"x{i}" for i in range(len(centres[0]))]
     fitted = scored.select(*IDENTITY_COLUMNS, F.col("cluster").alias("fitted"), "features")
-    nearest = assign_to_centres(spread(fitted, names=names), names, centres)
-    return nearest.select(*IDENTITY_COLUMNS, (F.col("cluster") == F.col("fitted")).alias("nearest"))
+    nearest = materialize(assign_to_centres(spread(fitted, names=names), names, centres), "nearest")
+    means = {row["cluster"]: [row[name] for name in names] for row in lloyd_step(nearest, names).collect()}
+    shifts = {i: max(abs(x - at) for x, at in zip(mean, centres[i], strict=True)) for i, mean in means.items()}
+    still = F.col("cluster").isin([i for i, shift in shifts.items() if shift <= CENTRE_TOLERANCE])
+    return nearest.select(*IDENTITY_COLUMNS, (F.col("cluster") == F.col("fitted")).alias("nearest"), still.alias("centred"))
 
 
 def segment_products(spark: SparkSession, sf_dir: str) -> DataFrame:
