@@ -59,3 +59,10 @@ def stored(frame: DataFrame, label: str) -> Iterator[DataFrame]:
         yield spark.read.schema(frame.schema).parquet(path)
     finally:
         remove(spark, path)
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete the scratch tables that ``materialize`` returned these frames for; nothing lazy may still need them."""
+    for frame in frames:
+        for folder in {path.rpartition("/")[0] for path in frame.inputFiles()}:
+            remove(frame.sparkSession, folder)

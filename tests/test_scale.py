@@ -15,7 +15,8 @@ from larder.operators.segment import assign_to_centres, cluster_sizes, mean_silh
 from larder.operators.text import word_count
 from larder.plans.mart import ProductMart
 from larder.schema import CELL_SCHEMA, FEATURE_SLOTS, PREPARED_SCHEMA, TABLE_LAYOUT
-from larder.sources.scratch import materialize, scratch_root
+from larder.sources.folders import subfolders
+from larder.sources.scratch import materialize, release, scratch_root, stored
 from workload.inputs import raw_products
 
 # The JVM does not compile methods above this many bytes of byte code.
@@ -207,3 +208,16 @@ def test_scratch_tables_go_to_the_shared_folder(spark, tmp_path, monkeypatch):
         scratch_root(Cluster)
     Cluster.sparkContext.given = "hdfs://set/later"
     assert scratch_root(Cluster) == "hdfs://set/later"
+
+
+def test_scratch_tables_go_when_told_to(spark):
+    folder = f"{scratch_root(spark)}/{spark.sparkContext.applicationId}"
+    frame = spark.range(9)
+    kept, gone = materialize(frame, "stays"), materialize(frame, "goes")
+    release(gone)
+    with pytest.raises(RuntimeError), stored(frame, "goes") as held:
+        assert held.count() == 9
+        raise RuntimeError
+    names = [name.rpartition("-")[0] for name in subfolders(spark, folder)]
+    assert kept.count() == 9 and "stays" in names and "goes" not in names
+    release(kept)
