@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.sources.scratch import materialize
+from larder.sources.scratch import materialize, release
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -38,7 +38,8 @@ def connected_components(edges: DataFrame, left: str, right: str) -> DataFrame:
         state = current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before:
             break
-        before = state
-        current = materialize(_small_star(_large_star(current)), "edges")
+        before, last = state, current
+        current = materialize(_small_star(_large_star(last)), "edges")
+        release(last)
     stars = current.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return stars.union(current.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()

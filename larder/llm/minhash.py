@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from larder.llm.components import connected_components
 from larder.llm.tables import id_and_text
-from larder.sources.scratch import materialize
+from larder.sources.scratch import materialize, release
 
 _U = np.uint64
 _SYMBOLS = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64) | _U(1)
@@ -130,40 +130,60 @@ def signature(units: np.ndarray, k: int) -> np.ndarray:
         bound *= 2
 
 
+def set_digest(units: np.ndarray) -> tuple[np.uint64, np.uint64]:
+    """Two hashes of a weighted set that don't depend on an order."""
+    return np.bitwise_xor.reduce(mix(units + _STEP)), np.add.reduce(mix(units ^ _U(0x5851F42D4C957F2D)))
+
+
 def _signed(rows: DataFrame, shingle: int, bands: int, band_rows: int) -> DataFrame:
-    """id, weight, set_a, set_b (a digest of the weighted set), bands, marks (a byte of each coordinate), bins."""
+    """id, weight, set_a, set_b (a digest of the weighted set), bands, marks (a byte of each coordinate)."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lanes = mix(np.arange(bands * band_rows, dtype=_U) + _STEP)
         for batch in batches:
-            ids, weights, first, second, keys, marks, bins = [], [], [], [], [], [], []
+            ids, weights, first, second, keys, marks = [], [], [], [], [], []
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 units = strips(text.as_py(), shingle)
                 if not len(units):
                     continue
                 ids.append(i)
                 weights.append(len(units))
-                first.append(np.bitwise_xor.reduce(mix(units + _STEP)))
-                second.append(np.add.reduce(mix(units ^ _U(0x5851F42D4C957F2D))))
+                for column, half in zip((first, second), set_digest(units), strict=True):
+                    column.append(half)
                 darts = mix(signature(units, bands * band_rows) ^ lanes)
                 marks.append((darts >> _U(56)).astype(np.uint8).tobytes())
-                bins.append(unit_bins(units).tobytes())
                 folded = np.add.reduce(darts.reshape(bands, band_rows), axis=1)
                 keys.append(mix(folded + np.arange(bands, dtype=_U)))
             flat = np.concatenate(keys).view(np.int64) if keys else np.empty(0, np.int64)
             listed = pa.ListArray.from_arrays(np.arange(len(ids) + 1, dtype=np.int32) * bands, pa.array(flat))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, batch.schema.field(0).type), pa.array(weights, pa.int64()), *[pa.array(np.array(c, _U).view(np.int64)) for c in (first, second)], listed, pa.array(marks, pa.binary()), pa.array(bins, pa.binary())],
-                ["id", "weight", "set_a", "set_b", "bands", "marks", "bins"],
+                [pa.array(ids, batch.schema.field(0).type), pa.array(weights, pa.int64()), *[pa.array(np.array(c, _U).view(np.int64)) for c in (first, second)], listed, pa.array(marks, pa.binary())],
+                ["id", "weight", "set_a", "set_b", "bands", "marks"],
             )
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(sign, f"id {kind}, weight long, set_a long, set_b long, bands array<long>, marks binary, bins binary")
+    return rows.mapInArrow(sign, f"id {kind}, weight long, set_a long, set_b long, bands array<long>, marks binary")
+
+
+def _binned(rows: DataFrame, shingle: int) -> DataFrame:
+    """id, set_a, set_b, bins: the bins of the weighted sets of a few rows, found from their texts again."""
+
+    def bin_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            units = [strips(text.as_py(), shingle) for text in batch.column(1)]
+            digests = np.array([set_digest(u) for u in units], _U).reshape(-1, 2).view(np.int64)
+            bins = pa.array([unit_bins(u).tobytes() for u in units], pa.binary())
+            halves = [pa.array(np.ascontiguousarray(digests[:, i])) for i in range(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *halves, bins], ["id", "set_a", "set_b", "bins"])
+
+    kind = rows.schema["id"].dataType.simpleString()
+    return rows.mapInArrow(bin_units, f"id {kind}, set_a long, set_b long, bins binary")
 
 
-def _similar(pairs: DataFrame, rows: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose exact weighted similarity is ``percent`` or more."""
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+def _similar(pairs: DataFrame, rows: DataFrame, shingle: int, percent: int, label: str) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose exact weighted similarity is ``percent`` or more, stored."""
+    # Stored first, so that its size is known: few ids are sent to the texts, not the texts to them.
+    wanted = materialize(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "wanted")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -182,7 +202,9 @@ def _similar(pairs: DataFrame, rows: DataFrame, shingle: int, percent: int) -> D
     kind = rows.schema["id"].dataType.simpleString()
     sets = materialize(rows.join(wanted, "id", "left_semi").mapInArrow(pack, f"id {kind}, units binary"), "shingles")
     joined = pairs.join(sets.toDF("a", "units_a"), "a").join(sets.toDF("b", "units_b"), "b")
-    return joined.select("a", "b", "units_a", "units_b").mapInArrow(decide, f"a {kind}, b {kind}")
+    similar = materialize(joined.select("a", "b", "units_a", "units_b").mapInArrow(decide, f"a {kind}, b {kind}"), label)
+    release(wanted, sets)
+    return similar
 
 
 BLOCK = 1024
@@ -290,6 +312,7 @@ def near_duplicates(
     leaders = ranked.groupBy("key").agg(F.min("rank").alias("first"))
     leaders = leaders.select("key", F.struct("first.id", "first.weight").alias("leader"))
     crowded = materialize(shared.select("key", "id", "weight").join(leaders, "key"), "buckets")
+    release(shared)
 
     comparable = F.lit(100) * F.least("w_a", "w_b") >= F.lit(percent) * F.greatest("w_a", "w_b")
     starred = crowded.filter(F.col("id") != F.col("leader.id")).select(
@@ -299,7 +322,7 @@ def near_duplicates(
         F.col("leader.weight").alias("w_b"),
     )
     pairs = materialize(starred.filter(comparable).select("a", "b").distinct(), "leader-pairs")
-    linked = materialize(_similar(pairs, known, shingle, percent).unionByName(members), "leader-links")
+    linked = _similar(pairs, known, shingle, percent, "leader-links").unionByName(members)
     found = materialize(connected_components(linked, "a", "b"), "leader-components")
 
     own = F.coalesce("component", "id")
@@ -307,13 +330,20 @@ def near_duplicates(
         crowded.select("key", "id", "weight").join(found, F.col("id") == F.col("node"), "left").select("key", "id", "weight", own.alias("comp")),
         "bucket-components",
     )
+    release(crowded)
     mixed = grouped.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low != high")
-    open_rows = grouped.join(mixed.select("key"), "key", "left_semi").join(one_each.select("id", "marks", "bins", "bands"), "id")
-    open_rows = open_rows.filter(F.array_contains("bands", F.col("key")))
+    opened = materialize(grouped.join(mixed.select("key"), "key", "left_semi"), "open-buckets")
+    release(grouped)
+    wanted = materialize(opened.select("id").distinct(), "open-ids")
+    named = ["id", "set_a", "set_b"]
+    bins = _binned(known.join(wanted, "id", "left_semi"), shingle).dropDuplicates(named)
+    entries = one_each.select(*named, "marks", "bands").join(wanted, "id", "left_semi").join(bins, named)
+    open_rows = opened.join(entries.drop("set_a", "set_b"), "id").filter(F.array_contains("bands", F.col("key")))
     rest = _unlinked_pairs(open_rows, percent, bands * band_rows)
     rest = materialize(rest.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti"), "open-pairs")
+    release(signed, sets, pairs, opened, wanted)
     if not rest.isEmpty():
-        more = materialize(_similar(rest, known, shingle, percent), "open-links")
+        more = _similar(rest, known, shingle, percent, "open-links")
         if not more.isEmpty():
             found = connected_components(linked.unionByName(more), "a", "b")
 

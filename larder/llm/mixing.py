@@ -7,6 +7,9 @@ words are the rest), its rank is random odds over inclusion odds, and the lowest
 their words reach the rest. Long documents rank early, so the cut falls among short ones and the words
 taken come near the target.
 
+A document that doesn't fit into what is left is left out alone: a further round goes on along the ranks with the
+documents that fit, three rounds in all.
+
 Ranks are whole numbers of 52 bits (``rank / (1 + rank)`` scaled), and the cut is found by counting
 words per source and leading 13 bits, four times, each time within the bin that holds the cut. No
 source is ever sorted or gathered, so a hot source costs one counter per bin and task.
@@ -20,6 +23,8 @@ from pyspark.sql import functions as F
 from larder.llm.tables import WORD
 from larder.sources.scratch import materialize
 
+#: How often a source's sample goes on behind a document that doesn't fit.
+ROUNDS = 3
 RANK_BITS = 52
 BITS_PER_PASS = 13
 
@@ -74,6 +79,7 @@ def mix_sources(
     id_column: str = "doc_id",
     text_column: str = "text",
     source_column: str = "source",
+    rounds: int = ROUNDS,
 ) -> DataFrame:
     """Per row: id, ``source``, ``size``, ``source_size``, ``target``, ``copies``, ``taken``.
 
@@ -116,9 +122,10 @@ def mix_sources(
         ),
         "mix-ranks",
     )
-    cuts = materialize(rank_cuts(ranked.filter("rank is not null and size > 0"), plan), "mix-cuts")
-    taken = ranked.join(cuts, ranked["source"].eqNullSafe(cuts["of_source"])).withColumn(
-        "copies", F.col("certain") + F.when(F.col("rank") <= F.col("cut"), 1).otherwise(0)
+    fitted = fill_rests(ranked.filter("rank is not null and size > 0"), plan, rounds)
+    chosen = F.coalesce(taken_in(F.col("rounds"), F.col("rank"), F.col("size")), F.lit(False))
+    taken = ranked.join(fitted, ranked["source"].eqNullSafe(fitted["of_source"])).withColumn(
+        "copies", F.col("certain") + F.when(chosen, 1).otherwise(0)
     )
     return taken.select(
         F.col("id").alias(id_column),
@@ -131,20 +138,43 @@ def mix_sources(
     )
 
 
-def rank_cuts(ranked: DataFrame, plan: DataFrame) -> DataFrame:
-    """``plan`` with ``cut``: the rank per source up to which documents are taken.
+def taken_in(rounds: Column, rank: Column, size: Column) -> Column:
+    """Whether one of the rounds takes a document: its rank is up to the cut, and it fits into what was left."""
+    return F.exists(rounds, lambda at: (rank <= at["cut"]) & (size <= at["left"]))
+
+
+def fill_rests(ranked: DataFrame, plan: DataFrame, rounds: int) -> DataFrame:
+    """``plan`` with ``rounds``: per source and round the rank up to which documents are taken, and the words left before.
+
+    A round goes along the ranks of the documents that fit into what is left, up to the first one that would pass it;
+    the next round goes on behind it with what still fits. So a long document that doesn't fit is
+    left out alone. The last round takes the document at its cut if that brings the words nearer.
+    """
+    nothing = F.array().cast("array<struct<cut: long, left: double>>")
+    state = plan.select("of_source", F.col("rest").cast("double").alias("left"), nothing.alias("rounds"))
+    for number in range(1, rounds + 1):
+        state = materialize(rank_cuts(ranked, materialize(state, "mix-rounds"), number == rounds), "mix-cuts")
+    filled = state.select(F.col("of_source").alias("c"), "rounds")
+    return plan.join(filled, F.col("of_source").eqNullSafe(F.col("c"))).drop("c")
+
+
+def rank_cuts(ranked: DataFrame, state: DataFrame, nearest: bool) -> DataFrame:
+    """``state`` (of_source, left, rounds) after one more round.
 
-    Each pass keeps, per source, the bin in which the words pass the rest, and the words before it. After
-    the last pass a bin is one rank. It is taken if that brings the words nearer to the rest.
+    Each pass keeps, per source, the bin in which the words pass what is left, and the words before it. After
+    the last pass a bin is one rank. It is taken if it fits, or with ``nearest`` if that brings the words nearer.
     """
-    bounds = plan.select(
-        "of_source", "rest", F.lit(0).cast("long").alias("low"), F.lit(0).cast("long").alias("words")
+    bounds = state.select(
+        "of_source", F.col("left").alias("rest"), "rounds", F.lit(0).cast("long").alias("low"), F.lit(0).cast("long").alias("words")
     )
     for shift in range(RANK_BITS - BITS_PER_PASS, -1, -BITS_PER_PASS):
         bounds = materialize(bounds, "mix-bounds")
         width = 1 << (shift + BITS_PER_PASS)
         inside = ranked.join(bounds, ranked["source"].eqNullSafe(bounds["of_source"])).filter(
-            (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("low") + width)
+            (F.col("rank") >= F.col("low"))
+            & (F.col("rank") < F.col("low") + width)
+            & (F.col("size") <= F.col("rest"))
+            & ~taken_in(F.col("rounds"), F.col("rank"), F.col("size"))
         )
         bins = inside.groupBy("of_source", F.shiftright(F.col("rank"), shift).alias("bin")).agg(
             F.sum("size").alias("held")
@@ -170,42 +200,44 @@ def rank_cuts(ranked: DataFrame, plan: DataFrame) -> DataFrame:
             F.col("held").alias("last_held"),
         )
         bounds = (
-            bounds.select("of_source", "rest")
+            bounds.select("of_source", "rest", "rounds")
             .join(found, F.col("of_source").eqNullSafe(F.col("f")), "left")
             .select(
                 "of_source",
                 "rest",
+                "rounds",
                 F.coalesce("new_low", F.lit(0)).cast("long").alias("low"),
                 F.coalesce("so_far", F.lit(0)).cast("long").alias("words"),
                 *([F.coalesce("last_held", F.lit(0)).alias("last_held")] if shift == 0 else []),
             )
         )
-    nearer = F.col("words") + F.col("last_held") - F.col("rest") <= F.col("rest") - F.col("words")
-    cuts = bounds.select(
-        F.col("of_source").alias("c"),
-        F.when((F.col("last_held") > 0) & nearer, F.col("low")).otherwise(F.col("low") - 1).alias("cut"),
-    )
-    return plan.join(cuts, F.col("of_source").eqNullSafe(F.col("c"))).drop("c")
+    over = F.col("words") + F.col("last_held") - F.col("rest")
+    takes = (F.col("last_held") > 0) & (over <= (F.col("rest") - F.col("words") if nearest else F.lit(0.0)))
+    this = F.struct(F.when(takes, F.col("low")).otherwise(F.col("low") - 1).alias("cut"), F.col("rest").alias("left"))
+    used = F.col("words") + F.when(takes, F.col("last_held")).otherwise(0)
+    return bounds.select("of_source", (F.col("rest") - used).alias("left"), F.concat("rounds", F.array(this)).alias("rounds"))
 
 
-def mixed_rows(documents: DataFrame, **settings) -> DataFrame:
+def mixed_rows(
+    documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", **settings
+) -> DataFrame:
     """``documents`` with every row as often as the mix takes it, all columns kept.
 
     Copies are per id; rows that repeat an id with different texts or sources would share them, so the
-    copies are joined on id and source.
+    copies are joined on id, source and size.
     """
     copies = (
-        mix_sources(documents, **settings)
+        mix_sources(documents, id_column=id_column, text_column=text_column, source_column=source_column, **settings)
         .filter("copies > 0")
-        .select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"), F.col("copies").alias("__copies"))
+        .select(F.col(id_column).alias("id"), F.col("source"), F.col("size"), F.col("copies"))
         .distinct()
+        .select(F.struct("id", "source", "size", "copies").alias("of"))
     )
-    words = F.coalesce(F.regexp_count(documents["text"], F.lit(WORD)), F.lit(0)).cast("long")
-    joined = documents.join(
-        copies,
-        documents["doc_id"].eqNullSafe(F.col("__id"))
-        & documents["source"].eqNullSafe(F.col("__source"))
-        & (words == F.col("__size")),
-    )
-    repeated = joined.withColumn("__again", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
-    return repeated.select(*[documents[name] for name in documents.columns])
+    # Whatever the documents' columns are called, theirs are one struct and those of the mix another.
+    rows = documents.select(F.struct(*[documents[name] for name in documents.columns]).alias("row"))
+    own = F.col("row")
+    words = F.coalesce(F.regexp_count(own[text_column], F.lit(WORD)), F.lit(0)).cast("long")
+    same = own[id_column].eqNullSafe(F.col("of.id")) & own[source_column].eqNullSafe(F.col("of.source"))
+    joined = rows.join(copies, same & (words == F.col("of.size")))
+    again = F.explode(F.sequence(F.lit(1).cast("long"), F.col("of.copies")))
+    return joined.select("row", again.alias("again")).select("row.*")

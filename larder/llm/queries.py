@@ -148,7 +148,7 @@ select doc_id, keep_id, group_size, doc_id is not distinct from keep_id as kept,
 from texts join grouped using (content)
 """
 
-#: The mix in DuckDB: {documents} is a table with doc_id, text and source.
+#: The mix in DuckDB, but for its rounds.
 MIX_CTES = r"""
 sizes as (
     select doc_id, source,
@@ -182,19 +182,48 @@ ranked as (
     select *, case when inclusion > 0 then floor(unit * (1.0::double - inclusion)
                    / (unit * (1.0::double - inclusion) + (1.0::double - unit) * inclusion) * 4503599627370496.0::double)::bigint end as rank
     from included),
-grouped as (select source, rest, rank, sum(size)::bigint as held from ranked where rank is not null and size > 0 group by source, rest, rank),
-running as (
-    select *, coalesce(sum(held) over (partition by source order by rank rows between unbounded preceding and 1 preceding), 0)::bigint as before
-    from grouped),
-cuts as (
-    select source, max(rank) filter (where before <= rest and (before + held <= rest or before + held - rest <= rest - before)) as cut
-    from running group by source),
-mixed as (
-    select doc_id, ranked.source, size, source_size, target,
-           certain + case when rank <= cut then 1 else 0 end as copies
-    from ranked left join cuts on ranked.source is not distinct from cuts.source)
+{rounds}mixed as (
+    select doc_id, ranked.source, size, source_size, target, certain + case when {taken} then 1 else 0 end as copies
+    from ranked left join {state} on ranked.source is not distinct from {state}.source)
 """
 
+#: A round goes along the ranks of what fits and is not taken yet. {fits} says whether the rank at hand is taken.
+MIX_ROUND = """grouped{n} as (
+    select ranked.source, left{before}, rank, sum(size)::bigint as held
+    from ranked join state{before} on ranked.source is not distinct from state{before}.source
+    where rank is not null and size > 0 and size <= left{before} and not {taken}
+    group by ranked.source, left{before}, rank),
+running{n} as (
+    select *, coalesce(sum(held) over (partition by source order by rank rows between unbounded preceding and 1 preceding), 0)::bigint as words
+    from grouped{n}),
+found{n} as (
+    select source, max(rank) filter (where {fits}) as last, max(words + held) filter (where {fits}) as used
+    from running{n} group by source),
+state{n} as (
+    select state{before}.*, coalesce(last, -1) as cut{n}, left{before} - coalesce(used, 0) as left{n}
+    from state{before} left join found{n} on state{before}.source is not distinct from found{n}.source),
+"""
+
+
+def mix_ctes(documents: str, rounds: int = mixing.ROUNDS) -> str:
+    """The mix of a table with doc_id, text and source as common table expressions, ending in ``mixed``."""
+
+    def taken(count: int) -> str:
+        conditions = [f"(rank <= cut{n} and size <= left{n - 1})" for n in range(1, count + 1)]
+        return "coalesce(" + " or ".join(conditions or ["false"]) + ", false)"
+
+    parts = ["state0 as (select source, rest::double as left0 from rates),\n"]
+    for n in range(1, rounds + 1):
+        left = f"left{n - 1}"
+        fits = f"words + held <= {left}"
+        if n == rounds:
+            fits = f"words <= {left} and ({fits} or words + held - {left} <= {left} - words)"
+        part = MIX_ROUND.replace("{n}", str(n)).replace("{before}", str(n - 1)).replace("{taken}", taken(n - 1))
+        parts.append(part.replace("{fits}", fits))
+    text = MIX_CTES.replace("{documents}", documents).replace("{rounds}", "".join(parts))
+    return text.replace("{taken}", taken(rounds)).replace("{state}", f"state{rounds}")
+
+
 NEGATIVES_SQL = """
 with moved as (
     select vec_id, embedding, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label from embeddings),
@@ -240,6 +269,6 @@ ORACLE = {
     "op11_hard_negatives": NEGATIVES_SQL,
     "op5_exact_dedup": EXACT_SQL,
     "op7_mix_sources": "with "
-    + MIX_CTES.replace("{documents}", "documents")
+    + mix_ctes("documents")
     + " select doc_id, size, source_size, target, (copies * size)::bigint as taken from mixed",
 }

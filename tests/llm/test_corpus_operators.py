@@ -75,6 +75,32 @@ def test_mix_comes_near_its_targets(spark):
     assert {r["target"] for r in mixing.mix_sources(corpus(spark, [None, ""])).collect()} == {0.0}
 
 
+@pytest.mark.parametrize("long,short,count", [(12_000, 20, 400), (100_000, 200, 500)])
+def test_a_dominating_document_leaves_the_others_to_the_mix(spark, long, short, count):
+    """A source of one long document that doesn't fit into its target, and short ones that do."""
+    rest = 15 * long // 16  # other sources, so that the target is an eighth of all words
+    rows = [(i, "w " * short, "z") for i in range(count)] + [(9_999, "w " * long, "z"), (None, "w " * short, "z")]
+    rows += [(20_000 + i, "w " * 500, s) for s in "ab" for i in range(rest // 500)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = mixing.mix_sources(frame).collect()
+    target = {r["target"] for r in found if r["source"] == "z"}.pop()
+    assert target < short * count and abs(sum(r["taken"] for r in found if r["source"] == "z") - target) <= short
+    for r in found:
+        assert r["taken"] <= 3 * r["size"]
+
+
+def test_mixed_rows_with_other_names_and_clashing_columns(spark):
+    rows = [(i, f"{'w ' * (i % 9)}", "ab"[i % 2], 1, 2, 3) for i in range(60)] + [(None, "x y", None, 1, 2, 3), (5, "other text", "a", 1, 2, 3)]
+    frame = spark.createDataFrame(rows, "number long, body string, origin string, copies int, `row` int, source int")
+    mixed = mixing.mixed_rows(frame, id_column="number", text_column="body", source_column="origin")
+    assert mixed.columns == frame.columns
+    named = frame.select(F.col("number").alias("doc_id"), F.col("body").alias("text"), F.col("origin").alias("source"))
+    expected = {(r["doc_id"], r["source"], r["size"]): r["copies"] for r in mixing.mix_sources(named).collect()}
+    counted = Counter((r["number"], r["origin"], len(r["body"].split())) for r in mixed.collect())
+    assert counted == Counter({key: n for key, n in expected.items() if n})
+    assert mixing.mixed_rows(frame.limit(0), id_column="number", text_column="body", source_column="origin").isEmpty()
+
+
 def test_targets_reshare_the_excess(spark):
     sizes = {"a": 1, "b": 1000, "c": 10, None: 500, "d": 3}
     frame = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
