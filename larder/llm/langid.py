@@ -41,6 +41,7 @@ FAMILIES = {
     "celtic": "ga gd cy br",
     "malayic": "id ms jv su tl",
 }
+TOGETHER = 512
 _FAMILY_OF = {code: family for family, codes in FAMILIES.items() for code in codes.split()}
 
 
@@ -123,6 +124,11 @@ class LanguageModel:
         return cls(families, [Vote.trained(x[of_row == f], labels[of_row == f]) for f in families.classes])
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+        """Language and score of every text; feature vectors are held for ``TOGETHER`` of them at a time."""
+        found = [self._predict(texts[at : at + TOGETHER]) for at in range(0, len(texts), TOGETHER)]
+        return [name for names, _ in found for name in names], [score for _, scores in found for score in scores]
+
+    def _predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         names, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
         asked = [i for i, text in enumerate(texts) if text and _LETTER.search(text)]
         if not asked or not self.families.classes:
