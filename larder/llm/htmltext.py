@@ -11,6 +11,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -46,7 +47,7 @@ _CLOSES = {  # an open element on the left ends where one on the right begins
     "tr": frozenset(["tr"]),
     "option": frozenset(["option"]),
 }
-_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.DOTALL)
+_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*+)(?:>|\Z)", re.DOTALL)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.IGNORECASE)
 _EMBEDDED = re.compile(r"<(?:" + "|".join(sorted(EMBEDDED)) + r")\b", re.IGNORECASE)
 _LABEL = re.compile(r"data-gold=\"([01])\"")
@@ -58,16 +59,29 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 @dataclass
 class Block:
     text: str
-    features: frozenset[str]
+    own: frozenset[str]
+    around: _Element | None = None
     gold: int | None = None
 
+    @property
+    def features(self) -> set[str]:
+        """All features: those of the text and those of every element around it."""
+        found, element = set(self.own), self.around
+        while element is not None:
+            found |= element.added
+            element = element.parent
+        return found
+
 
 class _Element:
-    """An open block-level element and what it adds to the features of the blocks inside."""
+    """An open block-level element and the features that it adds to those of the elements around it.
+
+    Elements are linked to the one they stand in, so a page of any depth takes space for its own names only.
+    """
 
-    __slots__ = ("tag", "features", "gold", "unseen")
+    __slots__ = ("tag", "added", "parent", "gold", "unseen")
 
-    def __init__(self, tag: str, attributes: str, parent: _Element | None):
+    def __init__(self, tag: str, attributes: str, parent: _Element | None, known: set[str]):
         names = {f"in {tag}"}
         if attributes:
             for match in _NAMES.finditer(attributes):
@@ -75,8 +89,8 @@ class _Element:
                 names.update(f"name {w}" for w in _WORD.findall(_CAMEL.sub(" ", value).lower()))
             if _HIDDEN.search(attributes):
                 names.add("hidden")
-        self.tag = tag
-        self.features = frozenset(names | (parent.features if parent else frozenset()))
+        self.tag, self.parent = tag, parent
+        self.added = names - known
         gold = _LABEL.search(attributes) if attributes else None
         self.gold = int(gold[1]) if gold else (parent.gold if parent else None)
         self.unseen = tag in UNSEEN or (parent.unseen if parent else False)
@@ -105,6 +119,7 @@ def _unclosed(page: str) -> set[int]:
     if not _EMBEDDED.search(page):
         return found
     stack: list[tuple[str, int]] = []
+    open_tags: Counter[str] = Counter()
     position = 0
     while match := _MARKUP.search(page, position):
         position = match.end()
@@ -112,14 +127,17 @@ def _unclosed(page: str) -> set[int]:
         if not tag or tag in INLINE or tag in MATH or tag in VOID:
             continue
         if match[1]:
-            if any(name == tag for name, _ in stack):
+            if open_tags[tag]:
                 while (top := stack.pop())[0] != tag:
+                    open_tags[top[0]] -= 1
                     if top[0] in EMBEDDED:
                         found.add(top[1])
+                open_tags[tag] -= 1
         elif tag in RAW:
             position = _raw_end(page, tag, position)
         elif not match[3].rstrip().endswith("/") or tag not in UNSEEN:
             stack.append((tag, match.start()))
+            open_tags[tag] += 1
     return found | {start for name, start in stack if name in EMBEDDED}
 
 
@@ -128,7 +146,8 @@ def leaf_blocks(page: str) -> list[Block]:
     unclosed = _unclosed(page)
     blocks: list[Block] = []
     stack: list[_Element] = []
-    inline: list[str] = []
+    open_tags: Counter[str] = Counter()
+    known: set[str] = set()  # features of the open elements
     text: list[str] = []
     links = linked = position = 0
 
@@ -137,17 +156,22 @@ def leaf_blocks(page: str) -> list[Block]:
         joined = " ".join(html.unescape("".join(text)).split()) if text else ""
         if joined:
             top = stack[-1] if stack else None
-            around = top.features if top else frozenset()
             found = _text_features(joined, min(linked, len(joined)), top.tag if top else "none")
-            blocks.append(Block(joined, around | found, top.gold if top else None))
+            blocks.append(Block(joined, frozenset(found), top, top.gold if top else None))
         text.clear()
         linked = 0
 
+    def close() -> str:
+        element = stack.pop()
+        open_tags[element.tag] -= 1
+        known.difference_update(element.added)
+        return element.tag
+
     def add(piece: str) -> None:
         nonlocal linked
         if stack and stack[-1].tag == "head" and piece.strip():
-            stack.pop()
-        if piece and not (stack and stack[-1].unseen) and not any(tag in UNSEEN for tag in inline):
+            close()
+        if piece and not (stack and stack[-1].unseen):
             text.append(piece)
             if links:
                 linked += len(piece)
@@ -162,15 +186,15 @@ def leaf_blocks(page: str) -> list[Block]:
         if match[1]:
             if tag in INLINE or tag in MATH:
                 links = max(0, links - (tag == "a"))
-            elif any(element.tag == tag for element in stack):
+            elif open_tags[tag]:
                 end_block()
-                while stack.pop().tag != tag:
+                while close() != tag:
                     pass
             elif tag in ("p", "br"):
                 end_block()
             continue
         if stack and stack[-1].tag == "head" and tag not in IN_HEAD:
-            stack.pop()  # its end tag may be left out
+            close()  # its end tag may be left out
         if tag in MATH:
             add(" ")
             continue
@@ -192,9 +216,11 @@ def leaf_blocks(page: str) -> list[Block]:
             continue
         links = 0
         while stack and tag in _CLOSES.get(stack[-1].tag, ()):
-            stack.pop()
+            close()
         if not match[3].rstrip().endswith("/") or tag not in UNSEEN:
-            stack.append(_Element(tag, match[3], stack[-1] if stack else None))
+            stack.append(_Element(tag, match[3], stack[-1] if stack else None, known))
+            open_tags[tag] += 1
+            known |= stack[-1].added
     add(page[position:])
     end_block()
     return blocks
@@ -208,7 +234,7 @@ class BlockField:
         self.lean = {name: float(emit[i, 1] - emit[i, 0]) for name, i in index.items()}
 
     @classmethod
-    def trained(cls, pages: list[list[Block]], rounds: int = 200, decay: float = 1e-3) -> BlockField:
+    def trained(cls, pages: list[list[Block]], rounds: int = 120, decay: float = 5e-5) -> BlockField:
         """Maximum likelihood by Adam; all pages at once, forward and backward in log space."""
         pages = [page for page in pages if page]
         index = {name: i for i, name in enumerate(sorted({f for page in pages for b in page for f in b.features}))}
@@ -250,18 +276,34 @@ class BlockField:
                 mean, square = moments[2 * k], moments[2 * k + 1]
                 mean += 0.1 * (slope - mean)
                 square += 0.01 * (slope**2 - square)
-                weights += 0.1 * (mean / (1 - 0.9**turn)) / (np.sqrt(square / (1 - 0.99**turn)) + 1e-8)
+                weights += 0.3 * (mean / (1 - 0.9**turn)) / (np.sqrt(square / (1 - 0.99**turn)) + 1e-8)
         return cls(index, emit, step)
 
+    def leads(self, page: list[Block]) -> list[float]:
+        """The lead of article over boilerplate of each block; that of an element is summed once for all blocks inside."""
+        known: dict[int, float] = {}
+        found = []
+        for block in page:
+            path, element = [], block.around
+            while element is not None and id(element) not in known:
+                path.append(element)
+                element = element.parent
+            lead = known[id(element)] if element is not None else 0.0
+            for element in reversed(path):
+                lead += sum(self.lean.get(f, 0.0) for f in element.added)
+                known[id(element)] = lead
+            # A text's own feature names are none of an element's.
+            found.append(lead + sum(self.lean.get(f, 0.0) for f in block.own))
+        return found
+
     def labels(self, page: list[Block]) -> list[int]:
-        """The most probable labels of a page's blocks (Viterbi over the lead of article over boilerplate)."""
+        """The most probable labels of a page's blocks (Viterbi over the leads)."""
         if not page:
             return []
         (stay0, to1), (to0, stay1) = self.step.tolist()
         back: list[tuple[int, int]] = []
         zero = one = 0.0
-        for t, block in enumerate(page):
-            lead = sum(self.lean.get(f, 0.0) for f in block.features)
+        for t, lead in enumerate(self.leads(page)):
             if t:
                 from0 = (0 if zero + stay0 >= one + to0 else 1, 0 if zero + to1 > one + stay1 else 1)
                 back.append(from0)
@@ -279,21 +321,24 @@ class BlockField:
 _ARTICLE_NAMES = ["content", "main content", "post", "entry content", "article body", "story", "text", "post-body"]
 _PARTS = {
     "menu": (["nav", "div", "ul"], ["menu", "nav", "navbar", "navigation", "breadcrumb", "top menu"]),
-    "header": (["header", "div"], ["header", "masthead", "site-header", "top", "logo", "banner"]),
+    "header": (["header", "div"], ["header", "masthead", "site-header", "top", "logo", "banner", "site title", "branding", "tagline"]),
     "footer": (["footer", "div"], ["footer", "site-footer", "bottom", "copyright", "colophon"]),
-    "sidebar": (["aside", "div"], ["sidebar", "related", "widget", "recommended", "popular", "teaser", "promo"]),
+    "sidebar": (["aside", "div"], ["sidebar", "related", "widget", "recommended", "popular", "teaser", "promo", "see also", "more stories"]),
     "notice": (["div", "section", "dialog"], ["cookie", "notice", "consent", "gdpr", "alert", "popup", "modal", "cookie banner", "subscribe", "newsletter", "paywall"]),
-    "advert": (["div", "aside", "section"], ["ad", "ads", "advert", "advertisement", "sponsored", "sponsor", "adsense", "promo ad"]),
+    "advert": (["div", "aside", "section"], ["ad", "ads", "advert", "advertisement", "sponsored", "sponsor", "adsense", "promo ad", "ad-slot", "ad box"]),
     "form": (["form", "div"], ["form", "search", "login", "signup", "contact form"]),
-    "comments": (["section", "div", "ol"], ["comments", "comment", "respond", "replies", "disqus", "comment list", "discussion"]),
-    "share": (["div", "ul"], ["share", "social", "tags", "meta", "byline", "author", "pagination"]),
+    "comments": (["section", "div", "ol"], ["comments", "comment", "respond", "replies", "disqus", "comment list", "commentlist", "discussion", "comment thread"]),
+    "share": (["div", "ul"], ["share", "social", "tags", "meta", "byline", "author", "pagination", "share buttons"]),
+    "choice": (["select", "div"], ["language", "picker", "select", "archive", "dropdown"]),
 }
+_INSIDE = ["advert", "sidebar", "share", "notice", "menu", "form", "form", "comments", "comments", "header", "footer", "choice"]
 
 
 def labelled_pages(count: int = 500, seed: int = 5) -> list[str]:
     """Pages whose parts carry their label as ``data-gold``, made from the vocabulary above by rule.
 
-    Text of either kind has any length, so that the elements around a block decide unless they say nothing.
+    Text of either kind has any length, so that the elements around a block decide unless they say nothing. Parts
+    of every kind stand before, after and inside articles and in what wraps these, also in cells of layout tables.
     """
     rng = np.random.default_rng(seed)
     letters = list("abdehilnorstu")
@@ -315,6 +360,9 @@ def labelled_pages(count: int = 500, seed: int = 5) -> list[str]:
         inside = []
         for _ in range(rng.integers(1, 6)):
             text = words(1, 60 if kind in ("advert", "comments", "notice", "sidebar", "footer") else 6)
+            if kind == "choice":
+                inside.append(f"<option>{text}</option>")
+                continue
             if kind in ("menu", "share") or rng.random() < 0.15:
                 text = f'<a href="/x">{text}</a>'
             if kind == "footer" and rng.random() < 0.6:
@@ -322,8 +370,29 @@ def labelled_pages(count: int = 500, seed: int = 5) -> list[str]:
             wrap = str(rng.choice(["p", "div", "span", "li", ""])) if tag not in ("ul", "ol") else "li"
             if kind == "form" and rng.random() < 0.6:
                 text = f"<label>{text}</label><input name=q><button>{words(1, 3)}</button>"
+            if kind == "comments" and rng.random() < 0.5:
+                text = f'<div class="{rng.choice(["comment", "comment body", "reply"])}"><p>{text}</p></div>'
             inside.append(f"<{wrap}>{text}</{wrap}>" if wrap else text + "<br>")
-        return f'<{tag}{named} data-gold="0">{"".join(inside)}</{tag}>'
+        if tag not in ("ul", "ol", "select") and kind != "choice" and rng.random() < (0.6 if kind == "header" else 0.3):
+            level = str(rng.choice(["h1", "h1", "h2"] if kind == "header" else ["h2", "h3", "h4"]))
+            inside = [f"<{level}>{words(1, 5)}</{level}>", *inside[: rng.integers(0, 4)]]
+        if tag in ("aside", "nav", "div") and kind in ("menu", "sidebar") and rng.random() < 0.4:
+            inside.append("<ul>" + "".join(f'<li><a href="/z">{words(1, 8)}</a></li>' for _ in range(rng.integers(1, 5))) + "</ul>")
+        held = "".join(inside)
+        if kind == "choice" and tag != "select":
+            held = f"<select>{held}</select>"
+        return f'<{tag}{named} data-gold="0">{held}</{tag}>'
+
+    def cell(kind: str) -> str:
+        """A part as a cell of a layout table; links and short lines may be all that tells it."""
+        named = attributes(_PARTS[kind][1], 0.5 if kind in ("menu", "footer") else 1.0)
+        lines = [words(1, 6) for _ in range(rng.integers(1, 7))]
+        if kind == "menu":
+            lines = [f'<a href="/x">{line}</a>' for line in lines]
+        if kind == "footer":
+            lines[0] = "&copy; " + lines[0]
+        gap = str(rng.choice(["<br>", "</p><p>"]))
+        return f'<td{named} data-gold="0">{gap.join(lines)}</td>'
 
     def article() -> str:
         tag = str(rng.choice(["article", "article", "main", "div", "section"]))
@@ -337,16 +406,34 @@ def labelled_pages(count: int = 500, seed: int = 5) -> list[str]:
                 text = text.replace(" ", ' <a href="/y">', 1) + "</a>"
             wrap = str(rng.choice(["p", "p", "p", "p", "p", "h2", "h3", "blockquote", "li", "pre", "td", "figcaption", "div", "b"]))
             inside.append({"li": f"<ul><li>{text}</li></ul>", "td": f"<table><tr><td>{text}</td></tr></table>", "b": f"<b>{text}<br>"}.get(wrap, f"<{wrap}>{text}</{wrap}>"))
-            if rng.random() < 0.08:
-                inside.append(part(str(rng.choice(["advert", "sidebar", "share", "notice"]))))
+            if rng.random() < 0.2:
+                inside.append(part(str(rng.choice(_INSIDE))))
+        if rng.random() < 0.25:
+            inside.insert(0, part(str(rng.choice(["menu", "share", "header", "advert"]))))
+        if rng.random() < 0.3:
+            inside.append(part(str(rng.choice(["comments", "sidebar", "form", "share", "footer"]))))
         return f'<{tag}{named} data-gold="1">{"".join(inside)}</{tag}>'
 
+    def in_table() -> str:
+        middle = f'<td{attributes(_ARTICLE_NAMES, 0.5)} data-gold="1">{article()}</td>'
+        row = [cell("menu"), middle, cell(str(rng.choice(["advert", "sidebar", "menu"])))][: rng.integers(2, 4)]
+        rows = ["".join(row if rng.random() < 0.8 else row[::-1])]
+        if rng.random() < 0.6:
+            rows.insert(0, cell("header"))
+        if rng.random() < 0.6:
+            rows.append(cell("footer"))
+        return "<table>" + "".join(f"<tr>{r}</tr>" for r in rows) + "</table>"
+
     pages = []
     for _ in range(count):
         before = [part(k) for k in ("notice", "header", "menu", "advert", "form", "sidebar") if rng.random() < 0.45]
-        after = [part(k) for k in ("share", "comments", "advert", "sidebar", "form", "notice", "footer") if rng.random() < 0.45]
+        after = [part(k) for k in ("share", "comments", "advert", "sidebar", "form", "choice", "notice", "footer") if rng.random() < 0.4]
         rng.shuffle(before)
-        body = "".join([*before, article(), *after])
+        main = in_table() if rng.random() < 0.15 else article()
+        if rng.random() < 0.25:
+            held = "".join([main, *after[: rng.integers(0, 3)]])
+            main = f"<{(tag := rng.choice(['main', 'div', 'section', 'div']))}{attributes(['main', 'content', 'column', 'page'], 0.6)}>{held}</{tag}>"
+        body = "".join([*before, main, *after])
         if rng.random() < 0.4:
             body = f'<div{attributes(["page", "wrapper", "container", "site", "row"], 0.8)}>{body}</div>'
         pages.append(f"<!DOCTYPE html><html><head><title>{words(2, 9)}</title></head><body>{body}</body></html>")

@@ -174,5 +174,82 @@ def test_a_late_copyright_sign_counts():
         assert "copyright" in block.features and "no copyright" not in block.features
 
 
+_NEWS = "The river rose by two metres in the night and the lower streets were closed until noon."
+_MAIN = f"<h1>High water</h1><p>{_NEWS}</p><p>Nobody was hurt.</p>"
+_PAGES = {
+    "comments inside main": (
+        f'<header class=masthead><a href=/>The Daily Post</a></header><main>{_MAIN}<section id="comments"><h2>Comments</h2><div class="comment">'
+        "<p>I saw it with my own eyes from the bridge, it was frightening.</p></div><div class=comment><p>Thanks for the report.</p></div></section></main>"
+        "<footer>(c) 2020 The Daily Post</footer>"
+    ),
+    "advert, form and related box inside the article": (
+        f'<div id=masthead>The Daily Post</div><article><h1>High water</h1><p>{_NEWS}</p><div class="ad-slot"><p>Buy new boots today, half price until '
+        "Friday at all our shops.</p></div><p>Nobody was hurt.</p><form action=/n><p>Get our letter every morning</p><label>Mail</label><input name=m>"
+        '<button>Send</button></form><aside class="related"><h3>More on this</h3><ul><li><a href=/1>Bridge closed for repairs</a></li>'
+        "<li><a href=/2>Rain expected</a></li></ul></aside></article>"
+    ),
+    "table layout": (
+        "<table width=100%><tr><td colspan=2 class=logo>The Daily Post</td></tr><tr><td width=150><a href=/>Home</a><br><a href=/news>News</a><br>"
+        f"<a href=/s>Sport</a></td><td class=content>{_MAIN}</td></tr><tr><td colspan=2>Copyright &copy; 2001</td></tr></table>"
+    ),
+    "choices after the article": (
+        f"<div class=content>{_MAIN}</div><select name=lang><option>English<option>German<option>French</select><footer>&copy; 2020</footer>"
+    ),
+    "menu and share buttons inside the article": (
+        "<div class=site-title>The Daily Post</div><article><nav class=toc><ul><li><a href=#a>Start</a></li><li><a href=#b>End</a></li></ul></nav>"
+        f'{_MAIN}<div class="share-buttons"><a href=/t>Share</a> <a href=/f>Send</a></div></article>'
+    ),
+    "list of comments, site name as heading": (
+        f"<div id=wrapper><div id=header><h1>The Daily Post</h1></div><div class=post>{_MAIN}<ol class=commentlist><li><p>Well written, thank you.</p></li>"
+        "<li><p>My cellar is full of water and nobody came to help us until the evening.</p></li></ol></div>"
+        "<div id=sidebar><p>Popular: what to do when water comes.</p></div></div>"
+    ),
+}
+
+
+@pytest.mark.parametrize("name", _PAGES)
+def test_parts_inside_articles_and_layouts_go(extractor, name):
+    page = f"<!doctype html><html><head><title>t</title></head><body>{_PAGES[name]}</body></html>"
+    assert htmltext.main_text(page, extractor) == f"High water {_NEWS} Nobody was hurt."
+
+
+def test_very_long_pages_of_any_depth_take_seconds(extractor):
+    import time
+
+    def name(i):
+        return "".join("abcdefghijklmnop"[i >> shift & 15] for shift in (0, 4, 8, 12, 16))
+
+    odd = {
+        "unclosed": "<div>" * 216_000 + "</p>" * 216_000,
+        "nested": "".join(f"<div class=n{name(i)}>x{i}" for i in range(80_000)),
+        "quotes": "<p title=it's>a" * 130_000,
+        "no end": '<p x="a ' * 250_001,
+    }
+    for page in odd.values():
+        assert len(page) > 1_700_000
+        began = time.monotonic()
+        htmltext.main_text(page, extractor)
+        assert time.monotonic() - began < 30
+    assert len(htmltext.leaf_blocks(odd["nested"])) == 80_000
+    assert [b.text for b in htmltext.leaf_blocks("<p title=it's>one</p><p a='b>c' d=\"e>f\">two</p>")] == ["one", "two"]
+
+
+def test_features_of_blocks_are_those_of_all_elements_around():
+    blocks = htmltext.leaf_blocks('<div class="a"><div class="a b"><p>one</p></div><p id=c>two</p></div><p>three')
+    names = [{f for f in block.features if f.startswith(("name", "in "))} for block in blocks]
+    assert names == [{"in div", "in p", "name a", "name b"}, {"in div", "in p", "name a", "name c"}, {"in p"}]
+
+
+def test_empty_table_of_pages_and_clashing_columns(spark, extractor):
+    schema = "page_id long, url string, html string, text string, n_chars string, __html string"
+    assert htmltext.extract_text(spark.createDataFrame([], schema), extractor).count() == 0
+    page = f"<body><article>{_MAIN}</article></body>"
+    rows = spark.createDataFrame([(1, None, page, "x", "y", "z"), (1, None, page, "x", "y", "z")], schema)
+    found = htmltext.extract_text(rows, extractor).collect()
+    text = f"High water {_NEWS} Nobody was hurt."
+    assert len(found) == 2
+    assert all(tuple(row) == (1, None, text, len(text)) for row in found)
+
+
 def test_public_files_are_where_the_queries_look():
     assert public_tokenizers.path("byte_bpe_50k.json") == BYTE_BPE
