@@ -238,6 +238,33 @@ def test_embeddings_equal_brute_force(spark):
     assert lattice.near_embeddings(frame.limit(0)).isEmpty()
 
 
+@pytest.mark.parametrize("dimensions", [64, 384])
+def test_lattice_cells_find_near_vectors_and_part_others(dimensions):
+    import inspect
+
+    given = inspect.signature(lattice.near_embeddings).parameters
+    settings = [given[name].default for name in ("tables", "scale", "probes")]
+    rng = np.random.default_rng(7)
+
+    def unit(x):
+        return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+    def keys(x):
+        return lattice.cell_keys(x, np.zeros(len(x), np.int64), *settings)
+
+    def meet(a, b):
+        return (a[..., :1] == b).any((-1, -2)) | (b[..., :1] == a).any((-1, -2))
+
+    one = unit(rng.normal(size=(2000, dimensions)))
+    aside = rng.normal(size=one.shape)
+    aside = unit(aside - (aside * one).sum(1, keepdims=True) * one)
+    for cosine, least in ((0.93, 0.99), (0.95, 0.998)):
+        assert meet(keys(one), keys(cosine * one + math.sqrt(1 - cosine**2) * aside)).mean() >= least
+    held = keys(one)
+    together = sum(meet(held[i + 1 :], held[i][None]).sum() for i in range(len(one) - 1))
+    assert together < 0.001 * len(one) * (len(one) - 1) / 2
+
+
 def test_nearest_lattice_points():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(200, 8)) * 2
