@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -68,6 +69,21 @@ def test_token_files_hold_all_ids_in_order(spark, odd, plane_bits):
     assert token_files.read_token_files(spark, token_files.write_token_files(odd.limit(0), WORD_BPE, files=2)).isEmpty()
 
 
+def test_word_encoder_agrees_with_the_library():
+    """Whole vocabulary, words around the length that the library takes over from, odd and special signs."""
+    encoder, library = token_files.WordEncoder(WORD_BPE, 1_000), Tokenizer.from_file(WORD_BPE)
+    rng = random.Random(3)
+    signs = [*"ab'sSrevlmdt <|>\t\n\x0b\x0c\r\x1c\x1f\x85\xa0éÉß×÷ÀıİK１²中0_-.", "e\u0301", "<|endoftext|>", "'ll"]
+    mixed = ["".join(rng.choices(signs, k=rng.randint(0, 40))) for _ in range(3_000)]
+    long = ["".join(rng.choices(kind, k=k)) for kind in ("ab", "etaoinsrhE", ".-=!", "éäüa") for k in (255, 256, 257, 20_000)]
+    vocabulary = [token.removesuffix("</w>") for token in library.get_vocab()]
+    texts = [*ODD_TEXTS, *mixed, *long, *vocabulary]
+    found = [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encode(pa.array(texts))]
+    assert found == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert list(encoder.encode(pa.array(texts).slice(2, 0))) == []
+    assert list(encoder.encode(pa.array(["", "a"]).slice(0, 1))) == [b""]
+
+
 def test_planes_come_back(tmp_path):
     ids = np.random.default_rng(0).integers(0, 1 << 32, 1001, dtype=np.uint32)
     for width in (1, 8):
