@@ -102,17 +102,32 @@ def _forward(p: Parameters, before: np.ndarray, seen: np.ndarray) -> dict[str, n
     return {"x": x, "asking": asking, "query": query, "key": key, "value": value, "weights": scores, "context": context, "logits": logits}
 
 
-def class_log_probabilities(p: Parameters, before: np.ndarray, seen: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Natural log probabilities (n, STRIDE) of the wanted classes; 0 at padding."""
-    out = np.zeros(wanted.shape, np.float32)
+def class_and_opening_logs(
+    p: Parameters, before: np.ndarray, seen: np.ndarray, wanted: np.ndarray, openings: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Natural logs (n, STRIDE): the probability of the wanted classes, and that any opening id comes there; 0 at padding.
+
+    ``openings`` (head, class): the share of opening ids in a class after a head. Without it their log is 0.
+    """
+    out, opening = np.zeros(wanted.shape, np.float32), np.zeros(wanted.shape, np.float32)
     for start in range(0, len(seen), BATCH):
         part = slice(start, start + BATCH)
         logits = _forward(p, before, seen[part])["logits"]
         np.minimum(logits, _MOST, out=logits)
         chosen = np.take_along_axis(logits, np.maximum(wanted[part], 0)[..., None], axis=2)[..., 0]
         np.exp(logits, out=logits)
-        out[part] = np.where(wanted[part] >= 0, chosen - np.log(logits.sum(axis=2)), 0)
-    return out
+        total = logits.sum(axis=2)
+        real = wanted[part] >= 0
+        out[part] = np.where(real, chosen - np.log(total), 0)
+        if openings is not None:
+            logits *= openings[np.maximum(seen[part][:, STRIDE:], 0)]
+            opening[part] = np.where(real, np.log(np.maximum(logits.sum(axis=2) / total, _LEAST)), 0)
+    return out, opening
+
+
+def class_log_probabilities(p: Parameters, before: np.ndarray, seen: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Natural log probabilities (n, STRIDE) of the wanted classes; 0 at padding."""
+    return class_and_opening_logs(p, before, seen, wanted)[0]
 
 
 def _gradients(p: Parameters, before: np.ndarray, seen: np.ndarray, wanted: np.ndarray) -> Parameters:
@@ -264,23 +279,41 @@ class Tables:
         return cls(classes, heads, before, np.log(alone), np.concatenate([paired[:, :-1], rest], axis=1))
 
 
+    def openings(self, opens: np.ndarray) -> np.ndarray:
+        """The share (head, class) that the ids marked in ``opens`` have of a class after a head."""
+        plain = self.heads == HEADS - 1
+        member = np.zeros((HEADS - 1, CLASSES))
+        own = opens & ~plain
+        member[self.heads[own], self.classes[own]] = 1
+        rest = np.bincount(self.classes[opens & plain], np.exp(self.shares[opens & plain]), CLASSES)
+        paired = np.exp(self.paired)
+        return (paired[:, : HEADS - 1] @ member + paired[:, HEADS - 1 :] * rest).astype(np.float32)
+
+
 @dataclass
 class LanguageModel:
     parameters: Parameters
     tables: Tables
+    #: Of ``Tables.openings``; ids that open a word or end the text.
+    openings: np.ndarray | None = None
 
     def log_probabilities(self, ids: list[np.ndarray]) -> np.ndarray:
         """Natural log probability of every id, sequence after sequence, given those before it in its sequence.
 
         A sequence ends with the end id, the last of the vocabulary.
         """
+        return self.id_and_opening_logs(ids)[0]
+
+    def id_and_opening_logs(self, ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """``log_probabilities``, and at the place of every id the log of the chance that some opening id comes there."""
         tables = self.tables
         seen, wanted, _ = windows(ids, len(tables.classes) - 1)
         heads, classes = np.append(tables.heads, -1), np.append(tables.classes, -1)
         seen = heads[seen]
         real = wanted >= 0
-        found = class_log_probabilities(self.parameters, tables.before, seen, classes[wanted])[real].astype(np.float64)
+        logs, opening = class_and_opening_logs(self.parameters, tables.before, seen, classes[wanted], self.openings)
         target, last = wanted[real], seen[:, STRIDE:][real]
         plain = tables.heads[target] == HEADS - 1
         column = np.where(plain, HEADS - 1 + tables.classes[target], tables.heads[target])
-        return found + tables.paired[last, column] + np.where(plain, tables.shares[target], 0.0)
+        found = logs[real].astype(np.float64) + tables.paired[last, column] + np.where(plain, tables.shares[target], 0.0)
+        return found, opening[real].astype(np.float64)

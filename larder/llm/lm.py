@@ -5,10 +5,12 @@
 2. Neighbouring subwords of all training documents are counted, within words over these rows and across
    words over the texts. They give the classes of subwords, which of them get embeddings, and the tables.
 3. One task trains the attention on a few training documents, as a start. Each task then goes on training
-   with all windows of its training documents, and the tasks' parameters are averaged, weighted by windows.
+   with all windows of its training documents, and the tasks' parameters are averaged, weighted by windows. Documents
+   are dealt to these tasks by their ids, in groups whose number follows that of the documents, and are read in order.
 4. A chunk's documents meet the counts of its words. That gives the base score, and the subword ids that
-   the model scores in overlapping windows. A word's probability is that of its subwords, mixed half and half
-   with its share of the training words, which knows whole words that subwords have to spell.
+   the model scores in overlapping windows. A word's probability is that of its spelling by subwords, which
+   includes that the word ends there, mixed half and half with its share of the training words, which knows whole
+   words that subwords have to spell.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ LEAF = 256
 GROUP_WORDS = 1 << 15
 GROUP_SUBWORDS = 1 << 20
 HELD_WORDS = 1 << 18
+#: Training documents whose windows the attention sees one after another, before the mean with others.
+GROUP_ROWS = 4_096
 #: Weight of a word's share of the training words beside its spelling by subwords.
 MIXED = 0.5
 
@@ -49,6 +53,16 @@ def mixed_log10(shares: np.ndarray, spelled: np.ndarray) -> np.ndarray:
         return np.logaddexp(np.log(MIXED * shares), np.log(1 - MIXED) + spelled) / np.log(10)
 
 
+def spelled_logs(subword_logs: np.ndarray, opening: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Natural logs of words' spellings, for words in order, each text closed by its end (``ends``).
+
+    A word is spelled by a first subword out of those that open a word or end the text, its further ones, and the
+    chance that an opening one follows. The end needs nothing to follow. These sum to 1 over all spellings.
+    """
+    follows = np.append(opening[1:], 0.0)
+    return subword_logs - opening + np.where(ends, 0.0, follows)
+
+
 def _sequence(tree: TreeEncoder, words: list[bytes], end: bool) -> np.ndarray:
     ids = np.frombuffer(b"".join(subwords(tree, w) for w in words), "<u4").astype(np.int64)
     return np.append(ids, len(tree.token_bytes) - 1) if end else ids
@@ -103,6 +117,11 @@ def attention_parameters(
     return attention.unflatten(np.array([mean for _, mean in found])) if found else start
 
 
+def in_groups(training: DataFrame, rows: int) -> DataFrame:
+    """Training documents in as many ordered partitions as ``rows`` asks for, so that the layout of the input is no matter."""
+    return training.repartition(-(-max(1, rows) // GROUP_ROWS), F.hash("id")).sortWithinPartitions("id", "text")
+
+
 def started_parameters(training: DataFrame, tokenizer: str, tables: attention.Tables, sample: int, rounds: int) -> attention.Parameters:
     """Where all tasks start: one task's training with at most ``sample`` ids (repeated rows: twice as many rows)."""
     chosen = materialize(training.select("id").orderBy(F.xxhash64("id"), "id").limit(sample).distinct(), "lm-sample-ids")
@@ -337,7 +356,10 @@ def score_documents(
     n_train, distinct = totals["n"] + ends, totals["v"] + (ends > 0)
     tables = subword_tables(words, classes, heads, class_pairs(pairs, classes), ends)
     start = started_parameters(learned, tokenizer, tables, sample, rounds)
-    model = attention.LanguageModel(attention_parameters(learned, tokenizer, tables, start, 1, 0.001), tables)
+    opens = np.append(spaced[:-1], True)
+    model = attention.LanguageModel(
+        attention_parameters(in_groups(learned, ends), tokenizer, tables, start, 1, 0.001), tables, tables.openings(opens)
+    )
     shared = documents.sparkSession.sparkContext.broadcast(model)  # bounded by the vocabulary and pairs of heads
 
     def base(n: np.ndarray) -> np.ndarray:
@@ -353,11 +375,11 @@ def score_documents(
 
         def scored(held: list[np.ndarray]) -> np.ndarray:
             """log10 probability of texts, each the numbers of its words and last that of the end."""
-            logs = scorer.log_probabilities([chunk.subwords(index[:-1], end) for index in held])
+            logs, opening = scorer.id_and_opening_logs([chunk.subwords(index[:-1], end) for index in held])
             index = np.concatenate(held)
             begins = np.cumsum(lengths[index]) - lengths[index]
-            mixed = mixed_log10(shares[index], np.add.reduceat(logs, begins))
-            return np.add.reduceat(mixed, np.cumsum([0, *map(len, held[:-1])]))
+            spelled = spelled_logs(np.add.reduceat(logs, begins), opening[begins], index == len(chunk.n))
+            return np.add.reduceat(mixed_log10(shares[index], spelled), np.cumsum([0, *map(len, held[:-1])]))
 
         held: list[np.ndarray] = []
         size = 0

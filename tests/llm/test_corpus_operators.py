@@ -442,6 +442,43 @@ def test_next_subword_probabilities_sum_to_one(small_model):
     assert total == pytest.approx(1 - lost, abs=1e-4)
 
 
+def test_openings_are_the_sum_over_opening_subwords_and_spellings_sum_to_one(small_model):
+    rng = np.random.default_rng(5)
+    opens = rng.random(40) < 0.4
+    opens[39] = True
+    small_model.openings = small_model.tables.openings(opens)
+    for history in ([], [3], [3, 30, 7, 38, 2], rng.integers(0, 39, 21).tolist()):
+        each = np.array([small_model.log_probabilities([np.array([*history, i])])[-1] for i in range(40)])
+        opening = small_model.id_and_opening_logs([np.array([*history, 0])])[1][-1]
+        assert np.exp(each[opens]).sum() == pytest.approx(np.exp(opening), rel=1e-4)
+    # Words of one subword, of two, and the end, after a history that ends a word; longer ones have the rest.
+    history, spelled, left = [3, 30], [], 0.0
+    for first in np.flatnonzero(opens):
+        logs, opening = small_model.id_and_opening_logs([np.array([*history, first, 39])])
+        log, before, follows = logs[-2], opening[-2], opening[-1]
+        found = lm.spelled_logs(np.array([log, logs[-1]]), np.array([before, follows]), np.array([first == 39, True]))[0]
+        spelled.append(math.exp(found))
+        if first != 39:
+            further = [small_model.id_and_opening_logs([np.array([*history, first, i, 39])]) for i in np.flatnonzero(~opens)]
+            spelled += [math.exp(l[-3] + l[-2] - before + o[-1]) for l, o in further]
+            left += sum(math.exp(l[-3] + l[-2] - before) * (1 - math.exp(o[-1])) for l, o in further)
+    empty = np.setdiff1d(np.arange(attention.CLASSES), small_model.tables.classes)
+    assert len(empty)  # classes without ids keep a small part
+    assert 0.9 < sum(spelled) + left <= 1 + 1e-4
+
+
+def test_scores_are_the_same_for_any_layout(spark, monkeypatch):
+    monkeypatch.setattr(lm, "GROUP_ROWS", 16)
+    rng = random.Random(4)
+    frame = corpus(spark, [sentence(rng, rng.randint(5, 50)) for _ in range(60)])
+    learned = F.col("doc_id") % 5 != 0
+    found = [
+        {r["doc_id"]: r["score"] for r in lm.score_documents(frame.repartition(n), learned, BYTE_BPE, chunks=n, sample=15, rounds=1).collect()}
+        for n in (2, 7)
+    ]
+    assert found[0] == pytest.approx(found[1], rel=1e-5)
+
+
 def test_every_subword_is_scored_once_and_sees_only_what_is_before(small_model):
     rng = np.random.default_rng(2)
     ids = [rng.integers(0, 40, n) for n in (1, 15, 16, 17, 70)]
