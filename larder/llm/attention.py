@@ -20,7 +20,9 @@ HEADS = 2048
 WIDTH = 16
 STRIDE = 16
 WINDOW = 2 * STRIDE
-BATCH = 512
+BATCH = 128
+#: Windows whose gradients are computed at once.
+PART = 32
 
 _CAUSAL = (np.arange(WINDOW)[None, :] <= STRIDE + np.arange(STRIDE)[:, None]).astype(np.float32)
 _MOST, _LEAST = np.float32(40), np.float32(1e-30)
@@ -131,12 +133,21 @@ def class_log_probabilities(p: Parameters, before: np.ndarray, seen: np.ndarray,
 
 
 def _gradients(p: Parameters, before: np.ndarray, seen: np.ndarray, wanted: np.ndarray) -> Parameters:
+    """Gradients of a batch, summed over parts whose arrays stay in the processor's caches."""
+    total = {name: np.zeros_like(value) for name, value in p.items()}
+    count = np.float32(max(1, (wanted >= 0).sum()))
+    for start in range(0, len(seen), PART):
+        _add_gradients(total, p, before, seen[start : start + PART], wanted[start : start + PART], count)
+    return total
+
+
+def _add_gradients(total: Parameters, p: Parameters, before: np.ndarray, seen: np.ndarray, wanted: np.ndarray, count: np.float32) -> None:
     f = _forward(p, before, seen)
     real = wanted >= 0
     slope = np.exp(f["logits"] - f["logits"].max(axis=2, keepdims=True))
     slope /= slope.sum(axis=2, keepdims=True)
     np.put_along_axis(slope, np.maximum(wanted, 0)[..., None], np.take_along_axis(slope, np.maximum(wanted, 0)[..., None], 2) - 1, 2)
-    slope *= real[..., None] / np.float32(max(1, real.sum()))
+    slope *= real[..., None] / count
     to_context = _times(slope, p["out"].T)
     to_weights = to_context @ f["value"].transpose(0, 2, 1)
     to_scores = f["weights"] * (to_weights - (to_weights * f["weights"]).sum(axis=2, keepdims=True))
@@ -146,20 +157,19 @@ def _gradients(p: Parameters, before: np.ndarray, seen: np.ndarray, wanted: np.n
     to_x = _times(to_key, p["key"].T) + _times(to_value, p["value"].T)
     to_x[:, STRIDE:] += _times(to_query, p["query"].T)
     to_x *= (seen >= 0)[..., None]
-    to_embed = np.zeros_like(p["embed"])
-    np.add.at(to_embed, np.maximum(seen, 0).ravel(), to_x.reshape(-1, WIDTH))
+    order = np.argsort(seen, axis=None, kind="stable")
+    heads = np.maximum(seen, 0).ravel()[order]
+    first = np.flatnonzero(np.append(True, heads[1:] != heads[:-1]))
+    total["embed"][heads[first]] += np.add.reduceat(to_x.reshape(-1, WIDTH)[order], first)
 
     def outer(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return a.reshape(-1, a.shape[-1]).T @ b.reshape(-1, b.shape[-1])
 
-    return {
-        "embed": to_embed,
-        "place": to_x.sum(axis=0),
-        "query": outer(f["asking"], to_query),
-        "key": outer(f["x"], to_key),
-        "value": outer(f["x"], to_value),
-        "out": outer(f["context"], slope),
-    }
+    total["place"] += to_x.sum(axis=0)
+    total["query"] += outer(f["asking"], to_query)
+    total["key"] += outer(f["x"], to_key)
+    total["value"] += outer(f["x"], to_value)
+    total["out"] += outer(f["context"], slope)
 
 
 def train(
