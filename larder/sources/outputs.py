@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 
 from larder.functions.columns import quoted
 from larder.schema import IDENTITY_COLUMNS, KEY, PREDICTION_RECORD_SCHEMA
+from larder.sources.folders import file_scans
+from larder.sources.scratch import stored
 
 ALGORITHM = "pyspark.ml.clustering.KMeans"
 
@@ -52,12 +54,23 @@ def write_predictions(
 ) -> None:
     """Records as JSON lines in key order across the part files.
 
-    ``single_file`` (O4) writes everything in one task, so it is for small outputs.
+    ``single_file`` (O4): one task writes the file, which sets its time. The records are sorted and stored by all
+    tasks before; that one passes them on, file by file, and holds none.
     """
     records = prediction_records(predictions, features)
-    if single_file:
-        records = records.coalesce(1)
-    records.write.mode("overwrite").json(path)
+    if not single_file:
+        records.write.mode("overwrite").json(path)
+        return
+    with stored(records, "records") as ordered:
+        in_one_task(ordered).write.mode("overwrite").json(path)
+
+
+def in_one_task(ordered: DataFrame) -> DataFrame:
+    """Rows of a table stored in order, in this order in one partition, without sorting them again.
+
+    One scan takes large files before small ones, hence a scan for every file.
+    """
+    return file_scans(ordered, 1).coalesce(1)
 
 
 def read_predictions(spark: SparkSession, path: str, features: Sequence[str] = ()) -> DataFrame:
