@@ -13,11 +13,15 @@ from pyspark.sql import types as T
 from larder.functions.columns import quoted
 from larder.operators.cells import from_cells, last_of_first_keys, latest_cells, to_cells
 from larder.schema import CELL_SCHEMA
-from larder.sources.folders import subfolders
+from larder.sources.folders import file_scans, subfolders
 
 ORDERED, UNORDERED = "ordered-", "plain-"
 #: Added to a table's path: where the key ranges of its files are noted.
 RANGES = ".ranges"
+#: Cells a file holds at most. Some ten cells of a row are merged before the shuffle by sorting what a task reads.
+FILE_CELLS = 1 << 20
+#: Files a task reads of a table that has more files than that for every task.
+TASK_FILES = 2
 FILE_RANGE_SCHEMA = T.StructType(
     [T.StructField(name, T.StringType()) for name in ("put", "file", "first_key", "last_key")]
     + [T.StructField("keys", T.LongType())]
@@ -40,8 +44,12 @@ class CellTable:
     path: str
 
     def log(self) -> DataFrame:
-        """Every put; empty if the table was never written."""
-        return read_or_empty(self.spark, self.path, CELL_SCHEMA).select(*CELL_SCHEMA.names)
+        """Every put; empty if the table was never written. A task reads a few files, however large the table."""
+        return self._by_few_files(read_or_empty(self.spark, self.path, CELL_SCHEMA))
+
+    def _by_few_files(self, cells: DataFrame) -> DataFrame:
+        # Spark deals the files of a scan to as many tasks as run at once, and to more only by their bytes.
+        return file_scans(cells.select(*CELL_SCHEMA.names), TASK_FILES * self.spark.sparkContext.defaultParallelism)
 
     def _ranges(self) -> DataFrame:
         return read_or_empty(self.spark, f"{self.path}{RANGES}", FILE_RANGE_SCHEMA)
@@ -56,16 +64,17 @@ class CellTable:
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in CELL_SCHEMA]
         name = f"{ORDERED if ordered else UNORDERED}{uuid.uuid4().hex}"
         folder = f"{self.path}/put={name}"
-        cells.select(*columns).write.parquet(folder)
+        cells.select(*columns).write.option("maxRecordsPerFile", FILE_CELLS).parquet(folder)
         if ordered:
+            # Distinct keys first: hashed, and a tenth of the cells, while least and greatest texts are found by sorting.
+            written = self._by_few_files(self.spark.read.schema(CELL_SCHEMA).parquet(folder))
+            keys = written.select(F.substring_index(F.input_file_name(), "/", -1).alias("file"), "row_key").distinct()
             (
-                self.spark.read.schema(CELL_SCHEMA)
-                .parquet(folder)
-                .groupBy(F.col("_metadata.file_name").alias("file"))
+                keys.groupBy("file")
                 .agg(
                     F.min("row_key").alias("first_key"),
                     F.max("row_key").alias("last_key"),
-                    F.countDistinct("row_key").alias("keys"),
+                    F.count("row_key").alias("keys"),
                 )
                 .select(F.lit(name).alias("put"), "file", "first_key", "last_key", "keys")
                 .write.mode("append")
