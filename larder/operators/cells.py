@@ -52,6 +52,32 @@ def latest_cells(cells: DataFrame) -> DataFrame:
     )
 
 
+def latest_of_kinds(cells: DataFrame, kinds: Sequence[tuple[str | None, str | None]]) -> DataFrame:
+    """``latest_cells`` of cells that are all of the given kinds (family, qualifier).
+
+    A row's cells travel as one record, so that key, family and qualifier are not shuffled for each.
+    """
+    if not kinds:
+        return latest_cells(cells)
+    put = F.struct("put_seq", "value")
+    merged = cells.groupBy("row_key").agg(
+        *[
+            F.max(F.when(F.col("family").eqNullSafe(F.lit(family)) & F.col("qualifier").eqNullSafe(F.lit(name)), put)).alias(f"put{i}")
+            for i, (family, name) in enumerate(kinds)
+        ]
+    )
+    entries = [
+        F.struct(
+            F.lit(family).cast("string").alias("family"),
+            F.lit(name).cast("string").alias("qualifier"),
+            F.col(f"put{i}.value").alias("value"),
+            F.col(f"put{i}").isNotNull().alias("found"),
+        )
+        for i, (family, name) in enumerate(kinds)
+    ]
+    return merged.select("row_key", F.inline(F.array(*entries))).filter("found").drop("found")
+
+
 def latest_fields(rows: DataFrame, key: str, fields: Sequence[str], put_seq: str) -> DataFrame:
     """The same merge on rows that carry several cells: per key, the last non-null of each field."""
     seq = quoted(put_seq)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larder.functions.columns import quoted
-from larder.operators.cells import from_cells, last_of_first_keys, latest_cells, to_cells
+from larder.operators.cells import from_cells, last_of_first_keys, latest_cells, latest_of_kinds, to_cells
 from larder.schema import CELL_SCHEMA
 from larder.sources.folders import file_scans, subfolders
 
@@ -20,6 +20,8 @@ ORDERED, UNORDERED = "ordered-", "plain-"
 RANGES = ".ranges"
 #: Cells a file holds at most. Some ten cells of a row are merged before the shuffle by sorting what a task reads.
 FILE_CELLS = 1 << 20
+#: Kinds of cells up to which a table's rows are merged whole.
+MERGED_KINDS = 24
 #: Files a task reads of a table that has more files than that for every task.
 TASK_FILES = 2
 FILE_RANGE_SCHEMA = T.StructType(
@@ -96,7 +98,10 @@ class CellTable:
         self.put(to_cells(rows, key, mapping, put_seq))
 
     def cells(self) -> DataFrame:
-        return latest_cells(self.log())
+        """The last put of every cell (S5); with few kinds of cells a row's are merged and shuffled as one record."""
+        log = self.log()
+        kinds = [tuple(row) for row in log.select("family", "qualifier").distinct().limit(MERGED_KINDS + 1).collect()]
+        return latest_cells(log) if len(kinds) > MERGED_KINDS else latest_of_kinds(log, kinds)
 
     def rows(self, key: str, mapping: dict) -> DataFrame:
         return from_cells(self.log(), key, mapping)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from os.path import commonprefix
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,6 +42,20 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def _file_place(frame: DataFrame) -> Column:
+    """The path of a row's file, or as little of it as orders the files alike: it travels with every value of a merge.
+
+    Names of one folder that are equally long differ between their common beginning and their common end.
+    """
+    path, paths = F.col("_metadata.file_path"), set(frame.inputFiles())
+    names = sorted(at.rpartition("/")[2] for at in paths)
+    if len({at.rpartition("/")[0] for at in paths}) != 1 or len({len(name) for name in names}) != 1:
+        return path
+    start = len(commonprefix(names))
+    end = len(commonprefix([name[start:][::-1] for name in names]))
+    return F.substring(F.substring_index(path, "/", -1), start + 1, len(names[0]) - start - end)
+
+
 def with_file_order(frame: DataFrame, name: str = "put_seq") -> DataFrame:
     """Tag the rows of a file scan with their order of appearance.
 
@@ -49,7 +65,7 @@ def with_file_order(frame: DataFrame, name: str = "put_seq") -> DataFrame:
     return frame.withColumn(
         name,
         F.struct(
-            F.col("_metadata.file_path").alias("file"),
+            _file_place(frame).alias("file"),
             F.col("_metadata.file_block_start").alias("offset"),
             F.monotonically_increasing_id().alias("row"),
         ),

@@ -6,9 +6,15 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from larder.operators.cells import latest_cells
 from larder.schema import CELL_SCHEMA
 from larder.sources import celltable
 from larder.sources.celltable import CellTable
+from larder.sources.files import read_products_tsv, with_file_order
+
+
+def plan(frame) -> str:
+    return frame._jdf.queryExecution().executedPlan().toString()
 
 
 def puts(spark, rows, order):
@@ -32,3 +38,32 @@ def test_a_task_reads_few_cells_of_a_large_table(spark, tmp_path, monkeypatch):
     assert sum(row["keys"] for row in noted) >= 100 and min(row["first_key"] for row in noted) == "000000"
     assert {row["file"] for row in noted} <= {at.name for at in Path(table.path).glob("put=ordered-*/part-*")}
     assert table.scan(7).count() == 35
+
+
+def test_cells_of_a_table_are_merged_row_by_row(spark, tmp_path, monkeypatch):
+    table = CellTable(spark, str(tmp_path / "cells"))
+    assert table.cells().isEmpty()
+    rows = [
+        ("r", "a", "x", "old", 1), ("r", "a", "x", "new", 2), ("r", "a", "y", "kept", 1), ("r", "b", "x", None, 3), ("q", "a", "x", "v", 1),
+        ("q", "a", "x", "w", 1), (None, "a", "x", "keyless", 1), (None, "a", "x", "later", 2), ("r", None, "x", "no family", 1), ("r", "a", None, "no name", None),
+    ]
+    table.put(spark.createDataFrame(rows, CELL_SCHEMA))
+    found = table.cells()
+    assert "hashpartitioning(row_key#" in plan(found) and ", family" not in plan(found).split("hashpartitioning")[1].split(")")[0]
+    expected = sorted(map(str, latest_cells(table.log()).collect()))
+    assert sorted(map(str, found.collect())) == expected and len(expected) == 7
+    monkeypatch.setattr(celltable, "MERGED_KINDS", 2)
+    assert sorted(map(str, table.cells().collect())) == expected
+
+
+def test_file_order_carries_no_paths(spark, tmp_path):
+    path = str(tmp_path / "a b" / "tsv")
+    spark.range(0, 400, 1, 12).select(F.col("id").cast("string").alias("code")).write.csv(path)
+    rows = with_file_order(read_products_tsv(spark, path, "code string").filter("true")).orderBy("put_seq").collect()
+    assert max(len(row["put_seq"]["file"]) for row in rows) <= 2
+    # Every file loses its first line, the header.
+    assert [int(row["code"]) for row in rows] == sorted(int(row["code"]) for row in rows)
+    other = tmp_path / "a b" / "tsv" / "more.csv"
+    other.write_text("code\nlast\n")
+    longer = with_file_order(read_products_tsv(spark, path, "code string")).orderBy("put_seq").collect()
+    assert longer[0]["code"] == "last" and longer[0]["put_seq"]["file"].endswith("/more.csv")

@@ -217,7 +217,7 @@ def seed_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Through files: stored in the order of all fields but the key, loaded in file order."""
     path = scratch_path(spark, "tsv")
     order = [quoted(name) for name in LAYOUT.columns if name != "code"]
-    write_products_tsv(raw_products(spark, sf_dir).orderBy(*order), path)
+    write_products_tsv(raw_products(spark, sf_dir, dealt=False).orderBy(*order), path)
     tables = CellTables(spark, scratch_path(spark, "tables"))
     tables.seed(read_products_tsv(spark, path, strings(*LAYOUT.columns)), LAYOUT)
     return tables.raw.cells()
