@@ -425,8 +425,9 @@ def at_nearest_centre(scored: DataFrame, model: KMeansModel) -> DataFrame:
 
 
 def segment_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The products as the training cleaned them, scored by its model."""
     run = train_products(raw_products(spark, sf_dir), layout=TRIMMED)
-    return at_nearest_centre(run.model.transform(clean(spark, sf_dir)), run.model.stages[-1])
+    return at_nearest_centre(run.model.transform(run.trained_on), run.model.stages[-1])
 
 
 def embedded(spark: SparkSession, sf_dir: str) -> DataFrame:
