@@ -68,16 +68,13 @@ class CellTable:
         folder = f"{self.path}/put={name}"
         cells.select(*columns).write.option("maxRecordsPerFile", FILE_CELLS).parquet(folder)
         if ordered:
-            # Distinct keys first: hashed, and a tenth of the cells, while least and greatest texts are found by sorting.
+            # Keys are counted by hashing, least and greatest found where files are read: neither sorts the keys of many files.
             written = self._by_few_files(self.spark.read.schema(CELL_SCHEMA).parquet(folder))
-            keys = written.select(F.substring_index(F.input_file_name(), "/", -1).alias("file"), "row_key").distinct()
+            placed = written.select(F.substring_index(F.input_file_name(), "/", -1).alias("file"), "row_key")
+            keys = placed.distinct().groupBy("file").agg(F.count("row_key").alias("keys"))
+            ends = placed.groupBy("file").agg(F.min("row_key").alias("first_key"), F.max("row_key").alias("last_key"))
             (
-                keys.groupBy("file")
-                .agg(
-                    F.min("row_key").alias("first_key"),
-                    F.max("row_key").alias("last_key"),
-                    F.count("row_key").alias("keys"),
-                )
+                ends.join(keys, "file")
                 .select(F.lit(name).alias("put"), "file", "first_key", "last_key", "keys")
                 .write.mode("append")
                 .parquet(f"{self.path}{RANGES}")
