@@ -20,9 +20,9 @@ HEADS = 2048
 WIDTH = 16
 STRIDE = 16
 WINDOW = 2 * STRIDE
-BATCH = 128
-#: Windows whose gradients are computed at once.
-PART = 32
+#: Windows computed at once: their arrays stay in the processor's caches, and their products below a million
+#: multiplications, which BLAS does without copying the operands first.
+PART = 52
 
 _CAUSAL = (np.arange(WINDOW)[None, :] <= STRIDE + np.arange(STRIDE)[:, None]).astype(np.float32)
 _MOST, _LEAST = np.float32(40), np.float32(1e-30)
@@ -34,6 +34,9 @@ _SHAPES = {
     "value": (WIDTH, WIDTH),
     "out": (WIDTH, CLASSES),
 }
+_ENDS = np.cumsum([np.prod(shape) for shape in _SHAPES.values()])[:-1]
+#: Where the embedding of each head lies among all of them.
+_PLACES = np.arange(HEADS * WIDTH).reshape(HEADS, WIDTH)
 Parameters = dict[str, np.ndarray]
 
 
@@ -49,8 +52,8 @@ def flatten(parameters: Parameters) -> np.ndarray:
 
 
 def unflatten(values: np.ndarray) -> Parameters:
-    sizes = np.cumsum([np.prod(shape) for shape in _SHAPES.values()])[:-1]
-    parts = np.split(np.asarray(values, np.float32), sizes)
+    """Views of ``values`` where these are 32-bit floats."""
+    parts = np.split(np.asarray(values, np.float32), _ENDS)
     return {name: part.reshape(shape) for (name, shape), part in zip(_SHAPES.items(), parts, strict=True)}
 
 
@@ -84,24 +87,47 @@ def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a.reshape(-1, a.shape[-1]) @ b).reshape(*a.shape[:-1], b.shape[-1])
 
 
+def _turned(a: np.ndarray) -> np.ndarray:
+    """The windows' matrices turned, in a copy: products with a turned view take three times as long."""
+    return np.ascontiguousarray(a.transpose(0, 2, 1))
+
+
 def _forward(p: Parameters, before: np.ndarray, seen: np.ndarray) -> dict[str, np.ndarray]:
-    """Masked attention of a batch of windows of heads."""
-    real = seen >= 0
-    x = p["embed"][np.where(real, seen, 0)] + p["place"]
-    asking = x[:, STRIDE:]
-    query, key, value = _times(asking, p["query"]), _times(x, p["key"]), _times(x, p["value"])
-    query *= np.float32(WIDTH**-0.5)
-    scores = query @ key.transpose(0, 2, 1)
-    np.minimum(scores, _MOST, out=scores)  # scores stay far below; this replaces a shift by the maximum
-    np.exp(scores, out=scores)
-    scores *= _CAUSAL
-    padded = np.flatnonzero(~real[:, 0])
-    scores[padded] *= real[padded][:, None, :]
-    scores /= np.maximum(scores.sum(axis=2, keepdims=True), _LEAST)
-    context = scores @ value
+    """Masked attention of a batch of windows of heads. ``weights`` are not divided by their ``sums``, the context is."""
+    heads = np.maximum(seen, 0)
+    x = p["embed"].take(heads, axis=0)
+    x += p["place"]
+    asking = np.ascontiguousarray(x[:, STRIDE:])
+    query = _times(asking, p["query"] * np.float32(WIDTH**-0.5))
+    both = _times(x, np.concatenate([p["key"], p["value"]], axis=1))
+    key, value = both[:, :, :WIDTH], both[:, :, WIDTH:]
+    weights = query @ _turned(key)
+    if weights.max(initial=0) > _MOST:
+        np.minimum(weights, _MOST, out=weights)  # scores stay far below; this replaces a shift by the maximum
+    np.exp(weights, out=weights)
+    weights *= _CAUSAL
+    weights[seen[:, 0] < 0, :, :STRIDE] = 0  # a sequence's first window has nothing before
+    sums = np.maximum(_sums(weights), _LEAST)[..., None]
+    context = weights @ value
+    context /= sums
     logits = _times(context, p["out"])
-    logits += before[np.maximum(seen[:, STRIDE:], 0)]
-    return {"x": x, "asking": asking, "query": query, "key": key, "value": value, "weights": scores, "context": context, "logits": logits}
+    logits += before.take(heads[:, STRIDE:], axis=0)
+    return {"x": x, "asking": asking, "query": query, "key": key, "value": value, "weights": weights, "sums": sums, "context": context, "logits": logits}
+
+
+def _sums(a: np.ndarray) -> np.ndarray:
+    """Sums along the last axis."""
+    return (a.reshape(-1, a.shape[-1]) @ np.ones(a.shape[-1], a.dtype)).reshape(a.shape[:-1])
+
+
+def _to_odds(logits: np.ndarray) -> np.ndarray:
+    """The logits in place as odds; where some are large, what was taken from them before."""
+    shift = np.zeros(1, np.float32)
+    if logits.max(initial=0) > _MOST:
+        shift = logits.max(axis=-1, keepdims=True)
+        logits -= shift
+    np.exp(logits, out=logits)
+    return shift[..., 0]
 
 
 def class_and_opening_logs(
@@ -112,18 +138,18 @@ def class_and_opening_logs(
     ``openings`` (head, class): the share of opening ids in a class after a head. Without it their log is 0.
     """
     out, opening = np.zeros(wanted.shape, np.float32), np.zeros(wanted.shape, np.float32)
-    for start in range(0, len(seen), BATCH):
-        part = slice(start, start + BATCH)
+    for start in range(0, len(seen), PART):
+        part = slice(start, start + PART)
         logits = _forward(p, before, seen[part])["logits"]
-        np.minimum(logits, _MOST, out=logits)
-        chosen = np.take_along_axis(logits, np.maximum(wanted[part], 0)[..., None], axis=2)[..., 0]
-        np.exp(logits, out=logits)
-        total = logits.sum(axis=2)
+        at = np.arange(wanted[part].size) * CLASSES + np.maximum(wanted[part], 0).ravel()
+        chosen = logits.ravel()[at].reshape(wanted[part].shape)
+        chosen -= _to_odds(logits)
+        total = _sums(logits)
         real = wanted[part] >= 0
         out[part] = np.where(real, chosen - np.log(total), 0)
         if openings is not None:
-            logits *= openings[np.maximum(seen[part][:, STRIDE:], 0)]
-            opening[part] = np.where(real, np.log(np.maximum(logits.sum(axis=2) / total, _LEAST)), 0)
+            open_odds = np.einsum("nij,nij->ni", logits, openings.take(np.maximum(seen[part][:, STRIDE:], 0), axis=0))
+            opening[part] = np.where(real, np.log(np.maximum(open_odds / total, _LEAST)), 0)
     return out, opening
 
 
@@ -132,63 +158,77 @@ def class_log_probabilities(p: Parameters, before: np.ndarray, seen: np.ndarray,
     return class_and_opening_logs(p, before, seen, wanted)[0]
 
 
-def _gradients(p: Parameters, before: np.ndarray, seen: np.ndarray, wanted: np.ndarray) -> Parameters:
-    """Gradients of a batch, summed over parts whose arrays stay in the processor's caches."""
-    total = {name: np.zeros_like(value) for name, value in p.items()}
+def _gradients(p: Parameters, before: np.ndarray, seen: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Gradients of a batch, summed over parts and flat as the parameters are."""
+    flat = np.zeros(sum(value.size for value in p.values()), np.float32)
+    total = unflatten(flat)
     count = np.float32(max(1, (wanted >= 0).sum()))
     for start in range(0, len(seen), PART):
         _add_gradients(total, p, before, seen[start : start + PART], wanted[start : start + PART], count)
-    return total
+    return flat
 
 
 def _add_gradients(total: Parameters, p: Parameters, before: np.ndarray, seen: np.ndarray, wanted: np.ndarray, count: np.float32) -> None:
     f = _forward(p, before, seen)
-    real = wanted >= 0
-    slope = np.exp(f["logits"] - f["logits"].max(axis=2, keepdims=True))
-    slope /= slope.sum(axis=2, keepdims=True)
-    np.put_along_axis(slope, np.maximum(wanted, 0)[..., None], np.take_along_axis(slope, np.maximum(wanted, 0)[..., None], 2) - 1, 2)
-    slope *= real[..., None] / count
-    to_context = _times(slope, p["out"].T)
-    to_weights = to_context @ f["value"].transpose(0, 2, 1)
-    to_scores = f["weights"] * (to_weights - (to_weights * f["weights"]).sum(axis=2, keepdims=True))
-    to_query = to_scores @ f["key"] * np.float32(WIDTH**-0.5)
-    to_key = to_scores.transpose(0, 2, 1) @ f["query"]  # the query is scaled already
-    to_value = f["weights"].transpose(0, 2, 1) @ to_context
-    to_x = _times(to_key, p["key"].T) + _times(to_value, p["value"].T)
+    x, query, weights, context, slope = (f[name] for name in ("x", "query", "weights", "context", "logits"))
+    _to_odds(slope)
+    odds = _sums(slope)
+    # The slope is this difference times ``scale``, which goes to the narrower arrays instead.
+    slope.ravel()[np.arange(wanted.size) * CLASSES + np.maximum(wanted, 0).ravel()] -= odds.ravel()
+    scale = ((wanted >= 0) / (count * odds))[..., None].astype(np.float32)
+    to_context = _times(slope, np.ascontiguousarray(p["out"].T))
+    to_context *= scale / f["sums"]
+    to_scores = to_context @ _turned(f["value"])
+    to_scores -= np.einsum("niw,niw->ni", to_context, context)[..., None]
+    to_scores *= weights
+    to_query = to_scores @ f["key"]
+    to_query *= np.float32(WIDTH**-0.5)
+    to_both = np.empty((len(x), WINDOW, 2 * WIDTH), np.float32)  # to the key, then to the value
+    np.matmul(to_scores.transpose(0, 2, 1), query, out=to_both[:, :, :WIDTH])  # the query is scaled already
+    np.matmul(weights.transpose(0, 2, 1), to_context, out=to_both[:, :, WIDTH:])
+    to_x = _times(to_both, np.concatenate([p["key"].T, p["value"].T]))  # 0 where padding is
     to_x[:, STRIDE:] += _times(to_query, p["query"].T)
-    to_x *= (seen >= 0)[..., None]
-    order = np.argsort(seen, axis=None, kind="stable")
-    heads = np.maximum(seen, 0).ravel()[order]
-    first = np.flatnonzero(np.append(True, heads[1:] != heads[:-1]))
-    total["embed"][heads[first]] += np.add.reduceat(to_x.reshape(-1, WIDTH)[order], first)
+    np.add.at(total["embed"].reshape(-1), _PLACES.take(np.maximum(seen, 0), axis=0).ravel(), to_x.ravel())
 
     def outer(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return a.reshape(-1, a.shape[-1]).T @ b.reshape(-1, b.shape[-1])
 
     total["place"] += to_x.sum(axis=0)
     total["query"] += outer(f["asking"], to_query)
-    total["key"] += outer(f["x"], to_key)
-    total["value"] += outer(f["x"], to_value)
-    total["out"] += outer(f["context"], slope)
+    both = outer(x, to_both)
+    total["key"] += both[:, :WIDTH]
+    total["value"] += both[:, WIDTH:]
+    context *= scale
+    total["out"] += outer(context, slope)
 
 
 def train(
     p: Parameters, before: np.ndarray, seen: np.ndarray, wanted: np.ndarray, rounds: int, rate: float, batch: int = 256, seed: int = 1
 ) -> Parameters:
     """Adam over shuffled batches of windows."""
-    p = {name: value.copy() for name, value in p.items()}
-    mean = {name: np.zeros_like(v) for name, v in p.items()}
-    square = {name: np.zeros_like(v) for name, v in p.items()}
+    flat = flatten(p).astype(np.float32)
+    p = unflatten(flat)
+    mean, square, move = np.zeros_like(flat), np.zeros_like(flat), np.empty_like(flat)
     rng, step = np.random.default_rng(seed), 0
     for _ in range(rounds):
         order = rng.permutation(len(seen))
         for start in range(0, len(order), batch):
             step += 1
             some = order[start : start + batch]
-            for name, slope in _gradients(p, before, seen[some], wanted[some]).items():
-                mean[name] += 0.1 * (slope - mean[name])
-                square[name] += 0.001 * (slope**2 - square[name])
-                p[name] -= np.float32(rate) * (mean[name] / (1 - 0.9**step)) / (np.sqrt(square[name] / (1 - 0.999**step)) + 1e-8)
+            slope = _gradients(p, before, seen[some], wanted[some])
+            np.subtract(slope, mean, out=move)
+            move *= 0.1
+            mean += move
+            slope *= slope
+            slope -= square
+            slope *= 0.001
+            square += slope
+            np.divide(square, 1 - 0.999**step, out=move)
+            np.sqrt(move, out=move)
+            move += 1e-8
+            np.divide(mean, move, out=move)
+            move *= rate / (1 - 0.9**step)
+            flat -= move
     return p
 
 

@@ -7,6 +7,7 @@
 3. One task trains the attention on a few training documents, as a start. Each task then goes on training
    with all windows of its training documents, and the tasks' parameters are averaged, weighted by windows. Documents
    are dealt to these tasks by their ids, in groups whose number follows that of the documents, and are read in order.
+   Steps 2 and 3 read the documents from the same groups, encoded once.
 4. A chunk's documents meet the counts of its words. That gives the base score, and the subword ids that
    the model scores in overlapping windows. A word's probability is that of its spelling by subwords, which
    includes that the word ends there, mixed half and half with its share of the training words, which knows whole
@@ -22,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from larder.llm import attention
 from larder.llm.bpe import TreeEncoder, encoder
@@ -30,7 +32,6 @@ from larder.sources.scratch import materialize
 LEAF = 256
 GROUP_WORDS = 1 << 15
 GROUP_SUBWORDS = 1 << 20
-HELD_WORDS = 1 << 18
 #: Training documents whose windows the attention sees one after another, before the mean with others.
 GROUP_ROWS = 4_096
 #: Weight of a word's share of the training words beside its spelling by subwords.
@@ -64,20 +65,39 @@ def spelled_logs(subword_logs: np.ndarray, opening: np.ndarray, ends: np.ndarray
 
 
 def _sequence(tree: TreeEncoder, words: list[bytes], end: bool) -> np.ndarray:
-    ids = np.frombuffer(b"".join(subwords(tree, w) for w in words), "<u4").astype(np.int64)
+    texts = b" ".join(words).decode().split(" ") if words else []
+    ids = np.frombuffer(b"".join(map(tree.pieces.__getitem__, texts)), "<u4").astype(np.int64)
     return np.append(ids, len(tree.token_bytes) - 1) if end else ids
 
 
-def _encoded(tree: TreeEncoder, texts: Iterator[str], most: int) -> Iterator[list[np.ndarray]]:
+def _id_type(tree: TreeEncoder) -> np.dtype:
+    return np.min_scalar_type(len(tree.token_bytes)).newbyteorder("<")
+
+
+def encoded(training: DataFrame, tokenizer: str) -> DataFrame:
+    """``ids`` of training documents: the subwords of the whole text and the end, packed. They may be encoded already."""
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree = encoder(tokenizer, LEAF)
+        kind = _id_type(tree)
+        for batch in batches:
+            ids = [_sequence(tree, words_of(text.as_py()), True).astype(kind).tobytes() for text in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], ["ids"])
+
+    return training.select("ids") if "ids" in training.columns else training.select("text").mapInArrow(encode, "ids binary")
+
+
+def _groups(batches: Iterator[pa.RecordBatch], kind: np.dtype, most: int) -> Iterator[list[np.ndarray]]:
     """Subword ids of whole texts, in groups of about ``most`` ids."""
     held: list[np.ndarray] = []
     size = 0
-    for text in texts:
-        held.append(_sequence(tree, words_of(text), True))
-        size += len(held[-1])
-        if size >= most:
-            yield held
-            held, size = [], 0
+    for batch in batches:
+        for ids in batch.column(0):
+            held.append(np.frombuffer(ids.as_py(), kind).astype(np.int64))
+            size += len(held[-1])
+            if size >= most:
+                yield held
+                held, size = [], 0
     if held:
         yield held
 
@@ -101,8 +121,7 @@ def attention_parameters(
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree, mine, weight = encoder(tokenizer, LEAF), start, 0
         to_head, to_class = np.append(tables.heads, -1), np.append(tables.classes, -1)
-        texts = (text.as_py() for batch in batches for text in batch.column(0))
-        for sequences in _encoded(tree, texts, GROUP_SUBWORDS):
+        for sequences in _groups(batches, _id_type(tree), GROUP_SUBWORDS):
             for seen, wanted in _windows(sequences, len(tables.classes) - 1, GROUP_SUBWORDS):
                 mine = attention.train(mine, tables.before, to_head[seen], to_class[wanted], rounds, rate)
                 weight += len(seen)
@@ -110,7 +129,7 @@ def attention_parameters(
             arrays = [pa.array([weight], pa.int64()), pa.array([attention.flatten(mine).tolist()], pa.list_(pa.float64()))]
             yield pa.RecordBatch.from_arrays(arrays, ["weight", "parameters"])
 
-    trained = training.select("text").mapInArrow(learn, "weight long, parameters array<double>")
+    trained = encoded(training, tokenizer).mapInArrow(learn, "weight long, parameters array<double>")
     each = trained.select("weight", F.posexplode("parameters").alias("place", "value"))
     means = each.groupBy("place").agg((F.sum(F.col("value") * F.col("weight")) / F.sum("weight")).alias("mean"))
     found = sorted((row["place"], row["mean"]) for row in means.collect())  # as many as the model has parameters
@@ -129,46 +148,30 @@ def started_parameters(training: DataFrame, tokenizer: str, tables: attention.Ta
     return attention_parameters(texts, tokenizer, tables, attention.start_parameters(), rounds, 0.01)
 
 
-class _Ends(dict):
-    """First and last subword id of words, as one number; emptied when full."""
-
-    def __init__(self, tree: TreeEncoder):
-        super().__init__()
-        self.tree = tree
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= HELD_WORDS:
-            self.clear()
-        ids = subwords(self.tree, word)
-        found = self[word] = int.from_bytes(ids[:4], "little") << 32 | int.from_bytes(ids[-4:], "little")
-        return found
-
-
 def neighbours(training: DataFrame, words: DataFrame, tokenizer: str) -> DataFrame:
     """How often a subword follows another in all training documents: left, right, crosses (words), n.
 
     A text follows the end id, and the end id follows it.
     """
 
-    def summed(keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        found, place = np.unique(keys, return_inverse=True)
+    def summed(keys: np.ndarray, n: np.ndarray | None = None) -> pa.RecordBatch:
+        if n is None:
+            found, total = np.unique(keys, return_counts=True)
+        else:
+            found, place = np.unique(keys, return_inverse=True)
+            total = np.bincount(place, n, len(found))
         arrays = [pa.array((found >> 32).astype(np.int32)), pa.array((found & 0xFFFFFFFF).astype(np.int32))]
-        return pa.RecordBatch.from_arrays([*arrays, pa.array(np.bincount(place, n, len(found)).astype(np.int64))], ["left", "right", "n"])
+        return pa.RecordBatch.from_arrays([*arrays, pa.array(total.astype(np.int64))], ["left", "right", "n"])
 
     def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree = encoder(tokenizer, LEAF)
-        ends, end, held, size = _Ends(tree), len(tree.token_bytes) - 1, [], 0
-        for batch in batches:
-            for text in batch.column(0):
-                words = words_of(text.as_py())
-                both = np.fromiter(map(ends.__getitem__, words), np.int64, len(words))
-                held.append(np.append(end, both & 0xFFFFFFFF) << 32 | np.append(both >> 32, end))
-                size += len(held[-1])
-                if size >= GROUP_SUBWORDS:
-                    yield summed(np.concatenate(held), np.ones(size))
-                    held, size = [], 0
-        if held:
-            yield summed(np.concatenate(held), np.ones(size))
+        # A word's first subword alone holds the space before it.
+        opens = np.append([token.startswith(b" ") for token in tree.token_bytes[:-1]], True)
+        for sequences in _groups(batches, _id_type(tree), GROUP_SUBWORDS):
+            flat = np.concatenate(sequences)
+            before = np.append(len(opens) - 1, flat[:-1])
+            at = opens[flat]
+            yield summed(before[at] << 32 | flat[at])
 
     def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -181,7 +184,7 @@ def neighbours(training: DataFrame, words: DataFrame, tokenizer: str) -> DataFra
             yield summed(flat[inner] << 32 | flat[inner + 1], np.repeat(batch.column(0).to_numpy(), lengths)[inner])
 
     schema = "left int, right int, n long"
-    crossing = training.select("text").mapInArrow(across, schema).withColumn("crosses", F.lit(True))
+    crossing = encoded(training, tokenizer).mapInArrow(across, schema).withColumn("crosses", F.lit(True))
     inside = words.filter("lead and n > 0").select("n", "ids").mapInArrow(within, schema).withColumn("crosses", F.lit(False))
     pairs = crossing.unionByName(inside).groupBy("left", "right", "crosses").agg(F.sum("n").alias("n"))
     return materialize(pairs, "lm-neighbours")
@@ -346,20 +349,21 @@ def score_documents(
     learned = rows.filter("train").select("id", "text")
     dealt = rows.withColumn("chunk", F.pmod(F.hash("id"), F.lit(chunks)).cast("int"))
     words = counted_words(dealt, tokenizer, chunks)
-    pairs = neighbours(learned, words, tokenizer)
+    ends = documents.filter(training).count()
+    grouped = encoded(in_groups(learned, ends), tokenizer).persist(StorageLevel.DISK_ONLY)
+    pairs = neighbours(grouped, words, tokenizer)
     spaced = np.array([token.startswith(b" ") for token in encoder(tokenizer, LEAF).token_bytes])
     counts = subword_counts(pairs, len(spaced))
     classes = attention.subword_classes(counts, *subword_company(pairs, counts), spaced)
     heads = attention.head_subwords(counts)
     totals = words.filter("lead and n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    ends = documents.filter(training).count()
     n_train, distinct = totals["n"] + ends, totals["v"] + (ends > 0)
     tables = subword_tables(words, classes, heads, class_pairs(pairs, classes), ends)
     start = started_parameters(learned, tokenizer, tables, sample, rounds)
     opens = np.append(spaced[:-1], True)
-    model = attention.LanguageModel(
-        attention_parameters(in_groups(learned, ends), tokenizer, tables, start, 1, 0.001), tables, tables.openings(opens)
-    )
+    parameters = attention_parameters(grouped, tokenizer, tables, start, 1, 0.001)
+    grouped.unpersist()
+    model = attention.LanguageModel(parameters, tables, tables.openings(opens))
     shared = documents.sparkSession.sparkContext.broadcast(model)  # bounded by the vocabulary and pairs of heads
 
     def base(n: np.ndarray) -> np.ndarray:

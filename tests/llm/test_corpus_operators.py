@@ -414,6 +414,29 @@ def test_all_training_documents_are_counted_and_learned_from(spark):
     assert not np.array_equal(attention.flatten(unspaced), attention.flatten(start))
 
 
+def test_training_documents_are_read_as_the_ids_they_were_encoded_to_once(spark):
+    rng = random.Random(11)
+    frame = corpus(spark, [*(sentence(rng, n) for n in (0, 1, 40, 90)), "don't 東京\xa0x 's"]).select(F.col("doc_id").alias("id"), "text")
+    tree = lm.encoder(BYTE_BPE, lm.LEAF)
+    ids = lm.encoded(frame.coalesce(1), BYTE_BPE)
+    assert ids.columns == ["ids"] and lm.encoded(ids, BYTE_BPE).columns == ["ids"]
+    texts = [row["text"] for row in frame.coalesce(1).collect()]
+    for row, text in zip(ids.collect(), texts, strict=True):
+        assert np.frombuffer(row["ids"], "<u2").tolist() == lm._sequence(tree, lm.words_of(text), True).tolist()
+    # The text is not asked for again.
+    words = lm.counted_words(frame.withColumn("train", F.lit(True)).withColumn("chunk", F.lit(0)), BYTE_BPE, 2)
+    from_ids, from_text = ({tuple(row) for row in lm.neighbours(rows, words, BYTE_BPE).collect()} for rows in (ids, frame))
+    assert from_ids == from_text
+    end = len(tree.token_bytes) - 1
+    zeros = np.zeros((attention.HEADS, attention.HEADS))
+    tables = attention.Tables.counted(
+        np.where(np.arange(end + 1) < end, 1, 0), attention.head_subwords(np.arange(end + 1)), np.ones(end + 1), zeros, np.ones(attention.HEADS), np.ones((attention.CLASSES, attention.CLASSES))
+    )
+    start = attention.start_parameters()
+    trained = [attention.flatten(lm.attention_parameters(rows, BYTE_BPE, tables, start, 1, 0.001)) for rows in (ids, frame.coalesce(1))]
+    assert trained[0] == pytest.approx(trained[1]) and not np.array_equal(trained[0], attention.flatten(start))
+
+
 @pytest.fixture
 def small_model():
     rng = np.random.default_rng(0)
@@ -501,6 +524,24 @@ def test_training_raises_the_likelihood_of_what_it_sees(small_model):
     assert np.allclose(attention.flatten(attention.unflatten(attention.flatten(trained))), attention.flatten(trained))
 
 
+def test_gradients_are_those_of_the_likelihood_also_for_large_logits(small_model):
+    rng = np.random.default_rng(3)
+    seen, wanted, _ = attention.windows([rng.integers(0, 40, n) for n in (5, 16, 40)], 39)
+    seen, wanted = np.append(small_model.tables.heads, -1)[seen], np.append(small_model.tables.classes, -1)[wanted]
+    before = small_model.tables.before
+    for more in (0, 100):  # what is added to all log odds is no matter
+        flat = attention.flatten(small_model.parameters).astype(np.float32)
+        slope = attention._gradients(attention.unflatten(flat), before + np.float32(more), seen, wanted)
+        for _ in range(3):
+            way = rng.normal(size=len(flat)) * (np.abs(slope) > 0)
+            step = 0.02 * way / np.linalg.norm(way)
+            up, down = (
+                -attention.class_log_probabilities(attention.unflatten(flat + sign * step), before + np.float32(more), seen, wanted).astype(float).sum()
+                for sign in (1, -1)
+            )
+            assert (up - down) / 2 / (wanted >= 0).sum() == pytest.approx(float(slope @ step), rel=0.02, abs=1e-5)
+
+
 def test_pipeline_stages_against_brute_force(spark):
     rng = random.Random(12)
     long = [sentence(rng, rng.randint(20, 60)) for _ in range(40)]
