@@ -1,33 +1,34 @@
 """Operator 3: language-model scoring with a causal self-attention model on subword ids.
 
-1. Documents are dealt into chunks. Each sends its distinct words with their training counts once; a
-   window over equal words sums the counts, and the sums go back to the chunks with the words' subword ids.
-2. Neighbouring subwords of all training documents are counted, within words over these rows and across
-   words over the texts. They give the classes of subwords, which of them get embeddings, and the tables.
+1. Documents are dealt into chunks, which keep them as the places of their words among the chunk's distinct words. These
+   words go to buckets by their hash with their training counts, packed; a bucket's task sums the counts of equal words,
+   spells each by subwords once, and sends counts and subword ids back to the chunks. There they meet the documents,
+   which are stored with the counts of their words, their base score and their subword ids: no text is read again.
+2. Neighbouring subwords of all training documents are counted, within words over the distinct words and across
+   words over the documents. They give the classes of subwords, which of them get embeddings, and the tables.
 3. One task trains the attention on a few training documents, as a start. Each task then goes on training
    with all windows of its training documents, and the tasks' parameters are averaged, weighted by windows. Documents
    are dealt to these tasks by their ids, in groups whose number follows that of the documents, and are read in order.
-   Steps 2 and 3 read the documents from the same groups, encoded once.
-4. A chunk's documents meet the counts of its words. That gives the base score, and the subword ids that
-   the model scores in overlapping windows. A word's probability is that of its spelling by subwords, which
-   includes that the word ends there, mixed half and half with its share of the training words, which knows whole
-   words that subwords have to spell.
+4. The model scores the subword ids of all documents in overlapping windows. A word's probability is that of its
+   spelling by subwords, which includes that the word ends there, mixed half and half with its share of the training
+   words, which knows whole words that subwords have to spell.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from larder.llm import attention
 from larder.llm.bpe import TreeEncoder, encoder
-from larder.sources.scratch import materialize
+from larder.sources.scratch import materialize, release
 
 LEAF = 256
 GROUP_WORDS = 1 << 15
@@ -70,8 +71,12 @@ def _sequence(tree: TreeEncoder, words: list[bytes], end: bool) -> np.ndarray:
     return np.append(ids, len(tree.token_bytes) - 1) if end else ids
 
 
+def _kind_of(size: int) -> np.dtype:
+    return np.min_scalar_type(size).newbyteorder("<")
+
+
 def _id_type(tree: TreeEncoder) -> np.dtype:
-    return np.min_scalar_type(len(tree.token_bytes)).newbyteorder("<")
+    return _kind_of(len(tree.token_bytes))
 
 
 def encoded(training: DataFrame, tokenizer: str) -> DataFrame:
@@ -136,15 +141,20 @@ def attention_parameters(
     return attention.unflatten(np.array([mean for _, mean in found])) if found else start
 
 
+def _order(training: DataFrame) -> str:
+    """What orders the texts of one id: the text, or its place among those of the chunk."""
+    return "place" if "place" in training.columns else "text"
+
+
 def in_groups(training: DataFrame, rows: int) -> DataFrame:
     """Training documents in as many ordered partitions as ``rows`` asks for, so that the layout of the input is no matter."""
-    return training.repartition(-(-max(1, rows) // GROUP_ROWS), F.hash("id")).sortWithinPartitions("id", "text")
+    return training.repartition(-(-max(1, rows) // GROUP_ROWS), F.hash("id")).sortWithinPartitions("id", _order(training))
 
 
 def started_parameters(training: DataFrame, tokenizer: str, tables: attention.Tables, sample: int, rounds: int) -> attention.Parameters:
     """Where all tasks start: one task's training with at most ``sample`` ids (repeated rows: twice as many rows)."""
     chosen = materialize(training.select("id").orderBy(F.xxhash64("id"), "id").limit(sample).distinct(), "lm-sample-ids")
-    texts = training.join(chosen, "id", "left_semi").orderBy("id", "text").limit(2 * sample)
+    texts = training.join(chosen, "id", "left_semi").orderBy("id", _order(training)).limit(2 * sample)
     return attention_parameters(texts, tokenizer, tables, attention.start_parameters(), rounds, 0.01)
 
 
@@ -174,18 +184,15 @@ def neighbours(training: DataFrame, words: DataFrame, tokenizer: str) -> DataFra
             yield summed(before[at] << 32 | flat[at])
 
     def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(1).to_pylist()
-            lengths = np.array([len(i) // 4 for i in ids], np.int64)
-            flat = np.frombuffer(b"".join(ids), "<u4").astype(np.int64)
+        for n, lengths, flat in _unpacked(batches, _id_type(encoder(tokenizer, LEAF))):
             last = np.zeros(len(flat), bool)
             last[np.cumsum(lengths) - 1] = True
             inner = np.flatnonzero(~last)
-            yield summed(flat[inner] << 32 | flat[inner + 1], np.repeat(batch.column(0).to_numpy(), lengths)[inner])
+            yield summed(flat[inner] << 32 | flat[inner + 1], np.repeat(n, lengths)[inner])
 
     schema = "left int, right int, n long"
     crossing = encoded(training, tokenizer).mapInArrow(across, schema).withColumn("crosses", F.lit(True))
-    inside = words.filter("lead and n > 0").select("n", "ids").mapInArrow(within, schema).withColumn("crosses", F.lit(False))
+    inside = _training_words(words).mapInArrow(within, schema).withColumn("crosses", F.lit(False))
     pairs = crossing.unionByName(inside).groupBy("left", "right", "crosses").agg(F.sum("n").alias("n"))
     return materialize(pairs, "lm-neighbours")
 
@@ -225,61 +232,228 @@ def class_pairs(pairs: DataFrame, classes: np.ndarray) -> np.ndarray:
     return total.reshape(wide, wide)
 
 
+def words_in(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, as ``words_of`` finds them, and how many each text has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    flat = lists.flatten()
+    real = pc.binary_length(flat).to_numpy() > 0  # white space at either end leaves an empty word
+    so_far = np.append(0, np.cumsum(real))
+    offsets = lists.offsets.to_numpy().astype(np.int64)
+    return flat.filter(pa.array(real)).cast(pa.binary()), np.diff(so_far[offsets - offsets[0]])
+
+
+def _blobs(flat: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """Stretches of an array, of the given lengths, as binary values."""
+    ends = np.append(0, np.cumsum(lengths)).astype(np.int64) * flat.itemsize
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(ends), pa.py_buffer(flat)]).cast(pa.binary())
+
+
+def _planes(values: np.ndarray, width: int) -> bytes:
+    """Whole numbers as all their lowest bytes, then the next ones, ``width`` in all: the upper ones compress well."""
+    return np.ascontiguousarray(values.astype("<i8").view(np.uint8).reshape(-1, 8).T[:width]).tobytes()
+
+
+def _from_planes(packed: bytes, size: int) -> np.ndarray:
+    found = np.zeros((size, 8), np.uint8)
+    if size:
+        planes = np.frombuffer(packed, np.uint8).reshape(-1, size)
+        found[:, : len(planes)] = planes.T
+    return found.view("<i8").ravel()
+
+
+def _width(values: np.ndarray) -> int:
+    return max(1, -(-int(values.max(initial=0)).bit_length() // 8))
+
+
+def dealt_documents(rows: DataFrame, chunks: int) -> DataFrame:
+    """Documents dealt to ``chunks`` chunks by their ids: rows of words with a ``bucket``, rows of documents without one.
+
+    A chunk's distinct words lie in buckets by their hash. A row holds those of one bucket: ``spelled``, the ``sizes``
+    of each and ``n``, how often it occurs in the chunk's training documents, packed. A document is ``at``, the places of
+    its words among those of its chunk, bucket after bucket; ``place`` is the order of its text in the chunk. Rows may be dealt already.
+    """
+    kind = rows.schema["id"].dataType.simpleString()
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [batch for batch in batches if batch.num_rows]
+        if not held:
+            return
+        chunk, texts = TaskContext.get().partitionId(), pa.Table.from_batches(held)
+        parts = [words_in(part) for part in texts.column("text").chunks]
+        lengths = np.concatenate([own for _, own in parts])
+        coded = pa.chunked_array([part for part, _ in parts], pa.binary()).dictionary_encode()
+        words = coded.chunk(0).dictionary
+        at = np.concatenate([part.indices.to_numpy() for part in coded.chunks])
+        n = np.bincount(at, np.repeat(texts.column("train").to_numpy(), lengths), len(words)).astype(np.int64)
+        bucket = np.fromiter(map(zlib.crc32, words.to_pylist()), np.int64, len(words)) % chunks
+        order = np.argsort(bucket, kind="stable")
+        words, n, place = words.take(pa.array(order)), n[order], np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        at = place[at]
+        buckets, sizes = np.unique(bucket, return_counts=True)
+        offsets = np.frombuffer(words.buffers()[1], np.int32, len(words) + 1) if len(words) else np.zeros(1, np.int32)
+        letters = np.frombuffer(words.buffers()[2], np.uint8, offsets[-1]) if offsets[-1] else np.empty(0, np.uint8)
+        cuts = offsets[np.append(0, np.cumsum(sizes))]
+        some = len(buckets)
+        yield pa.RecordBatch.from_arrays(
+            [
+                *(pa.array(np.full(some, chunk, np.int32)), pa.array(buckets.astype(np.int32))),
+                *(_blobs(np.diff(offsets).astype("<u4"), sizes), _blobs(letters, np.diff(cuts)), _blobs(n.astype("<i8"), sizes)),
+                *(pa.nulls(some, kind) for kind in (held[0].schema.field("id").type, pa.bool_(), pa.int32(), pa.int32(), pa.binary())),
+            ],
+            names,
+        )
+        ranked = np.empty(len(texts), np.int32)
+        ranked[pc.sort_indices(texts.column("text")).to_numpy()] = np.arange(len(texts), dtype=np.int32)
+        width, low = _width(at), 0
+        for batch in held:
+            own = lengths[low : low + len(batch)]
+            ends = np.cumsum(own) + lengths[:low].sum()
+            packed = [_planes(at[end - size : end], width) for size, end in zip(own.tolist(), ends.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(pa.array(np.full(len(batch), chunk, np.int32)), pa.nulls(len(batch), pa.int32()), *(pa.nulls(len(batch), pa.binary()) for _ in range(3))),
+                    *(batch.column("id"), batch.column("train"), pa.array(ranked[low : low + len(batch)])),
+                    *(pa.array(own.astype(np.int32)), pa.array(packed, pa.binary())),
+                ],
+                names,
+            )
+            low += len(batch)
+
+    names = ["chunk", "bucket", "sizes", "spelled", "n", "id", "train", "place", "words", "at"]
+    if set(names) <= set(rows.columns):
+        return rows
+    schema = f"chunk int, bucket int, sizes binary, spelled binary, n binary, id {kind}, train boolean, place int, words int, at binary"
+    return materialize(rows.select("id", "train", "text").repartition(chunks, "id").mapInArrow(deal, schema), "lm-dealt")
+
+
 def counted_words(rows: DataFrame, tokenizer: str, chunks: int) -> DataFrame:
-    """Per chunk and distinct word: chunk, word, n (count over all training documents), lead (once per word), ids."""
+    """Words of documents (``dealt_documents``) with their counts over all training documents and their subword ids.
+
+    A row without ``chunk`` holds every word of a task once, with the sum of its counts (``total``) and how many
+    are of training documents (``known``). One with ``chunk`` holds the words that a chunk has in a bucket, in the same order.
+    ``n``, ``lengths`` and ``ids`` are packed.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, Counter] = {}
-        for batch in batches:
-            for chunk, train, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                found = held.setdefault(chunk, Counter())
-                words = words_of(text.as_py())
-                if train:
-                    found.update(words)
-                else:
-                    for word in words:
-                        if word not in found:
-                            found[word] = 0
-        for chunk, found in held.items():
-            words, counts = list(found.keys()), np.fromiter(found.values(), np.int64, len(found))
-            for low in range(0, len(words), 65_536):
-                part = words[low : low + 65_536]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(part), chunk, np.int32)), pa.array(part, pa.binary()), pa.array(counts[low : low + 65_536])],
-                    ["chunk", "word", "n"],
-                )
-
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, last, ids = encoder(tokenizer, LEAF), None, b""
-        for batch in batches:
-            out = []
-            for word in batch.column(1).to_pylist():
-                if word != last:
-                    last, ids = word, subwords(tree, word)
-                out.append(ids)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], ["chunk", "word", "n", "lead", "ids"])
-
-    by_chunk = rows.repartition(chunks, "id").select("chunk", "train", "text")
-    counts = by_chunk.mapInArrow(count, "chunk int, word binary, n long")
-    equal = Window.partitionBy("word")
-    summed = counts.select(
-        "chunk", "word", F.sum("n").over(equal).alias("n"), (F.row_number().over(equal.orderBy("chunk")) == 1).alias("lead")
-    )
-    return materialize(summed.mapInArrow(split, "chunk int, word binary, n long, lead boolean, ids binary"), "lm-words")
+        held = [batch for batch in batches if batch.num_rows]
+        if not held:
+            return
+        tree = encoder(tokenizer, LEAF)
+        kind = _id_type(tree)
+        rows = pa.Table.from_batches(held)
+        sizes, n = (np.frombuffer(b"".join(rows.column(name).to_pylist()), to) for name, to in (("sizes", "<u4"), ("n", "<i8")))
+        letters = pa.py_buffer(b"".join(rows.column("spelled").to_pylist()))
+        ends = np.append(0, np.cumsum(sizes, dtype=np.int64))
+        coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(ends), letters]).dictionary_encode()
+        at = coded.indices.to_numpy()
+        # Each word comes once here, so its ids need no cache.
+        spelled = [tree.spaced(word.decode()) for word in coded.dictionary.to_pylist()]
+        lengths = np.fromiter(map(len, spelled), np.int64, len(spelled)) // 4
+        flat = np.frombuffer(b"".join(spelled), "<u4").astype(kind)
+        total = np.zeros(len(spelled), np.int64)
+        np.add.at(total, at, n)
+        words = np.array([len(own) // 4 for own in rows.column("sizes").to_pylist()])
+        yield pa.RecordBatch.from_arrays(
+            [
+                *(pa.nulls(1, pa.int32()), pa.nulls(1, pa.int32()), pa.array([int(total.sum())]), pa.array([int((total > 0).sum())])),
+                *(pa.array([values.tobytes()], pa.binary()) for values in (total.astype("<i8"), lengths.astype("<u4"), flat)),
+            ],
+            names,
+        )
+        cuts, low = np.append(0, np.cumsum(words)), 0
+        for batch in held:
+            part = at[cuts[low] : cuts[low + len(batch)]]
+            own = words[low : low + len(batch)]
+            so_far = np.append(0, np.cumsum(lengths[part]))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(batch.column("chunk"), batch.column("bucket"), pa.nulls(len(batch), pa.int64()), pa.nulls(len(batch), pa.int64())),
+                    *(_blobs(total[part].astype("<i8"), own), _blobs(lengths[part].astype("<u4"), own)),
+                    _blobs(_stretches(flat, np.cumsum(lengths) - lengths, lengths, part), np.diff(so_far[np.append(0, np.cumsum(own))])),
+                ],
+                names,
+            )
+            low += len(batch)
+
+    names = ["chunk", "bucket", "total", "known", "n", "lengths", "ids"]
+    packed = dealt_documents(rows, chunks).filter("bucket is not null").select("chunk", "bucket", "sizes", "spelled", "n")
+    schema = "chunk int, bucket int, total long, known long, n binary, lengths binary, ids binary"
+    return materialize(packed.repartition(chunks, "bucket").mapInArrow(count, schema), "lm-words")
+
+
+def _stretches(flat: np.ndarray, first: np.ndarray, lengths: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """The stretches numbered ``which`` of an array, one after another."""
+    own = lengths[which]
+    return flat[np.repeat(first[which] - (np.cumsum(own) - own), own) + np.arange(own.sum())]
+
+
+def _training_words(words: DataFrame) -> DataFrame:
+    """Rows that hold every word once: of use where it occurs in training documents."""
+    return words.filter("chunk is null and known > 0").select("n", "lengths", "ids")
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch], kind: np.dtype) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Of the training words: counts, numbers of subwords, and the subword ids one after another."""
+    for batch in batches:
+        for n, lengths, ids in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+            n, lengths = np.frombuffer(n, "<i8"), np.frombuffer(lengths, "<u4").astype(np.int64)
+            seen = n > 0
+            flat = np.frombuffer(ids, kind)[np.repeat(seen, lengths)].astype(np.int64)
+            yield n[seen], lengths[seen], flat
+
+
+def spelled_documents(dealt: DataFrame, words: DataFrame, tokenizer: str, ends: int, n_train: int, distinct: int) -> DataFrame:
+    """Per document: id, train, place, n_tokens, n_known, base_score, ``n`` of its words and ``ids`` of the text and its end."""
+    source = dealt.schema["id"].dataType.simpleString()
+
+    def base(n: np.ndarray) -> np.ndarray:
+        return np.log10((n + 1) / (n_train + distinct + 1))
+
+    def spell(_: tuple, documents: pa.Table, known: pa.Table) -> pa.Table:
+        tree = encoder(tokenizer, LEAF)
+        kind = _id_type(tree)
+        known = known.sort_by("bucket")
+        n, lengths, flat = (
+            np.frombuffer(b"".join(known.column(name).to_pylist()), to) for name, to in (("n", "<i8"), ("lengths", "<u4"), ("ids", kind))
+        )
+        # The end is one word more.
+        lengths = np.append(lengths, 1).astype(np.int64)
+        flat = np.append(flat, len(tree.token_bytes) - 1).astype(kind)
+        first, of_word = np.cumsum(lengths) - lengths, base(n)
+        of_end, width = float(base(np.array([ends]))[0]), _width(n)
+        n_known, bases, counts, ids = [], [], [], []
+        for size, at in zip(documents.column("words").to_pylist(), documents.column("at").to_pylist(), strict=True):
+            index = _from_planes(at, size)
+            own = n[index]
+            n_known.append(int((own > 0).sum()) + (ends > 0))
+            bases.append(float(of_word[index].sum()) + of_end)
+            counts.append(_planes(own, width))
+            ids.append(_stretches(flat, first, lengths, np.append(index, len(n))).tobytes())
+        n_tokens = pc.add(documents.column("words").cast(pa.int64()), 1)
+        return pa.Table.from_arrays(
+            [
+                *(documents.column(name) for name in ("id", "train", "place")),
+                *(n_tokens, pa.array(n_known, pa.int64()), pa.array(bases, pa.float64()), pa.array(counts, pa.binary()), pa.array(ids, pa.binary())),
+            ],
+            ["id", "train", "place", "n_tokens", "n_known", "base_score", "n", "ids"],
+        )
+
+    left = dealt.filter("bucket is null").select("chunk", "id", "train", "place", "words", "at").groupBy("chunk")
+    right = words.filter("chunk is not null").select("chunk", "bucket", "n", "lengths", "ids").groupBy("chunk")
+    schema = f"id {source}, train boolean, place int, n_tokens long, n_known long, base_score double, n binary, ids binary"
+    return materialize(left.cogroup(right).applyInArrow(spell, schema), "lm-spelled")
 
 
 def subword_tables(words: DataFrame, classes: np.ndarray, heads: np.ndarray, crossing: np.ndarray, texts: int) -> attention.Tables:
     """Tables from the counts of subwords, and of pairs of heads within words, in ``texts`` training documents."""
     size, width = len(classes), attention.HEADS
     pairs_from, ends_from = size, size + width * width
+    kind = _kind_of(size)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(ends_from + width)
-        for batch in batches:
-            ids = batch.column(1).to_pylist()
-            n = batch.column(0).to_numpy()
-            lengths = np.array([len(i) // 4 for i in ids], np.int64)
-            flat = np.frombuffer(b"".join(ids), "<u4").astype(np.int64)
+        for n, lengths, flat in _unpacked(batches, kind):
             weight = np.repeat(n, lengths)
             last = np.zeros(len(flat), bool)
             last[np.cumsum(lengths) - 1] = True
@@ -294,7 +468,7 @@ def subword_tables(words: DataFrame, classes: np.ndarray, heads: np.ndarray, cro
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen].astype(np.int64))], ["key", "n"])
 
-    parts = words.filter("lead and n > 0").select("n", "ids").mapInArrow(count, "key long, n long")
+    parts = _training_words(words).mapInArrow(count, "key long, n long")
     found = parts.groupBy("key").agg(F.sum("n").alias("n")).toArrow()  # bounded: the vocabulary and pairs of heads
     total = np.zeros(ends_from + width)
     total[found.column("key").to_numpy()] = found.column("n").to_numpy()
@@ -303,24 +477,6 @@ def subword_tables(words: DataFrame, classes: np.ndarray, heads: np.ndarray, cro
     return attention.Tables.counted(classes, heads, total[:size], inside, total[ends_from:], crossing)
 
 
-class _Chunk:
-    """The words of a chunk with their counts and subword ids."""
-
-    def __init__(self, words: pa.Table):
-        column = words.column("word").to_pylist()
-        self.index = {word: i for i, word in enumerate(column)}
-        self.n = words.column("n").to_numpy().astype(np.int64) if len(column) else np.empty(0, np.int64)
-        ids = words.column("ids").to_pylist()
-        self.lengths = np.array([len(i) // 4 for i in ids], np.int64)
-        self.first = np.cumsum(self.lengths) - self.lengths
-        self.flat = np.frombuffer(b"".join(ids), "<u4").astype(np.int32)
-
-    def subwords(self, index: np.ndarray, end: int) -> np.ndarray:
-        lengths = self.lengths[index]
-        within = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        return np.append(self.flat[np.repeat(self.first[index], lengths) + within], end)
-
-
 def score_documents(
     documents: DataFrame,
     training: Column,
@@ -346,72 +502,60 @@ def score_documents(
         F.coalesce(F.col(text_column), F.lit("")).alias("text"),
         F.coalesce(training, F.lit(False)).alias("train"),
     )
-    learned = rows.filter("train").select("id", "text")
-    dealt = rows.withColumn("chunk", F.pmod(F.hash("id"), F.lit(chunks)).cast("int"))
+    dealt = dealt_documents(rows, chunks)
     words = counted_words(dealt, tokenizer, chunks)
-    ends = documents.filter(training).count()
-    grouped = encoded(in_groups(learned, ends), tokenizer).persist(StorageLevel.DISK_ONLY)
-    pairs = neighbours(grouped, words, tokenizer)
+    ends = dealt.filter("bucket is null and train").count()
+    totals = words.filter("chunk is null").agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in ("total", "known")]).first()
+    n_train, distinct = totals["total"] + ends, totals["known"] + (ends > 0)
+    spelled = spelled_documents(dealt, words, tokenizer, ends, n_train, distinct)
+    release(dealt)
+    learned = spelled.filter("train").select("id", "place", "ids")
+    pairs = neighbours(learned, words, tokenizer)
     spaced = np.array([token.startswith(b" ") for token in encoder(tokenizer, LEAF).token_bytes])
     counts = subword_counts(pairs, len(spaced))
     classes = attention.subword_classes(counts, *subword_company(pairs, counts), spaced)
     heads = attention.head_subwords(counts)
-    totals = words.filter("lead and n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    n_train, distinct = totals["n"] + ends, totals["v"] + (ends > 0)
     tables = subword_tables(words, classes, heads, class_pairs(pairs, classes), ends)
+    release(words, pairs)
     start = started_parameters(learned, tokenizer, tables, sample, rounds)
     opens = np.append(spaced[:-1], True)
-    parameters = attention_parameters(grouped, tokenizer, tables, start, 1, 0.001)
-    grouped.unpersist()
+    parameters = attention_parameters(in_groups(learned, ends), tokenizer, tables, start, 1, 0.001)
     model = attention.LanguageModel(parameters, tables, tables.openings(opens))
     shared = documents.sparkSession.sparkContext.broadcast(model)  # bounded by the vocabulary and pairs of heads
+    kind = _kind_of(len(spaced))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = shared.value
+
+        def scored(held: list[np.ndarray], n: list[np.ndarray]) -> np.ndarray:
+            """log10 probability of texts, from their subword ids and the counts of their words and last that of the end."""
+            logs, opening = scorer.id_and_opening_logs(held)
+            # A word's first subword alone holds the space before it.
+            begins = np.flatnonzero(opens[np.concatenate(held)])
+            lengths = np.cumsum([*map(len, n)])
+            ends_here = np.zeros(len(begins), bool)
+            ends_here[lengths - 1] = True
+            mixed = spelled_logs(np.add.reduceat(logs, begins), opening[begins], ends_here)
+            return np.add.reduceat(mixed_log10(np.concatenate(n) / max(1, n_train), mixed), np.append(0, lengths[:-1]))
 
-    def base(n: np.ndarray) -> np.ndarray:
-        return np.log10((n + 1) / (n_train + distinct + 1))
-
-    def score(_: tuple, texts: pa.Table, known: pa.Table) -> pa.Table:
-        chunk, scorer = _Chunk(known), shared.value
-        end, of_end = len(scorer.tables.classes) - 1, float(base(np.array([ends]))[0])
-        of_word = base(chunk.n)
-        n_tokens, n_known, bases, scores = [], [], [], []
-        shares = np.append(chunk.n, ends) / max(1, n_train)
-        lengths = np.append(chunk.lengths, 1)
-
-        def scored(held: list[np.ndarray]) -> np.ndarray:
-            """log10 probability of texts, each the numbers of its words and last that of the end."""
-            logs, opening = scorer.id_and_opening_logs([chunk.subwords(index[:-1], end) for index in held])
-            index = np.concatenate(held)
-            begins = np.cumsum(lengths[index]) - lengths[index]
-            spelled = spelled_logs(np.add.reduceat(logs, begins), opening[begins], index == len(chunk.n))
-            return np.add.reduceat(mixed_log10(shares[index], spelled), np.cumsum([0, *map(len, held[:-1])]))
-
-        held: list[np.ndarray] = []
-        size = 0
-        for text in texts.column("text"):
-            words = words_of(text.as_py())
-            index = np.fromiter(map(chunk.index.__getitem__, words), np.int64, len(words))
-            n_tokens.append(len(words) + 1)
-            n_known.append(int((chunk.n[index] > 0).sum()) + (ends > 0))
-            bases.append(float(of_word[index].sum()) + of_end)
-            held.append(np.append(index, len(chunk.n)))
-            size += len(words)
-            if size > GROUP_WORDS:
-                scores.append(scored(held))
-                held, size = [], 0
-        if held:
-            scores.append(scored(held))
-        flat = np.concatenate(scores) if scores else np.empty(0)
-        numbers = [pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64())]
-        return pa.Table.from_arrays(
-            [texts.column("id"), texts.column("train"), *numbers, pa.array(bases, pa.float64()), pa.array(flat)],
-            ["id", "train", "n_tokens", "n_known", "base_score", "score"],
-        )
-
-    kind = rows.schema["id"].dataType.simpleString()
-    left = dealt.select("chunk", "id", "train", "text").groupBy("chunk")
-    right = words.select("chunk", "word", "n", "ids").groupBy("chunk")
-    schema = f"id {kind}, train boolean, n_tokens long, n_known long, base_score double, score double"
-    scored = left.cogroup(right).applyInArrow(score, schema)
-    return scored.select(
+        for batch in batches:
+            scores, held, n, size = [], [], [], 0
+            for n_tokens, packed, ids in zip(*(batch.column(name).to_pylist() for name in ("n_tokens", "n", "ids")), strict=True):
+                held.append(np.frombuffer(ids, kind).astype(np.int64))
+                n.append(np.append(_from_planes(packed, n_tokens - 1), ends))
+                size += n_tokens
+                if size > GROUP_WORDS:
+                    scores.append(scored(held, n))
+                    held, n, size = [], [], 0
+            if held:
+                scores.append(scored(held, n))
+            own = [batch.column(name) for name in ("id", "train", "n_tokens", "n_known", "base_score")]
+            flat = np.concatenate(scores) if scores else np.empty(0)
+            yield pa.RecordBatch.from_arrays([*own, pa.array(flat)], ["id", "train", "n_tokens", "n_known", "base_score", "score"])
+
+    source = rows.schema["id"].dataType.simpleString()
+    schema = f"id {source}, train boolean, n_tokens long, n_known long, base_score double, score double"
+    read = spelled.select("id", "train", "n_tokens", "n_known", "base_score", "n", "ids")
+    return read.mapInArrow(score, schema).select(
         F.col("id").alias(id_column), "train", "n_tokens", "n_known", F.lit(n_train).cast("long").alias("train_tokens"), "base_score", "score"
     )

@@ -437,6 +437,32 @@ def test_training_documents_are_read_as_the_ids_they_were_encoded_to_once(spark)
     assert trained[0] == pytest.approx(trained[1]) and not np.array_equal(trained[0], attention.flatten(start))
 
 
+def test_words_travel_packed_and_documents_come_back_as_their_words_and_counts(spark):
+    rng = random.Random(12)
+    texts = [sentence(rng, rng.randint(0, 50)) for _ in range(40)] + ["", " \t\n", "\x0b A\x0cb\x1cC  D\x85e\xa0F\r\nÀ İ 's ", "漢字" * 300]
+    rows = [(i if i % 9 else None, i % 5 != 0, text) for i, text in enumerate([*texts, *texts[:6]])]
+    frame = spark.createDataFrame(rows, "id long, train boolean, text string").repartition(3)
+    for text in texts:
+        words, lengths = lm.words_in(lm.pa.array([text, text]))
+        assert words.to_pylist() == lm.words_of(text) * 2 and lengths.tolist() == [len(lm.words_of(text))] * 2
+    dealt = lm.dealt_documents(frame, 3)
+    words = lm.counted_words(dealt, BYTE_BPE, 3)
+    # A record for every chunk and bucket, not for every word of a chunk.
+    assert words.filter("chunk is not null").count() <= 9 and words.filter("chunk is null").count() <= 3
+    counts = Counter(word for _, train, text in rows if train for word in lm.words_of(text))
+    totals = words.filter("chunk is null").agg(F.sum("total"), F.sum("known")).first()
+    assert tuple(totals) == (counts.total(), len(counts))
+    tree = lm.encoder(BYTE_BPE, lm.LEAF)
+    spelled = lm.spelled_documents(dealt, words, BYTE_BPE, 3, counts.total() + 3, len(counts) + 1)
+    found = sorted((r["id"] or -1, r["place"], r["train"], r["ids"], lm._from_planes(r["n"], r["n_tokens"] - 1).tolist()) for r in spelled.collect())
+    ids = [lm._sequence(tree, lm.words_of(text), True).astype("<u2").tobytes() for _, _, text in rows]
+    expected = [(i or -1, train, own, [counts[word] for word in lm.words_of(text)]) for (i, train, text), own in zip(rows, ids, strict=True)]
+    assert sorted((i, train, own, n) for i, _, train, own, n in found) == sorted(expected)
+    # Documents of one id keep the order of their texts.
+    unnamed = [own for i, _, _, own, _ in found if i == -1]
+    assert unnamed == [own for _, own in sorted((text, own) for (i, _, text), own in zip(rows, ids, strict=True) if not i)]
+
+
 @pytest.fixture
 def small_model():
     rng = np.random.default_rng(0)
