@@ -64,22 +64,19 @@ def windows(ids: list[np.ndarray], start: int) -> tuple[np.ndarray, np.ndarray,
     """
     counts = np.array([len(part) for part in ids], np.int64)
     blocks = -(-counts // STRIDE)
-    # Inputs: one block of padding, then start and all but the last id, padded to whole blocks.
+    # A block of padding, then the blocks of the sequence: as targets, and as inputs moved on by one id.
     first = np.cumsum(blocks + 1) - (blocks + 1)
-    inputs = np.full((int((blocks + 1).sum()), STRIDE), -1, np.int64)
-    targets = np.full((int(blocks.sum()), STRIDE), -1, np.int64)
-    flat = np.concatenate(ids) if len(ids) else np.empty(0, np.int64)
-    own = np.repeat(np.arange(len(ids)), counts)
-    within = np.arange(len(flat)) - np.repeat(np.cumsum(counts) - counts, counts)
-    targets.ravel()[np.repeat(np.cumsum(blocks) - blocks, counts) * STRIDE + within] = flat
-    at = (first[own] + 1) * STRIDE + within
-    ahead = inputs.ravel()
-    if len(flat):
-        begins = within == 0
-        ahead[at[begins]] = start
-        ahead[at[~begins]] = flat[np.flatnonzero(~begins) - 1]
-    rows = np.repeat(first, blocks) + np.arange(int(blocks.sum())) - np.repeat(np.cumsum(blocks) - blocks, blocks)
-    return np.concatenate([inputs[rows], inputs[rows + 1]], axis=1), targets, np.repeat(np.arange(len(ids)), blocks)
+    targets = np.full((int((blocks + 1).sum()), STRIDE), -1, np.int32)
+    inputs = np.full(targets.shape, -1, np.int32)
+    flat = np.concatenate(ids) if len(ids) else np.empty(0, np.int32)
+    at = np.arange(len(flat)) + np.repeat((first + 1) * STRIDE - (np.cumsum(counts) - counts), counts)
+    targets.ravel()[at] = flat
+    inputs.ravel()[1:] = targets.ravel()[:-1]
+    inputs[targets < 0] = -1
+    inputs.ravel()[(first[counts > 0] + 1) * STRIDE] = start
+    own = np.repeat(np.arange(len(ids)), blocks)
+    rows = np.arange(len(own)) + own
+    return np.concatenate([inputs[rows], inputs[rows + 1]], axis=1), targets[rows + 1], own
 
 
 def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -94,25 +91,33 @@ def _turned(a: np.ndarray) -> np.ndarray:
 
 def _forward(p: Parameters, before: np.ndarray, seen: np.ndarray) -> dict[str, np.ndarray]:
     """Masked attention of a batch of windows of heads. ``weights`` are not divided by their ``sums``, the context is."""
-    heads = np.maximum(seen, 0)
+    heads = np.maximum(seen, 0).astype(np.intp)
     x = p["embed"].take(heads, axis=0)
     x += p["place"]
     asking = np.ascontiguousarray(x[:, STRIDE:])
     query = _times(asking, p["query"] * np.float32(WIDTH**-0.5))
     both = _times(x, np.concatenate([p["key"], p["value"]], axis=1))
     key, value = both[:, :, :WIDTH], both[:, :, WIDTH:]
+    weights, sums, context = _attended(query, key, value, seen)
+    logits = _times(context, p["out"])
+    logits += before.take(heads[:, STRIDE:], axis=0)
+    return {
+        **{"heads": heads, "x": x, "asking": asking, "query": query, "key": key, "value": value},
+        **{"weights": weights, "sums": sums, "context": context, "logits": logits},
+    }
+
+
+def _attended(query: np.ndarray, key: np.ndarray, value: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     weights = query @ _turned(key)
     if weights.max(initial=0) > _MOST:
         np.minimum(weights, _MOST, out=weights)  # scores stay far below; this replaces a shift by the maximum
     np.exp(weights, out=weights)
     weights *= _CAUSAL
-    weights[seen[:, 0] < 0, :, :STRIDE] = 0  # a sequence's first window has nothing before
+    weights[np.flatnonzero(seen[:, 0] < 0), :, :STRIDE] = 0  # a sequence's first window has nothing before
     sums = np.maximum(_sums(weights), _LEAST)[..., None]
     context = weights @ value
     context /= sums
-    logits = _times(context, p["out"])
-    logits += before.take(heads[:, STRIDE:], axis=0)
-    return {"x": x, "asking": asking, "query": query, "key": key, "value": value, "weights": weights, "sums": sums, "context": context, "logits": logits}
+    return weights, sums, context
 
 
 def _sums(a: np.ndarray) -> np.ndarray:
@@ -137,20 +142,33 @@ def class_and_opening_logs(
 
     ``openings`` (head, class): the share of opening ids in a class after a head. Without it their log is 0.
     """
-    out, opening = np.zeros(wanted.shape, np.float32), np.zeros(wanted.shape, np.float32)
+    # The parameters stay as they are, so keys, values and queries are sums of a head's and a place's.
+    joined, asking = np.concatenate([p["key"], p["value"]], axis=1), p["query"] * np.float32(WIDTH**-0.5)
+    both_of, both_at = p["embed"] @ joined, p["place"] @ joined
+    query_of, query_at = p["embed"] @ asking, p["place"][STRIDE:] @ asking
+    chosen, total, opened = (np.empty(wanted.shape, np.float32) for _ in range(3))
     for start in range(0, len(seen), PART):
         part = slice(start, start + PART)
-        logits = _forward(p, before, seen[part])["logits"]
-        at = np.arange(wanted[part].size) * CLASSES + np.maximum(wanted[part], 0).ravel()
-        chosen = logits.ravel()[at].reshape(wanted[part].shape)
-        chosen -= _to_odds(logits)
-        total = _sums(logits)
-        real = wanted[part] >= 0
-        out[part] = np.where(real, chosen - np.log(total), 0)
+        heads = np.maximum(seen[part], 0).astype(np.intp)
+        here = heads[:, STRIDE:]
+        both = both_of.take(heads, axis=0)
+        both += both_at
+        query = query_of.take(here, axis=0)
+        query += query_at
+        _, _, context = _attended(query, both[:, :, :WIDTH], both[:, :, WIDTH:], seen[part])
+        logits = _times(context, p["out"])
+        logits += before.take(here, axis=0)
+        at = np.arange(here.size) * CLASSES + np.maximum(wanted[part], 0).ravel()
+        chosen[part] = logits.ravel().take(at).reshape(here.shape)
+        chosen[part] -= _to_odds(logits)
+        total[part] = _sums(logits)
         if openings is not None:
-            open_odds = np.einsum("nij,nij->ni", logits, openings.take(np.maximum(seen[part][:, STRIDE:], 0), axis=0))
-            opening[part] = np.where(real, np.log(np.maximum(open_odds / total, _LEAST)), 0)
-    return out, opening
+            opened[part] = _sums(np.multiply(logits, openings.take(here, axis=0), out=logits))
+    real = wanted >= 0
+    found = np.where(real, chosen - np.log(total), np.float32(0))
+    if openings is None:
+        return found, np.zeros_like(found)
+    return found, np.where(real, np.log(np.maximum(opened / total, _LEAST)), np.float32(0))
 
 
 def class_log_probabilities(p: Parameters, before: np.ndarray, seen: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -179,7 +197,7 @@ def _add_gradients(total: Parameters, p: Parameters, before: np.ndarray, seen: n
     to_context = _times(slope, np.ascontiguousarray(p["out"].T))
     to_context *= scale / f["sums"]
     to_scores = to_context @ _turned(f["value"])
-    to_scores -= np.einsum("niw,niw->ni", to_context, context)[..., None]
+    to_scores -= _sums(to_context * context)[..., None]
     to_scores *= weights
     to_query = to_scores @ f["key"]
     to_query *= np.float32(WIDTH**-0.5)
@@ -188,7 +206,7 @@ def _add_gradients(total: Parameters, p: Parameters, before: np.ndarray, seen: n
     np.matmul(weights.transpose(0, 2, 1), to_context, out=to_both[:, :, WIDTH:])
     to_x = _times(to_both, np.concatenate([p["key"].T, p["value"].T]))  # 0 where padding is
     to_x[:, STRIDE:] += _times(to_query, p["query"].T)
-    np.add.at(total["embed"].reshape(-1), _PLACES.take(np.maximum(seen, 0), axis=0).ravel(), to_x.ravel())
+    np.add.at(total["embed"].reshape(-1), _PLACES.take(f["heads"], axis=0).ravel(), to_x.ravel())
 
     def outer(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return a.reshape(-1, a.shape[-1]).T @ b.reshape(-1, b.shape[-1])

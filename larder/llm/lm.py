@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from larder.llm import attention
 from larder.llm.bpe import TreeEncoder, encoder
-from larder.sources.scratch import materialize, release
+from larder.sources.scratch import materialize, release, shuffles_dropped
 
 LEAF = 256
 GROUP_WORDS = 1 << 15
@@ -98,7 +98,7 @@ def _groups(batches: Iterator[pa.RecordBatch], kind: np.dtype, most: int) -> Ite
     size = 0
     for batch in batches:
         for ids in batch.column(0):
-            held.append(np.frombuffer(ids.as_py(), kind).astype(np.int64))
+            held.append(np.frombuffer(ids.as_py(), kind))
             size += len(held[-1])
             if size >= most:
                 yield held
@@ -125,7 +125,7 @@ def attention_parameters(
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree, mine, weight = encoder(tokenizer, LEAF), start, 0
-        to_head, to_class = np.append(tables.heads, -1), np.append(tables.classes, -1)
+        to_head, to_class = np.append(tables.heads, -1).astype(np.int16), np.append(tables.classes, -1).astype(np.int16)
         for sequences in _groups(batches, _id_type(tree), GROUP_SUBWORDS):
             for seen, wanted in _windows(sequences, len(tables.classes) - 1, GROUP_SUBWORDS):
                 mine = attention.train(mine, tables.before, to_head[seen], to_class[wanted], rounds, rate)
@@ -165,11 +165,9 @@ def neighbours(training: DataFrame, words: DataFrame, tokenizer: str) -> DataFra
     """
 
     def summed(keys: np.ndarray, n: np.ndarray | None = None) -> pa.RecordBatch:
-        if n is None:
-            found, total = np.unique(keys, return_counts=True)
-        else:
-            found, place = np.unique(keys, return_inverse=True)
-            total = np.bincount(place, n, len(found))
+        coded = pa.array(keys).dictionary_encode()
+        found, place = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+        total = np.bincount(place, n, len(found))
         arrays = [pa.array((found >> 32).astype(np.int32)), pa.array((found & 0xFFFFFFFF).astype(np.int32))]
         return pa.RecordBatch.from_arrays([*arrays, pa.array(total.astype(np.int64))], ["left", "right", "n"])
 
@@ -179,9 +177,10 @@ def neighbours(training: DataFrame, words: DataFrame, tokenizer: str) -> DataFra
         opens = np.append([token.startswith(b" ") for token in tree.token_bytes[:-1]], True)
         for sequences in _groups(batches, _id_type(tree), GROUP_SUBWORDS):
             flat = np.concatenate(sequences)
-            before = np.append(len(opens) - 1, flat[:-1])
-            at = opens[flat]
-            yield summed(before[at] << 32 | flat[at])
+            at = np.flatnonzero(opens[flat])
+            before = flat[at - 1].astype(np.int64)
+            before[at == 0] = len(opens) - 1
+            yield summed(before << 32 | flat[at])
 
     def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for n, lengths, flat in _unpacked(batches, _id_type(encoder(tokenizer, LEAF))):
@@ -232,6 +231,12 @@ def class_pairs(pairs: DataFrame, classes: np.ndarray) -> np.ndarray:
     return total.reshape(wide, wide)
 
 
+def _stored(frame: DataFrame, label: str) -> DataFrame:
+    """The frame from a scratch table, without the shuffles that it took."""
+    with shuffles_dropped(frame.sparkSession):
+        return materialize(frame, label, compression="zstd")
+
+
 def words_in(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """The words of all texts, as ``words_of`` finds them, and how many each text has."""
     lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
@@ -282,13 +287,15 @@ def dealt_documents(rows: DataFrame, chunks: int) -> DataFrame:
         parts = [words_in(part) for part in texts.column("text").chunks]
         lengths = np.concatenate([own for _, own in parts])
         coded = pa.chunked_array([part for part, _ in parts], pa.binary()).dictionary_encode()
+        del parts
         words = coded.chunk(0).dictionary
         at = np.concatenate([part.indices.to_numpy() for part in coded.chunks])
+        del coded
         n = np.bincount(at, np.repeat(texts.column("train").to_numpy(), lengths), len(words)).astype(np.int64)
         bucket = np.fromiter(map(zlib.crc32, words.to_pylist()), np.int64, len(words)) % chunks
         order = np.argsort(bucket, kind="stable")
-        words, n, place = words.take(pa.array(order)), n[order], np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
+        words, n, place = words.take(pa.array(order)), n[order], np.empty(len(order), np.int32)
+        place[order] = np.arange(len(order), dtype=np.int32)
         at = place[at]
         buckets, sizes = np.unique(bucket, return_counts=True)
         offsets = np.frombuffer(words.buffers()[1], np.int32, len(words) + 1) if len(words) else np.zeros(1, np.int32)
@@ -319,12 +326,13 @@ def dealt_documents(rows: DataFrame, chunks: int) -> DataFrame:
                 names,
             )
             low += len(batch)
+        pa.default_memory_pool().release_unused()
 
     names = ["chunk", "bucket", "sizes", "spelled", "n", "id", "train", "place", "words", "at"]
     if set(names) <= set(rows.columns):
         return rows
     schema = f"chunk int, bucket int, sizes binary, spelled binary, n binary, id {kind}, train boolean, place int, words int, at binary"
-    return materialize(rows.select("id", "train", "text").repartition(chunks, "id").mapInArrow(deal, schema), "lm-dealt")
+    return _stored(rows.select("id", "train", "text").repartition(chunks, "id").mapInArrow(deal, schema), "lm-dealt")
 
 
 def counted_words(rows: DataFrame, tokenizer: str, chunks: int) -> DataFrame:
@@ -375,11 +383,12 @@ def counted_words(rows: DataFrame, tokenizer: str, chunks: int) -> DataFrame:
                 names,
             )
             low += len(batch)
+        pa.default_memory_pool().release_unused()
 
     names = ["chunk", "bucket", "total", "known", "n", "lengths", "ids"]
     packed = dealt_documents(rows, chunks).filter("bucket is not null").select("chunk", "bucket", "sizes", "spelled", "n")
     schema = "chunk int, bucket int, total long, known long, n binary, lengths binary, ids binary"
-    return materialize(packed.repartition(chunks, "bucket").mapInArrow(count, schema), "lm-words")
+    return _stored(packed.repartition(chunks, "bucket").mapInArrow(count, schema), "lm-words")
 
 
 def _stretches(flat: np.ndarray, first: np.ndarray, lengths: np.ndarray, which: np.ndarray) -> np.ndarray:
@@ -442,7 +451,7 @@ def spelled_documents(dealt: DataFrame, words: DataFrame, tokenizer: str, ends:
     left = dealt.filter("bucket is null").select("chunk", "id", "train", "place", "words", "at").groupBy("chunk")
     right = words.filter("chunk is not null").select("chunk", "bucket", "n", "lengths", "ids").groupBy("chunk")
     schema = f"id {source}, train boolean, place int, n_tokens long, n_known long, base_score double, n binary, ids binary"
-    return materialize(left.cogroup(right).applyInArrow(spell, schema), "lm-spelled")
+    return _stored(left.cogroup(right).applyInArrow(spell, schema), "lm-spelled")
 
 
 def subword_tables(words: DataFrame, classes: np.ndarray, heads: np.ndarray, crossing: np.ndarray, texts: int) -> attention.Tables:
@@ -541,7 +550,7 @@ def score_documents(
         for batch in batches:
             scores, held, n, size = [], [], [], 0
             for n_tokens, packed, ids in zip(*(batch.column(name).to_pylist() for name in ("n_tokens", "n", "ids")), strict=True):
-                held.append(np.frombuffer(ids, kind).astype(np.int64))
+                held.append(np.frombuffer(ids, kind))
                 n.append(np.append(_from_planes(packed, n_tokens - 1), ends))
                 size += n_tokens
                 if size > GROUP_WORDS:

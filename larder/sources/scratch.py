@@ -37,7 +37,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(frame: DataFrame, label: str) -> DataFrame:
+def materialize(frame: DataFrame, label: str, **options: str) -> DataFrame:
     """Write the frame once and go on from the written table.
 
     Used where several passes follow an expensive shuffle. The columns stay
@@ -45,10 +45,25 @@ def materialize(frame: DataFrame, label: str) -> DataFrame:
     """
     spark = frame.sparkSession
     path = scratch_path(spark, label)
-    frame.write.parquet(path)
+    frame.write.options(**options).parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Queries that begin in the block delete their shuffle files as they end, not when the driver next collects garbage."""
+    name = "spark.sql.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 @contextmanager
 def stored(frame: DataFrame, label: str) -> Iterator[DataFrame]:
     """The frame from a scratch table that is gone after the block; nothing lazy may outlive it."""
