@@ -13,6 +13,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from larder.functions.columns import composite_key, has_content, quoted, stripped
 from larder.schema import FILE_LAYOUT, KEY, TEXT_COLUMNS, ProductLayout, qualifier
@@ -35,9 +36,10 @@ def product_cells(layout: ProductLayout = FILE_LAYOUT) -> dict[str, Cell]:
     return texts | {name: ("nutrition", qualifier(name)) for name in layout.features}
 
 
-def _last(value: Column, put_seq: Column, present: Column | None = None) -> Column:
-    """The value put last; of equal puts the greatest value, so that a retry agrees."""
-    put = F.struct(put_seq.alias("put_seq"), value.alias("value"))
+def _last(value: Column, put_seq: Column | Sequence[Column], present: Column | None = None) -> Column:
+    """The value put last, by one or several columns; of equal puts the greatest value, so that a retry agrees."""
+    order = [put_seq] if isinstance(put_seq, Column) else put_seq
+    put = F.struct(*[column.alias(f"put_seq{i}") for i, column in enumerate(order)], value.alias("value"))
     # max passes over nulls, so absent cells never win.
     return F.max(put if present is None else F.when(present, put)).getField("value")
 
@@ -59,12 +61,15 @@ def latest_of_kinds(cells: DataFrame, kinds: Sequence[tuple[str | None, str | No
     """
     if not kinds:
         return latest_cells(cells)
+    # The kind is found once for each cell, not once for each cell and kind.
+    kind = F.when(F.lit(False), -1)
+    for i, (family, name) in enumerate(kinds):
+        kind = kind.when(F.col("family").eqNullSafe(F.lit(family)) & F.col("qualifier").eqNullSafe(F.lit(name)), i)
     put = F.struct("put_seq", "value")
-    merged = cells.groupBy("row_key").agg(
-        *[
-            F.max(F.when(F.col("family").eqNullSafe(F.lit(family)) & F.col("qualifier").eqNullSafe(F.lit(name)), put)).alias(f"put{i}")
-            for i, (family, name) in enumerate(kinds)
-        ]
+    merged = (
+        cells.select("row_key", kind.alias("kind"), put.alias("put"))
+        .groupBy("row_key")
+        .agg(*[F.max(F.when(F.col("kind") == i, F.col("put"))).alias(f"put{i}") for i in range(len(kinds))])
     )
     entries = [
         F.struct(
@@ -145,7 +150,9 @@ def seed_products(
     cell and therefore no product.
     """
     mapping = product_cells(layout)
-    seq = quoted(put_seq)
+    kind = raw.schema[put_seq].dataType
+    # An order of several parts lies beside the value, not in a record of its own.
+    seq = [quoted(put_seq).getField(part) for part in kind.names] if isinstance(kind, StructType) else quoted(put_seq)
     keyed = raw.filter(has_content(quoted(KEY))).withColumn(KEY, stripped(quoted(KEY)))
     merged = keyed.groupBy(KEY).agg(
         *[_last(quoted(name), seq, has_content(quoted(name))).alias(name) for name in mapping]

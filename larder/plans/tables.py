@@ -124,7 +124,7 @@ class CellTables:
         """
         seen = Observation("seed")
         counts = [column.alias(name) for name, column in seed_counts(layout).items()]
-        merged = seed_products(with_file_order(raw).observe(seen, *counts), layout)
+        merged = seed_products(with_file_order(raw, packed=True).observe(seen, *counts), layout)
         with stored(merged, "seeded") as products:
             self.raw.put_ordered(products, KEY, product_cells(layout), F.lit(time.time_ns()))
         return dict(seen.get)

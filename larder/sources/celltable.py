@@ -68,17 +68,15 @@ class CellTable:
         folder = f"{self.path}/put={name}"
         cells.select(*columns).write.option("maxRecordsPerFile", FILE_CELLS).parquet(folder)
         if ordered:
-            # Keys are counted by hashing, least and greatest found where files are read: neither sorts the keys of many files.
+            # A file's distinct keys are found by hashing, where it is read; only these are sorted, a few files' in a task.
             written = self._by_few_files(self.spark.read.schema(CELL_SCHEMA).parquet(folder))
-            placed = written.select(F.substring_index(F.input_file_name(), "/", -1).alias("file"), "row_key")
-            keys = placed.distinct().groupBy("file").agg(F.count("row_key").alias("keys"))
-            ends = placed.groupBy("file").agg(F.min("row_key").alias("first_key"), F.max("row_key").alias("last_key"))
-            (
-                ends.join(keys, "file")
-                .select(F.lit(name).alias("put"), "file", "first_key", "last_key", "keys")
-                .write.mode("append")
-                .parquet(f"{self.path}{RANGES}")
+            tasks = -(-max(1, len(written.inputFiles())) // TASK_FILES)
+            placed = written.select(F.substring_index(F.input_file_name(), "/", -1).alias("file"), "row_key").distinct()
+            ends = placed.repartition(tasks, "file").groupBy("file").agg(
+                F.min("row_key").alias("first_key"), F.max("row_key").alias("last_key"), F.count("row_key").alias("keys")
             )
+            noted = ends.select(F.lit(name).alias("put"), "file", "first_key", "last_key", "keys")
+            noted.repartition(1).write.mode("append").parquet(f"{self.path}{RANGES}")  # a row a file
 
     def put_ordered(
         self, rows: DataFrame, key: str, mapping: dict, put_seq: Column, files: int | None = None

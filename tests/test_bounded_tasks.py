@@ -6,7 +6,8 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from larder.operators.cells import latest_cells
+from larder.functions import columns
+from larder.operators.cells import latest_cells, latest_of_kinds
 from larder.schema import CELL_SCHEMA
 from larder.sources import celltable
 from larder.sources.celltable import CellTable
@@ -67,3 +68,60 @@ def test_file_order_carries_no_paths(spark, tmp_path):
     other.write_text("code\nlast\n")
     longer = with_file_order(read_products_tsv(spark, path, "code string")).orderBy("put_seq").collect()
     assert longer[0]["code"] == "last" and longer[0]["put_seq"]["file"].endswith("/more.csv")
+
+
+def test_the_order_of_numbered_files_is_two_numbers(spark, tmp_path):
+    path = str(tmp_path / "tsv")
+    spark.range(0, 400, 1, 12).select(F.col("id").cast("string").alias("code")).write.csv(path)
+    rows = with_file_order(read_products_tsv(spark, path, "code string"), packed=True).orderBy("put_seq").collect()
+    assert [int(row["code"]) for row in rows] == sorted(int(row["code"]) for row in rows) and len(rows) == 388
+    assert {tuple(row["put_seq"].asDict()) for row in rows} == {("at", "row")} and len({row["put_seq"] for row in rows}) == 388
+    # Splits of one file go by their offsets, however they are dealt to tasks.
+    spark.range(0, 30_000, 1, 1).select(F.format_string("%08d", "id").alias("code")).write.csv(f"{path}-one")
+    before = {name: spark.conf.get(name) for name in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for name in before:
+            spark.conf.set(name, "20000")
+        split = with_file_order(read_products_tsv(spark, f"{path}-one", "code string"), packed=True)
+        assert split.rdd.getNumPartitions() > 4
+        assert [row["code"] for row in split.orderBy("put_seq").collect()] == [f"{i:08d}" for i in range(1, 30_000)]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    (tmp_path / "tsv" / "more.csv").write_text("code\nlast\n")
+    longer = with_file_order(read_products_tsv(spark, path, "code string"), packed=True).orderBy("put_seq").collect()
+    assert longer[0]["code"] == "last" and longer[0]["put_seq"]["file"].endswith("/more.csv")
+
+
+def test_content_is_found_as_by_stripping_every_sort_of_white_space(spark):
+    signs = [chr(i) for i in (*range(0x100), 0x1680, 0x2003, 0x2028, 0x3000, 0xFEFF, 0x6771, 0x1F600)]
+    texts = [None, "", *signs, *(f" {a}" for a in signs), *(f" {a} {b}" for a in "\t\x1f\xa0 " for b in signs), "a ", "  ~", "\x7f"]
+    rows = spark.createDataFrame([(text,) for text in texts], "text string").coalesce(1).select("text", columns.has_content(F.col("text")).alias("found"))
+    found = [(row["text"], row["found"]) for row in rows.collect()]
+    assert found == [(text, bool(text) and bool(text.strip(columns.WHITE_SPACE))) for text in texts]
+    # A printable sign settles it before all kinds of white space are searched for.
+    condition = plan(rows)
+    assert 0 < condition.index("ltrim(text") < condition.index("(trim(text")
+
+
+def test_the_kind_of_a_cell_is_found_once(spark):
+    cells = spark.createDataFrame([("r", f"f{i % 3}", str(i), "v", i) for i in range(12)], CELL_SCHEMA)
+    merged = latest_of_kinds(cells, [(f"f{i % 3}", str(i)) for i in range(12)])
+    assert merged.count() == 12
+    # Not in each of the twelve greatest puts, which compare a number.
+    partial = plan(merged).split("partial_max(", 1)[1].split("output=")[0]
+    assert "family" not in partial and partial.count("kind#") == 12
+
+
+def test_the_notes_of_a_put_are_one_small_file(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(celltable, "FILE_CELLS", 100)
+    table = CellTable(spark, str(tmp_path / "cells"))
+    table.put(puts(spark, 3_000, "1"), ordered=True)
+    table.put(puts(spark, 0, "1"), ordered=True)
+    rows = [(None, "f", "q", "v", 1), (None, "f", "r", "v", 1), ("a", "f", "q", "v", 1)]
+    table.put(spark.createDataFrame(rows, CELL_SCHEMA).coalesce(1), ordered=True)
+    assert len(list((tmp_path / f"cells{celltable.RANGES}").glob("part-*"))) <= 3
+    cells = spark.read.parquet(table.path).groupBy(F.substring_index(F.input_file_name(), "/", -1))
+    expected = cells.agg(F.min("row_key"), F.max("row_key"), F.count_distinct("row_key")).collect()
+    found = table._ranges().select("file", "first_key", "last_key", "keys").collect()
+    assert sorted(map(str, map(tuple, found))) == sorted(str(tuple(row)) for row in expected if "null" not in str(row)) and len(found) >= 31
