@@ -89,25 +89,22 @@ def _turned(a: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(a.transpose(0, 2, 1))
 
 
-def _forward(p: Parameters, before: np.ndarray, seen: np.ndarray) -> dict[str, np.ndarray]:
+def _joined(p: Parameters) -> tuple[np.ndarray, ...]:
+    """The matrices for queries, and for keys and values at once; and the turned ones, for the way back."""
+    both = np.concatenate([p["key"], p["value"]], axis=1)
+    return p["query"] * np.float32(WIDTH**-0.5), both, np.ascontiguousarray(both.T), np.ascontiguousarray(p["out"].T)
+
+
+def _forward(p: Parameters, before: np.ndarray, seen: np.ndarray, joined: tuple[np.ndarray, ...] | None = None) -> dict[str, np.ndarray]:
     """Masked attention of a batch of windows of heads. ``weights`` are not divided by their ``sums``, the context is."""
+    to_query, to_both, *_ = joined or _joined(p)
     heads = np.maximum(seen, 0).astype(np.intp)
     x = p["embed"].take(heads, axis=0)
     x += p["place"]
     asking = np.ascontiguousarray(x[:, STRIDE:])
-    query = _times(asking, p["query"] * np.float32(WIDTH**-0.5))
-    both = _times(x, np.concatenate([p["key"], p["value"]], axis=1))
+    query = _times(asking, to_query)
+    both = _times(x, to_both)
     key, value = both[:, :, :WIDTH], both[:, :, WIDTH:]
-    weights, sums, context = _attended(query, key, value, seen)
-    logits = _times(context, p["out"])
-    logits += before.take(heads[:, STRIDE:], axis=0)
-    return {
-        **{"heads": heads, "x": x, "asking": asking, "query": query, "key": key, "value": value},
-        **{"weights": weights, "sums": sums, "context": context, "logits": logits},
-    }
-
-
-def _attended(query: np.ndarray, key: np.ndarray, value: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     weights = query @ _turned(key)
     if weights.max(initial=0) > _MOST:
         np.minimum(weights, _MOST, out=weights)  # scores stay far below; this replaces a shift by the maximum
@@ -117,7 +114,12 @@ def _attended(query: np.ndarray, key: np.ndarray, value: np.ndarray, seen: np.nd
     sums = np.maximum(_sums(weights), _LEAST)[..., None]
     context = weights @ value
     context /= sums
-    return weights, sums, context
+    logits = _times(context, p["out"])
+    logits += before.take(heads[:, STRIDE:], axis=0)
+    return {
+        **{"heads": heads, "x": x, "asking": asking, "query": query, "key": key, "value": value},
+        **{"weights": weights, "sums": sums, "context": context, "logits": logits},
+    }
 
 
 def _sums(a: np.ndarray) -> np.ndarray:
@@ -142,28 +144,18 @@ def class_and_opening_logs(
 
     ``openings`` (head, class): the share of opening ids in a class after a head. Without it their log is 0.
     """
-    # The parameters stay as they are, so keys, values and queries are sums of a head's and a place's.
-    joined, asking = np.concatenate([p["key"], p["value"]], axis=1), p["query"] * np.float32(WIDTH**-0.5)
-    both_of, both_at = p["embed"] @ joined, p["place"] @ joined
-    query_of, query_at = p["embed"] @ asking, p["place"][STRIDE:] @ asking
+    joined = _joined(p)
     chosen, total, opened = (np.empty(wanted.shape, np.float32) for _ in range(3))
     for start in range(0, len(seen), PART):
         part = slice(start, start + PART)
-        heads = np.maximum(seen[part], 0).astype(np.intp)
-        here = heads[:, STRIDE:]
-        both = both_of.take(heads, axis=0)
-        both += both_at
-        query = query_of.take(here, axis=0)
-        query += query_at
-        _, _, context = _attended(query, both[:, :, :WIDTH], both[:, :, WIDTH:], seen[part])
-        logits = _times(context, p["out"])
-        logits += before.take(here, axis=0)
+        forward = _forward(p, before, seen[part], joined)
+        logits, here = forward["logits"], forward["heads"][:, STRIDE:]
         at = np.arange(here.size) * CLASSES + np.maximum(wanted[part], 0).ravel()
         chosen[part] = logits.ravel().take(at).reshape(here.shape)
         chosen[part] -= _to_odds(logits)
         total[part] = _sums(logits)
         if openings is not None:
-            opened[part] = _sums(np.multiply(logits, openings.take(here, axis=0), out=logits))
+            np.einsum("nij,nij->ni", logits, openings.take(here, axis=0), out=opened[part])
     real = wanted >= 0
     found = np.where(real, chosen - np.log(total), np.float32(0))
     if openings is None:
@@ -180,31 +172,34 @@ def _gradients(p: Parameters, before: np.ndarray, seen: np.ndarray, wanted: np.n
     """Gradients of a batch, summed over parts and flat as the parameters are."""
     flat = np.zeros(sum(value.size for value in p.values()), np.float32)
     total = unflatten(flat)
-    count = np.float32(max(1, (wanted >= 0).sum()))
+    count, joined = np.float32(max(1, (wanted >= 0).sum())), _joined(p)
     for start in range(0, len(seen), PART):
-        _add_gradients(total, p, before, seen[start : start + PART], wanted[start : start + PART], count)
+        _add_gradients(total, p, joined, before, seen[start : start + PART], wanted[start : start + PART], count)
     return flat
 
 
-def _add_gradients(total: Parameters, p: Parameters, before: np.ndarray, seen: np.ndarray, wanted: np.ndarray, count: np.float32) -> None:
-    f = _forward(p, before, seen)
+def _add_gradients(
+    total: Parameters, p: Parameters, joined: tuple[np.ndarray, ...], before: np.ndarray, seen: np.ndarray, wanted: np.ndarray, count: np.float32
+) -> None:
+    f = _forward(p, before, seen, joined)
+    _, _, from_both, from_logits = joined
     x, query, weights, context, slope = (f[name] for name in ("x", "query", "weights", "context", "logits"))
     _to_odds(slope)
     odds = _sums(slope)
     # The slope is this difference times ``scale``, which goes to the narrower arrays instead.
     slope.ravel()[np.arange(wanted.size) * CLASSES + np.maximum(wanted, 0).ravel()] -= odds.ravel()
     scale = ((wanted >= 0) / (count * odds))[..., None].astype(np.float32)
-    to_context = _times(slope, np.ascontiguousarray(p["out"].T))
+    to_context = _times(slope, from_logits)
     to_context *= scale / f["sums"]
     to_scores = to_context @ _turned(f["value"])
-    to_scores -= _sums(to_context * context)[..., None]
+    to_scores -= np.einsum("niw,niw->ni", to_context, context)[..., None]
     to_scores *= weights
     to_query = to_scores @ f["key"]
     to_query *= np.float32(WIDTH**-0.5)
     to_both = np.empty((len(x), WINDOW, 2 * WIDTH), np.float32)  # to the key, then to the value
     np.matmul(to_scores.transpose(0, 2, 1), query, out=to_both[:, :, :WIDTH])  # the query is scaled already
     np.matmul(weights.transpose(0, 2, 1), to_context, out=to_both[:, :, WIDTH:])
-    to_x = _times(to_both, np.concatenate([p["key"].T, p["value"].T]))  # 0 where padding is
+    to_x = _times(to_both, from_both)  # 0 where padding is
     to_x[:, STRIDE:] += _times(to_query, p["query"].T)
     np.add.at(total["embed"].reshape(-1), _PLACES.take(f["heads"], axis=0).ravel(), to_x.ravel())
 

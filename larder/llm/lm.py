@@ -231,10 +231,10 @@ def class_pairs(pairs: DataFrame, classes: np.ndarray) -> np.ndarray:
     return total.reshape(wide, wide)
 
 
-def _stored(frame: DataFrame, label: str) -> DataFrame:
+def _stored(frame: DataFrame, label: str, **options: str) -> DataFrame:
     """The frame from a scratch table, without the shuffles that it took."""
     with shuffles_dropped(frame.sparkSession):
-        return materialize(frame, label, compression="zstd")
+        return materialize(frame, label, **options)
 
 
 def words_in(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -332,7 +332,7 @@ def dealt_documents(rows: DataFrame, chunks: int) -> DataFrame:
     if set(names) <= set(rows.columns):
         return rows
     schema = f"chunk int, bucket int, sizes binary, spelled binary, n binary, id {kind}, train boolean, place int, words int, at binary"
-    return _stored(rows.select("id", "train", "text").repartition(chunks, "id").mapInArrow(deal, schema), "lm-dealt")
+    return _stored(rows.select("id", "train", "text").repartition(chunks, "id").mapInArrow(deal, schema), "lm-dealt", compression="zstd")
 
 
 def counted_words(rows: DataFrame, tokenizer: str, chunks: int) -> DataFrame:
@@ -388,7 +388,7 @@ def counted_words(rows: DataFrame, tokenizer: str, chunks: int) -> DataFrame:
     names = ["chunk", "bucket", "total", "known", "n", "lengths", "ids"]
     packed = dealt_documents(rows, chunks).filter("bucket is not null").select("chunk", "bucket", "sizes", "spelled", "n")
     schema = "chunk int, bucket int, total long, known long, n binary, lengths binary, ids binary"
-    return _stored(packed.repartition(chunks, "bucket").mapInArrow(count, schema), "lm-words")
+    return _stored(packed.repartition(chunks, "bucket").mapInArrow(count, schema), "lm-words", compression="zstd")
 
 
 def _stretches(flat: np.ndarray, first: np.ndarray, lengths: np.ndarray, which: np.ndarray) -> np.ndarray:
